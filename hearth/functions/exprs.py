@@ -129,3 +129,17 @@ def any_null(columns: Sequence[str]) -> Column:
     for c in columns[1:]:
         cond = cond | F.col(c).isNull()
     return cond
+
+
+def round_sig(c: str | Column, digits: int = 9) -> Column:
+    """Round to ``digits`` significant digits with exact power-of-ten scaling.
+
+    Exact values with short decimal expansions (means of cent amounts) then
+    never sit on a rounding boundary, unlike a fixed number of decimals.
+    """
+    x = col_or_lit(c)
+    e = F.floor(F.log10(F.abs(x)))
+    up = F.lit(digits - 1) - e  # scale >= 0: multiply; < 0: divide
+    scaled_up = F.round(x * F.pow(F.lit(10.0), up)) / F.pow(F.lit(10.0), up)
+    scaled_dn = F.round(x / F.pow(F.lit(10.0), -up)) * F.pow(F.lit(10.0), -up)
+    return F.when((x == 0) | x.isNull() | F.isnan(x), x).when(up >= 0, scaled_up).otherwise(scaled_dn)

@@ -306,7 +306,7 @@ def spearman(group_table: DataFrame, x: str, y: str, name: str = "spearman_rho")
     ranked = group_table.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
         average_rank(group_table, x, "_rx"), average_rank(group_table, y, "_ry")
     )
-    return ranked.agg(pair_corr("_rx", "_ry").alias(name))
+    return ranked.agg(F.count(F.lit(1)).alias("n_groups"), pair_corr("_rx", "_ry").alias(name))
 
 
 # ---- A31 / A32 -------------------------------------------------------------

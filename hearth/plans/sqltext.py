@@ -27,3 +27,12 @@ def bucket_case(col: str, edges: Sequence[float], labels: Sequence[str], include
 def values_table(name: str, columns: Sequence[str], rows: Sequence[Sequence]) -> str:
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
     return f"{name}({', '.join(columns)}) AS (SELECT * FROM (VALUES {body}) AS t({', '.join(columns)}))"
+
+
+def round_sig(expr: str, digits: int = 9) -> str:
+    """SQL twin of ``hearth.functions.exprs.round_sig``."""
+    x = f"({expr})"
+    up = f"({digits - 1} - floor(log10(abs({x}))))"
+    return (f"CASE WHEN {x} = 0 OR {x} IS NULL OR isnan({x}) THEN {x} "
+            f"WHEN {up} >= 0 THEN round({x} * pow(10.0, {up})) / pow(10.0, {up}) "
+            f"ELSE round({x} / pow(10.0, -{up})) * pow(10.0, -{up}) END")
