@@ -11,6 +11,8 @@ def lit(v) -> str:
         return "NULL"
     if isinstance(v, str):
         return "'" + v.replace("'", "''") + "'"
+    if isinstance(v, float):
+        return f"CAST({v!r} AS DOUBLE)"
     return repr(v)
 
 

@@ -94,3 +94,85 @@ def sales_sql(neighborhood: bool = False, part: bool = False) -> str:
             "p_brand AS bldg_type", "p_type AS house_style", "p_retailprice AS list_price", "p_size",
         ]
     return f"SELECT {', '.join(cols)} FROM {joins}"
+
+
+# ---- a raw, CamelCase house frame for the feature stage -----------------------
+# fixed values: kitchen quality code per order priority
+PRIORITY_TO_QUALITY = {"1-URGENT": "Ex", "2-HIGH": "Gd", "3-MEDIUM": "TA", "4-NOT SPECIFIED": "Fa", "5-LOW": "Po"}
+HOUSE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def house(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    od = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    pa = table(spark, sf, "part").select("p_partkey", "p_size")
+    d = li.join(od, li.l_orderkey == od.o_orderkey).join(pa, li.l_partkey == pa.p_partkey)
+    no_disc = F.col("l_discount") == 0
+    qual = F.lit(None).cast("string")
+    for k, v in PRIORITY_TO_QUALITY.items():
+        qual = F.when(F.col("o_orderpriority") == k, F.lit(v)).otherwise(qual)
+    return d.select(
+        *HOUSE_KEYS,
+        F.col("l_extendedprice").alias("SalePrice"),
+        F.year("l_shipdate").alias("YrSold"),
+        F.month("l_shipdate").alias("MoSold"),
+        F.year("o_orderdate").alias("YearBuilt"),
+        (F.year("o_orderdate") + F.col("l_linenumber") - 1).alias("YearRemodAdd"),
+        F.when(no_disc, F.lit(None)).otherwise(F.year("o_orderdate") + 1).alias("GarageYrBlt"),
+        F.ceil(F.col("p_size") / 5).cast("int").alias("OverallQual"),
+        (F.col("l_quantity") * 60).alias("GrLivArea"),
+        (F.col("l_quantity") * 20).alias("TotalBsmtSF"),
+        (F.col("l_quantity") * 40).alias("1stFlrSF"),
+        (F.col("l_quantity") * 20).alias("2ndFlrSF"),
+        F.least(F.col("l_linenumber"), F.lit(3)).alias("FullBath"),
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("HalfBath"),
+        F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("BsmtFullBath"),
+        F.when(no_disc, F.lit(None)).otherwise(F.col("l_discount") * 10000).alias("GarageArea"),
+        F.when(no_disc, F.lit(None)).otherwise(F.ceil(F.col("l_discount") * 30).cast("int")).alias("GarageCars"),
+        F.when(no_disc, F.lit(None)).otherwise(F.lit("Attchd")).alias("GarageType"),
+        F.when(no_disc, F.lit(None)).otherwise(F.lit("RFn")).alias("GarageFinish"),
+        F.when(F.col("l_tax") == 0.08, F.col("l_quantity")).otherwise(F.lit(0.0)).alias("PoolArea"),
+        (F.col("l_linenumber") - 1).alias("Fireplaces"),
+        F.when(F.col("l_linestatus") == "O", F.lit("MnPrv")).alias("Fence"),
+        (F.col("l_tax") * 1000).alias("WoodDeckSF"),
+        (F.col("l_discount") * 500).alias("OpenPorchSF"),
+        F.when(F.col("l_returnflag") == "A", F.lit(10.0)).otherwise(F.lit(0.0)).alias("ScreenPorch"),
+        F.when(F.col("o_orderstatus") == "O", F.lit("New")).otherwise(F.lit("WD")).alias("SaleType"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("Partial")).otherwise(F.lit("Normal")).alias("SaleCondition"),
+        qual.alias("KitchenQual"),
+        F.when(F.col("l_returnflag") == "N", F.lit("Typ")).when(F.col("l_returnflag") == "A", F.lit("Min1")).alias("Functional"),
+        (F.col("p_size") * 10).alias("MSSubClass"),
+        F.col("o_totalprice").alias("LotArea"),
+        F.when(F.col("l_tax") == 0, F.lit(None)).otherwise(F.col("l_quantity") * 5).alias("MasVnrArea"),
+    )
+
+
+def house_sql() -> str:
+    qual = "CASE o_orderpriority " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PRIORITY_TO_QUALITY.items()) + " END"
+    return f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  l_extendedprice AS SalePrice,
+  CAST(year(l_shipdate) AS INTEGER) AS YrSold, CAST(month(l_shipdate) AS INTEGER) AS MoSold,
+  CAST(year(o_orderdate) AS INTEGER) AS YearBuilt,
+  CAST(year(o_orderdate) AS INTEGER) + l_linenumber - 1 AS YearRemodAdd,
+  CASE WHEN l_discount = 0 THEN NULL ELSE CAST(year(o_orderdate) AS INTEGER) + 1 END AS GarageYrBlt,
+  CAST(ceil(p_size / 5) AS INTEGER) AS OverallQual,
+  l_quantity * 60 AS GrLivArea, l_quantity * 20 AS TotalBsmtSF, l_quantity * 40 AS "1stFlrSF", l_quantity * 20 AS "2ndFlrSF",
+  least(l_linenumber, 3) AS FullBath,
+  CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS HalfBath,
+  CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS BsmtFullBath,
+  CASE WHEN l_discount = 0 THEN NULL ELSE l_discount * 10000 END AS GarageArea,
+  CASE WHEN l_discount = 0 THEN NULL ELSE CAST(ceil(l_discount * 30) AS INTEGER) END AS GarageCars,
+  CASE WHEN l_discount = 0 THEN NULL ELSE 'Attchd' END AS GarageType,
+  CASE WHEN l_discount = 0 THEN NULL ELSE 'RFn' END AS GarageFinish,
+  CASE WHEN l_tax = 0.08 THEN l_quantity ELSE CAST(0 AS DOUBLE) END AS PoolArea,
+  l_linenumber - 1 AS Fireplaces,
+  CASE WHEN l_linestatus = 'O' THEN 'MnPrv' END AS Fence,
+  l_tax * 1000 AS WoodDeckSF, l_discount * 500 AS OpenPorchSF,
+  CASE WHEN l_returnflag = 'A' THEN CAST(10 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS ScreenPorch,
+  CASE WHEN o_orderstatus = 'O' THEN 'New' ELSE 'WD' END AS SaleType,
+  CASE WHEN o_orderstatus = 'P' THEN 'Partial' ELSE 'Normal' END AS SaleCondition,
+  {qual} AS KitchenQual,
+  CASE l_returnflag WHEN 'N' THEN 'Typ' WHEN 'A' THEN 'Min1' END AS Functional,
+  p_size * 10 AS MSSubClass, o_totalprice AS LotArea,
+  CASE WHEN l_tax = 0 THEN NULL ELSE l_quantity * 5 END AS MasVnrArea
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""
