@@ -102,3 +102,25 @@ def cv_summary(fold_metrics: DataFrame, by: Sequence[str] = ("model",),
     for m in metrics:
         aggs += [F.avg(m).alias(f"cv_{m}_mean"), F.stddev_samp(m).alias(f"cv_{m}_std")]
     return fold_metrics.groupBy(*by).agg(*aggs)
+
+
+def oof_group_mean(df: DataFrame, group: str, y: str, fold: str, name: str = "pred_log") -> DataFrame:
+    """Out-of-fold baseline predictor: a row in fold k is predicted by the mean
+    ``y`` of its group over the OTHER folds (all other-fold rows when the group
+    has none there).
+
+    Everything is a partial aggregation keyed by (group, fold), (group) and
+    (fold); rows meet their statistics through equi-joins (AQE broadcasts the
+    small sides at run time and splits skewed group partitions).
+    """
+    gf = df.groupBy(group, fold).agg(F.sum(y).alias("_sgf"), F.count(F.lit(1)).alias("_ngf"))
+    g = gf.groupBy(group).agg(F.sum("_sgf").alias("_sg"), F.sum("_ngf").alias("_ng"))
+    per_fold = df.groupBy(fold).agg(F.sum(y).alias("_sf"), F.count(F.lit(1)).alias("_nf"))
+    from pyspark.sql import Window
+
+    everything = Window.partitionBy()  # over the k-row fold table only
+    per_fold = per_fold.withColumn("_st", F.sum("_sf").over(everything)).withColumn("_nt", F.sum("_nf").over(everything))
+    j = df.join(gf, [group, fold]).join(g, group).join(F.broadcast(per_fold), fold)  # k rows: bounded
+    pred = F.when(F.col("_ng") - F.col("_ngf") > 0, (F.col("_sg") - F.col("_sgf")) / (F.col("_ng") - F.col("_ngf"))) \
+        .otherwise((F.col("_st") - F.col("_sf")) / (F.col("_nt") - F.col("_nf")))
+    return j.select(*df.columns, pred.alias(name))
