@@ -143,3 +143,24 @@ def round_sig(c: str | Column, digits: int = 9) -> Column:
     scaled_up = F.round(x * F.pow(F.lit(10.0), up)) / F.pow(F.lit(10.0), up)
     scaled_dn = F.round(x / F.pow(F.lit(10.0), -up)) * F.pow(F.lit(10.0), -up)
     return F.when((x == 0) | x.isNull() | F.isnan(x), x).when(up >= 0, scaled_up).otherwise(scaled_dn)
+
+
+def merge_single_rows(frames):
+    """Put several ONE-row DataFrames side by side without a join: union them
+    as tagged structs, then one global aggregation picks each struct back."""
+    from functools import reduce
+
+    packed = []
+    for i, f in enumerate(frames):
+        cols = [F.lit(None).cast(_struct_type(frames[j])).alias(f"_s{j}") if j != i
+                else F.struct(*[F.col(c) for c in f.columns]).alias(f"_s{j}") for j in range(len(frames))]
+        packed.append(f.select(*cols))
+    u = reduce(lambda a, b: a.unionByName(b), packed)
+    return u.agg(*[F.first(f"_s{j}", ignorenulls=True).alias(f"_s{j}") for j in range(len(frames))]).select(
+        *[F.col(f"_s{j}.{c}").alias(c) for j, f in enumerate(frames) for c in f.columns])
+
+
+def _struct_type(df):
+    from pyspark.sql.types import StructType
+
+    return StructType(list(df.schema.fields))

@@ -37,11 +37,21 @@ def tidy_text(df: DataFrame, tokens: Sequence[str] = ("",)) -> DataFrame:
 
 
 def fit_group_median(source: DataFrame, value: str, by: Sequence[str]) -> tuple[DataFrame, float | None]:
-    """Per-group exact medians (a DataFrame, one row per group) + the global median."""
-    keyed = source.where(~any_null(by)) if by else source
-    medians = exact_median(keyed, value, by=by, name=f"_{value}_group_median")
-    glob = exact_median(source, value, name="m").collect()  # one number
-    return medians, (glob[0]["m"] if glob else None)
+    """Per-group exact medians (a small persisted DataFrame, one row per group)
+    and the global median, from ONE quantile computation: every row is listed
+    once under its group and once under the global level."""
+    from pyspark import StorageLevel
+
+    lvl = F.explode(F.array(
+        F.struct(F.lit(0).alias("_lvl"), *[F.col(k).alias(k) for k in by]),
+        F.struct(F.lit(1).alias("_lvl"), *[F.lit(None).cast(source.schema[k].dataType).alias(k) for k in by]),
+    )).alias("_t")
+    tagged = source.where(~any_null(by)).select(F.col(value).alias("_x"), lvl).select("_x", "_t.*") \
+        if by else source.select(F.col(value).alias("_x"), F.lit(1).alias("_lvl"))
+    both = exact_median(tagged, "_x", by=["_lvl", *by], name=f"_{value}_group_median").persist(StorageLevel.MEMORY_AND_DISK)
+    glob = both.where(F.col("_lvl") == 1).collect()  # one row
+    medians = both.where(F.col("_lvl") == 0).drop("_lvl")
+    return medians, (glob[0][f"_{value}_group_median"] if glob else None)
 
 
 def apply_group_median(df: DataFrame, value: str, by: Sequence[str], medians: DataFrame,

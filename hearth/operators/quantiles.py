@@ -15,18 +15,20 @@ partial-aggregatable steps:
    interpolated the way ``percentile``/``quantile_cont`` interpolate.
 
 If a sketch bracket ever misses (it should not: the sketch bounds its rank
-error), that group alone falls back to Spark's ``percentile``; at run time AQE
-drops the fallback branch when it is empty.
+error), that group alone falls back to Spark's ``percentile``; the check runs
+on the small, persisted per-group result, so the common case adds no pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _ACCURACY = 10000
+BROADCAST_GROUPS = 100_000  # sketch rows (one per group) broadcast at most
 _MARGIN = 3.0  # bracket half-width in units of the sketch's rank error
 
 
@@ -60,13 +62,17 @@ def exact_quantiles(
     hi_p = [min(1.0, p + d) for p in probs]
     k = len(probs)
 
-    # step 1: group size + sketch brackets (one partial aggregation)
+    # step 1: group size + sketch brackets (one partial aggregation).  The
+    # sketch has one row per group; it is broadcast only behind a row-count
+    # check, otherwise joined by key (AQE splits skewed partitions).
     sketch = base.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", lo_p + hi_p, accuracy).alias("_br"),
     )
     if keys:
-        joined = base.join(sketch, keys)
+        sketch = sketch.persist(StorageLevel.MEMORY_AND_DISK)
+        small = sketch.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+        joined = base.join(F.broadcast(sketch) if small else sketch, keys)
     else:
         # a global sketch is exactly one row: broadcasting it is bounded
         joined = base.withColumn("_one", F.lit(1)).join(
@@ -83,9 +89,9 @@ def exact_quantiles(
         )
         for i in range(k)
     ])
-    exploded = joined.select(
-        *keys, "_n", F.explode(F.filter(marks, lambda m: m["keep"])).alias("_m")
-    ).select(*keys, "_n", F.col("_m.i").alias("_i"), F.col("_m.v").alias("_v"))
+    # plain explode + where (a lambda ``filter`` would leave whole-stage codegen)
+    exploded = joined.select(*keys, "_n", F.explode(marks).alias("_m")).where(F.col("_m.keep")).select(
+        *keys, "_n", F.col("_m.i").alias("_i"), F.col("_m.v").alias("_v"))
     counted = exploded.groupBy(*keys, "_n", "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
 
     # step 3: running count over the (small) bracket table
@@ -104,24 +110,25 @@ def exact_quantiles(
         F.max("_cum").alias("_reach"),
     )
     ok = (F.col("_below") <= F.floor(F.col("_pos"))) & (F.col("_reach") > F.ceil(F.col("_pos")))
+    picked = picked.withColumn("_ok", ok).persist(StorageLevel.MEMORY_AND_DISK)  # groups x probs rows
     frac = F.col("_pos") - F.floor(F.col("_pos"))
-    exact = picked.where(ok).select(
+    long = picked.where("_ok").select(
         *keys, "_i", (F.col("_lo") + frac * (F.col("_hi") - F.col("_lo"))).alias("_q")
     )
 
-    # fallback for groups whose bracket missed (normally empty)
-    missed = picked.where(~ok).select(*keys).distinct()
-    if keys:
-        fb_rows = base.join(missed, keys, "left_semi")
-    else:
-        fb_rows = base.withColumn("_one", F.lit(1)).join(
-            F.broadcast(missed.withColumn("_one", F.lit(1))), "_one", "left_semi"
-        ).drop("_one")
-    fallback = fb_rows.groupBy(*keys).agg(
-        F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("_qs")
-    ).select(*keys, F.posexplode("_qs").alias("_i", "_q"))
+    # fallback for groups whose bracket missed: never expected (the sketch
+    # bounds its rank error), checked on the small picked table
+    if picked.where(~F.col("_ok")).limit(1).count() > 0:
+        missed = picked.where(~F.col("_ok")).select(*keys).distinct()
+        if keys:
+            fb_rows = base.join(missed, keys, "left_semi")
+        else:
+            fb_rows = base
+        fallback = fb_rows.groupBy(*keys).agg(
+            F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("_qs")
+        ).select(*keys, F.posexplode("_qs").alias("_i", "_q"))
+        long = long.unionByName(fallback)
 
-    long = exact.unionByName(fallback)
     return long.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
     )
