@@ -72,7 +72,7 @@ def exact_quantiles(
     if keys:
         sketch = sketch.persist(StorageLevel.MEMORY_AND_DISK)
         small = sketch.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
-        joined = base.join(F.broadcast(sketch) if small else sketch, keys)
+        joined = _join_null_safe(base, F.broadcast(sketch) if small else sketch, keys)
     else:
         # a global sketch is exactly one row: broadcasting it is bounded
         joined = base.withColumn("_one", F.lit(1)).join(
@@ -121,7 +121,7 @@ def exact_quantiles(
     if picked.where(~F.col("_ok")).limit(1).count() > 0:
         missed = picked.where(~F.col("_ok")).select(*keys).distinct()
         if keys:
-            fb_rows = base.join(missed, keys, "left_semi")
+            fb_rows = _join_null_safe(base, missed, keys, "left_semi")
         else:
             fb_rows = base
         fallback = fb_rows.groupBy(*keys).agg(
@@ -134,6 +134,17 @@ def exact_quantiles(
     )
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on group keys where NULL matches NULL (a NULL key is a group)."""
+    r = right.select(*[F.col(k).alias(f"_rk_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_rk_{k}"])
+        cond = c if cond is None else cond & c
+    out = left.join(r, cond, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_rk_{k}" for k in keys])
+
+
 def exact_median(df: DataFrame, value: str | Column, by: Sequence[str] = (), name: str = "median") -> DataFrame:
     return exact_quantiles(df, value, [0.5], by=by, names=[name])
 
