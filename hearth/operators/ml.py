@@ -425,3 +425,21 @@ class ScoringBundle:
         else:
             x = self.model.transform(x)
         return x.select(*keep, to_price(), F.lit(self.version).alias("model_version"))
+
+
+def confidence_range(oof: DataFrame, scores: DataFrame, edges: Sequence[float], labels: Sequence[str],
+                     predicted: str = "predicted", actual: str = "actual", low: float = 0.05, high: float = 0.95) -> DataFrame:
+    """Per bucket of the predicted price, exact quantiles of the relative
+    out-of-fold error ``actual / predicted - 1``; every score gets the range of
+    its bucket (a table of at most ``len(labels)`` rows, broadcast)."""
+    from hearth.functions.exprs import right_closed_bucket
+
+    rel = oof.where(F.col(predicted) > 0).select(
+        right_closed_bucket(predicted, edges, labels, include_lowest=True).alias("_bucket"),
+        (F.col(actual) / F.col(predicted) - 1).alias("_rel"))
+    bands = exact_quantiles(rel.where(F.col("_bucket").isNotNull()), "_rel", [low, high], by=["_bucket"],
+                            names=["_lo", "_hi"])
+    s = scores.withColumn("_bucket", right_closed_bucket(predicted, edges, labels, include_lowest=True))
+    out = s.join(F.broadcast(bands), "_bucket", "left")
+    return out.withColumn("range_low", F.greatest(F.col(predicted) * (1 + F.col("_lo")), F.lit(0.0))) \
+        .withColumn("range_high", F.col(predicted) * (1 + F.col("_hi"))).drop("_bucket", "_lo", "_hi")

@@ -11,6 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from statistics import NormalDist
+
+import numpy as np
+import pandas as pd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -342,3 +346,63 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str], k: float = 1.5) -> D
         F.count_if(~inside).cast("long").alias("n_fliers"),
         F.count(F.lit(1)).cast("long").alias("n"),
     )
+
+
+# ---- A33: Q-Q points ---------------------------------------------------------
+
+def global_positions(df: DataFrame, value: str, partitions: int | None = None) -> DataFrame:
+    """``(v, pos)``: 0-based position of every non-null value in ascending order.
+
+    A distributed row index: range-partition on (value, hash tiebreak) so even
+    a value repeated across a third of the rows is split over partitions,
+    count rows per partition (tiny table), prefix-sum those counts, and add the
+    local row number inside each range partition.  The partitioned frame is
+    checkpointed so partition ids stay fixed if a task is re-run.
+    """
+    from hearth.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull()) \
+        .withColumn("_tb", F.xxhash64(F.col("v"), F.monotonically_increasing_id()))
+    d = d.repartitionByRange(n, "v", "_tb").withColumn("_pid", F.spark_partition_id())
+    ensure_checkpoint_dir(spark)
+    d = d.checkpoint()
+    counts = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))  # one row per partition
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    local = F.row_number().over(Window.partitionBy("_pid").orderBy("v", "_tb")) - 1
+    return d.withColumn("_local", local).join(F.broadcast(offsets), "_pid") \
+        .select("v", (F.col("_off") + F.col("_local")).alias("pos"))
+
+
+_INV_CDF = np.frompyfunc(NormalDist().inv_cdf, 1, 1)
+
+
+def _ppf(p: pd.Series) -> pd.Series:
+    """Standard-normal inverse CDF on an Arrow batch."""
+    return pd.Series(_INV_CDF(p.to_numpy(dtype=float)).astype(float))
+
+
+def _normal_ppf():
+    return F.pandas_udf(_ppf, "double")
+
+
+def qq_points(df: DataFrame, value: str) -> DataFrame:
+    """``(pos, theoretical, ordered)`` against the standard normal, using
+    Filliben's order-statistic medians (the probability-plot convention)."""
+    pos = global_positions(df, value)
+    total = pos.count()  # n: one number
+    i = F.col("pos") + 1
+    last = F.pow(F.lit(0.5), F.lit(1.0 / total)) if total else F.lit(0.5)
+    m = F.when(i == total, last).when(i == 1, 1 - last).otherwise((i - 0.3175) / (F.lit(total) + 0.365))
+    return pos.select("pos", _normal_ppf()(m).alias("theoretical"), F.col("v").alias("ordered"))
+
+
+def qq_fit(points: DataFrame) -> DataFrame:
+    """Least-squares line through the Q-Q points and its correlation."""
+    return points.agg(
+        (F.covar_pop("theoretical", "ordered") / F.var_pop("theoretical")).alias("slope"),
+        (F.avg("ordered") - F.covar_pop("theoretical", "ordered") / F.var_pop("theoretical") * F.avg("theoretical")).alias("intercept"),
+        pair_corr("theoretical", "ordered").alias("r"),
+    )

@@ -131,3 +131,13 @@ def error_by_quality(spark, sf):
     res = residual_frame(_scored(spark, sf, with_quality=True), "y", "pred_log", keep=["overall_qual"])
     out = summarize_errors(res, "overall_qual")
     return out.select("overall_qual", "n", *[round_sig(c).alias(c) for c in _SLICE_COLS])
+
+
+@register("confidence_range")
+def confidence_range_q(spark, sf):
+    """M19 (rows-only): every sale scored by the out-of-fold baseline with the
+    5%-95% relative-error band of its predicted-price bucket."""
+    from hearth.operators.ml import confidence_range
+
+    res = residual_frame(_scored(spark, sf), "y", "pred_log", keep=KEYS)
+    return confidence_range(res, res.select(*KEYS, "predicted"), V.SALE_PRICE_EDGES, V.SALE_PRICE_LABELS)

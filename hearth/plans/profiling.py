@@ -393,3 +393,9 @@ def box_stats(spark, sf):
     b = P.box_stats(table(spark, sf, "orders"), "o_totalprice", ["o_orderpriority"])
     return b.select("o_orderpriority", *[F.round(c, 4).alias(c) for c in ["q1", "median", "q3", "whisker_lo", "whisker_hi"]],
                     "n_fliers", "n")
+
+
+@register("qq_points")
+def qq_points(spark, sf):
+    """A33 (rows-only: needs the inverse normal CDF, which SQL lacks)."""
+    return P.qq_points(table(spark, sf, "orders"), "o_totalprice")
