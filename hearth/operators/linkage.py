@@ -125,3 +125,25 @@ def split_checks(whole: DataFrame, part_a: DataFrame, part_b: DataFrame, key: st
     long = reduce(lambda a, b: a.unionByName(b), [
         d.agg(F.count(F.lit(1)).alias("v")).select(F.lit(name).alias("k"), "v") for name, d in counted])
     return long.groupBy().agg(*[F.max(F.when(F.col("k") == name, F.col("v"))).alias(name) for name, _ in counted])
+
+
+def enrichment_validation(original: DataFrame, enriched: DataFrame, key: str, added: Sequence[str],
+                          other: DataFrame | None = None) -> DataFrame:
+    """V5: ``(check, value)`` rows - original columns unchanged cell by cell
+    (``exceptAll`` both ways on the original projection), 1:1 key mapping,
+    optional overlap with another split, NULLs left in each added column."""
+    cols = original.columns
+    proj = enriched.select(*cols)
+    checks = [
+        ("original_rows_missing", original.exceptAll(proj).agg(F.count(F.lit(1)).alias("v"))),
+        ("original_rows_changed", proj.exceptAll(original).agg(F.count(F.lit(1)).alias("v"))),
+        ("duplicate_keys", enriched.groupBy(key).count().where("count > 1").agg(F.count(F.lit(1)).alias("v"))),
+    ]
+    if other is not None:
+        checks.append(("overlap_with_other", enriched.select(key).join(other.select(key), key, "left_semi")
+                       .agg(F.count(F.lit(1)).alias("v"))))
+    nulls = enriched.agg(*[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(added)])
+    parts = [d.select(F.lit(name).alias("check"), F.col("v").cast("long").alias("value")) for name, d in checks]
+    parts += [nulls.select(F.lit(f"nulls_in_{c}").alias("check"), F.col(f"_n{i}").cast("long").alias("value"))
+              for i, c in enumerate(added)]
+    return reduce(lambda a, b: a.unionByName(b), parts)

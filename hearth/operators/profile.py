@@ -406,3 +406,37 @@ def qq_fit(points: DataFrame) -> DataFrame:
         (F.avg("ordered") - F.covar_pop("theoretical", "ordered") / F.var_pop("theoretical") * F.avg("theoretical")).alias("intercept"),
         pair_corr("theoretical", "ordered").alias("r"),
     )
+
+
+# ---- A34: the EDA digest ----------------------------------------------------------
+
+def eda_digest(df: DataFrame, target: str, absent_columns: Sequence[str], scan_columns: Sequence[str],
+               corr_features: Sequence[str], group: str, leverage: Column, min_flags: int = 3,
+               top_k: int = 5) -> dict:
+    """The summary document of the EDA step, assembled from small aggregates
+    (each entry is bounded by the number of columns or groups, never rows)."""
+    shape = shape_stats(df, [target]).collect()[0]
+    tq = exact_quantiles(df, target, [0.5], names=["median"]).collect()[0]
+    mom = df.agg(F.min(target).alias("mn"), F.max(target).alias("mx"), F.avg(target).alias("mean")).collect()[0]
+    miss = missing_report(df, absent_columns).collect()
+    bounds = fit_outlier_bounds(df, scan_columns)
+    cands = outlier_candidates(df, scan_columns, leverage, min_flags, bounds=bounds)
+    corr = target_correlation(df, target, corr_features).collect()
+    pairs = collinear_pairs(df, corr_features).collect()
+    med = group_medians(df, target, [group], name="median")
+    ranked = med.orderBy("median", group).collect()  # one row per group
+    ratio = (ranked[-1]["median"] / ranked[0]["median"]) if ranked and ranked[0]["median"] else None
+    return {
+        "target": {"min": mom["mn"], "max": mom["mx"], "mean": mom["mean"], "median": tq["median"],
+                   "skew_raw": shape["skew"], "skew_log": shape["skew_log1p"], "kurtosis_raw": shape["kurtosis"]},
+        "missing": {"n_cols_with_missing": len(miss),
+                    "n_genuine": sum(1 for r in miss if r["column"] not in set(absent_columns)),
+                    "top": [r.asDict() for r in miss[:8]]},
+        "outliers": {"n_candidates": cands.count(),
+                     "per_feature": [r.asDict() for r in outlier_summary(df, scan_columns, bounds).collect()]},
+        "top_corr": {r["feature"]: r["corr_with_target"] for r in corr[:15]},
+        "collinear_pairs": [r.asDict() for r in pairs],
+        "groups": {"top": {r[group]: r["median"] for r in ranked[-top_k:]},
+                   "bottom": {r[group]: r["median"] for r in ranked[:top_k]},
+                   "ratio_max_min": ratio},
+    }

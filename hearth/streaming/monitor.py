@@ -219,3 +219,27 @@ def stream_rolling_metrics(matched: DataFrame, ts: str, length: str = "7 days",
         F.avg("residual").alias("residual_mean"),
         F.percentile_approx("residual", 0.5, 10000).alias("residual_median_approx"),
     )
+
+
+def windowed_error_slices(matched: DataFrame, ts: str, key: str, length_days: int = 7, slide_days: int = 1) -> DataFrame:
+    """Error summary per (window, slice key) - A29 keyed by time window."""
+    m = error_columns(matched.where(F.col("actual").isNotNull()))
+    win = sliding_windows(m, ts, length_days, slide_days)
+    return win.groupBy("window_start", key).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg("actual").alias("actual_mean"),
+        F.avg("predicted").alias("predicted_mean"),
+        F.avg("residual").alias("residual_mean"),
+        F.avg("abs_error").alias("mae"),
+        F.avg("ape").alias("mape"),
+        F.avg((F.col("ape") <= 0.10).cast("double")).alias("within_10_pct"),
+        F.avg((F.col("ape") <= 0.20).cast("double")).alias("within_20_pct"),
+    )
+
+
+def stream_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
+    """Run a streaming query to completion over what is available now, into a
+    parquet table in a shared folder (never the driver-memory sink)."""
+    q = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint) \
+        .outputMode(mode).trigger(availableNow=True).start()
+    q.awaitTermination()

@@ -45,3 +45,15 @@ def test_missing_report_and_constant_correlation(spark):
     corr = {r["feature"]: r["corr_with_target"] for r in P.target_correlation(df, "a", ["c", "k"]).collect()}
     assert corr["k"] is None and corr["c"] == pytest.approx(1.0)
     assert F is not None
+
+
+def test_eda_digest_on_driver_tables(spark):
+    from hearth.plans import views as V
+
+    s = V.sales(spark, SF_SMALL, neighborhood=True)
+    lev = (F.col("gr_liv_area") > 45) & (F.col("sale_price") < 30000)
+    d = P.eda_digest(s, "sale_price", ["garage_area", "garage_type"], ["sale_price", "gr_liv_area", "lot_area"],
+                     ["gr_liv_area", "lot_area", "l_discount"], "neighborhood", lev)
+    assert d["missing"]["n_cols_with_missing"] == 3 and d["missing"]["n_genuine"] == 1
+    assert d["outliers"]["n_candidates"] > 0 and d["groups"]["ratio_max_min"] >= 1
+    assert d["target"]["min"] <= d["target"]["median"] <= d["target"]["max"]
