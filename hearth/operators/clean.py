@@ -72,13 +72,18 @@ def apply_group_median(df: DataFrame, value: str, by: Sequence[str], medians: Da
     return joined.select(*out)
 
 
+def leverage_flag(area: str, price: str, max_area: float = 4000.0, min_price: float = 300000.0) -> Column:
+    """TRUE for ``area > max_area AND price < min_price``; a NULL rule is FALSE."""
+    return F.coalesce((F.col(area) > max_area) & (F.col(price) < min_price), F.lit(False))
+
+
 def leverage_split(df: DataFrame, area: str, price: str, max_area: float = 4000.0,
                    min_price: float = 300000.0) -> tuple[DataFrame, DataFrame]:
-    """(kept, removed) for the rule ``area > max_area AND price < min_price``.
+    """(kept, removed) for the leverage rule.
 
     A row whose rule evaluates to NULL is KEPT (pandas ``~mask`` semantics).
     """
-    rule = F.coalesce((F.col(area) > max_area) & (F.col(price) < min_price), F.lit(False))
+    rule = leverage_flag(area, price, max_area, min_price)
     return df.where(~rule), df.where(rule)
 
 

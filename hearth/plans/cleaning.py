@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hearth.functions.exprs import clip_below_zero, flag, right_closed_bucket
-from hearth.operators.clean import apply_group_median, domain_rules, fit_group_median, leverage_split
+from hearth.operators.clean import apply_group_median, domain_rules, fit_group_median, leverage_flag
 from hearth.operators.dedup import duplicate_summary, keep_first
 from hearth.operators.metrics import summarize_errors  # noqa: F401  (re-exported for users)
 from hearth.operators.profile import missing_report
@@ -201,7 +201,7 @@ def group_mode(spark, sf):
 # ---------------------------------------------------------------------------
 
 _LEVERAGE_SQL = f"""
-WITH sales AS ({V.sales_sql()}),
+WITH sales AS ({V.sales_sql(orders=False)}),
 t AS (SELECT *, coalesce(gr_liv_area > {V.LEVERAGE_AREA} AND sale_price < {V.LEVERAGE_PRICE}, false) AS rule FROM sales)
 SELECT CASE WHEN rule THEN 'removed' ELSE 'kept' END AS split, count(*) AS n,
        round(sum(sale_price), 2) AS total_price, round(avg(gr_liv_area), 6) AS area_mean
@@ -211,17 +211,14 @@ FROM t GROUP BY 1
 
 @register("leverage_split", _LEVERAGE_SQL)
 def leverage_split_q(spark, sf):
-    s = V.sales(spark, sf)
-    kept, removed = leverage_split(s, "gr_liv_area", "sale_price", V.LEVERAGE_AREA, V.LEVERAGE_PRICE)
-
-    def summ(d, name):
-        return d.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.round(F.sum("sale_price"), 2).alias("total_price"),
-            F.round(F.avg("gr_liv_area"), 6).alias("area_mean"),
-        ).select(F.lit(name).alias("split"), "*")
-
-    return summ(kept, "kept").unionByName(summ(removed, "removed")).where(F.col("n") > 0)
+    """Both sides of the split summarised from ONE scan (grouped by the rule)."""
+    s = V.sales(spark, sf, orders=False)
+    rule = leverage_flag("gr_liv_area", "sale_price", V.LEVERAGE_AREA, V.LEVERAGE_PRICE)
+    return s.groupBy(F.when(rule, F.lit("removed")).otherwise(F.lit("kept")).alias("split")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(F.sum("sale_price"), 2).alias("total_price"),
+        F.round(F.avg("gr_liv_area"), 6).alias("area_mean"),
+    )
 
 
 # ---------------------------------------------------------------------------

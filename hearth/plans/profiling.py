@@ -303,7 +303,7 @@ def dom_bucket_medians(spark, sf):
 # ---- A24 distinct rates per month; A26 series ---------------------------------------------
 
 _RATE_VIOL_SQL = f"""
-WITH s AS ({V.sales_sql()}),
+WITH s AS ({V.sales_sql(orders=False)}),
 d AS (SELECT DISTINCT yr_sold, mo_sold, l_tax FROM s WHERE l_tax IS NOT NULL)
 SELECT yr_sold, mo_sold, count(*) AS n_distinct FROM d GROUP BY 1, 2 HAVING count(*) >= 2
 """
@@ -311,7 +311,7 @@ SELECT yr_sold, mo_sold, count(*) AS n_distinct FROM d GROUP BY 1, 2 HAVING coun
 
 @register("rate_violations", _RATE_VIOL_SQL)
 def rate_violations(spark, sf):
-    return P.distinct_per_group(V.sales(spark, sf), "l_tax", ["yr_sold", "mo_sold"])
+    return P.distinct_per_group(V.sales(spark, sf, orders=False), "l_tax", ["yr_sold", "mo_sold"])
 
 
 # ---- A25 Spearman over neighbourhood aggregates --------------------------------------------

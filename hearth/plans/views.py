@@ -29,8 +29,18 @@ LEVERAGE_AREA = 45.0
 LEVERAGE_PRICE = 30000.0
 
 
-def sales(spark: SparkSession, sf: str, neighborhood: bool = False, part: bool = False) -> DataFrame:
+def _line_only():
+    return ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+            F.col("l_extendedprice").alias("sale_price"), F.col("l_quantity").alias("gr_liv_area"),
+            F.year("l_shipdate").alias("yr_sold"), F.month("l_shipdate").alias("mo_sold"), "l_discount", "l_tax"]
+
+
+def sales(spark: SparkSession, sf: str, neighborhood: bool = False, part: bool = False,
+          orders: bool = True) -> DataFrame:
+    """``orders=False`` (line columns only) skips the orders join entirely."""
     li = table(spark, sf, "lineitem")
+    if not orders:
+        return li.select(*_line_only())
     od = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority")
     df = li.join(od, li.l_orderkey == od.o_orderkey)
     cols = [
@@ -67,7 +77,11 @@ def sales(spark: SparkSession, sf: str, neighborhood: bool = False, part: bool =
     return df.select(*cols)
 
 
-def sales_sql(neighborhood: bool = False, part: bool = False) -> str:
+def sales_sql(neighborhood: bool = False, part: bool = False, orders: bool = True) -> str:
+    if not orders:
+        return ("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice AS sale_price, "
+                "l_quantity AS gr_liv_area, CAST(year(l_shipdate) AS INTEGER) AS yr_sold, "
+                "CAST(month(l_shipdate) AS INTEGER) AS mo_sold, l_discount, l_tax FROM lineitem")
     cols = [
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         "l_extendedprice AS sale_price",

@@ -37,3 +37,13 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) == 6
     assert set(e.queries()) >= set(e.oracle_sql())
+
+
+def test_oracle_sql_needs_no_spark():
+    import subprocess
+    import sys as _sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([_sys.executable, "-c", "import __spark_entry__ as e; print(len(e.oracle_sql()))"],
+                         cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0 and int(out.stdout.strip()) == len(ORACLE)
