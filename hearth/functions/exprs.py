@@ -164,3 +164,11 @@ def _struct_type(df):
     from pyspark.sql.types import StructType
 
     return StructType(list(df.schema.fields))
+
+
+def broadcast_if_small(df, max_rows: int = 100_000):
+    """Broadcast hint only behind a row-count check (``limit`` stops early);
+    larger tables are left to a shuffle join, where AQE splits skew."""
+    from pyspark.sql import functions as _F
+
+    return _F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

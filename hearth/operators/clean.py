@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from hearth import constants as K
-from hearth.functions.exprs import any_null, blank_to_null
+from hearth.functions.exprs import any_null, blank_to_null, broadcast_if_small
 from hearth.operators.dedup import duplicate_summary, keep_first
 from hearth.operators.quantiles import exact_median, exact_quantiles, mode_of
 
@@ -62,7 +62,7 @@ def apply_group_median(df: DataFrame, value: str, by: Sequence[str], medians: Da
     small at run time and shuffles otherwise.
     """
     gm = f"_{value}_group_median"
-    joined = df.join(medians, list(by), "left")
+    joined = df.join(broadcast_if_small(medians), list(by), "left")
     filled = F.coalesce(F.col(value), F.col(gm), F.lit(global_median))
     if global_median is not None:
         filled = filled.cast(df.schema[value].dataType)
@@ -286,7 +286,7 @@ def transform_cleaning(model: CleaningModel, df: DataFrame, is_test: bool = Fals
         if "MortgageRate" not in out.columns:
             out = out.withColumn("MortgageRate", F.lit(None).cast("double"))
         cols = out.columns
-        out = out.join(model.month_rates, ["YrSold", "MoSold"], "left").select(
+        out = out.join(F.broadcast(model.month_rates), ["YrSold", "MoSold"], "left").select(  # <= 12 rows per year
             *[F.coalesce(F.col("MortgageRate"), F.col("_month_rate"), F.lit(model.global_rate)).alias(c)
               if c == "MortgageRate" else F.col(c) for c in cols]
         )

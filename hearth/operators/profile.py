@@ -350,30 +350,37 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str], k: float = 1.5) -> D
 
 # ---- A33: Q-Q points ---------------------------------------------------------
 
-def global_positions(df: DataFrame, value: str, partitions: int | None = None) -> DataFrame:
-    """``(v, pos)``: 0-based position of every non-null value in ascending order.
-
-    A distributed row index: range-partition on (value, hash tiebreak) so even
-    a value repeated across a third of the rows is split over partitions,
-    count rows per partition (tiny table), prefix-sum those counts, and add the
-    local row number inside each range partition.  The partitioned frame is
+def with_global_index(df: DataFrame, order: Sequence[str], name: str = "pos", partitions: int | None = None) -> DataFrame:
+    """Every row plus its 0-based position in ``order`` (ascending), computed
+    without a single-task window.
+
+    Range-partition on (order..., hash tiebreak) so even a value repeated
+    across a third of the rows is split over partitions, count rows per
+    partition (tiny table), prefix-sum those counts, and add the local row
+    number inside each range partition.  The partitioned frame is
     checkpointed so partition ids stay fixed if a task is re-run.
     """
     from hearth.session import ensure_checkpoint_dir
 
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull()) \
-        .withColumn("_tb", F.xxhash64(F.col("v"), F.monotonically_increasing_id()))
-    d = d.repartitionByRange(n, "v", "_tb").withColumn("_pid", F.spark_partition_id())
+    cols = df.columns
+    d = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in cols], F.monotonically_increasing_id()))
+    d = d.repartitionByRange(n, *order, "_tb").withColumn("_pid", F.spark_partition_id())
     ensure_checkpoint_dir(spark)
     d = d.checkpoint()
     counts = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))  # one row per partition
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    local = F.row_number().over(Window.partitionBy("_pid").orderBy("v", "_tb")) - 1
+    local = F.row_number().over(Window.partitionBy("_pid").orderBy(*order, "_tb")) - 1
     return d.withColumn("_local", local).join(F.broadcast(offsets), "_pid") \
-        .select("v", (F.col("_off") + F.col("_local")).alias("pos"))
+        .select(*cols, (F.col("_off") + F.col("_local")).alias(name))
+
+
+def global_positions(df: DataFrame, value: str, partitions: int | None = None) -> DataFrame:
+    """``(v, pos)``: position of every non-null value in ascending order."""
+    d = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
+    return with_global_index(d, ["v"], "pos", partitions)
 
 
 _INV_CDF = np.frompyfunc(NormalDist().inv_cdf, 1, 1)

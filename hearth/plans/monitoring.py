@@ -125,3 +125,30 @@ def retrain_triggers(spark, sf):
     perf = _perf(spark, sf)
     psi = _psi(spark, sf).select("day", round_sig("psi").alias("psi"))
     return M.retrain_triggers(perf, psi)
+
+
+@register("stream_actual_pairs")
+def stream_actual_pairs(spark, sf):
+    """T1/T5 as Structured Streaming (rows-only check): the events table read
+    as a stream, predictions joined to later actuals with watermarks on both
+    sides, run to completion with ``availableNow`` into a parquet table in the
+    shared checkpoint folder, then read back as a batch DataFrame."""
+    import uuid
+
+    from hearth.session import ensure_checkpoint_dir
+
+    schema = table(spark, sf, "events").schema
+    path = f"{sf.rstrip('/')}/events.parque[t]"  # a glob: the file source needs a pattern or a folder
+    ev = spark.readStream.schema(schema).parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
+    preds = M.dedupe_requests(
+        ev.where(F.col("event_type") == "view").select(F.col("event_id").alias("request_id"), "user_id", "ts",
+                                                       F.col("value").alias("predicted")),
+        "request_id", "ts", "1 day")
+    acts = ev.where(F.col("event_type") == "purchase").select(F.col("event_id").alias("actual_id"), "user_id", "ts",
+                                                              F.col("value").alias("actual"))
+    pairs = M.stream_actual_pairs(preds, acts, "user_id", "ts").select(
+        F.col("p.request_id").alias("request_id"), F.col("p.user_id").alias("user_id"),
+        F.col("p.predicted").alias("predicted"), F.col("a.actual_id").alias("actual_id"), F.col("a.actual").alias("actual"))
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/hearth-stream-{uuid.uuid4().hex}"
+    M.stream_to_table(pairs, f"{base}/out", f"{base}/state")
+    return spark.read.parquet(f"{base}/out")

@@ -126,10 +126,11 @@ def submission(df: DataFrame, pred_log: str, id_col: str | None = "Id", order: S
         return df.select(F.col(id_col).cast("int").alias("Id"), price)
     if not order:
         raise ValueError("an explicit ordering is needed to generate ids")
-    from pyspark.sql import Window
+    from hearth.operators.profile import with_global_index
 
-    # one global ordering of the submission rows (a report-sized table)
-    return df.select(F.row_number().over(Window.orderBy(*order)).cast("int").alias("Id"), price)
+    indexed = with_global_index(df.select(*order, F.col(pred_log)), list(order), "_pos")
+    return indexed.select((F.col("_pos") + 1).cast("int").alias("Id"),
+                          F.greatest(F.expm1(F.col(pred_log)), F.lit(0.0)).alias("SalePrice"))
 
 
 def artifact_manifest(spark: SparkSession, rows: Sequence[tuple[str, bool, str, str, str]]) -> DataFrame:

@@ -57,3 +57,12 @@ def test_eda_digest_on_driver_tables(spark):
     assert d["missing"]["n_cols_with_missing"] == 3 and d["missing"]["n_genuine"] == 1
     assert d["outliers"]["n_candidates"] > 0 and d["groups"]["ratio_max_min"] >= 1
     assert d["target"]["min"] <= d["target"]["median"] <= d["target"]["max"]
+
+
+def test_submission_ids_follow_explicit_order(spark):
+    from hearth.sources.io import submission
+
+    df = spark.createDataFrame([(3.0, 0.5), (1.0, 2.0), (2.0, -20.0)], "k double, p double")
+    rows = submission(df, "p", id_col=None, order=["k"]).orderBy("Id").collect()
+    assert [r["Id"] for r in rows] == [1, 2, 3]
+    assert rows[0]["SalePrice"] == pytest.approx(np.expm1(2.0)) and rows[1]["SalePrice"] == 0.0
