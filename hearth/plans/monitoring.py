@@ -146,7 +146,7 @@ def stream_actual_pairs(spark, sf):
         "request_id", "ts", "1 day")
     acts = ev.where(F.col("event_type") == "purchase").select(F.col("event_id").alias("actual_id"), "user_id", "ts",
                                                               F.col("value").alias("actual"))
-    pairs = M.stream_actual_pairs(preds, acts, "user_id", "ts").select(
+    pairs = M.stream_actual_pairs(preds, acts, "user_id", "ts", preds_have_watermark=True).select(
         F.col("p.request_id").alias("request_id"), F.col("p.user_id").alias("user_id"),
         F.col("p.predicted").alias("predicted"), F.col("a.actual_id").alias("actual_id"), F.col("a.actual").alias("actual"))
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/hearth-stream-{uuid.uuid4().hex}"

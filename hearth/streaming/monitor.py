@@ -195,10 +195,13 @@ def dedupe_requests(stream: DataFrame, key: str, ts: str, delay: str = "1 hour")
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
-def stream_actual_pairs(preds: DataFrame, actuals: DataFrame, subject: str, ts: str, delay: str = "1 day") -> DataFrame:
+def stream_actual_pairs(preds: DataFrame, actuals: DataFrame, subject: str, ts: str, delay: str = "1 day",
+                        preds_have_watermark: bool = False) -> DataFrame:
     """T5 streaming: left-outer interval join (actual within one day after the
-    prediction); watermarks on both sides bound the join state."""
-    p = preds.withWatermark(ts, delay).alias("p")
+    prediction); watermarks on both sides bound the join state.  Pass
+    ``preds_have_watermark`` when the prediction stream already declares one
+    (e.g. after ``dedupe_requests``)."""
+    p = (preds if preds_have_watermark else preds.withWatermark(ts, delay)).alias("p")
     a = actuals.withWatermark(ts, delay).alias("a")
     cond = (F.col(f"p.{subject}") == F.col(f"a.{subject}")) & (F.col(f"a.{ts}") > F.col(f"p.{ts}")) & \
         (F.col(f"a.{ts}") <= F.col(f"p.{ts}") + F.expr("INTERVAL 1 DAY"))
