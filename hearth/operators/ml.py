@@ -375,25 +375,33 @@ def to_price(pred_log: str = "prediction", name: str = "predicted_price"):
 
 @dataclass
 class ScoringBundle:
-    """What scoring needs, saved beside each other under one folder."""
+    """What scoring needs, saved side by side under one folder.
 
-    prep: PipelineModel
+    Linear models carry a column-level ``design`` and score as one SQL
+    expression; tree models carry the fitted preprocessing pipeline.
+    """
+
+    prep: PipelineModel | None
     model: object
     columns: list
     defaults: dict
     version: str
     mape: float | None = None
+    design: object | None = None
 
     def save(self, path: str) -> None:
-        self.prep.write().overwrite().save(f"{path}/prep")
+        from pyspark.sql import SparkSession
+
+        if self.prep is not None:
+            self.prep.write().overwrite().save(f"{path}/prep")
         if isinstance(self.model, LinearFit):
             meta = {"kind": self.model.kind, "alpha": self.model.alpha, "weights": self.model.weights()}
         else:
             self.model.write().overwrite().save(f"{path}/model")
             meta = {"kind": type(self.model).__name__}
-        doc = {"columns": self.columns, "defaults": self.defaults, "version": self.version, "mape": self.mape, "model": meta}
-        from pyspark.sql import SparkSession
-
+        doc = {"columns": self.columns, "defaults": self.defaults, "version": self.version, "mape": self.mape,
+               "model": meta, "design": self.design.to_json() if self.design is not None else None,
+               "has_prep": self.prep is not None}
         SparkSession.getActiveSession().createDataFrame([(json.dumps(doc),)], "doc string").coalesce(1) \
             .write.mode("overwrite").text(f"{path}/bundle")
 
@@ -402,7 +410,7 @@ class ScoringBundle:
         from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
 
         doc = json.loads(spark.read.text(f"{path}/bundle").first()[0])
-        prep = PipelineModel.load(f"{path}/prep")
+        prep = PipelineModel.load(f"{path}/prep") if doc.get("has_prep") else None
         meta = doc["model"]
         if meta["kind"] in ("linear", "ridge", "lasso"):
             w = meta["weights"]
@@ -411,19 +419,19 @@ class ScoringBundle:
             model = RandomForestRegressionModel.load(f"{path}/model")
         else:
             model = GBTRegressionModel.load(f"{path}/model")
-        return ScoringBundle(prep, model, doc["columns"], doc["defaults"], doc["version"], doc.get("mape"))
+        design = LinearDesign.from_json(doc["design"]) if doc.get("design") else None
+        return ScoringBundle(prep, model, doc["columns"], doc["defaults"], doc["version"], doc.get("mape"), design)
 
     def score(self, batch: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        """Align -> preprocess -> predict -> price scale, with version."""
-        aligned, _ = align_batch(batch, [c for c in self.columns if c not in keep], self.defaults)
-        if keep:
-            aligned = batch.select(*keep, *[F.col(c) if c in batch.columns else F.lit(self.defaults.get(c, K.ABSENT)).alias(c)
-                                            for c in self.columns if c not in keep])
-        x = self.prep.transform(aligned)
-        if isinstance(self.model, LinearFit):
-            x = linear_predict(x, {None: self.model}, None)
+        """Align -> predict -> price scale, with the model version."""
+        cols = [c for c in self.columns if c not in keep]
+        aligned = batch.select(*keep, *[F.col(c) if c in batch.columns else F.lit(self.defaults.get(c, K.ABSENT)).alias(c)
+                                        for c in cols])
+        if self.design is not None and isinstance(self.model, LinearFit):
+            x = aligned.withColumn("prediction", linear_expression(self.design, self.model))
         else:
-            x = self.model.transform(x)
+            x = self.prep.transform(aligned)
+            x = linear_predict(x, {None: self.model}, None) if isinstance(self.model, LinearFit) else self.model.transform(x)
         return x.select(*keep, to_price(), F.lit(self.version).alias("model_version"))
 
 
@@ -443,3 +451,135 @@ def confidence_range(oof: DataFrame, scores: DataFrame, edges: Sequence[float],
     out = s.join(F.broadcast(bands), "_bucket", "left")
     return out.withColumn("range_low", F.greatest(F.col(predicted) * (1 + F.col("_lo")), F.lit(0.0))) \
         .withColumn("range_high", F.col(predicted) * (1 + F.col("_hi"))).drop("_bucket", "_lo", "_hi")
+
+
+# ---- column-level linear design (no vector assembly) -------------------------------
+
+@dataclass
+class LinearDesign:
+    """Numeric columns (NULL -> fitted fill) and one-hot text columns (every
+    seen level kept, unseen -> all zeros), described by plain columns so both
+    the Gram pass and predictions avoid assembling ML vectors."""
+
+    numeric: list
+    text: list
+    fills: dict
+    levels: dict
+
+    def names(self) -> list[str]:
+        return list(self.numeric) + [f"{t}_{lv}" for t in self.text for lv in self.levels[t]]
+
+    def numeric_values(self) -> list:
+        return [F.coalesce(F.col(c).cast("double"), F.lit(float(self.fills.get(c) or 0.0))) for c in self.numeric]
+
+    def text_value(self, t: str):
+        return F.coalesce(F.col(t).cast("string"), F.lit(self.fills.get(t) or K.ABSENT))
+
+    def level_index(self, t: str):
+        m = F.create_map(*[x for i, lv in enumerate(self.levels[t]) for x in (F.lit(lv), F.lit(i))])
+        return F.coalesce(F.element_at(m, self.text_value(t)), F.lit(-1))
+
+    def to_json(self) -> str:
+        return json.dumps({"numeric": self.numeric, "text": self.text, "fills": self.fills, "levels": self.levels})
+
+    @staticmethod
+    def from_json(doc: str) -> "LinearDesign":
+        d = json.loads(doc)
+        return LinearDesign(d["numeric"], d["text"], d["fills"], d["levels"])
+
+
+def fit_linear_design(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> LinearDesign:
+    fills = fit_fill_values(df, numeric, text)
+    levels: dict = {t: [] for t in text}
+    if text:
+        pairs = df.select(F.explode(F.array(*[
+            F.struct(F.lit(t).alias("c"), F.coalesce(F.col(t).cast("string"), F.lit(fills[t])).alias("v")) for t in text
+        ])).alias("_p")).select("_p.*").distinct().collect()  # bounded by the one-hot width
+        for r in pairs:
+            levels[r["c"]].append(r["v"])
+        levels = {t: sorted(v) for t, v in levels.items()}
+    return LinearDesign(list(numeric), list(text), fills, levels)
+
+
+def design_gram_by_fold(df: DataFrame, design: LinearDesign, label: str, fold: str | None) -> dict:
+    """``{fold: Z'Z}`` with ``Z = [1, numeric, one-hot, y]`` from ONE pass."""
+    pn = len(design.numeric)
+    widths = [len(design.levels[t]) for t in design.text]
+    d = 1 + pn + sum(widths) + 1
+    cols = [F.col(fold).cast("int").alias("f") if fold else F.lit(0).alias("f"),
+            F.array(*design.numeric_values()).alias("xn") if pn else F.array().cast("array<double>").alias("xn"),
+            *[design.level_index(t).alias(f"i{j}") for j, t in enumerate(design.text)],
+            F.col(label).cast("double").alias("y")]
+
+    def partial(batches):
+        acc: dict[int, np.ndarray] = {}
+        for b in batches:
+            n = len(b)
+            if n == 0:
+                continue
+            blocks = [np.ones((n, 1))]
+            if pn:
+                blocks.append(np.vstack(b["xn"].to_numpy()).astype(float))
+            for j, w in enumerate(widths):
+                oh = np.zeros((n, w))
+                idx = b[f"i{j}"].to_numpy()
+                ok = idx >= 0
+                oh[np.nonzero(ok)[0], idx[ok]] = 1.0
+                blocks.append(oh)
+            blocks.append(b["y"].to_numpy(dtype=float)[:, None])
+            z = np.hstack(blocks)
+            fv = b["f"].to_numpy()
+            for f_val in np.unique(fv):
+                m = fv == f_val
+                acc[int(f_val)] = acc.get(int(f_val), 0) + z[m].T @ z[m]
+        iu = np.triu_indices(d)
+        for f_val, zz in acc.items():
+            yield pd.DataFrame({"f": f_val, "i": iu[0].astype("int32"), "j": iu[1].astype("int32"), "v": zz[iu]})
+
+    rows = df.select(*cols).mapInPandas(partial, "f int, i int, j int, v double") \
+        .groupBy("f", "i", "j").agg(F.sum("v").alias("v")).collect()  # k * d^2 / 2 numbers
+    out: dict[int, np.ndarray] = {}
+    for r in rows:
+        m = out.setdefault(r["f"], np.zeros((d, d)))
+        m[r["i"], r["j"]] = m[r["j"], r["i"]] = r["v"]
+    return out
+
+
+def linear_expression(design: LinearDesign, fit: LinearFit):
+    """The fitted model as one SQL expression over the original columns
+    (codegen-friendly: numeric terms plus one literal-map lookup per text column)."""
+    w = np.asarray(fit.coef, dtype=float)
+    expr = F.lit(float(fit.intercept))
+    for j, v in enumerate(design.numeric_values()):
+        if w[j] != 0.0:
+            expr = expr + F.lit(float(w[j])) * v
+    off = len(design.numeric)
+    for t in design.text:
+        lv = design.levels[t]
+        pairs = [x for i, level in enumerate(lv) if w[off + i] != 0.0 for x in (F.lit(level), F.lit(float(w[off + i])))]
+        off += len(lv)
+        if pairs:
+            expr = expr + F.coalesce(F.element_at(F.create_map(*pairs), design.text_value(t)), F.lit(0.0))
+    return expr
+
+
+def linear_oof(df: DataFrame, design: LinearDesign, spec: ModelSpec, label: str = "label", fold: str = "fold",
+               name: str = "prediction") -> tuple[DataFrame, dict]:
+    """Out-of-fold predictions for OLS/ridge/lasso: one Gram pass, alpha and
+    per-fold fits solved on the driver, predictions as a per-fold CASE."""
+    grams = design_gram_by_fold(df, design, label, fold)
+    alpha = select_alpha(grams, spec.kind, spec.alphas, spec.scale_numeric)[0] if spec.alphas else 0.0
+    total = sum(grams.values())
+    fits = {f: solve_linear(total - zz, spec.kind, alpha, spec.scale_numeric) for f, zz in grams.items()}
+    pred = None
+    for f, fit in fits.items():
+        e = linear_expression(design, fit)
+        pred = F.when(F.col(fold) == f, e) if pred is None else pred.when(F.col(fold) == f, e)
+    return df.withColumn(name, pred), {"alpha": alpha, "fits": fits, "grams": grams}
+
+
+def gram_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
+    """``[1 x]'[1 x]`` over numeric columns (NULLs must be filled first), one pass."""
+    design = LinearDesign(list(cols), [], {c: 0.0 for c in cols}, {})
+    zz = design_gram_by_fold(df.withColumn("_y0", F.lit(0.0)), design, "_y0", None)
+    return zz.get(0, np.zeros((len(cols) + 2, len(cols) + 2)))[:-1, :-1]

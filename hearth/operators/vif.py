@@ -23,18 +23,17 @@ SCHEMA = "feature string, vif double, r_squared double, n_features_used int, not
 
 
 def covariance_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
-    p = len(cols)
-    exprs = []
-    for i in range(p):
-        for j in range(i, p):
-            exprs.append(F.covar_pop(F.col(cols[i]), F.col(cols[j])).alias(f"c{i}_{j}"))
-    row = df.agg(*exprs).collect()[0]  # p(p+1)/2 numbers
-    m = np.zeros((p, p))
-    for i in range(p):
-        for j in range(i, p):
-            v = row[f"c{i}_{j}"]
-            m[i, j] = m[j, i] = 0.0 if v is None else v
-    return m
+    """Population covariance from one Gram pass (numpy per Arrow batch inside
+    the tasks, Spark sums the (p+1)^2 partial matrices).  Rows with a NULL are
+    expected to be filled beforehand."""
+    from hearth.operators.ml import gram_matrix
+
+    zz = gram_matrix(df, cols)
+    n = zz[0, 0]
+    if n == 0:
+        return np.zeros((len(cols), len(cols)))
+    mu = zz[0, 1:] / n
+    return zz[1:, 1:] / n - np.outer(mu, mu)
 
 
 def correlation_from_cov(cov: np.ndarray) -> np.ndarray:

@@ -82,3 +82,26 @@ def test_param_sampling_is_seeded_and_distinct():
     s1, s2 = sample_param_maps(grid, 4), sample_param_maps(grid, 4)
     assert s1 == s2 and len({tuple(sorted(d.items())) for d in s1}) == 4
     assert len(sample_param_maps(grid, 50)) == 6
+
+
+def test_column_design_matches_vector_pipeline(spark):
+    from hearth.operators.ml import fit_linear_design, linear_oof
+
+    rnd = np.random.default_rng(5)
+    rows = []
+    for i in range(400):
+        t = ["a", "b", "c", None][i % 4]
+        x1 = None if i % 17 == 0 else float(rnd.normal())
+        y = 2.0 + (x1 or 0.0) * 1.5 + {"a": 0.5, "b": -0.5, "c": 0.0, None: 0.2}[t] + float(rnd.normal(scale=0.1))
+        rows.append((i, i % 5, x1, float(rnd.normal()), t, y))
+    df = spark.createDataFrame(rows, "id int, fold int, x1 double, x2 double, t string, label double")
+    spec = ModelSpec("r", "ridge", scale_numeric=True, alphas=(0.1, 1.0, 10.0))
+    design = fit_linear_design(df, ["x1", "x2"], ["t"])
+    a, ia = linear_oof(df, design, spec)
+    fills = fit_fill_values(df, ["x1", "x2"], ["t"])
+    assembled = preprocessing_pipeline(["x1", "x2"], ["t"], fills).fit(df).transform(df)
+    b, ib = oof_predictions(assembled, spec)
+    pa = {r["id"]: r["prediction"] for r in a.select("id", "prediction").collect()}
+    pb = {r["id"]: r["prediction"] for r in b.select("id", "prediction").collect()}
+    assert ia["alpha"] == ib["alpha"]
+    assert all(abs(pa[k] - pb[k]) < 1e-9 for k in pa)
