@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from hearth import constants as K
-from hearth.functions.exprs import any_null, blank_to_null, broadcast_if_small
+from hearth.functions.exprs import any_null, blank_to_null, broadcast_if_small, merge_single_rows
 from hearth.operators.dedup import duplicate_summary, keep_first
 from hearth.operators.quantiles import exact_median, exact_quantiles, mode_of
 
@@ -176,8 +176,7 @@ def enrichment_checks(df: DataFrame) -> DataFrame:
             .groupBy("YrSold", "MoSold").count().where(F.col("count") > 1)
             .agg(F.count(F.lit(1)).cast("long").alias("MortgageRateMonthPairsWithMultipleRates"))
         )
-        # both sides are single-row aggregates
-        base = base.withColumn("_one", F.lit(1)).join(F.broadcast(multi.withColumn("_one", F.lit(1))), "_one").drop("_one")
+        base = merge_single_rows([base, multi]) if aggs else multi  # both are single-row aggregates
     return base
 
 

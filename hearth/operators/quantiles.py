@@ -27,8 +27,11 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hearth.functions.exprs import broadcast_if_small
+
 _ACCURACY = 10000
-BROADCAST_GROUPS = 100_000  # sketch rows (one per group) broadcast at most
+BROADCAST_GROUPS = 100_000  # per-group rows broadcast at most
+MAX_DISTINCT = 1_000_000  # distinct values a group may have to be solved from its count table
 _MARGIN = 3.0  # bracket half-width in units of the sketch's rank error
 
 
@@ -43,11 +46,18 @@ def exact_quantiles(
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
     accuracy: int = _ACCURACY,
+    max_distinct: int = MAX_DISTINCT,
 ) -> DataFrame:
     """Per group of ``by``: exact linear-interpolated quantiles of ``value``.
 
     Returns one row per group with a non-null value; columns ``by + names``.
     NULL values are ignored (like ``percentile``).
+
+    Count-first: ``groupBy(g, v).count()`` (map-side combined, spread by
+    value) is built once; a group with at most ``max_distinct`` distinct values
+    is solved exactly from its count table by a running sum (bounded task
+    size).  Only groups with more distinct values take the sketch-bracket path
+    over their rows.
     """
     probs = [float(p) for p in probs]
     if not probs or any(p < 0 or p > 1 for p in probs):
@@ -57,10 +67,42 @@ def exact_quantiles(
     vcol = F.col(value) if isinstance(value, str) else value
     base = df.select(*keys, vcol.cast("double").alias("_v")).where(F.col("_v").isNotNull())
 
+    counted = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).persist(StorageLevel.MEMORY_AND_DISK)
+    stats = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"), F.sum("_c").alias("_n")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)  # one row per group
+    has_big = stats.where(F.col("_d") > max_distinct).limit(1).count() > 0
+    small = stats.where(F.col("_d") <= max_distinct).select(*keys, "_n")
+    if keys:
+        grouped = _join_null_safe(counted, broadcast_if_small(small, BROADCAST_GROUPS), keys)
+    else:
+        grouped = counted.withColumn("_one", F.lit(1)).join(
+            F.broadcast(small.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = grouped.withColumn("_cum", F.sum("_c").over(w))
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = F.lit(p) * (F.col("_n") - 1)
+        aggs += [F.min(F.when(F.col("_cum") > F.floor(pos), F.col("_v"))).alias(f"_lo{i}"),
+                 F.min(F.when(F.col("_cum") > F.ceil(pos), F.col("_v"))).alias(f"_hi{i}"),
+                 F.first(pos - F.floor(pos)).alias(f"_fr{i}")]
+    picked = cum.groupBy(*keys).agg(*aggs)
+    result = picked.select(*keys, *[
+        (F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(n)
+        for i, n in enumerate(names)])
+    if not has_big:
+        return result
+    big = stats.where(F.col("_d") > max_distinct).select(*keys)
+    big_rows = _join_null_safe(base, big, keys, "left_semi") if keys else base
+    return result.unionByName(_sketch_quantiles(big_rows, keys, probs, names, accuracy))
+
+
+def _sketch_quantiles(base: DataFrame, keys: list, probs: list, names: list, accuracy: int) -> DataFrame:
+    """Sketch-bracket path for high-cardinality groups (``base`` = keys + ``_v``)."""
+
     d = _MARGIN / accuracy
+    k = len(probs)
     lo_p = [max(0.0, p - d) for p in probs]
     hi_p = [min(1.0, p + d) for p in probs]
-    k = len(probs)
 
     # step 1: group size + sketch brackets (one partial aggregation).  The
     # sketch has one row per group; it is broadcast only behind a row-count

@@ -227,3 +227,62 @@ def monthly_rate_join(spark, sf):
         F.round(F.max("rate_filled"), 4).alias("rate_filled"),
         F.count_if(F.col("rate").isNull()).cast("long").alias("n_filled"),
     )
+
+
+# ---- V3 enrichment counters and V5 validation of an enriched table ------------------
+
+def _enriched_raw_house(spark, sf):
+    from hearth.operators.clean import augmented_columns
+
+    h, _ = augmented_columns(V.house(spark, sf))
+    series = monthly_series(table(spark, sf, "orders"), "o_orderdate", "o_totalprice", "MortgageRate")
+    return attach_monthly(h, series, "YrSold", "MoSold", "MortgageRate")
+
+
+_CHECKS_SQL = f"""
+WITH {_H},
+m AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS mth,
+             avg(o_totalprice) AS rate FROM orders GROUP BY 1, 2),
+e AS (SELECT h.*, YrSold - YearBuilt AS AgeAtSale, YrSold - YearRemodAdd AS YearsSinceRemodel, m.rate AS MortgageRate
+      FROM h LEFT JOIN m ON h.YrSold = m.y AND h.MoSold = m.mth),
+multi AS (SELECT count(*) AS n FROM (SELECT YrSold, MoSold FROM e WHERE MortgageRate IS NOT NULL
+          GROUP BY 1, 2 HAVING count(DISTINCT MortgageRate) > 1))
+SELECT CAST(sum(CASE WHEN AgeAtSale IS NOT DISTINCT FROM YrSold - YearBuilt THEN 0 ELSE 1 END) AS BIGINT) AS AgeAtSaleMismatch,
+       CAST(sum(CASE WHEN AgeAtSale < 0 THEN 1 ELSE 0 END) AS BIGINT) AS NegativeAgeAtSale,
+       CAST(sum(CASE WHEN YearsSinceRemodel IS NOT DISTINCT FROM YrSold - YearRemodAdd THEN 0 ELSE 1 END) AS BIGINT) AS YearsSinceRemodelMismatch,
+       CAST(sum(CASE WHEN YearsSinceRemodel < 0 THEN 1 ELSE 0 END) AS BIGINT) AS NegativeYearsSinceRemodel,
+       (SELECT n FROM multi) AS MortgageRateMonthPairsWithMultipleRates
+FROM e
+"""
+
+
+@register("enrichment_checks", _CHECKS_SQL)
+def enrichment_checks_q(spark, sf):
+    from hearth.operators.clean import enrichment_checks
+
+    return enrichment_checks(_enriched_raw_house(spark, sf))
+
+
+_V5_SQL = """
+WITH m AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS mth,
+                  avg(o_totalprice) AS rate FROM orders GROUP BY 1, 2),
+o AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders),
+en AS (SELECT o.*, m.rate FROM o LEFT JOIN m ON CAST(year(o.o_orderdate) AS INTEGER) = m.y
+       AND CAST(month(o.o_orderdate) AS INTEGER) = m.mth),
+p AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM en)
+SELECT 'original_rows_missing' AS "check", (SELECT count(*) FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM p)) AS value
+UNION ALL SELECT 'original_rows_changed', (SELECT count(*) FROM (SELECT * FROM p EXCEPT ALL SELECT * FROM o))
+UNION ALL SELECT 'duplicate_keys', (SELECT count(*) FROM (SELECT o_orderkey FROM en GROUP BY 1 HAVING count(*) > 1))
+UNION ALL SELECT 'nulls_in_rate', (SELECT count(*) - count(rate) FROM en)
+"""
+
+
+@register("enrichment_validation", _V5_SQL)
+def enrichment_validation_q(spark, sf):
+    from hearth.operators.linkage import enrichment_validation
+
+    o = table(spark, sf, "orders")
+    series = monthly_series(o, "o_orderdate", "o_totalprice", "rate")
+    en = attach_monthly(o.withColumn("_y", F.year("o_orderdate")).withColumn("_m", F.month("o_orderdate")),
+                        series, "_y", "_m", "rate").drop("_y", "_m")
+    return enrichment_validation(o, en, "o_orderkey", ["rate"])

@@ -152,3 +152,37 @@ def stream_actual_pairs(spark, sf):
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/hearth-stream-{uuid.uuid4().hex}"
     M.stream_to_table(pairs, f"{base}/out", f"{base}/state")
     return spark.read.parquet(f"{base}/out")
+
+
+# fixed values: predicted-value slices for the windowed error table
+PRED_EDGES = [0, 50, 100, 200, float("inf")]
+PRED_LABELS = ["<=50", "50-100", "100-200", "200+"]
+
+_SLICE_COLS = ["actual_mean", "predicted_mean", "residual_mean", "mae", "mape", "within_10_pct", "within_20_pct"]
+
+
+def _t6_sql() -> str:
+    from hearth.plans.sqltext import bucket_case
+
+    return f"""WITH {_MATCH_SQL},
+e AS (SELECT *, actual - predicted AS residual, abs(actual - predicted) AS abs_error,
+             abs(actual - predicted) / greatest(actual, 1) AS ape,
+             {bucket_case('predicted', PRED_EDGES, PRED_LABELS, include_lowest=True)} AS pred_slice
+      FROM mt WHERE actual IS NOT NULL),
+w AS (SELECT e.*, strftime(CAST(ts AS DATE) - CAST(k AS INTEGER), '%Y-%m-%d') AS window_start FROM e CROSS JOIN range(0, 7) AS t(k))
+SELECT window_start, pred_slice, count(*) AS n, {sql_sig('avg(actual)')} AS actual_mean, {sql_sig('avg(predicted)')} AS predicted_mean,
+  {sql_sig('avg(residual)')} AS residual_mean, {sql_sig('avg(abs_error)')} AS mae, {sql_sig('avg(ape)')} AS mape,
+  {sql_sig('avg(CASE WHEN ape <= 0.10 THEN 1.0 ELSE 0.0 END)')} AS within_10_pct,
+  {sql_sig('avg(CASE WHEN ape <= 0.20 THEN 1.0 ELSE 0.0 END)')} AS within_20_pct
+FROM w GROUP BY 1, 2"""
+
+
+@register("windowed_error_slices", _t6_sql())
+def windowed_error_slices(spark, sf):
+    """Error slices per 7-day window and predicted-value slice."""
+    from hearth.functions.exprs import right_closed_bucket
+
+    m = _matched(spark, sf).withColumn(
+        "pred_slice", right_closed_bucket("predicted", PRED_EDGES, PRED_LABELS, include_lowest=True))
+    out = M.windowed_error_slices(m, "ts", "pred_slice", 7, 1)
+    return out.select("window_start", "pred_slice", "n", *[round_sig(c).alias(c) for c in _SLICE_COLS])

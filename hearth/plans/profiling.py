@@ -399,3 +399,12 @@ def box_stats(spark, sf):
 def qq_points(spark, sf):
     """A33 (rows-only: needs the inverse normal CDF, which SQL lacks)."""
     return P.qq_points(table(spark, sf, "orders"), "o_totalprice")
+
+
+_VC_SQL = "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1"
+
+
+@register("value_counts", _VC_SQL)
+def value_counts(spark, sf):
+    """A15."""
+    return table(spark, sf, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))

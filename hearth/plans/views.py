@@ -116,11 +116,20 @@ PRIORITY_TO_QUALITY = {"1-URGENT": "Ex", "2-HIGH": "Gd", "3-MEDIUM": "TA", "4-NO
 HOUSE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
-def house(spark: SparkSession, sf: str) -> DataFrame:
+def house(spark: SparkSession, sf: str, place: bool = False) -> DataFrame:
+    """``place=True`` extends the same join chain to customer and nation and
+    adds ``Neighborhood`` and the customer balance (the distance proxy)."""
     li = table(spark, sf, "lineitem")
-    od = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    od = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus",
+                                           "o_orderpriority")
     pa = table(spark, sf, "part").select("p_partkey", "p_size")
     d = li.join(od, li.l_orderkey == od.o_orderkey).join(pa, li.l_partkey == pa.p_partkey)
+    extra = []
+    if place:
+        cu = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+        na = F.broadcast(table(spark, sf, "nation").select("n_nationkey", "n_name"))  # 25 rows, fixed
+        d = d.join(cu, F.col("o_custkey") == cu.c_custkey).join(na, F.col("c_nationkey") == na.n_nationkey)
+        extra = [F.col("n_name").alias("Neighborhood"), F.col("c_acctbal").alias("_acctbal")]
     no_disc = F.col("l_discount") == 0
     qual = F.lit(None).cast("string")
     for k, v in PRIORITY_TO_QUALITY.items():
@@ -158,6 +167,7 @@ def house(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("p_size") * 10).alias("MSSubClass"),
         F.col("o_totalprice").alias("LotArea"),
         F.when(F.col("l_tax") == 0, F.lit(None)).otherwise(F.col("l_quantity") * 5).alias("MasVnrArea"),
+        *extra,
     )
 
 

@@ -10,14 +10,15 @@ def _frame(spark, rows):
     return spark.createDataFrame(rows, "g string, v double")
 
 
-def test_exact_quantiles_match_percentile_on_skewed_groups(spark):
+@pytest.mark.parametrize("max_distinct", [1_000_000, 10])
+def test_exact_quantiles_match_percentile_on_skewed_groups(spark, max_distinct):
     rnd = random.Random(7)
     rows = [("hot", float(rnd.randint(0, 500))) for _ in range(6000)]
     rows += [("cold", float(rnd.random())) for _ in range(37)]
     rows += [("one", 4.0), ("pair", 1.0), ("pair", 2.0), ("nulls", None), ("nulls", 3.0), (None, 5.0), (None, 8.0)]
     df = _frame(spark, rows)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = {r["g"]: r for r in exact_quantiles(df, "v", probs, by=["g"], accuracy=100).collect()}
+    got = {r["g"]: r for r in exact_quantiles(df, "v", probs, by=["g"], accuracy=100, max_distinct=max_distinct).collect()}
     want = {
         r["g"]: r["qs"]
         for r in df.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("qs")).collect()
