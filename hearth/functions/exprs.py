@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from hearth.constants import ABSENT, NULL_TOKENS
 
 
-def col_or_lit(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def col_or_lit(c) -> Column:
+    """Column name -> column; Column -> itself; plain value -> literal."""
+    if isinstance(c, str):
+        return F.col(c)
+    return c if isinstance(c, Column) else F.lit(c)
 
 
 def strip_whitespace(c: str | Column) -> Column:

@@ -25,6 +25,8 @@ from hearth.operators.dedup import duplicate_summary, keep_first
 from hearth.operators.quantiles import exact_median, exact_quantiles, mode_of
 
 
+REPORT_ID_LIMIT = 10_000  # ids listed inline in the JSON report at most
+
 # ---- building blocks ------------------------------------------------------
 
 def tidy_text(df: DataFrame, tokens: Sequence[str] = ("",)) -> DataFrame:
@@ -343,6 +345,12 @@ def cleaning_report(raw_train: DataFrame, raw_test: DataFrame, result: CleaningR
     def dups(d: DataFrame) -> int:
         return int(duplicate_summary(d, [key]).collect()[0]["n_duplicates"] or 0)
 
+    n_removed = result.removed.count()
+    # the ids go into the document only while they are report-sized; the full
+    # list always stays available as the ``removed`` table of the result
+    ids: list | str = (sorted(int(r[key]) for r in result.removed.select(key).collect())
+                       if key in result.removed.columns and n_removed <= REPORT_ID_LIMIT
+                       else f"{n_removed} ids: see the removed-rows table")
     checks_tr = enrichment_checks(result.train).collect()
     checks_te = enrichment_checks(result.test).collect()
     return {
@@ -362,8 +370,8 @@ def cleaning_report(raw_train: DataFrame, raw_test: DataFrame, result: CleaningR
         "duplicate_ids_before": {"train": dups(raw_train), "test": dups(raw_test)},
         "removed_training_outliers": {
             "rule": K.LEVERAGE_RULE_TEXT,
-            "count": result.removed.count(),
-            "ids": sorted(int(r[key]) for r in result.removed.select(key).collect()) if key in result.removed.columns else [],
+            "count": n_removed,
+            "ids": ids,
         },
         "imputations": {**result.model.mode_fills, **result.model.numeric_fills},
     }

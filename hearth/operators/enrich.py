@@ -69,10 +69,11 @@ def dom_score(quality: str | Column, area: str | Column) -> Column:
 
 
 def distance_to_center(base: str | Column, offset: str | Column | None = None) -> Column:
-    """``max(0.1, base + offset)`` rounded to 2 dp (offset defaults to 0)."""
+    """``max(0.1, base + offset)`` rounded to 2 dp (offset defaults to 0); an
+    unmapped area (NULL base) stays NULL (``greatest`` alone would give 0.1)."""
     b = col_or_lit(base)
     x = b if offset is None else b + col_or_lit(offset)
-    return F.round(F.greatest(x, F.lit(K.DISTANCE_FLOOR)), 2)
+    return F.when(x.isNotNull(), F.round(F.greatest(x, F.lit(K.DISTANCE_FLOOR)), 2))
 
 
 def sale_year_month(date_col: str | Column) -> list[Column]:
@@ -91,19 +92,24 @@ def derive_ages(df: DataFrame, sold: str = "yr_sold", built: str = "year_built",
     return out
 
 
-def enrich_sales(sales: DataFrame, weekly_rates: DataFrame, week_col: str, rate_col: str,
-                 neighborhood: str = "Neighborhood", quality: str = "OverallQual",
-                 area: str = "GrLivArea", sold_year: str = "YrSold", sold_month: str = "MoSold",
-                 distances: Mapping[str, float] = K.NEIGHBORHOOD_BASE_DISTANCE) -> DataFrame:
-    """The dataset-construction job: ages, monthly mortgage rate, deterministic
-    DOM and base distance, all as projections plus one broadcast join."""
-    series = monthly_series(weekly_rates, week_col, rate_col, "MortgageRate")
+def enrich_sales(sales: DataFrame, weekly_rates: DataFrame, week_col: str = "Week", rate_col: str = "rate",
+                 neighborhood: str = "Neighborhood", quality: str = "Overall Qual", area: str = "Gr Liv Area",
+                 sold_year: str = "Yr Sold", sold_month: str = "Mo Sold", built: str = "Year Built",
+                 remod: str = "Year Remod/Add", distances: Mapping[str, float] = K.NEIGHBORHOOD_BASE_DISTANCE,
+                 distance_offset: str | Column | None = None) -> DataFrame:
+    """The dataset-construction job on the base table (spaced names): ages
+    (negatives kept), monthly mortgage rate (NULL when the month has no
+    week), deterministic days on market and distance to the centre.  All
+    projections plus one broadcast join of the monthly series."""
+    series = monthly_series(weekly_rates, week_col, rate_col, "Mortgage Rate")
     out = sales
-    if {"Yr Sold", "Year Built"} <= set(sales.columns):
-        out = out.withColumn("Age At Sale", F.col("Yr Sold") - F.col("Year Built"))
-    out = attach_monthly(out, series, sold_year, sold_month, "MortgageRate")
-    out = out.withColumn("DaysOnMarket", dom_score(quality, area).cast("int"))
-    return out.withColumn("DistanceToCenter", distance_to_center(lookup(neighborhood, distances)))
+    if {sold_year, built} <= set(sales.columns):
+        out = out.withColumn("Age At Sale", F.col(sold_year) - F.col(built))
+    if {sold_year, remod} <= set(sales.columns):
+        out = out.withColumn("Years Since Remodel", F.col(sold_year) - F.col(remod))
+    out = attach_monthly(out, series, sold_year, sold_month, "Mortgage Rate")
+    out = out.withColumn("Days on Market", dom_score(quality, area).cast("int"))
+    return out.withColumn("Distance to Center", distance_to_center(lookup(neighborhood, distances), distance_offset))
 
 
 def multi_value_months(df: DataFrame, value: str, year: str, month: str) -> DataFrame:

@@ -431,8 +431,9 @@ def eda_digest(df: DataFrame, target: str, absent_columns: Sequence[str], scan_c
     corr = target_correlation(df, target, corr_features).collect()
     pairs = collinear_pairs(df, corr_features).collect()
     med = group_medians(df, target, [group], name="median")
-    ranked = med.orderBy("median", group).collect()  # one row per group
-    ratio = (ranked[-1]["median"] / ranked[0]["median"]) if ranked and ranked[0]["median"] else None
+    tb = top_bottom_groups(med, "median", group, top_k).collect()  # 2k rows
+    ext = med.agg(F.max("median").alias("hi"), F.min("median").alias("lo")).collect()[0]
+    ratio = ext["hi"] / ext["lo"] if ext["lo"] else None
     return {
         "target": {"min": mom["mn"], "max": mom["mx"], "mean": mom["mean"], "median": tq["median"],
                    "skew_raw": shape["skew"], "skew_log": shape["skew_log1p"], "kurtosis_raw": shape["kurtosis"]},
@@ -443,7 +444,7 @@ def eda_digest(df: DataFrame, target: str, absent_columns: Sequence[str], scan_c
                      "per_feature": [r.asDict() for r in outlier_summary(df, scan_columns, bounds).collect()]},
         "top_corr": {r["feature"]: r["corr_with_target"] for r in corr[:15]},
         "collinear_pairs": [r.asDict() for r in pairs],
-        "groups": {"top": {r[group]: r["median"] for r in ranked[-top_k:]},
-                   "bottom": {r[group]: r["median"] for r in ranked[:top_k]},
+        "groups": {"top": {r[group]: r["median"] for r in tb if r["side"] == "top"},
+                   "bottom": {r[group]: r["median"] for r in tb if r["side"] == "bottom"},
                    "ratio_max_min": ratio},
     }

@@ -339,3 +339,38 @@ SELECT * FROM y
 @register("domain_rules", _RULES_SQL)
 def domain_rules_q(spark, sf):
     return domain_rules(_raw_house(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# the whole cleaning job on the house frame (rows-only: every step above has
+# its own oracle-checked query)
+# ---------------------------------------------------------------------------
+
+def _house_split(spark, sf):
+    from hearth.operators.metrics import fold_of
+
+    h = V.house(spark, sf, place=True).drop("_acctbal")
+    h = h.withColumn("Id", F.concat_ws("-", *[F.col(k).cast("string") for k in V.HOUSE_KEYS]))
+    f = fold_of(*V.HOUSE_KEYS)
+    return h.where(f != 0), h.where(f == 0).drop("SalePrice")
+
+
+@register("clean_house")
+def clean_house(spark, sf):
+    """Tidy -> dedupe -> fit (frontage medians over train+test, modes,
+    medians, month rates) -> transform -> leverage split; the cleaned train."""
+    from hearth.operators.clean import clean
+
+    train, test = _house_split(spark, sf)
+    return clean(train, test, key="Id").train
+
+
+@register("cleaning_report_rows")
+def cleaning_report_rows(spark, sf):
+    """The cleaning audit report flattened to (section, metric, value)."""
+    from hearth.operators.clean import clean, cleaning_report
+    from hearth.sources.io import report_to_long
+
+    train, test = _house_split(spark, sf)
+    res = clean(train, test, key="Id")
+    return report_to_long(spark, cleaning_report(train, test, res, key="Id"))

@@ -171,7 +171,8 @@ def _customers(spark, sf):
 _DIST_SQL = f"""
 WITH {_DIST_VALUES}
 SELECT c_custkey, n_name AS neighborhood, d.base_distance,
-  round(greatest(d.base_distance + (c_acctbal / 10000 - 0.5), 0.1), 2) AS distance_to_center
+  CASE WHEN d.base_distance IS NULL THEN NULL
+       ELSE round(greatest(d.base_distance + (c_acctbal / 10000 - 0.5), 0.1), 2) END AS distance_to_center
 FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN d USING (n_name)
 """
 

@@ -167,6 +167,7 @@ def house(spark: SparkSession, sf: str, place: bool = False) -> DataFrame:
         (F.col("p_size") * 10).alias("MSSubClass"),
         F.col("o_totalprice").alias("LotArea"),
         F.when(F.col("l_tax") == 0, F.lit(None)).otherwise(F.col("l_quantity") * 5).alias("MasVnrArea"),
+        F.when(F.col("l_tax") == 0, F.lit(None)).otherwise(F.col("l_tax") * 1000).alias("LotFrontage"),
         *extra,
     )
 
@@ -198,5 +199,6 @@ def house_sql() -> str:
   {qual} AS KitchenQual,
   CASE l_returnflag WHEN 'N' THEN 'Typ' WHEN 'A' THEN 'Min1' END AS Functional,
   p_size * 10 AS MSSubClass, o_totalprice AS LotArea,
-  CASE WHEN l_tax = 0 THEN NULL ELSE l_quantity * 5 END AS MasVnrArea
+  CASE WHEN l_tax = 0 THEN NULL ELSE l_quantity * 5 END AS MasVnrArea,
+  CASE WHEN l_tax = 0 THEN NULL ELSE l_tax * 1000 END AS LotFrontage
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""

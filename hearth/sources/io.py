@@ -102,7 +102,7 @@ def report_to_long(spark: SparkSession, report: Mapping[str, Any]) -> DataFrame:
     rows: list[tuple[str, str, str]] = []
 
     def walk(prefix: str, node: Any) -> None:
-        if isinstance(node, Mapping):
+        if isinstance(node, Mapping) and node:
             for k, v in node.items():
                 walk(f"{prefix}.{k}" if prefix else str(k), v)
         else:

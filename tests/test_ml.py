@@ -105,3 +105,14 @@ def test_column_design_matches_vector_pipeline(spark):
     pb = {r["id"]: r["prediction"] for r in b.select("id", "prediction").collect()}
     assert ia["alpha"] == ib["alpha"]
     assert all(abs(pa[k] - pb[k]) < 1e-9 for k in pa)
+
+
+def test_random_search_tuning_small(spark):
+    from hearth.operators.ml import tune_trees
+
+    df, _, _ = _data(spark, n=200, seed=7)
+    df = df.withColumn("id", F.monotonically_increasing_id())
+    spec = ModelSpec("rf", "forest", params={"numTrees": 3, "maxDepth": 2})
+    model, best, score = tune_trees(df, spec, {"numTrees": [3, 5], "maxDepth": [2, 3]}, n_iter=2, folds=2,
+                                    key=("id",), parallelism=2)
+    assert set(best) == {"numTrees", "maxDepth"} and score > 0
