@@ -313,12 +313,23 @@ class CleaningResult:
 
 
 def clean(train_raw: DataFrame, test_raw: DataFrame, key: str = "Id", target: str = "SalePrice",
-          order: Sequence[str] | None = None) -> CleaningResult:
-    """The whole cleaning job: tidy -> dedupe -> fit -> transform -> outliers."""
+          order: Sequence[str] | None = None, checkpoint: bool = True) -> CleaningResult:
+    """The whole cleaning job: tidy -> dedupe -> fit -> transform -> outliers.
+
+    Fitting makes several passes (medians, modes, null flags); with
+    ``checkpoint`` the deduplicated frames are written once to the shared
+    checkpoint folder so those passes reread them instead of recomputing the
+    upstream joins and the dedup shuffle.
+    """
     tr = tidy_text(train_raw)
     te = tidy_text(test_raw)
     tr = keep_first(tr, [key], order or [key])
     te = keep_first(te, [key], order or [key])
+    if checkpoint:
+        from hearth.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(tr.sparkSession)
+        tr, te = tr.checkpoint(), te.checkpoint()
     model = fit_cleaning(tr, te, target=target, key=key)
     ctr = transform_cleaning(model, tr)
     cte = transform_cleaning(model, te, is_test=True)
