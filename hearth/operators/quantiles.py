@@ -15,19 +15,16 @@ partial-aggregatable steps:
    interpolated the way ``percentile``/``quantile_cont`` interpolate.
 
 If a sketch bracket ever misses (it should not: the sketch bounds its rank
-error), that group alone falls back to Spark's ``percentile``; the check runs
-on the small, persisted per-group result, so the common case adds no pass.
+error), that group alone falls back to Spark's ``percentile``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.functions.exprs import broadcast_if_small
 
 _ACCURACY = 10000
 BROADCAST_GROUPS = 100_000  # per-group rows broadcast at most
@@ -53,11 +50,12 @@ def exact_quantiles(
     Returns one row per group with a non-null value; columns ``by + names``.
     NULL values are ignored (like ``percentile``).
 
-    Count-first: ``groupBy(g, v).count()`` (map-side combined, spread by
-    value) is built once; a group with at most ``max_distinct`` distinct values
-    is solved exactly from its count table by a running sum (bounded task
-    size).  Only groups with more distinct values take the sketch-bracket path
-    over their rows.
+    Routing: one HyperLogLog pass estimates each group's distinct count.  A
+    group with at most ``max_distinct`` distinct values is solved exactly from
+    ``groupBy(g, v).count()`` (map-side combined, spread by value) by a running
+    sum over its distinct values, so a task never holds more than that many
+    rows.  Only groups with more distinct values take the sketch-bracket path
+    over their rows.  Nothing is persisted.
     """
     probs = [float(p) for p in probs]
     if not probs or any(p < 0 or p > 1 for p in probs):
@@ -67,18 +65,30 @@ def exact_quantiles(
     vcol = F.col(value) if isinstance(value, str) else value
     base = df.select(*keys, vcol.cast("double").alias("_v")).where(F.col("_v").isNotNull())
 
-    counted = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).persist(StorageLevel.MEMORY_AND_DISK)
-    stats = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"), F.sum("_c").alias("_n")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)  # one row per group
-    has_big = stats.where(F.col("_d") > max_distinct).limit(1).count() > 0
-    small = stats.where(F.col("_d") <= max_distinct).select(*keys, "_n")
+    # route groups by (approximate) distinct count: one cheap HLL pass
+    card = base.groupBy(*keys).agg(F.approx_count_distinct("_v", 0.05).alias("_d"))
+    big = card.where(F.col("_d") > max_distinct).select(*keys)
+    if big.limit(1).count() == 0:
+        return _count_quantiles(base, keys, probs, names)
+    small = card.where(F.col("_d") <= max_distinct).select(*keys)
+    return _count_quantiles(_semi(base, small, keys), keys, probs, names).unionByName(
+        _sketch_quantiles(_semi(base, big, keys), keys, probs, names, accuracy))
+
+
+def _semi(rows: DataFrame, groups: DataFrame, keys: list) -> DataFrame:
     if keys:
-        grouped = _join_null_safe(counted, broadcast_if_small(small, BROADCAST_GROUPS), keys)
-    else:
-        grouped = counted.withColumn("_one", F.lit(1)).join(
-            F.broadcast(small.withColumn("_one", F.lit(1))), "_one").drop("_one")
-    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = grouped.withColumn("_cum", F.sum("_c").over(w))
+        return _join_null_safe(rows, groups, keys, "left_semi")
+    return rows.withColumn("_one", F.lit(1)).join(
+        F.broadcast(groups.withColumn("_one", F.lit(1))), "_one", "left_semi").drop("_one")  # <= 1 row
+
+
+def _count_quantiles(base: DataFrame, keys: list, probs: list, names: list) -> DataFrame:
+    """Exact quantiles from the ``(group, value) -> count`` table: a running
+    sum over each group's distinct values (bounded by the routing above)."""
+    counted = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    w_all = Window.partitionBy(*keys)
+    w = w_all.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = counted.withColumn("_n", F.sum("_c").over(w_all)).withColumn("_cum", F.sum("_c").over(w))
     aggs = []
     for i, p in enumerate(probs):
         pos = F.lit(p) * (F.col("_n") - 1)
@@ -86,40 +96,28 @@ def exact_quantiles(
                  F.min(F.when(F.col("_cum") > F.ceil(pos), F.col("_v"))).alias(f"_hi{i}"),
                  F.first(pos - F.floor(pos)).alias(f"_fr{i}")]
     picked = cum.groupBy(*keys).agg(*aggs)
-    result = picked.select(*keys, *[
+    return picked.select(*keys, *[
         (F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(n)
         for i, n in enumerate(names)])
-    if not has_big:
-        return result
-    big = stats.where(F.col("_d") > max_distinct).select(*keys)
-    big_rows = _join_null_safe(base, big, keys, "left_semi") if keys else base
-    return result.unionByName(_sketch_quantiles(big_rows, keys, probs, names, accuracy))
 
 
 def _sketch_quantiles(base: DataFrame, keys: list, probs: list, names: list, accuracy: int) -> DataFrame:
     """Sketch-bracket path for high-cardinality groups (``base`` = keys + ``_v``)."""
-
     d = _MARGIN / accuracy
     k = len(probs)
     lo_p = [max(0.0, p - d) for p in probs]
     hi_p = [min(1.0, p + d) for p in probs]
 
-    # step 1: group size + sketch brackets (one partial aggregation).  The
-    # sketch has one row per group; it is broadcast only behind a row-count
-    # check, otherwise joined by key (AQE splits skewed partitions).
+    # step 1: group size + sketch brackets (one partial aggregation, one row per group)
     sketch = base.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", lo_p + hi_p, accuracy).alias("_br"),
     )
     if keys:
-        sketch = sketch.persist(StorageLevel.MEMORY_AND_DISK)
-        small = sketch.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
-        joined = _join_null_safe(base, F.broadcast(sketch) if small else sketch, keys)
+        joined = _join_null_safe(base, sketch, keys)  # AQE: broadcast when small, skew-split otherwise
     else:
-        # a global sketch is exactly one row: broadcasting it is bounded
         joined = base.withColumn("_one", F.lit(1)).join(
-            F.broadcast(sketch.withColumn("_one", F.lit(1))), "_one"
-        ).drop("_one")
+            F.broadcast(sketch.withColumn("_one", F.lit(1))), "_one").drop("_one")  # exactly one row
 
     # step 2: per probability, mark the row as below the bracket (v -> NULL) or
     # inside it (v kept); rows above every bracket are dropped.
@@ -138,8 +136,7 @@ def _sketch_quantiles(base: DataFrame, keys: list, probs: list, names: list, acc
 
     # step 3: running count over the (small) bracket table
     w = Window.partitionBy(*keys, "_i").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+        Window.unboundedPreceding, Window.currentRow)
     p_arr = F.array(*[F.lit(p) for p in probs])
     pos = F.element_at(p_arr, F.col("_i") + 1) * (F.col("_n") - 1)
     ranked = counted.withColumn("_cum", F.sum("_c").over(w)).withColumn("_pos", pos)
@@ -152,28 +149,23 @@ def _sketch_quantiles(base: DataFrame, keys: list, probs: list, names: list, acc
         F.max("_cum").alias("_reach"),
     )
     ok = (F.col("_below") <= F.floor(F.col("_pos"))) & (F.col("_reach") > F.ceil(F.col("_pos")))
-    picked = picked.withColumn("_ok", ok).persist(StorageLevel.MEMORY_AND_DISK)  # groups x probs rows
+    picked = picked.withColumn("_ok", ok)
     frac = F.col("_pos") - F.floor(F.col("_pos"))
-    long = picked.where("_ok").select(
-        *keys, "_i", (F.col("_lo") + frac * (F.col("_hi") - F.col("_lo"))).alias("_q")
-    )
+    long = picked.where("_ok").select(*keys, "_i", (F.col("_lo") + frac * (F.col("_hi") - F.col("_lo"))).alias("_q"))
 
-    # fallback for groups whose bracket missed: never expected (the sketch
-    # bounds its rank error), checked on the small picked table
-    if picked.where(~F.col("_ok")).limit(1).count() > 0:
-        missed = picked.where(~F.col("_ok")).select(*keys).distinct()
-        if keys:
-            fb_rows = _join_null_safe(base, missed, keys, "left_semi")
-        else:
-            fb_rows = base
-        fallback = fb_rows.groupBy(*keys).agg(
-            F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("_qs")
-        ).select(*keys, F.posexplode("_qs").alias("_i", "_q"))
-        long = long.unionByName(fallback)
-
-    return long.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
-    )
+    # groups whose bracket missed (never expected: the sketch bounds its rank
+    # error) fall back to Spark's percentile; an empty branch in practice
+    missed = picked.where(~F.col("_ok")).select(*keys).distinct()
+    if keys:
+        fb_rows = _join_null_safe(base, missed, keys, "left_semi")
+    else:
+        fb_rows = base.withColumn("_one", F.lit(1)).join(
+            F.broadcast(missed.withColumn("_one", F.lit(1))), "_one", "left_semi").drop("_one")
+    fallback = fb_rows.groupBy(*keys).agg(
+        F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("_qs")
+    ).select(*keys, F.posexplode("_qs").alias("_i", "_q"))
+    long = long.unionByName(fallback)
+    return long.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
