@@ -45,16 +45,25 @@ def correlation_from_cov(cov: np.ndarray) -> np.ndarray:
     return r
 
 
+def _r_squared_each(r: np.ndarray) -> np.ndarray:
+    """R^2 of each standardised column on all the others (pseudo-inverse:
+    the least-squares fit, defined even when the matrix is singular)."""
+    p = r.shape[0]
+    out = np.zeros(p)
+    for j in range(p):
+        others = [k for k in range(p) if k != j]
+        b = r[others, j]
+        out[j] = float(np.clip(b @ (np.linalg.pinv(r[np.ix_(others, others)]) @ b), 0.0, 1.0))
+    return out
+
+
 def vif_inverse_corr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """VIF as the diagonal of the inverse correlation matrix (pinv when
-    singular, which reports the exactly collinear columns as +inf)."""
+    """VIF = diag(R^-1) of the correlation matrix, computed as
+    1 / (1 - R^2_j) so exactly collinear columns come out +inf (NULL) instead
+    of failing the inversion."""
     r = correlation_from_cov(covariance_matrix(df, cols))
-    try:
-        inv = np.linalg.inv(r)
-        vif = np.diag(inv)
-    except np.linalg.LinAlgError:
-        vif = np.full(len(cols), np.inf)
-    rows = [(c, float(v) if np.isfinite(v) else None) for c, v in zip(cols, vif)]
+    r2 = _r_squared_each(r)
+    rows = [(c, None if x >= 0.999999 else float(1.0 / (1.0 - x))) for c, x in zip(cols, r2)]
     return df.sparkSession.createDataFrame(rows, "feature string, vif double")
 
 
