@@ -47,32 +47,47 @@ PREDICTION_LOG_SCHEMA = T.StructType([
 
 
 def attach_actuals(preds: DataFrame, actuals: DataFrame, subject: str, ts: str, pid: str, aid: str,
-                   value: str, horizon_days: int = 1) -> DataFrame:
+                   value: str, horizon_seconds: int = 86400, bucket: str = "hour") -> DataFrame:
     """``preds`` rows + ``actual_id``, ``actual``, ``actual_ts`` of the first
     actual of the same subject strictly after ``ts`` and at most
-    ``horizon_days`` later (NULLs when none).  ``horizon_days`` must be 1: the
-    search spans the prediction's day and the next one."""
-    if horizon_days != 1:
-        raise ValueError("only a one-day horizon is supported")
+    ``horizon_seconds`` later (NULLs when none); ties on time go to the
+    smaller actual id.
+
+    Time is cut into ``date_trunc`` buckets (default one hour):
+    * inside a (subject, bucket), a descending running frame hands every
+      prediction the next actual (O(n), no pairs);
+    * otherwise the answer is the first actual of the subject's next
+      non-empty bucket: first actuals per (subject, bucket) come from a
+      partial aggregation, and "next non-empty bucket" is a window over the
+      per-(subject, bucket) table, whose size is bounded by the time span, not
+      by the number of events.
+    """
+    bkt = F.date_trunc(bucket, F.col("_t"))  # on timestamp_ntz: independent of the session time zone
     p = preds.select(F.col(subject).alias("_s"), F.col(ts).alias("_t"), F.col(pid).alias("_id"),
                      F.lit(None).cast("double").alias("_v"), F.lit(1).alias("_is_pred"), F.col(pid).alias("_pid"))
     a = actuals.select(F.col(subject).alias("_s"), F.col(ts).alias("_t"), F.col(aid).alias("_id"),
-                       F.col(value).cast("double").alias("_v"), F.lit(0).alias("_is_pred"), F.lit(None).cast(preds.schema[pid].dataType).alias("_pid"))
-    u = p.unionByName(a).withColumn("_d", F.to_date("_t"))
+                       F.col(value).cast("double").alias("_v"), F.lit(0).alias("_is_pred"),
+                       F.lit(None).cast(preds.schema[pid].dataType).alias("_pid"))
+    u = p.unionByName(a).withColumn("_b", bkt)
     # descending time; at equal times predictions come first so an actual with
     # the very same timestamp is not "after" the prediction
-    w = Window.partitionBy("_s", "_d").orderBy(F.col("_t").desc(), F.col("_is_pred").desc(), F.col("_id").desc()) \
+    w = Window.partitionBy("_s", "_b").orderBy(F.col("_t").desc(), F.col("_is_pred").desc(), F.col("_id").desc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    act = F.struct(F.col("_t").alias("t"), F.col("_id").alias("id"), F.col("_v").alias("v"))
+    same = u.withColumn("_next", F.last(F.when(F.col("_is_pred") == 0, act), ignorenulls=True).over(w)) \
+        .where(F.col("_is_pred") == 1).select("_pid", "_s", "_b", "_t", "_next")
+    firsts = u.where(F.col("_is_pred") == 0).groupBy("_s", "_b").agg(
+        F.min_by(act, F.struct("_t", "_id")).alias("_first"))
+    pred_buckets = same.select("_s", "_b").distinct().withColumn("_first", F.lit(None).cast(firsts.schema["_first"].dataType))
+    later = Window.partitionBy("_s").orderBy(F.col("_b").desc(), F.col("_first").isNull().desc()) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    nxt = F.last(F.when(F.col("_is_pred") == 0, F.struct(F.col("_t").alias("t"), F.col("_id").alias("id"), F.col("_v").alias("v"))),
-                 ignorenulls=True).over(w)
-    same_day = u.withColumn("_next", nxt).where(F.col("_is_pred") == 1).select("_pid", "_s", "_d", "_t", "_next")
-    first_of_day = actuals.groupBy(F.col(subject).alias("_s"), F.to_date(F.col(ts)).alias("_nd")).agg(
-        F.min_by(F.struct(F.col(ts).alias("t"), F.col(aid).alias("id"), F.col(value).cast("double").alias("v")),
-                 F.struct(F.col(ts), F.col(aid))).alias("_first"))
-    j = same_day.join(first_of_day, (same_day["_s"] == first_of_day["_s"]) & (F.date_add(same_day["_d"], 1) == first_of_day["_nd"]), "left")
-    limit = F.col("_t") + F.expr("INTERVAL 1 DAY")
-    nd_ok = F.col("_first").isNotNull() & (F.col("_first.t") <= limit)
-    chosen = F.when(F.col("_next").isNotNull() & (F.col("_next.t") <= limit), F.col("_next")).when(nd_ok, F.col("_first"))
+    nb = pred_buckets.withColumn("_k", F.lit(1)).unionByName(firsts.withColumn("_k", F.lit(0))) \
+        .withColumn("_later", F.last("_first", ignorenulls=True).over(later)) \
+        .where(F.col("_k") == 1).select("_s", "_b", "_later")
+    j = same.join(nb, ["_s", "_b"], "left")
+    limit = F.col("_t") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(horizon_seconds)))
+    chosen = F.when(F.col("_next").isNotNull() & (F.col("_next.t") <= limit), F.col("_next")) \
+        .when(F.col("_next").isNull() & F.col("_later").isNotNull() & (F.col("_later.t") <= limit), F.col("_later"))
     matched = j.select(F.col("_pid").alias(pid), chosen.alias("_m"))
     return preds.join(matched, pid, "left").select(
         *preds.columns, F.col("_m.id").alias("actual_id"), F.col("_m.v").alias("actual"), F.col("_m.t").alias("actual_ts"))

@@ -66,3 +66,31 @@ def test_request_dedupe(spark):
     _run(M.dedupe_requests(ev, "request_id", "ts", "30 days"), "dedup_out")
     rows = spark.sql("SELECT * FROM dedup_out").collect()
     assert len(rows) == len({r["request_id"] for r in rows})
+
+
+@pytest.mark.parametrize("horizon", [86400, 7200])
+def test_attach_actuals_against_brute_force(spark, horizon):
+    import datetime as dt
+    import random
+
+    rnd = random.Random(11)
+    start = dt.datetime(2024, 1, 1)
+    preds, acts = [], []
+    for i in range(300):
+        u = rnd.choice([1, 1, 1, 2, 3])  # user 1 is hot
+        t = start + dt.timedelta(seconds=rnd.randrange(0, 3 * 86400) // 600 * 600)  # coarse grid -> ties
+        (preds if rnd.random() < 0.5 else acts).append((i, u, t, float(i)))
+    # an actual exactly at the horizon edge and one just after it
+    preds.append((1000, 9, start, 0.0))
+    acts.append((1001, 9, start + dt.timedelta(seconds=horizon), 1.0))
+    preds.append((1002, 8, start, 0.0))
+    acts.append((1003, 8, start + dt.timedelta(seconds=horizon + 1), 1.0))
+    schema = "id long, user long, ts timestamp_ntz, value double"
+    p = spark.createDataFrame(preds, schema)
+    a = spark.createDataFrame(acts, schema)
+    got = {r["id"]: r["actual_id"] for r in
+           M.attach_actuals(p, a, "user", "ts", "id", "id", "value", horizon_seconds=horizon).collect()}
+    for pid, u, t, _ in preds:
+        cands = [(at, aid) for aid, au, at, _ in acts if au == u and t < at <= t + dt.timedelta(seconds=horizon)]
+        want = min(cands)[1] if cands else None
+        assert got[pid] == want, (pid, got[pid], want)
