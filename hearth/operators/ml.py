@@ -564,10 +564,12 @@ def linear_expression(design: LinearDesign, fit: LinearFit):
 
 
 def linear_oof(df: DataFrame, design: LinearDesign, spec: ModelSpec, label: str = "label", fold: str = "fold",
-               name: str = "prediction") -> tuple[DataFrame, dict]:
-    """Out-of-fold predictions for OLS/ridge/lasso: one Gram pass, alpha and
-    per-fold fits solved on the driver, predictions as a per-fold CASE."""
-    grams = design_gram_by_fold(df, design, label, fold)
+               name: str = "prediction", grams: dict | None = None) -> tuple[DataFrame, dict]:
+    """Out-of-fold predictions for OLS/ridge/lasso: one Gram pass (or the
+    caller's per-fold Gram matrices for the same design), alpha and per-fold
+    fits solved on the driver, predictions as a per-fold CASE."""
+    if grams is None:
+        grams = design_gram_by_fold(df, design, label, fold)
     alpha = select_alpha(grams, spec.kind, spec.alphas, spec.scale_numeric)[0] if spec.alphas else 0.0
     total = sum(grams.values())
     fits = {f: solve_linear(total - zz, spec.kind, alpha, spec.scale_numeric) for f, zz in grams.items()}
