@@ -585,3 +585,23 @@ def gram_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
     design = LinearDesign(list(cols), [], {c: 0.0 for c in cols}, {})
     zz = design_gram_by_fold(df.withColumn("_y0", F.lit(0.0)), design, "_y0", None)
     return zz.get(0, np.zeros((len(cols) + 2, len(cols) + 2)))[:-1, :-1]
+
+
+def sub_design(design: LinearDesign, grams: dict, columns: Sequence[str]) -> tuple[LinearDesign, dict]:
+    """Restrict a design and its per-fold Gram matrices to a subset of the
+    columns (a feature-group ablation): the sub-problem's ``Z'Z`` is a block
+    of the full one, so no data pass is needed."""
+    keep = set(columns)
+    numeric = [c for c in design.numeric if c in keep]
+    text = [t for t in design.text if t in keep]
+    idx = [0] + [1 + i for i, c in enumerate(design.numeric) if c in keep]
+    off = 1 + len(design.numeric)
+    for t in design.text:
+        w = len(design.levels[t])
+        if t in keep:
+            idx += list(range(off, off + w))
+        off += w
+    idx.append(off)  # y
+    sub = LinearDesign(numeric, text, {c: design.fills.get(c) for c in numeric + text},
+                       {t: design.levels[t] for t in text})
+    return sub, {f: zz[np.ix_(idx, idx)] for f, zz in grams.items()}

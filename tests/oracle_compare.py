@@ -52,7 +52,24 @@ def rows_of(records, cols):
     return sorted(tuple(_norm(r[i]) for i in order) for r in records)
 
 
-def compare(spark, name, fn, sql, sf_dir):
+_SPARK_KIND = {"ByteType": "int8", "ShortType": "int16", "IntegerType": "int32", "LongType": "int64",
+               "FloatType": "float", "DoubleType": "float", "StringType": "str", "BooleanType": "bool",
+               "DateType": "date", "TimestampType": "ts", "TimestampNTZType": "ts"}
+_DUCK_KIND = {"TINYINT": "int8", "SMALLINT": "int16", "INTEGER": "int32", "BIGINT": "int64", "HUGEINT": "int128",
+              "FLOAT": "float", "DOUBLE": "float", "VARCHAR": "str", "BOOLEAN": "bool", "DATE": "date",
+              "TIMESTAMP": "ts"}
+
+
+def _kinds(sdf, res):
+    sk = {f.name: _SPARK_KIND.get(type(f.dataType).__name__, type(f.dataType).__name__) for f in sdf.schema.fields}
+    dk = {}
+    for d in res.description:
+        t = str(d[1]).upper()
+        dk[d[0]] = _DUCK_KIND.get(t, "decimal" if t.startswith("DECIMAL") else t)
+    return sk, dk
+
+
+def compare(spark, name, fn, sql, sf_dir, warnings=None):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
     scols = sdf.columns
@@ -61,8 +78,17 @@ def compare(spark, name, fn, sql, sf_dir):
     con = duck(sf_dir)
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
+    sk, dk = _kinds(sdf, res)
     drows = res.fetchall()
     problems = []
+    for c in set(sk) & set(dk):
+        a, b = sk[c], dk[c]
+        if a != b:
+            if a.startswith("int") and b.startswith("int"):
+                if warnings is not None:
+                    warnings.append(f"{name}.{c}: spark {a} vs duck {b}")
+            else:
+                problems.append(f"type of {c}: spark {a} vs duck {b}")
     if sorted(scols) != sorted(dcols):
         problems.append(f"columns differ: spark={scols} duck={dcols}")
     if len(srows) != len(drows):
@@ -85,15 +111,18 @@ if __name__ == "__main__":
     names = sys.argv[1:] or list(QUERIES)
     spark = local_session("8")
     bad = 0
+    warns: list = []
     for n in names:
         if n not in ORACLE:
             df = QUERIES[n](spark, sf)
             print(f"[rows-only] {n}: {df.count()} rows")
             continue
         try:
-            probs, secs, nrows = compare(spark, n, QUERIES[n], ORACLE[n], sf)
+            probs, secs, nrows = compare(spark, n, QUERIES[n], ORACLE[n], sf, warns)
         except Exception as e:  # report and continue
             probs, secs, nrows = [f"error: {type(e).__name__}: {str(e)[:400]}"], 0, 0
         bad += bool(probs)
         print(f"{'OK  ' if not probs else 'FAIL'} {n} ({nrows} rows, {secs:.1f}s) {'; '.join(probs)}")
     print(f"{len(names) - bad}/{len(names)} ok")
+    for w in warns:
+        print("WARN int width:", w)

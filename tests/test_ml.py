@@ -116,3 +116,22 @@ def test_random_search_tuning_small(spark):
     model, best, score = tune_trees(df, spec, {"numTrees": [3, 5], "maxDepth": [2, 3]}, n_iter=2, folds=2,
                                     key=("id",), parallelism=2)
     assert set(best) == {"numTrees", "maxDepth"} and score > 0
+
+
+def test_sub_design_equals_direct_fit(spark):
+    from hearth.operators.ml import design_gram_by_fold, fit_linear_design, linear_oof, sub_design
+
+    rnd = np.random.default_rng(9)
+    rows = [(i, i % 5, float(rnd.normal()), float(rnd.normal()), ["a", "b", None][i % 3], float(rnd.normal()))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, fold int, x1 double, x2 double, t string, label double")
+    spec = ModelSpec("r", "ridge", scale_numeric=True, alphas=(0.5, 5.0))
+    full = fit_linear_design(df, ["x1", "x2"], ["t"])
+    grams = design_gram_by_fold(df, full, "label", "fold")
+    sub, sub_grams = sub_design(full, grams, ["x2", "t"])
+    a, _ = linear_oof(df, sub, spec, grams=sub_grams)
+    direct = fit_linear_design(df, ["x2"], ["t"])
+    b, _ = linear_oof(df, direct, spec)
+    pa = {r["id"]: r["prediction"] for r in a.collect()}
+    pb = {r["id"]: r["prediction"] for r in b.collect()}
+    assert all(abs(pa[k] - pb[k]) < 1e-9 for k in pa)
