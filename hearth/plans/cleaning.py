@@ -355,22 +355,33 @@ def _house_split(spark, sf):
     return h.where(f != 0), h.where(f == 0).drop("SalePrice")
 
 
+_CLEANED: dict = {}
+
+
+def _cleaned(spark, sf):
+    """One cleaning job per application and folder, shared by the two queries
+    below (its inputs are checkpointed inside ``clean``)."""
+    from hearth.operators.clean import clean
+
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _CLEANED:
+        train, test = _house_split(spark, sf)
+        _CLEANED[key] = (train, test, clean(train, test, key="Id"))
+    return _CLEANED[key]
+
+
 @register("clean_house")
 def clean_house(spark, sf):
     """Tidy -> dedupe -> fit (frontage medians over train+test, modes,
     medians, month rates) -> transform -> leverage split; the cleaned train."""
-    from hearth.operators.clean import clean
-
-    train, test = _house_split(spark, sf)
-    return clean(train, test, key="Id").train
+    return _cleaned(spark, sf)[2].train
 
 
 @register("cleaning_report_rows")
 def cleaning_report_rows(spark, sf):
     """The cleaning audit report flattened to (section, metric, value)."""
-    from hearth.operators.clean import clean, cleaning_report
+    from hearth.operators.clean import cleaning_report
     from hearth.sources.io import report_to_long
 
-    train, test = _house_split(spark, sf)
-    res = clean(train, test, key="Id")
+    train, test, res = _cleaned(spark, sf)
     return report_to_long(spark, cleaning_report(train, test, res, key="Id"))
