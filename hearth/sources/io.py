@@ -137,3 +137,34 @@ def artifact_manifest(spark: SparkSession, rows: Sequence[tuple[str, bool, str,
     """``(model, is_best_model, pipeline_path, model_path, training_scope)``."""
     return spark.createDataFrame(list(rows), "model string, is_best_model boolean, pipeline_path string, "
                                              "model_path string, training_scope string")
+
+
+def load_training_data(spark: SparkSession, path: str | None, schema: T.StructType, key: str = "Id",
+                       target: str = "SalePrice", fallback_path: str | None = None,
+                       deny_ids: DataFrame | None = None, context: DataFrame | None = None) -> DataFrame:
+    """S3: the cleaned training table, else the raw one (with the id
+    deny-list applied, F2); context columns it lacks are attached by key (J3);
+    the target must be present (V1).  An explicit path that does not exist
+    raises instead of silently falling through."""
+    from pyspark.errors import AnalysisException
+
+    from hearth.operators.validate import attach_context, check_training_frame, drop_ids
+
+    df = None
+    if path:
+        try:
+            spark.read.text(path).limit(1).collect()
+            df = read_house_csv(spark, path, schema)
+        except AnalysisException as e:
+            if fallback_path is None:
+                raise FileNotFoundError(path) from e
+    if df is None:
+        if fallback_path is None:
+            raise FileNotFoundError("no training data path given")
+        df = read_house_csv(spark, fallback_path, schema)
+        if deny_ids is not None:
+            df = drop_ids(df, key, deny_ids)
+    if context is not None:
+        df = attach_context(df, context, key)
+    check_training_frame(df, target, key)
+    return df
