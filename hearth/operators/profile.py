@@ -243,23 +243,65 @@ def outlier_candidates(df: DataFrame, columns: Sequence[str], leverage: Column,
 
 # ---- A16 / A17 ---------------------------------------------------------------
 
+def pairwise_correlation(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
+    """Pearson r for every pair over its complete rows (NULL in either column
+    excludes the row for that pair only), from ONE pass.
+
+    Each task turns its Arrow batches into, per pair, the count and the sums
+    of x, x^2 and xy over rows where both are present (four matrix products
+    with the presence mask); Spark adds the partial matrices, so only p x p
+    numbers reach the driver.  Values are shifted by each column's minimum
+    first (exact zeros for a constant column, whose r is then NaN -> NULL).
+    """
+    p = len(cols)
+    mins = df.agg(*[F.min(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).collect()[0]
+    shift = [float(mins[f"m{i}"]) if mins[f"m{i}"] is not None else 0.0 for i in range(p)]
+    arr = F.array(*[(F.col(c).cast("double") - F.lit(sh)).alias(c) for c, sh in zip(cols, shift)])
+
+    def partial(batches):
+        acc = None
+        for b in batches:
+            if not len(b):
+                continue
+            x = np.vstack(b["x"].to_numpy()).astype(float)  # NULL elements -> NaN
+            m = ~np.isnan(x)
+            x0 = np.where(m, x, 0.0)
+            mf = m.astype(float)
+            parts = np.stack([mf.T @ mf, x0.T @ mf, (x0 * x0).T @ mf, x0.T @ x0])
+            acc = parts if acc is None else acc + parts
+        if acc is not None:
+            k, i, j = np.indices(acc.shape)
+            yield pd.DataFrame({"k": k.ravel().astype("int32"), "i": i.ravel().astype("int32"),
+                                "j": j.ravel().astype("int32"), "v": acc.ravel()})
+
+    rows = df.select(arr.alias("x")).mapInPandas(partial, "k int, i int, j int, v double") \
+        .groupBy("k", "i", "j").agg(F.sum("v").alias("v")).collect()  # 4 p^2 numbers
+    t = np.zeros((4, p, p))
+    for r in rows:
+        t[r["k"], r["i"], r["j"]] = r["v"]
+    n, sx, sxx, sxy = t  # sx[i, j]: sum of x_i over rows where i and j are both present
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cov = n * sxy - sx * sx.T
+        var_i = n * sxx - sx * sx
+        r = cov / np.sqrt(var_i * var_i.T)
+    r[(n < 2) | (var_i <= 0) | (var_i.T <= 0)] = np.nan
+    return r
+
+
 def target_correlation(df: DataFrame, target: str, features: Sequence[str], name: str = "corr_with_target") -> DataFrame:
     """``(feature, <name>)`` ordered by |r| descending; constant columns give NULL."""
-    agg = df.agg(*[pair_corr(c, target).alias(f"_c{i}") for i, c in enumerate(features)])
-    long = _one_row_to_long(agg, [((c,), f"_c{i}") for i, c in enumerate(features)], ["feature"], name)
-    return long.orderBy(F.abs(F.col(name)).desc_nulls_last(), "feature")
+    r = pairwise_correlation(df, [target, *features])
+    rows = [(f, None if np.isnan(r[0, i + 1]) else float(r[0, i + 1])) for i, f in enumerate(features)]
+    out = df.sparkSession.createDataFrame(rows, f"feature string, {name} double")
+    return out.orderBy(F.abs(F.col(name)).desc_nulls_last(), "feature")
 
 
 def correlation_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """All i<j Pearson correlations ``(feature_1, feature_2, corr)`` from one scan."""
-    items, exprs = [], []
-    for i in range(len(features)):
-        for j in range(i + 1, len(features)):
-            alias = f"_r{i}_{j}"
-            exprs.append(pair_corr(features[i], features[j]).alias(alias))
-            items.append(((features[i], features[j]), alias))
-    agg = df.agg(*exprs)
-    return _one_row_to_long(agg, items, ["feature_1", "feature_2"], "corr")
+    r = pairwise_correlation(df, features)
+    rows = [(features[i], features[j], None if np.isnan(r[i, j]) else float(r[i, j]))
+            for i in range(len(features)) for j in range(i + 1, len(features))]
+    return df.sparkSession.createDataFrame(rows, "feature_1 string, feature_2 string, corr double")
 
 
 def collinear_pairs(df: DataFrame, features: Sequence[str], threshold: float = 0.70, digits: int = 3) -> DataFrame:

@@ -66,3 +66,26 @@ def test_submission_ids_follow_explicit_order(spark):
     rows = submission(df, "p", id_col=None, order=["k"]).orderBy("Id").collect()
     assert [r["Id"] for r in rows] == [1, 2, 3]
     assert rows[0]["SalePrice"] == pytest.approx(np.expm1(2.0)) and rows[1]["SalePrice"] == 0.0
+
+
+def test_pairwise_correlation_matches_pandas_with_nulls(spark):
+    import pandas as pd
+
+    rnd = np.random.default_rng(4)
+    n = 500
+    a = rnd.normal(size=n) * 1000 + 1e6
+    b = a * 0.5 + rnd.normal(size=n) * 100
+    c = rnd.normal(size=n)
+    a[::7] = np.nan
+    b[::11] = np.nan
+    pdf = pd.DataFrame({"a": a, "b": b, "c": c, "k": 3.0})
+    df = spark.createDataFrame([tuple(None if pd.isna(v) else float(v) for v in r) for r in pdf.itertuples(index=False)],
+                               "a double, b double, c double, k double")
+    r = P.pairwise_correlation(df, ["a", "b", "c", "k"])
+    want = pdf.corr()
+    for i, x in enumerate("abc"):
+        for j, y in enumerate("abc"):
+            assert r[i, j] == pytest.approx(want.loc[x, y], abs=1e-9)
+    assert np.isnan(r[0, 3]) and np.isnan(r[3, 3])
+    pairs = {(p["feature_1"], p["feature_2"]): p["abs_corr"] for p in P.collinear_pairs(df, ["a", "b", "c", "k"]).collect()}
+    assert list(pairs) == [("a", "b")]
