@@ -181,20 +181,11 @@ def input_drift(log: DataFrame, train: DataFrame, ts: str, value: str, eps: floa
 
 
 def retrain_triggers(perf: DataFrame, drift: DataFrame) -> DataFrame:
-    """``(window_start, trigger, value, threshold, fired)`` rows."""
-    p = perf.select("window_start",
-                    F.array(
-                        F.struct(F.lit("mape").alias("trigger"), F.col("mape").alias("value"), F.lit(MAPE_LIMIT).alias("threshold"),
-                                 (F.col("mape") > MAPE_LIMIT).alias("fired")),
-                        F.struct(F.lit("within_10_pct").alias("trigger"), F.col("within_10_pct").alias("value"),
-                                 F.lit(WITHIN_10_FLOOR).alias("threshold"), (F.col("within_10_pct") < WITHIN_10_FLOOR).alias("fired")),
-                        F.struct(F.lit("new_actuals").alias("trigger"), F.col("n").cast("double").alias("value"),
-                                 F.lit(float(MIN_NEW_ACTUALS)).alias("threshold"), (F.col("n") >= MIN_NEW_ACTUALS).alias("fired")),
-                    ).alias("_t"))
-    d = drift.select(F.col("day").alias("window_start"), F.array(
-        F.struct(F.lit("input_psi").alias("trigger"), F.col("psi").alias("value"), F.lit(PSI_LIMIT).alias("threshold"),
-                 (F.col("psi") > PSI_LIMIT).alias("fired"))).alias("_t"))
-    return p.unionByName(d).select("window_start", F.explode("_t").alias("_r")).select("window_start", "_r.*")
+    """``(window_start, trigger, value, threshold, fired)`` rows from the
+    rolling metrics and the daily input drift."""
+    d = drift.select(F.col("day").alias("window_start"), F.lit("input_psi").alias("trigger"), F.col("psi").alias("value"),
+                     F.lit(PSI_LIMIT).alias("threshold"), (F.col("psi") > PSI_LIMIT).alias("fired"))
+    return trigger_rows(perf).unionByName(d)
 
 
 # ---- streaming forms -------------------------------------------------------------
@@ -261,3 +252,31 @@ def stream_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "
     q = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint) \
         .outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination()
+
+
+def trigger_rows(metrics: DataFrame, window_col: str = "window_start") -> DataFrame:
+    """T7 over windowed metrics rows (mape, within_10_pct, n)."""
+    t = F.array(
+        F.struct(F.lit("mape").alias("trigger"), F.col("mape").alias("value"), F.lit(MAPE_LIMIT).alias("threshold"),
+                 (F.col("mape") > MAPE_LIMIT).alias("fired")),
+        F.struct(F.lit("within_10_pct").alias("trigger"), F.col("within_10_pct").alias("value"),
+                 F.lit(WITHIN_10_FLOOR).alias("threshold"), (F.col("within_10_pct") < WITHIN_10_FLOOR).alias("fired")),
+        F.struct(F.lit("new_actuals").alias("trigger"), F.col("n").cast("double").alias("value"),
+                 F.lit(float(MIN_NEW_ACTUALS)).alias("threshold"), (F.col("n") >= MIN_NEW_ACTUALS).alias("fired")),
+    )
+    return metrics.select(F.col(window_col).alias("window_start"), F.explode(t).alias("_r")).select("window_start", "_r.*")
+
+
+def stream_retrain_triggers(matched: DataFrame, ts: str, path: str, checkpoint: str, length: str = "7 days",
+                            slide: str = "1 day", delay: str = "1 day"):
+    """T7 streaming: closed sliding windows of the rolling metrics are turned
+    into trigger rows inside ``foreachBatch`` and written per epoch
+    (``epoch=<id>`` partition overwritten on a retry: exactly-once output)."""
+    metrics = stream_rolling_metrics(matched, ts, length, slide, delay)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        rows = trigger_rows(batch.withColumn("window_start", F.date_format("window.start", "yyyy-MM-dd")))
+        rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    return metrics.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint) \
+        .outputMode("append").trigger(availableNow=True).start()

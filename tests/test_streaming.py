@@ -94,3 +94,21 @@ def test_attach_actuals_against_brute_force(spark, horizon):
         cands = [(at, aid) for aid, au, at, _ in acts if au == u and t < at <= t + dt.timedelta(seconds=horizon)]
         want = min(cands)[1] if cands else None
         assert got[pid] == want, (pid, got[pid], want)
+
+
+def test_stream_retrain_triggers_equal_batch_for_closed_windows(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    preds = ev.where("event_type = 'view'").select(F.col("event_id").alias("request_id"), "user_id", "ts",
+                                                    F.col("value").alias("predicted"))
+    acts = ev.where("event_type = 'purchase'").select("event_id", "user_id", "ts", "value")
+    matched = M.attach_actuals(preds, acts, "user_id", "ts", "request_id", "event_id", "value") \
+        .where("actual IS NOT NULL").select("request_id", F.col("ts").cast("timestamp").alias("ts"), "predicted", "actual")
+    d = tempfile.mkdtemp(prefix="hearth-trig-")
+    matched.write.mode("overwrite").parquet(os.path.join(d, "m"))
+    stream = spark.readStream.schema(matched.schema).parquet(os.path.join(d, "m"))
+    q = M.stream_retrain_triggers(stream, "ts", os.path.join(d, "out"), os.path.join(d, "ckpt"), delay="0 seconds")
+    q.awaitTermination(300)
+    got = {(r["window_start"], r["trigger"]): r["fired"] for r in spark.read.parquet(os.path.join(d, "out")).collect()}
+    batch = {(r["window_start"], r["trigger"]): r["fired"] for r in
+             M.trigger_rows(M.rolling_performance(matched, "ts", 7, 1)).collect()}
+    assert got and all(batch[k] == v for k, v in got.items())
