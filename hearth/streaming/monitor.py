@@ -161,23 +161,11 @@ def input_drift(log: DataFrame, train: DataFrame, ts: str, value: str, eps: floa
     Serving side: ONE grouped aggregation per day with a conditional count per
     bin; empty bins count as share ``eps``.
     """
-    import math
-
-    edges = decile_edges(train, value)
-    nb = len(edges) + 1
-    counts = {r["bin"]: r["n"] for r in train.where(F.col(value).isNotNull())
-              .groupBy(decile_of(value, edges).alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()}  # <= 10 rows
-    total = sum(counts.values())
-    pt = [max(counts.get(i, 0) / total, eps) for i in range(nb)]
+    edges, shares = training_bins(train, value, eps)
     b = decile_of(value, edges)
     agg = log.where(F.col(value).isNotNull()).groupBy(F.date_format(F.col(ts), "yyyy-MM-dd").alias("day")).agg(
-        F.count(F.lit(1)).alias("_nd"), *[F.count_if(b == i).alias(f"_c{i}") for i in range(nb)])
-    psi = F.lit(0.0)
-    for i in range(nb):
-        pd_ = F.greatest(F.col(f"_c{i}") / F.col("_nd"), F.lit(eps))
-        psi = psi + (pd_ - F.lit(pt[i])) * F.log(pd_ / F.lit(pt[i]))
-    del math
-    return agg.select("day", psi.alias("psi"))
+        F.count(F.lit(1)).alias("_nd"), *[F.count_if(b == i).alias(f"_c{i}") for i in range(len(shares))])
+    return agg.select("day", psi_expression("_c", "_nd", shares, eps).alias("psi"))
 
 
 def retrain_triggers(perf: DataFrame, drift: DataFrame) -> DataFrame:
@@ -280,3 +268,43 @@ def stream_retrain_triggers(matched: DataFrame, ts: str, path: str, checkpoint:
 
     return metrics.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint) \
         .outputMode("append").trigger(availableNow=True).start()
+
+
+def psi_expression(counts_prefix: str, total: str, shares: Sequence[float], eps: float = 1e-4) -> Column:
+    """PSI from per-bin count columns ``<prefix><i>`` and a total."""
+    psi = F.lit(0.0)
+    for i, pt in enumerate(shares):
+        pd_ = F.greatest(F.col(f"{counts_prefix}{i}") / F.col(total), F.lit(eps))
+        psi = psi + (pd_ - F.lit(pt)) * F.log(pd_ / F.lit(pt))
+    return psi
+
+
+def training_bins(train: DataFrame, value: str, eps: float = 1e-4) -> tuple[list[float], list[float]]:
+    """Decile edges of the training values and each bin's share (floored at eps)."""
+    edges = decile_edges(train, value)
+    counts = {r["bin"]: r["n"] for r in train.where(F.col(value).isNotNull())
+              .groupBy(decile_of(value, edges).alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()}  # <= 10 rows
+    total = sum(counts.values())
+    return edges, [max(counts.get(i, 0) / total, eps) for i in range(len(edges) + 1)]
+
+
+def stream_input_drift(stream: DataFrame, ts: str, value: str, edges: Sequence[float], shares: Sequence[float],
+                       window: str = "1 day", delay: str = "1 day", eps: float = 1e-4) -> DataFrame:
+    """T2 streaming: tumbling-window bin counts (one conditional count per
+    training decile) -> PSI, emitted once the watermark closes the window."""
+    b = decile_of(value, edges)
+    agg = stream.where(F.col(value).isNotNull()).withWatermark(ts, delay).groupBy(F.window(ts, window)).agg(
+        F.count(F.lit(1)).alias("_nd"), *[F.count_if(b == i).alias(f"_c{i}") for i in range(len(shares))])
+    return agg.select(F.col("window.start").alias("window_start"), psi_expression("_c", "_nd", shares, eps).alias("psi"))
+
+
+def stream_prediction_drift(stream: DataFrame, ts: str, value: str, by: Sequence[str], low: float, high: float,
+                            window: str = "1 day", delay: str = "1 day") -> DataFrame:
+    """T3 streaming: per tumbling window and key, n / mean / share outside the
+    training p1-p99 band."""
+    return stream.withWatermark(ts, delay).groupBy(F.window(ts, window), *by).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(value).alias("mean_value"),
+        F.avg((F.col(value) < low).cast("double")).alias("share_low"),
+        F.avg((F.col(value) > high).cast("double")).alias("share_high"),
+    ).withColumn("window_start", F.col("window.start")).drop("window")

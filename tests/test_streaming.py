@@ -112,3 +112,21 @@ def test_stream_retrain_triggers_equal_batch_for_closed_windows(spark):
     batch = {(r["window_start"], r["trigger"]): r["fired"] for r in
              M.trigger_rows(M.rolling_performance(matched, "ts", 7, 1)).collect()}
     assert got and all(batch[k] == v for k, v in got.items())
+
+
+def test_stream_drift_equals_batch_for_closed_windows(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    train = ev.where("ts < timestamp'2024-01-08'")
+    edges, shares = M.training_bins(train, "value")
+    prof = M.training_profile(train, "value")
+    stream = _event_stream(spark)
+    _run(M.stream_input_drift(stream, "ts", "value", edges, shares, delay="0 seconds"), "psi_out")
+    got = {r["window_start"].strftime("%Y-%m-%d"): r["psi"] for r in spark.sql("SELECT * FROM psi_out").collect()}
+    want = {r["day"]: r["psi"] for r in M.input_drift(ev, train, "ts", "value").collect()}
+    assert got and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+    _run(M.stream_prediction_drift(_event_stream(spark), "ts", "value", ["event_type"], prof[0.01], prof[0.99],
+                                   delay="0 seconds"), "drift_out")
+    got2 = {(r["window_start"].strftime("%Y-%m-%d"), r["event_type"]): r["n"] for r in spark.sql("SELECT * FROM drift_out").collect()}
+    want2 = {(r["day"], r["event_type"]): r["n"] for r in
+             M.prediction_drift(ev, "ts", "value", ["event_type"], prof[0.01], prof[0.99]).collect()}
+    assert got2 and all(want2[k] == v for k, v in got2.items())
