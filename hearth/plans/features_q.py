@@ -287,3 +287,52 @@ def enrichment_validation_q(spark, sf):
     en = attach_monthly(o.withColumn("_y", F.year("o_orderdate")).withColumn("_m", F.month("o_orderdate")),
                         series, "_y", "_m", "rate").drop("_y", "_m")
     return enrichment_validation(o, en, "o_orderkey", ["rate"])
+
+
+# ---- P11: the whole engineered frame (names, absence fill, derived, ordinals,
+# ms_sub_class text, leakage drop) --------------------------------------------------
+
+_ENG_SQL = f"""
+WITH {_H},
+f AS (SELECT *, coalesce(GarageYrBlt, 0) AS gyb, coalesce(GarageArea, 0) AS ga, coalesce(GarageCars, 0) AS gc,
+             coalesce(TotalBsmtSF, 0) AS tb, coalesce(BsmtFullBath, 0) AS bfb, coalesce(PoolArea, 0) AS pa,
+             coalesce(MasVnrArea, 0) AS mva, coalesce(GarageType, 'NoFeature') AS gt, coalesce(Fence, 'NoFeature') AS fe,
+             YrSold - YearBuilt AS age, YrSold - YearRemodAdd AS remod FROM h),
+t AS (SELECT *, YrSold - gyb AS gage, coalesce(tb, 0) + coalesce("1stFlrSF", 0) + coalesce("2ndFlrSF", 0) AS tsf,
+             coalesce(WoodDeckSF, 0) + coalesce(OpenPorchSF, 0) + coalesce(ScreenPorch, 0) AS tps FROM f)
+SELECT {_KEYS_SQL},
+  YrSold AS yr_sold, MoSold AS mo_sold, YearBuilt AS year_built, YearRemodAdd AS year_remod_add, gyb AS garage_yr_blt,
+  OverallQual AS overall_qual, GrLivArea AS gr_liv_area, tb AS total_bsmt_sf, "1stFlrSF" AS first_flr_sf,
+  "2ndFlrSF" AS second_flr_sf, FullBath AS full_bath, HalfBath AS half_bath, bfb AS bsmt_full_bath,
+  ga AS garage_area, gc AS garage_cars, gt AS garage_type, {_scale_case('GarageFinish', K.GARAGE_FINISH_SCALE)} AS garage_finish,
+  pa AS pool_area, Fireplaces AS fireplaces, fe AS fence, WoodDeckSF AS wood_deck_sf, OpenPorchSF AS open_porch_sf,
+  ScreenPorch AS screen_porch, SaleType AS sale_type, SaleCondition AS sale_condition,
+  {_scale_case('KitchenQual', K.QUALITY_SCALE)} AS kitchen_qual, {_scale_case('Functional', K.FUNCTIONAL_SCALE)} AS functional,
+  CAST(MSSubClass AS VARCHAR) AS ms_sub_class, LotArea AS lot_area, mva AS mas_vnr_area, LotFrontage AS lot_frontage,
+  YrSold AS sale_year, MoSold AS sale_month, CAST(ceil(MoSold / 3) AS INTEGER) AS sale_quarter,
+  CAST((YrSold - (SELECT min(YrSold) FROM h)) * 12 + MoSold AS DOUBLE) AS sale_ym_index,
+  CASE WHEN age < 0 THEN 0 ELSE age END AS age_at_sale, CASE WHEN remod < 0 THEN 0 ELSE remod END AS years_since_remodel,
+  CASE WHEN gage < 0 THEN 0 ELSE gage END AS garage_age_at_sale,
+  tsf AS total_sf, coalesce("1stFlrSF", 0) + coalesce("2ndFlrSF", 0) AS total_above_ground_sf,
+  coalesce(FullBath, 0) + CAST(0.5 AS DOUBLE) * coalesce(HalfBath, 0) + CAST(1.0 AS DOUBLE) * coalesce(bfb, 0) AS total_bath,
+  tps AS total_porch_sf,
+  CASE WHEN tb > 0 THEN 1 ELSE 0 END AS has_basement,
+  CASE WHEN coalesce(ga, 0) > 0 OR coalesce(gc, 0) > 0 THEN 1 ELSE 0 END AS has_garage,
+  CASE WHEN pa > 0 THEN 1 ELSE 0 END AS has_pool, CASE WHEN Fireplaces > 0 THEN 1 ELSE 0 END AS has_fireplace,
+  CASE WHEN fe NOT IN ('NoFeature', 'None', 'NA') THEN 1 ELSE 0 END AS has_fence,
+  CASE WHEN tps > 0 THEN 1 ELSE 0 END AS has_porch,
+  CASE WHEN SaleType = 'New' OR SaleCondition = 'Partial' THEN 1 ELSE 0 END AS is_new_house,
+  OverallQual * GrLivArea AS qual_gr_liv_area, OverallQual * tsf AS qual_total_sf, age * OverallQual AS age_qual_interaction,
+  CASE WHEN age < 0 THEN 1 ELSE 0 END AS age_negative_flag, CASE WHEN remod < 0 THEN 1 ELSE 0 END AS remodel_negative_flag,
+  CASE WHEN gage < 0 THEN 1 ELSE 0 END AS garage_age_negative_flag
+FROM t
+"""
+
+
+@register("engineered_features", _ENG_SQL)
+def engineered_features(spark, sf):
+    """P11 end to end: every engineered column of every sale (no sale price:
+    it is a leakage column)."""
+    h = V.house(spark, sf)
+    cfg = FeatureConfig()
+    return transform_features(h, fit_features(h, cfg), cfg, keep=KEYS)
