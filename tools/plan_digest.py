@@ -53,8 +53,9 @@ def digest(text: str) -> dict:
             continue
         name, node = m.group(1).strip(), m.group(2)
         ids.add(node)
-        if name in NAMES:
-            ops[name] += 1
+        hits = [n for n in NAMES if name == n or name.startswith(n + " ")]
+        if hits:
+            ops[max(hits, key=len)] += 1
     scans = []
     for block in text.split("\n\n"):
         head = block.lstrip().splitlines()[0] if block.strip() else ""
