@@ -65,6 +65,12 @@ def exact_quantiles(
     vcol = F.col(value) if isinstance(value, str) else value
     base = df.select(*keys, vcol.cast("double").alias("_v")).where(F.col("_v").isNotNull())
 
+    if not keys:
+        # one group: a single HLL number decides the path (never both)
+        d = base.agg(F.approx_count_distinct("_v", 0.05).alias("_d")).collect()[0]["_d"]
+        if d <= max_distinct:
+            return _count_quantiles(base, keys, probs, names)
+        return _sketch_quantiles(base, keys, probs, names, accuracy)
     # route groups by (approximate) distinct count: one cheap HLL pass
     card = base.groupBy(*keys).agg(F.approx_count_distinct("_v", 0.05).alias("_d"))
     big = card.where(F.col("_d") > max_distinct).select(*keys)
@@ -76,10 +82,7 @@ def exact_quantiles(
 
 
 def _semi(rows: DataFrame, groups: DataFrame, keys: list) -> DataFrame:
-    if keys:
-        return _join_null_safe(rows, groups, keys, "left_semi")
-    return rows.withColumn("_one", F.lit(1)).join(
-        F.broadcast(groups.withColumn("_one", F.lit(1))), "_one", "left_semi").drop("_one")  # <= 1 row
+    return _join_null_safe(rows, groups, keys, "left_semi")
 
 
 def _count_quantiles(base: DataFrame, keys: list, probs: list, names: list) -> DataFrame:
@@ -116,8 +119,11 @@ def _sketch_quantiles(base: DataFrame, keys: list, probs: list, names: list, acc
     if keys:
         joined = _join_null_safe(base, sketch, keys)  # AQE: broadcast when small, skew-split otherwise
     else:
-        joined = base.withColumn("_one", F.lit(1)).join(
-            F.broadcast(sketch.withColumn("_one", F.lit(1))), "_one").drop("_one")  # exactly one row
+        one = sketch.collect()  # the global sketch is one row: n and 2k bracket values, as literals
+        if not one:
+            return base.sparkSession.createDataFrame([], ", ".join(f"{n} double" for n in names))
+        joined = base.select("_v", F.lit(one[0]["_n"]).alias("_n"),
+                            F.array(*[F.lit(float(x)) for x in one[0]["_br"]]).alias("_br"))
 
     # step 2: per probability, mark the row as below the bracket (v -> NULL) or
     # inside it (v kept); rows above every bracket are dropped.
@@ -158,9 +164,8 @@ def _sketch_quantiles(base: DataFrame, keys: list, probs: list, names: list, acc
     missed = picked.where(~F.col("_ok")).select(*keys).distinct()
     if keys:
         fb_rows = _join_null_safe(base, missed, keys, "left_semi")
-    else:
-        fb_rows = base.withColumn("_one", F.lit(1)).join(
-            F.broadcast(missed.withColumn("_one", F.lit(1))), "_one", "left_semi").drop("_one")
+    else:  # one group: the check is on a k-row table
+        fb_rows = base if picked.where(~F.col("_ok")).limit(1).count() else base.limit(0)
     fallback = fb_rows.groupBy(*keys).agg(
         F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("_qs")
     ).select(*keys, F.posexplode("_qs").alias("_i", "_q"))

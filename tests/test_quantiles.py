@@ -36,3 +36,19 @@ def test_global_median_and_mode(spark):
     t = spark.createDataFrame([("x", "b"), ("x", "a"), ("x", "b"), ("x", "a"), ("x", None), ("y", None)], "g string, s string")
     got = {r["g"]: (r["mode"], r["n"]) for r in mode_of(t, "s", by=["g"], count_name="n").collect()}
     assert got == {"x": ("a", 2)}
+
+
+@pytest.mark.parametrize("max_distinct", [1_000_000, 10])
+def test_global_quantiles_one_row_and_no_cross_join(spark, max_distinct):
+    import contextlib
+    import io
+
+    df = spark.range(1000).selectExpr("cast(id as double) as v")
+    q = exact_quantiles(df, "v", [0.5, 0.9], max_distinct=max_distinct, accuracy=100)
+    rows = q.collect()
+    assert len(rows) == 1
+    assert rows[0]["q0_5"] == pytest.approx(499.5) and rows[0]["q0_9"] == pytest.approx(899.1)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    assert "NestedLoopJoin" not in buf.getvalue() and "CartesianProduct" not in buf.getvalue()
