@@ -47,3 +47,20 @@ def test_oracle_sql_needs_no_spark():
     out = subprocess.run([_sys.executable, "-c", "import __spark_entry__ as e; print(len(e.oracle_sql()))"],
                          cwd=root, capture_output=True, text=True, timeout=120)
     assert out.returncode == 0 and int(out.stdout.strip()) == len(ORACLE)
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_has_no_cross_join_or_row_udf(spark, name):
+    """Scale rules as a test: no pair-generating join and no row-at-a-time
+    Python UDF in any registered query's physical plan."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        QUERIES[name](spark, SF_SMALL).explain("formatted")
+    plan = buf.getvalue()
+    assert not [f for f in FORBIDDEN if f in plan], name
