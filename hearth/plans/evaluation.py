@@ -141,3 +141,38 @@ def confidence_range_q(spark, sf):
 
     res = residual_frame(_scored(spark, sf), "y", "pred_log", keep=KEYS)
     return confidence_range(res, res.select(*KEYS, "predicted"), V.SALE_PRICE_EDGES, V.SALE_PRICE_LABELS)
+
+
+_RES_NUM = ["actual", "predicted", "residual", "abs_error", "abs_pct_error"]
+
+
+def _res_sql() -> str:
+    num = " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count({c}) AS "count", {sql_sig(f'avg({c})')} AS mean, {sql_sig(f'stddev_samp({c})')} AS std,
+  {sql_sig(f'min({c})')} AS "min", {sql_sig(f'quantile_cont({c}, 0.25)')} AS q25, {sql_sig(f'quantile_cont({c}, 0.5)')} AS q50,
+  {sql_sig(f'quantile_cont({c}, 0.75)')} AS q75, {sql_sig(f'max({c})')} AS "max",
+  CAST(NULL AS BIGINT) AS "unique", CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq FROM b""" for c in _RES_NUM)
+    return f"""WITH {_BASE_SQL},
+b AS (SELECT *, {bucket_case('actual', V.SALE_PRICE_EDGES, V.SALE_PRICE_LABELS, include_lowest=True)} AS price_bucket FROM e),
+pc AS (SELECT price_bucket AS v, count(*) AS n FROM b WHERE price_bucket IS NOT NULL GROUP BY 1),
+top AS (SELECT v, n FROM pc ORDER BY n DESC, v ASC LIMIT 1)
+{num}
+UNION ALL SELECT 'price_bucket', count(price_bucket), NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  count(DISTINCT price_bucket), (SELECT v FROM top), (SELECT n FROM top) FROM b"""
+
+
+@register("residual_summary", _res_sql())
+def residual_summary(spark, sf):
+    """``describe(include='all')`` of the residual frame, one row per column
+    (numeric statistics with exact quartiles; unique/top/freq for the bucket)."""
+    from hearth.operators.profile import describe, describe_text
+
+    res = residual_frame(_scored(spark, sf), "y", "pred_log", edges=V.SALE_PRICE_EDGES, labels=V.SALE_PRICE_LABELS)
+    num = describe(res, _RES_NUM)
+    num = num.select("column", "count", *[round_sig(c).alias(c) for c in ["mean", "std", "min", "q25", "q50", "q75", "max"]],
+                     F.lit(None).cast("long").alias("unique"), F.lit(None).cast("string").alias("top"),
+                     F.lit(None).cast("long").alias("freq"))
+    txt = describe_text(res, ["price_bucket"]).select(
+        "column", "count", *[F.lit(None).cast("double").alias(c) for c in ["mean", "std", "min", "q25", "q50", "q75", "max"]],
+        "unique", "top", F.col("freq").cast("long").alias("freq"))
+    return num.unionByName(txt)
