@@ -337,22 +337,24 @@ def distinct_per_group(df: DataFrame, value: str, by: Sequence[str], min_distinc
     return pairs.groupBy(*by).agg(F.count(F.lit(1)).cast("long").alias(name)).where(F.col(name) >= min_distinct)
 
 
-def average_rank(df: DataFrame, value: str, name: str) -> Column:
-    """pandas ``rank(method='average')`` as window expressions.
-
-    Unpartitioned: use only on group-level tables (one row per group).
-    """
-    order = Window.orderBy(F.col(value))
-    ties = Window.partitionBy(F.col(value))
-    return (F.rank().over(order) + (F.count(F.lit(1)).over(ties) - 1) / 2.0).alias(name)
-
-
-def spearman(group_table: DataFrame, x: str, y: str, name: str = "spearman_rho") -> DataFrame:
-    """Spearman rho between two columns of a group-level table (one row per group)."""
-    ranked = group_table.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
-        average_rank(group_table, x, "_rx"), average_rank(group_table, y, "_ry")
-    )
-    return ranked.agg(F.count(F.lit(1)).alias("n_groups"), pair_corr("_rx", "_ry").alias(name))
+def average_ranks(df: DataFrame, value: str, name: str, partitions: int | None = None) -> DataFrame:
+    """``df`` (non-null ``value`` rows) plus pandas-style average ranks (1-based,
+    ties share the mean of their positions), without a single-task window:
+    positions come from the distributed row index, ties from a per-value
+    aggregate joined back on the value."""
+    idx = with_global_index(df.where(F.col(value).isNotNull()), [value], "_pos", partitions)
+    ties = idx.groupBy(value).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_c"))
+    return idx.join(ties, value).withColumn(name, F.col("_first") + 1 + (F.col("_c") - 1) / 2.0) \
+        .drop("_pos", "_first", "_c")
+
+
+def spearman(table: DataFrame, x: str, y: str, key: str, name: str = "spearman_rho") -> DataFrame:
+    """Spearman rho between two columns over rows where both are present:
+    Pearson r of their average ranks (rows matched back by ``key``)."""
+    both = table.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(key, x, y)
+    rx = average_ranks(both.select(key, x), x, "_rx").select(key, "_rx")
+    ry = average_ranks(both.select(key, y), y, "_ry").select(key, "_ry")
+    return rx.join(ry, key).agg(F.count(F.lit(1)).alias("n_groups"), pair_corr("_rx", "_ry").alias(name))
 
 
 # ---- A31 / A32 -------------------------------------------------------------

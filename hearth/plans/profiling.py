@@ -335,7 +335,7 @@ def spearman_groups(spark, sf):
     dist = j.groupBy("n_name").agg(F.avg("c_acctbal").alias("mean_distance"))
     med = exact_median(j, "o_totalprice", by=["n_name"], name="median_price")
     g = dist.join(med, "n_name")  # one row per neighbourhood
-    rho = P.spearman(g, "mean_distance", "median_price")
+    rho = P.spearman(g, "mean_distance", "median_price", key="n_name")
     return rho.select("n_groups", F.round("spearman_rho", 6).alias("spearman_rho"))
 
 

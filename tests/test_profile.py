@@ -89,3 +89,16 @@ def test_pairwise_correlation_matches_pandas_with_nulls(spark):
     assert np.isnan(r[0, 3]) and np.isnan(r[3, 3])
     pairs = {(p["feature_1"], p["feature_2"]): p["abs_corr"] for p in P.collinear_pairs(df, ["a", "b", "c", "k"]).collect()}
     assert list(pairs) == [("a", "b")]
+
+
+def test_average_ranks_and_spearman_match_pandas(spark):
+    import pandas as pd
+
+    vals = [3.0, 1.0, 3.0, 2.0, 5.0, 3.0, 1.0, 9.0]
+    other = [1.0, 2.0, 2.0, 4.0, 3.0, 8.0, 0.5, 7.0]
+    df = spark.createDataFrame([(i, v, o) for i, (v, o) in enumerate(zip(vals, other))], "k int, v double, o double")
+    got = {r["k"]: r["r"] for r in P.average_ranks(df, "v", "r", partitions=3).collect()}
+    want = pd.Series(vals).rank(method="average")
+    assert [got[i] for i in range(len(vals))] == list(want)
+    rho = P.spearman(df, "v", "o", key="k").collect()[0]["spearman_rho"]
+    assert rho == pytest.approx(pd.Series(vals).rank().corr(pd.Series(other).rank()), abs=1e-12)
