@@ -19,9 +19,14 @@ def col_or_lit(c) -> Column:
     return c if isinstance(c, Column) else F.lit(c)
 
 
+# fixed values: the ASCII whitespace set stripped from text cells
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
 def strip_whitespace(c: str | Column) -> Column:
-    """Python ``str.strip()``: all leading/trailing whitespace, not only spaces."""
-    return F.regexp_replace(col_or_lit(c), r"^\s+|\s+$", "")
+    """Strip leading/trailing whitespace (tab, newline, ... not only spaces,
+    unlike ``trim``); ``btrim`` with an explicit set stays in codegen."""
+    return F.btrim(col_or_lit(c), F.lit(WHITESPACE))
 
 
 def blank_to_null(c: str | Column, tokens: Iterable[str] = ("",)) -> Column:

@@ -85,3 +85,8 @@ def test_garage_rule_skipped_without_garage_type(spark):
     tr, _ = frames(spark)
     out = by_id(domain_rules(tr.drop("GarageType")))
     assert out[1]["GarageArea"] == 400.0
+
+
+def test_tidy_strips_all_ascii_whitespace(spark):
+    df = spark.createDataFrame([("\t RL \n",), (" \r\n ",), ("a b",), (None,)], "z string")
+    assert [r["z"] for r in tidy_text(df).collect()] == ["RL", None, "a b", None]
