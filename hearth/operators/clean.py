@@ -267,10 +267,9 @@ def _column_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, Any]:
 
 
 def _column_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
-    from hearth.operators.profile import to_long
+    from hearth.operators.profile import quantiles_by_column
 
-    long = to_long(df, cols)
-    return {r["column"]: r["m"] for r in exact_quantiles(long, "value", [0.5], by=["column"], names=["m"]).collect()}
+    return {r["column"]: r["m"] for r in quantiles_by_column(df, cols, [0.5], ["m"]).collect()}  # one row per column
 
 
 def _null_flags(df: DataFrame, cols: Sequence[str]) -> dict[str, bool]:

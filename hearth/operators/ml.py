@@ -59,7 +59,9 @@ def fit_fill_values(df: DataFrame, numeric: Sequence[str], text: Sequence[str])
     ``NoFeature`` when a text column has no value at all."""
     out: dict = {}
     if numeric:
-        for r in exact_quantiles(to_long(df, numeric), "value", [0.5], by=["column"], names=["m"]).collect():
+        from hearth.operators.profile import quantiles_by_column
+
+        for r in quantiles_by_column(df, numeric, [0.5], ["m"]).collect():  # one row per column
             out[r["column"]] = r["m"]
     if text:
         long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v"))

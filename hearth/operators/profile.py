@@ -48,6 +48,15 @@ def to_long(df: DataFrame, columns: Sequence[str], name: str = "column", value:
     )
 
 
+def quantiles_by_column(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                        names: Sequence[str]) -> DataFrame:
+    """Exact quantiles of every column in one job over the long view; the
+    source row count bounds each column's distinct values, which lets small
+    tables skip the distinct-count routing pass."""
+    n = df.count()
+    return exact_quantiles(to_long(df, columns), "value", probs, by=["column"], names=names, rows_hint=n)
+
+
 def _one_row_to_long(row_df: DataFrame, items: Sequence[tuple[Sequence[str], str]],
                      labels: Sequence[str], value: str) -> DataFrame:
     """Turn a one-row aggregate into rows ``(labels..., value)``."""
@@ -98,7 +107,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quarts = exact_quantiles(long, "value", [0.25, 0.5, 0.75], by=["column"], names=["q25", "q50", "q75"])
+    quarts = quantiles_by_column(df, columns, [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
     return moments.join(quarts, "column", "left").select(
         "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
     )
@@ -158,7 +167,7 @@ class OutlierBounds:
 
 def fit_outlier_bounds(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> OutlierBounds:
     long = to_long(df, columns)
-    quarts = exact_quantiles(long, "value", [0.25, 0.75], by=["column"], names=["q1", "q3"])
+    quarts = quantiles_by_column(df, columns, [0.25, 0.75], ["q1", "q3"])
     moments = long.groupBy("column").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
     rows = {r["column"]: r for r in moments.join(quarts, "column", "left").collect()}  # one row per column
     get = lambda key: {c: (rows[c][key] if c in rows else None) for c in columns}

@@ -44,6 +44,7 @@ def exact_quantiles(
     names: Sequence[str] | None = None,
     accuracy: int = _ACCURACY,
     max_distinct: int = MAX_DISTINCT,
+    rows_hint: int | None = None,
 ) -> DataFrame:
     """Per group of ``by``: exact linear-interpolated quantiles of ``value``.
 
@@ -56,6 +57,10 @@ def exact_quantiles(
     sum over its distinct values, so a task never holds more than that many
     rows.  Only groups with more distinct values take the sketch-bracket path
     over their rows.  Nothing is persisted.
+
+    ``rows_hint``: an upper bound on any group's row count known to the
+    caller (e.g. the source table's size for per-column statistics); when it
+    is within ``max_distinct`` the routing pass is skipped.
     """
     probs = [float(p) for p in probs]
     if not probs or any(p < 0 or p > 1 for p in probs):
@@ -65,6 +70,8 @@ def exact_quantiles(
     vcol = F.col(value) if isinstance(value, str) else value
     base = df.select(*keys, vcol.cast("double").alias("_v")).where(F.col("_v").isNotNull())
 
+    if rows_hint is not None and rows_hint <= max_distinct:
+        return _count_quantiles(base, keys, probs, names)  # no group can exceed the bound
     if not keys:
         # one group: a single HLL number decides the path (never both)
         d = base.agg(F.approx_count_distinct("_v", 0.05).alias("_d")).collect()[0]["_d"]

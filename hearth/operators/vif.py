@@ -86,8 +86,9 @@ def vif_report(df: DataFrame, max_features: int = 80, exclude: Sequence[str] = (
         return spark.createDataFrame([], SCHEMA)
     clean = df.select(*[F.when(F.abs(F.col(c).cast("double")) == float("inf"), F.lit(None))
                         .otherwise(F.col(c).cast("double")).alias(c) for c in num])
-    meds = {r["column"]: r["m"] for r in
-            exact_quantiles(to_long(clean, num), "value", [0.5], by=["column"], names=["m"]).collect()}  # one per column
+    from hearth.operators.profile import quantiles_by_column
+
+    meds = {r["column"]: r["m"] for r in quantiles_by_column(clean, num, [0.5], ["m"]).collect()}  # one per column
     keep = [c for c in num if meds.get(c) is not None]
     filled = clean.select(*[F.coalesce(F.col(c), F.lit(meds[c])).alias(c) for c in keep])
     ext = filled.agg(*[F.min(c).alias(f"mn{i}") for i, c in enumerate(keep)],
