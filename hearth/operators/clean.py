@@ -22,7 +22,7 @@ from pyspark.sql.types import NumericType, StringType
 from hearth import constants as K
 from hearth.functions.exprs import any_null, blank_to_null, broadcast_if_small, merge_single_rows
 from hearth.operators.dedup import duplicate_summary, keep_first
-from hearth.operators.quantiles import exact_median, exact_quantiles, mode_of
+from hearth.operators.quantiles import exact_median, mode_of
 
 
 REPORT_ID_LIMIT = 10_000  # ids listed inline in the JSON report at most

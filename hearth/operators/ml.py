@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth import constants as K
-from hearth.operators.profile import to_long
 from hearth.operators.quantiles import exact_quantiles, mode_of
 
 RANDOM_SEED = 42
@@ -345,7 +344,7 @@ def tune_trees(assembled: DataFrame, spec: ModelSpec, grid: dict, n_iter: int =
     """Seeded random search scored on log-RMSE with Spark's CrossValidator
     over a deterministic fold column (hash of the key, not row position)."""
     from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder  # noqa: F401
+    from pyspark.ml.tuning import CrossValidator
 
     from hearth.operators.metrics import fold_of
 

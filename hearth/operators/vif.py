@@ -15,8 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from hearth.operators.profile import to_long
-from hearth.operators.quantiles import exact_quantiles
 
 VIF_COLUMNS = ["feature", "vif", "r_squared", "n_features_used", "note"]
 SCHEMA = "feature string, vif double, r_squared double, n_features_used int, note string"

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from hearth.functions.exprs import clip_below_zero, flag, right_closed_bucket
 from hearth.operators.clean import apply_group_median, domain_rules, fit_group_median, leverage_flag
 from hearth.operators.dedup import duplicate_summary, keep_first
-from hearth.operators.metrics import summarize_errors  # noqa: F401  (re-exported for users)
 from hearth.operators.profile import missing_report
 from hearth.operators.quantiles import mode_of
 from hearth.plans import views as V
