@@ -73,3 +73,18 @@ def test_report_sinks(spark):
     assert spark.read.text(p).count() == 1
     assert [r["feature"] for r in feature_list_frame(spark, ["x", "y"]).orderBy("position").collect()] == ["x", "y"]
     assert F is not None
+
+
+def test_manifest_and_submission_with_ids(spark):
+    import math
+
+    from hearth.sources.io import artifact_manifest, submission
+
+    m = artifact_manifest(spark, [("ridge", True, "/p/prep", "/p/model", "all_rows"),
+                                  ("lasso", False, "/q/prep", "/q/model", "all_rows")])
+    assert [r["model"] for r in m.where("is_best_model").collect()] == ["ridge"]
+    df = spark.createDataFrame([(7, math.log1p(150000.0)), (8, -3.0)], "Id int, p double")
+    rows = {r["Id"]: r["SalePrice"] for r in submission(df, "p").collect()}
+    assert rows[7] == pytest.approx(150000.0) and rows[8] == 0.0
+    with pytest.raises(ValueError):
+        submission(df.drop("Id"), "p", id_col=None)
