@@ -133,14 +133,26 @@ def error_by_quality(spark, sf):
     return out.select("overall_qual", "n", *[round_sig(c).alias(c) for c in _SLICE_COLS])
 
 
-@register("confidence_range")
+def _conf_sql() -> str:
+    bucket = bucket_case("predicted", V.SALE_PRICE_EDGES, V.SALE_PRICE_LABELS, include_lowest=True)
+    return f"""WITH {_BASE_SQL},
+sb AS (SELECT *, {bucket} AS b FROM e),
+bands AS (SELECT b, quantile_cont(actual / predicted - 1, 0.05) AS lo, quantile_cont(actual / predicted - 1, 0.95) AS hi
+          FROM sb WHERE predicted > 0 AND b IS NOT NULL GROUP BY b)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {sql_sig('predicted')} AS predicted,
+       {sql_sig('greatest(predicted * (1 + lo), 0)')} AS range_low, {sql_sig('predicted * (1 + hi)')} AS range_high
+FROM sb LEFT JOIN bands ON sb.b = bands.b"""
+
+
+@register("confidence_range", _conf_sql())
 def confidence_range_q(spark, sf):
-    """M19 (rows-only): every sale scored by the out-of-fold baseline with the
-    5%-95% relative-error band of its predicted-price bucket."""
+    """Every sale scored by the out-of-fold baseline with the 5%-95%
+    relative-error band of its predicted-price bucket."""
     from hearth.operators.ml import confidence_range
 
     res = residual_frame(_scored(spark, sf), "y", "pred_log", keep=KEYS)
-    return confidence_range(res, res.select(*KEYS, "predicted"), V.SALE_PRICE_EDGES, V.SALE_PRICE_LABELS)
+    out = confidence_range(res, res.select(*KEYS, "predicted"), V.SALE_PRICE_EDGES, V.SALE_PRICE_LABELS)
+    return out.select(*KEYS, *[round_sig(c).alias(c) for c in ["predicted", "range_low", "range_high"]])
 
 
 _RES_NUM = ["actual", "predicted", "residual", "abs_error", "abs_pct_error"]
