@@ -150,7 +150,11 @@ def confidence_range_q(spark, sf):
     relative-error band of its predicted-price bucket."""
     from hearth.operators.ml import confidence_range
 
-    res = residual_frame(_scored(spark, sf), "y", "pred_log", keep=KEYS)
+    from hearth.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    # the residual table feeds the routing, band and scoring passes: written once
+    res = residual_frame(_scored(spark, sf), "y", "pred_log", keep=KEYS).checkpoint()
     out = confidence_range(res, res.select(*KEYS, "predicted"), V.SALE_PRICE_EDGES, V.SALE_PRICE_LABELS)
     return out.select(*KEYS, *[round_sig(c).alias(c) for c in ["predicted", "range_low", "range_high"]])
 
