@@ -37,16 +37,21 @@ def local_session(cores: int | str = "*", app: str = "hearth") -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (local tests) create a private scratch folder."""
-    configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(
-        CHECKPOINT_CONF, None
-    )
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="hearth-ckpt-")
-        try:
-            spark.conf.set(CHECKPOINT_CONF, configured)
-        except Exception:  # core conf not settable at runtime; the context dir below suffices
-            pass
-    spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    """The folder for checkpoints and intermediate tables: the session's
+    ``spark.checkpoint.dir`` if set, else the folder the context already has.
+    Only a local session without either (tests) gets a scratch folder; on a
+    cluster that would be one machine's disk, so there it is an error."""
+    sc = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+    current = sc._jsc.sc().getCheckpointDir()
+    current = current.get() if current.isDefined() else None
+    if configured:
+        if current is None:
+            sc.setCheckpointDir(configured)
+        return configured
+    if current is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
+        current = tempfile.mkdtemp(prefix="hearth-ckpt-")
+        sc.setCheckpointDir(current)
+    return current
