@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, decontam, pii, quality, url_filter, warc
+from hearth.llm import bpe, decontam, line_dedup, ngram_join, pii, quality, url_filter, warc
 from hearth.llm.tables import saved
 from hearth.sources.tables import table
 
@@ -42,6 +42,19 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(decontam.find_windows(docs, table(spark, sf_dir, "benchmark")))
 
 
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = line_dedup.mark_lines(docs)
+    gone = F.coalesce(F.size("__lines"), F.lit(0)).cast("long")
+    n_lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long")
+    return marked.select(
+        "doc_id", n_lines.alias("n_lines"), F.greatest(gone, F.lit(0)).alias("n_removed"),
+        F.coalesce(F.array_join(F.col("__lines").cast("array<string>"), ","), F.lit("")).alias("removed_lines"),
+        F.sha2(F.coalesce(line_dedup.kept_text(), F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).drop("url")
@@ -52,6 +65,12 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = ngram_join.linked(table(spark, sf_dir, "documents"))
+    return linked.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 @query
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts are those of the base spans; ``spans`` has the added ones too."""

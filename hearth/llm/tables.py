@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from typing import Iterator  # noqa: UP035  (what applyInArrow looks for)
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +37,15 @@ def saved(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bitmap(keys: DataFrame, col: str, bits: int = BITMAP_BITS) -> bytes:
-    """Bits of the hashes of a column's values; built by Spark, ``bits / 8``
-    bytes reach the driver whatever the number of keys."""
-    h = F.pmod(F.xxhash64(col), F.lit(bits)) + 1
+def bit_of(col: str) -> Column:
+    return F.pmod(F.xxhash64(col), F.lit(BITMAP_BITS))
+
+
+def bitmap(keys: DataFrame, bit: Column, bits: int = BITMAP_BITS) -> bytes:
+    """The set bits of ``keys``, ``bit`` being a number from 0 below ``bits``;
+    built by Spark, ``bits / 8`` bytes reach the driver whatever the number of
+    keys."""
+    h = bit + 1
     parts = (
         keys.select(F.bitmap_bucket_number(h).alias("b"), F.bitmap_bit_position(h).alias("p"))
         .groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
@@ -52,12 +58,10 @@ def bitmap(keys: DataFrame, col: str, bits: int = BITMAP_BITS) -> bytes:
 
 
 def maybe_in(df: DataFrame, bits: bytes, col: str) -> tuple[DataFrame, DataFrame]:
-    """``df`` split into rows whose key may be in the bitmap's set, and rows
-    whose key surely is not.  The bitmap is a broadcast of fixed size."""
+    """``df`` split into rows whose key may be in the set of a bitmap made by
+    ``bit_of``, and rows whose key surely is not.  The bitmap is a broadcast of fixed size."""
     shared = df.sparkSession.sparkContext.broadcast(np.frombuffer(bits, np.uint8))
-    n = len(bits) * 8
-    at = F.pmod(F.xxhash64(col), F.lit(n))
-    marked = df.withColumn("__bit", at)
+    marked = df.withColumn("__bit", bit_of(col))
 
     def pick(wanted: bool) -> Callable:
         def run(batches):
@@ -90,7 +94,7 @@ def count_table(df: DataFrame, tokens: Callable, cells: int = COUNT_CELLS) -> np
             names=["part", "cells"],
         )
 
-    def add(batches):
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, part = np.zeros(width, np.int64), None
         for b in batches:
             for p, c in zip(b.column("part").to_pylist(), b.column("cells").to_pylist(), strict=True):

@@ -144,11 +144,8 @@ def distinct_sets(tokens: np.ndarray, unit: np.ndarray, n_units: int):
     return t, u, off
 
 
-def fingerprints(tokens: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two order-free 64-bit fingerprints of each unit's token set (0 if empty)."""
-    out = []
-    for seed in (11, 12):
-        total = np.zeros(len(tokens) + 1, np.uint64)
-        np.cumsum(mix(tokens, seed), out=total[1:])
-        out.append((total[off[1:]] - total[off[:-1]]).view(np.int64))
-    return out[0], out[1]
+def fingerprint(tokens: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """An order-free 64-bit hash of each unit's token set (0 if empty)."""
+    total = np.zeros(len(tokens) + 1, np.uint64)
+    np.cumsum(mix(tokens, 11), out=total[1:])
+    return (total[off[1:]] - total[off[:-1]]).view(np.int64)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.llm.tables import bitmap, maybe_in, saved, shared_path
+from hearth.llm.tables import bit_of, bitmap, maybe_in, saved, shared_path
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
@@ -54,7 +54,7 @@ def classify(pages: DataFrame, key: str, payload_col: str, min_bytes: int) -> Da
         .select(F.col("__id").alias("__key"), F.col("__digest").alias("__key_digest"), "__first").distinct(), "revisits",
     )
     maybe, never = maybe_in(rows.withColumn("__digest_key", F.concat_ws(":", F.col(key).cast("string"), "__digest")),
-                            bitmap(again.select(F.concat_ws(":", F.col("__key").cast("string"), "__key_digest").alias("k")), "k"),
+                            bitmap(again.select(F.concat_ws(":", F.col("__key").cast("string"), "__key_digest").alias("k")), bit_of("k")),
                             "__digest_key")
     joined = maybe.join(again, (F.col(key).eqNullSafe(F.col("__key"))) & (F.col("__digest") == F.col("__key_digest")), "left")
     return joined.drop("__key", "__key_digest").unionByName(never.withColumn("__first", F.lit(None).cast(ids.schema["__id"].dataType)))
@@ -231,7 +231,7 @@ def _reassembled(spark: SparkSession, path: str, rows: DataFrame, kept: DataFram
         for file, block, idx, _, piece in _walk(batches):
             yield pa.RecordBatch.from_arrays([pa.array([f"{file}:{block}:{idx}"]), pa.array([piece], pa.binary())], names=["k", "piece"])
 
-    maybe, _ = maybe_in(_pieces(spark, path).mapInArrow(text, "k string, piece binary"), bitmap(parts, "k"), "k")
+    maybe, _ = maybe_in(_pieces(spark, path).mapInArrow(text, "k string, piece binary"), bitmap(parts, bit_of("k")), "k")
 
     def join(key, group: pd.DataFrame) -> pd.DataFrame:
         piece = MAGIC.encode().join(group.sort_values("at")["piece"])
