@@ -223,29 +223,33 @@ def decode(df: DataFrame, rank_path: str, ids_col: str = "ids", out_col: str = "
     return df.mapInArrow(run, schema)
 
 
-def round_trip_digest(df: DataFrame, rank_path: str, pattern: str, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip_digest(
+    df: DataFrame, rank_path: str, pattern: str, key: str = "doc_id", text_col: str = "text", ids_col: str | None = None
+) -> DataFrame:
     """Per row: key, n_tokens, SHA-256 of the packed ids and of the bytes
-    decoded from them.  Encoding and decoding share one pass, so ids never
-    leave the Python worker."""
+    decoded from them, and the packed ids if ``ids_col`` names a column for
+    them.  Encoding and decoding share one pass."""
     shared = df.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
     slim = df.select(key, text_col)
     schema = T.StructType([
         slim.schema[key], T.StructField("n_tokens", T.LongType()),
         T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()),
+        *([T.StructField(ids_col, T.BinaryType())] if ids_col else []),
     ])
 
     def run(batches):
         codec = _codec(shared.value, pattern)
         for batch in batches:
-            counts, ids_hex, text_hex = [], [], []
+            at = 0
             for group in _text_groups(batch.column(1).to_pylist()):
-                for packed in codec.encode_texts(group):
-                    counts.append(len(packed) // 4)
-                    ids_hex.append(hashlib.sha256(packed).hexdigest())
-                    text_hex.append(hashlib.sha256(codec.decode(packed)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(text_hex, pa.string())],
-                names=schema.names,
-            )
+                coded = codec.encode_texts(group)
+                cols = [
+                    batch.column(0).slice(at, len(group)),
+                    pa.array([len(x) // 4 for x in coded], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in coded], pa.string()),
+                    pa.array([hashlib.sha256(codec.decode(x)).hexdigest() for x in coded], pa.string()),
+                ]
+                at += len(group)
+                yield pa.RecordBatch.from_arrays(cols + ([pa.array(coded, pa.binary())] if ids_col else []), names=schema.names)
 
     return slim.mapInArrow(run, schema)

@@ -197,3 +197,20 @@ def judge(df: DataFrame, text_col: str = "text", keep: list[str] | None = None,
     return m.withColumn("p_good", model.posterior()).withColumn("base_failed", base_failed()).withColumn(
         "kept", (F.col("p_good") >= 0.5) & ~F.col("base_failed")
     )
+
+
+def keep_good(docs: DataFrame, text_col: str = "text", save=None) -> DataFrame:
+    """``docs`` without the documents that ``judge`` rejects, same columns.
+
+    Rows are measured once for the model, on the measures alone, and filtered
+    in a second pass by the same expressions, so texts are neither stored nor
+    shuffled."""
+    rules = votes()
+    names = [f"vote_{k}" for k in rules]
+    seen = measures(docs, text_col, []).select(*[v.alias(f"vote_{k}") for k, v in rules.items()])
+    table = seen.groupBy(*names).agg(F.count("*").alias("n"))
+    model = fit(save(table) if save else table, names)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    whole = docs.select(F.struct(*columns).alias("__row"), F.col(f"`{text_col}`").alias("__text"))
+    judged = measures(whole, "__text", ["__row"]).select("*", *[v.alias(f"vote_{k}") for k, v in rules.items()])
+    return judged.where((model.posterior() >= 0.5) & ~base_failed()).select("__row.*")

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, decontam, line_dedup, ngram_join, pii, quality, url_filter, warc
+from hearth.llm import bpe, decontam, line_dedup, ngram_join, pii, quality, substring_dedup, toxicity, url_filter, warc
 from hearth.llm.tables import saved
 from hearth.sources.tables import table
 
@@ -78,6 +78,12 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs.select("doc_id", "text"), labels.select("doc_id", "toxic")).drop("restored")
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"), keep=["doc_id"], save=saved)
@@ -86,6 +92,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per passage of 50 words or more that repeats in another document:
+    word range [start, end) and one document that has it too."""
+    found = substring_dedup.passages(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "start", "end", F.col("other").alias("other_doc_id"))
+
+
 ORACLE["op4_url_filter"] = r"""
 WITH parts AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^([^/?#]*)([^?#]*)', 1) ELSE '' END AS h,

@@ -22,6 +22,8 @@ _BYTE[ord("A") : ord("Z") + 1] = _BYTE[ord("a") : ord("z") + 1]  # A-Z count as
 _STEP = [np.uint64(x) for x in (_rng.integers(1, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1))]
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
+#: runs of ASCII letters and digits and of anything from U+0080 on
+IS_ALNUM = np.array([c >= 0x80 or chr(c).isalnum() for c in range(256)])
 #: white space that separates words: \x20 and \x09-\x0D
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -88,6 +90,16 @@ def _hash_words(data: np.ndarray, breaks: np.ndarray, word: np.ndarray):
     return starts, ends, mix((total[ends] - total[starts]) * down[starts])
 
 
+def prefix_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the first ``size`` bytes of the words that are longer, other
+    than any word's hash, and which words these are."""
+    longer = np.flatnonzero(ends - starts > size)
+    out = np.zeros(len(longer), np.uint64)
+    for j in range(size):
+        out = (out + _BYTE[data[starts[longer] + j]]) * _STEP[j]  # the byte table folds case
+    return mix(out, 50 + size), longer
+
+
 def words(data: np.ndarray, breaks: np.ndarray, word: np.ndarray = IS_WORD):
     """Starts, ends and 64-bit hashes (A-Z as a-z) of the words of a buffer.
     No word runs over a position in ``breaks``.  Long buffers are hashed in
