@@ -40,17 +40,6 @@ def null_tokens_to_null(c: str | Column, tokens: Iterable[str] = NULL_TOKENS) ->
     return blank_to_null(c, tokens)
 
 
-def sum_present(columns: Sequence[str], available: Iterable[str]) -> Column | None:
-    """Row sum of the columns that exist, nulls counted as 0; None if none exist."""
-    present = [c for c in columns if c in set(available)]
-    if not present:
-        return None
-    total = F.coalesce(F.col(present[0]), F.lit(0))
-    for c in present[1:]:
-        total = total + F.coalesce(F.col(c), F.lit(0))
-    return total
-
-
 def flag(predicate: Column) -> Column:
     """Boolean -> 0/1 int, NULL predicate counted as 0."""
     return F.coalesce(predicate, F.lit(False)).cast("int")
