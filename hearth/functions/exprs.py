@@ -163,6 +163,46 @@ def _struct_type(df):
     return StructType(list(df.schema.fields))
 
 
+# fixed values: Wichura's rational approximations of the normal quantile (AS 241),
+# numerator and denominator by range, highest power first
+NORMAL_QUANTILE = {
+    "centre": (
+        (2509.0809287301226727, 33430.575583588128105, 67265.770927008700853, 45921.953931549871457,
+         13731.693765509461125, 1971.5909503065514427, 133.14166789178437745, 3.387132872796366608),
+        (5226.495278852854561, 28729.085735721942674, 39307.89580009271061, 21213.794301586595867,
+         5394.1960214247511077, 687.1870074920579083, 42.313330701600911252, 1.0)),
+    "near": (
+        (7.7454501427834140764e-4, 0.0227238449892691845833, 0.24178072517745061177, 1.27045825245236838258,
+         3.64784832476320460504, 5.7694972214606914055, 4.6303378461565452959, 1.42343711074968357734),
+        (1.05075007164441684324e-9, 5.475938084995344946e-4, 0.0151986665636164571966, 0.14810397642748007459,
+         0.68976733498510000455, 1.6763848301838038494, 2.05319162663775882187, 1.0)),
+    "far": (
+        (2.01033439929228813265e-7, 2.71155556874348757815e-5, 0.0012426609473880784386, 0.026532189526576123093,
+         0.29656057182850489123, 1.7848265399172913358, 5.4637849111641143699, 6.6579046435011037772),
+        (2.04426310338993978564e-15, 1.4215117583164458887e-7, 1.8463183175100546818e-5, 7.868691311456132591e-4,
+         0.0148753612908506148525, 0.13692988092273580531, 0.59983220655588793769, 1.0)),
+}
+
+
+def _horner(coefficients, x: str) -> str:
+    out = f"{coefficients[0]:.17e}"  # with an exponent a literal is a double in both
+    for c in coefficients[1:]:
+        out = f"({out} * {x} + {c:.17e})"
+    return out
+
+
+def normal_quantile_sql(p: str) -> str:
+    """The standard normal quantile of ``p`` (an SQL expression, between 0 and
+    1) as arithmetic that Spark and DuckDB evaluate alike."""
+    ratio = lambda part, x: f"{_horner(NORMAL_QUANTILE[part][0], x)} / {_horner(NORMAL_QUANTILE[part][1], x)}"
+    q, tail = f"(({p}) - 0.5e0)", f"sqrt(-ln(least(({p}), 1e0 - ({p}))))"
+    return (
+        f"CASE WHEN abs{q} <= 0.425e0 THEN {q} * {ratio('centre', f'(0.180625e0 - {q} * {q})')} "
+        f"ELSE sign{q} * CASE WHEN {tail} <= 5e0 THEN {ratio('near', f'({tail} - 1.6e0)')} "
+        f"ELSE {ratio('far', f'({tail} - 5e0)')} END END"
+    )
+
+
 def broadcast_if_small(df, max_rows: int = 100_000):
     """Broadcast hint only behind a row-count check (``limit`` stops early);
     larger tables are left to a shuffle join, where AQE splits skew."""

@@ -1,12 +1,10 @@
 """Record linkage and row-set validation.
 
-* exact step: null-safe equality on every shared column, with identical
-  records ("twins") paired 1:1 by a rank inside their identical group, so a
-  group of n twins yields n pairs, never n^2;
-* wildcard step: a blank (NULL) cell on the right matches anything; only
-  right rows with exactly ONE candidate are linked.  Candidates are counted by
-  aggregating the left side per blank pattern first (partial aggregation), so
-  no candidate pair is ever materialised;
+* exact step: null-safe equality on every shared column and the tiebreak;
+  rows that are equal on all of them are paired 1:1 in id order;
+* wildcard step: a blank (NULL) cell on the right matches anything; a right row
+  is linked to the one left row of its block that matches and is nearest by the
+  tiebreak, and only 1:1;
 * validation: one-sided rows, overlap and cell-by-cell equality as
   semi/anti joins and ``exceptAll``.
 """
@@ -19,89 +17,82 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALT_BUCKETS = 64
+from hearth.session import ensure_checkpoint_dir
 
+#: Slices that a group's rows are numbered in; no effect on the numbers.
+SLICES = 64
 
-def md5_bucket(cols: Sequence[str | Column], buckets: int = SALT_BUCKETS) -> Column:
-    """Deterministic bucket from the md5 of the values (reproducible in SQL)."""
-    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
-    return (F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 4), 16, 10).cast("long") % buckets).cast("int")
 
+def _same(a: Column, b: Column) -> Column:
+    return a.eqNullSafe(b)
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
+def ranked(df: DataFrame, group: Sequence[str], row_id: str, name: str) -> DataFrame:
+    """0-based rank of each row in its group (NULLs are a value) by ``row_id``,
+    a number.
 
-def salted_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], salt: Column,
-                name: str = "_rank", buckets: int = SALT_BUCKETS) -> DataFrame:
-    """0-based rank of each row inside its ``group`` (NULLs are a value), ordered
-    by ``(salt, *order)``.
-
-    A hot group is cut into ``buckets`` sub-partitions by ``salt``; each gets a
-    local row_number, and a running count over the tiny (group, salt) count
-    table supplies the offset of each sub-partition.
-    """
-    d = df.withColumn("_salt", salt % buckets)
-    keys = list(group) + ["_salt"]
-    local = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
-    d = d.withColumn("_local", local)
-    counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(*group).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0))).drop("_c")
-    offsets = offsets.select(*[F.col(k).alias(f"_o_{k}") for k in keys], "_off")
-    cond = reduce(lambda a, b: a & b, [d[k].eqNullSafe(offsets[f"_o_{k}"]) for k in keys])
-    out = d.join(offsets, cond).withColumn(name, F.col("_off") + F.col("_local"))
-    return out.drop("_salt", "_local", "_off", *[f"_o_{k}" for k in keys])
+    A group is numbered in slices of the id range, and a running count over the
+    (group, slice) counts gives each slice its offset: a group with a third of
+    all rows is spread over ``SLICES`` window partitions, and as slices follow
+    the id order the rank is the same for any number of them."""
+    bounds = df.agg(F.min(row_id).alias("lo"), F.max(row_id).alias("hi")).first()
+    lo, width = bounds["lo"] or 0, max(1, ((bounds["hi"] or 0) - (bounds["lo"] or 0)) // SLICES + 1)
+    keys = [*group, "_slice"]
+    d = df.withColumn("_slice", F.floor((F.col(row_id) - F.lit(lo)) / F.lit(width)))
+    d = d.withColumn("_local", F.row_number().over(Window.partitionBy(*keys).orderBy(row_id)) - 1)
+    counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    out = d.join(offsets, reduce(lambda a, b: a & b, [_same(d[k], offsets[f"_o_{k}"]) for k in keys]))
+    return out.withColumn(name, F.col("_off") + F.col("_local")).select(*df.columns, name)
 
 
 def exact_link(left: DataFrame, right: DataFrame, left_id: str, right_id: str, columns: Sequence[str],
-               tiebreak: Sequence[str] = ()) -> DataFrame:  # noqa: C901
-    """Step 1 (+ step 3): ``(right_id, left_id)`` for rows equal on every
-    column (NULL equals NULL); identical rows are paired in ``(tiebreak, id)``
-    order."""
-    salt_src = list(tiebreak) or None
-    lr = salted_rank(left.select(left_id, *columns, *tiebreak), columns, [*tiebreak, left_id],
-                     md5_bucket(salt_src or [left_id]))
-    rr = salted_rank(right.select(right_id, *columns, *tiebreak), columns, [*tiebreak, right_id],
-                     md5_bucket(salt_src or [right_id]))
-    lr = lr.select(left_id, *[F.col(c).alias(f"_l_{c}") for c in columns], F.col("_rank").alias("_lrank"))
-    rr = rr.select(right_id, *columns, "_rank")
-    cond = reduce(lambda a, b: a & b, [rr[c].eqNullSafe(lr[f"_l_{c}"]) for c in columns]) & (rr["_rank"] == lr["_lrank"])
-    return rr.join(lr, cond).select(right_id, left_id)
+               tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Steps 1 and 3: ``(right_id, left_id)`` for rows equal on every column and
+    tiebreak (NULL equals NULL).  Rows that are equal on all of these are
+    interchangeable and paired 1:1 in id order; twins told apart by the
+    tiebreak are linked by it, whichever of them has a partner."""
+    match = [*columns, *tiebreak]
+    lr = ranked(left.select(left_id, *match), match, left_id, "_rank")
+    rr = ranked(right.select(right_id, *match), match, right_id, "_rank")
+    lr = lr.select(left_id, *[F.col(c).alias(f"_l_{c}") for c in [*match, "_rank"]])
+    return rr.join(lr, reduce(lambda a, b: a & b, [_same(rr[c], lr[f"_l_{c}"]) for c in [*match, "_rank"]])).select(right_id, left_id)
 
 
 def wildcard_link(left: DataFrame, right: DataFrame, left_id: str, right_id: str, block: Sequence[str],
-                  wild: Sequence[str]) -> DataFrame:
-    """Step 2: right rows whose non-blank cells match exactly one left row.
-
-    ``block`` columns are never blank on the right; ``wild`` columns may be.
-    For each blank pattern present on the right (at most 2^len(wild), learned
-    with a tiny distinct query), the left side is aggregated on the pattern's
-    present columns (count + the single id), then joined to the right rows.
-    """
-    pattern = F.concat_ws("", *[F.col(c).isNull().cast("int").cast("string") for c in wild])
-    tagged = right.withColumn("_pattern", pattern)
-    present = [r["_pattern"] for r in tagged.select("_pattern").distinct().collect()]  # <= 2^len(wild) rows
-    parts = []
-    for pat in sorted(present):
-        keys = list(block) + [c for c, bit in zip(wild, pat) if bit == "0"]
-        cands = left.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_n"), F.min(left_id).alias("_only"))
-        r = tagged.where(F.col("_pattern") == pat).select(right_id, *keys)
-        parts.append(r.join(cands, keys).where(F.col("_n") == 1).select(right_id, F.col("_only").alias(left_id)))
-    if not parts:
-        return right.sparkSession.createDataFrame([], f"{right_id} long, {left_id} long")
-    return reduce(lambda a, b: a.unionByName(b), parts)
+                  wild: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Step 2: right rows whose non-blank cells match a left row, and only one
+    nearest to them by the tiebreak (or only one, without tiebreak).
+
+    ``block`` columns are never blank; ``wild`` columns may be blank on the
+    right.  Distinct profiles, not rows, of both sides meet in their block,
+    and each right one keeps partial aggregates: how many rows match, the nearest
+    ones' distance and the smallest id at that distance."""
+    keys = [*block, *wild, *tiebreak]
+    profiles = right.select(*[F.col(c).alias(f"_r_{c}") for c in keys]).distinct()
+    cond = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_r_{c}") for c in block]
+                  + [F.col(f"_r_{c}").isNull() | (F.col(c) == F.col(f"_r_{c}")) for c in wild])
+    far = reduce(lambda a, b: a + b, [F.coalesce(F.abs(F.col(c) - F.col(f"_r_{c}")).cast("double"), F.lit(float("inf"))) for c in tiebreak], F.lit(0.0))
+    equal = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(left_id).alias("_id"))
+    pairs = profiles.join(equal, cond).withColumn("_far", far)
+    rp = [f"_r_{c}" for c in keys]
+    per = pairs.groupBy(*rp, "_far").agg(F.sum("_n").alias("_n"), F.min("_id").alias("_id"))
+    best = per.groupBy(*rp).agg(F.min(F.struct("_far", "_n", "_id")).alias("_b")).where("_b._n = 1")
+    on = reduce(lambda a, b: a & b, [_same(right[c], best[f"_r_{c}"]) for c in keys])
+    return right.join(best, on).select(right_id, F.col("_b._id").alias(left_id))
 
 
 def link_records(left: DataFrame, right: DataFrame, left_id: str, right_id: str, columns: Sequence[str],
                  block: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
     """All steps: ``(right_id, left_id, step)`` with step 'exact' or 'wildcard'."""
-    exact = exact_link(left, right, left_id, right_id, columns, tiebreak)
+    ensure_checkpoint_dir(left.sparkSession)
+    exact = exact_link(left, right, left_id, right_id, columns, tiebreak).checkpoint()  # read three times below
     r_rest = right.join(exact.select(right_id), right_id, "left_anti")
     l_rest = left.join(exact.select(left_id), left_id, "left_anti")
     wild = [c for c in columns if c not in block]
-    w = wildcard_link(l_rest, r_rest, left_id, right_id, block, wild)
+    w = wildcard_link(l_rest, r_rest, left_id, right_id, block, wild, tiebreak)
+    w = w.groupBy(left_id).agg(F.count(F.lit(1)).alias("_n"), F.min(right_id).alias(right_id)).where("_n = 1").select(right_id, left_id)
     return exact.withColumn("step", F.lit("exact")).unionByName(w.withColumn("step", F.lit("wildcard")))
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from hearth.constants import PRICE_BUCKET_EDGES, PRICE_BUCKET_LABELS
 from hearth.functions.exprs import right_closed_bucket
 
+#: log prices are added up as whole numbers of 1 / _SCALE
+_SCALE = 1e10
 METRIC_NAMES = ["rmse", "mae", "mape", "r2", "within_10_pct", "within_20_pct", "log_rmse"]
 
 
@@ -110,17 +112,19 @@ def oof_group_mean(df: DataFrame, group: str, y: str, fold: str, name: str = "pr
     has none there).
 
     Everything is a partial aggregation keyed by (group, fold), (group) and
-    (fold); rows meet their statistics through equi-joins (AQE broadcasts the
-    small sides at run time and splits skewed group partitions).
+    (fold); rows meet their statistics through two equi-joins.  Sums are kept in
+    whole numbers of a fixed scale, so they do not depend on the order of addition: a
+    residual near zero would magnify that.
     """
-    gf = df.groupBy(group, fold).agg(F.sum(y).alias("_sgf"), F.count(F.lit(1)).alias("_ngf"))
+    gf = df.groupBy(group, fold).agg(F.sum(F.round(F.col(y) * _SCALE).cast("decimal(28,0)")).alias("_sgf"), F.count(F.lit(1)).alias("_ngf"))
     g = gf.groupBy(group).agg(F.sum("_sgf").alias("_sg"), F.sum("_ngf").alias("_ng"))
-    per_fold = df.groupBy(fold).agg(F.sum(y).alias("_sf"), F.count(F.lit(1)).alias("_nf"))
+    per_fold = gf.groupBy(fold).agg(F.sum("_sgf").alias("_sf"), F.sum("_ngf").alias("_nf"))
     from pyspark.sql import Window
 
     everything = Window.partitionBy()  # over the k-row fold table only
     per_fold = per_fold.withColumn("_st", F.sum("_sf").over(everything)).withColumn("_nt", F.sum("_nf").over(everything))
-    j = df.join(gf, [group, fold]).join(g, group).join(F.broadcast(per_fold), fold)  # k rows: bounded
-    pred = F.when(F.col("_ng") - F.col("_ngf") > 0, (F.col("_sg") - F.col("_sgf")) / (F.col("_ng") - F.col("_ngf"))) \
-        .otherwise((F.col("_st") - F.col("_sf")) / (F.col("_nt") - F.col("_nf")))
-    return j.select(*df.columns, pred.alias(name))
+    mean = lambda total, part, n, m: (F.col(total) - F.col(part)).cast("double") / _SCALE / (F.col(n) - F.col(m))
+    stats = gf.join(g, group).join(F.broadcast(per_fold), fold).select(  # the fold table has k rows
+        group, fold, F.when(F.col("_ng") > F.col("_ngf"), mean("_sg", "_sgf", "_ng", "_ngf")).otherwise(mean("_st", "_sf", "_nt", "_nf")).alias(name))
+    j = df.join(stats, [group, fold])
+    return j.select(*df.columns, name)

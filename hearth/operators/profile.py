@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -20,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from hearth.functions.exprs import any_null, pair_corr, sample_excess_kurtosis, sample_skewness
+from hearth.functions.exprs import any_null, normal_quantile_sql, pair_corr, sample_excess_kurtosis, sample_skewness
 from hearth.operators.quantiles import exact_median, exact_quantiles
 
 # fixed values: missing-report labels
@@ -436,18 +435,6 @@ def global_positions(df: DataFrame, value: str, partitions: int | None = None) -
     return with_global_index(d, ["v"], "pos", partitions)
 
 
-_INV_CDF = np.frompyfunc(NormalDist().inv_cdf, 1, 1)
-
-
-def _ppf(p: pd.Series) -> pd.Series:
-    """Standard-normal inverse CDF on an Arrow batch."""
-    return pd.Series(_INV_CDF(p.to_numpy(dtype=float)).astype(float))
-
-
-def _normal_ppf():
-    return F.pandas_udf(_ppf, "double")
-
-
 def qq_points(df: DataFrame, value: str) -> DataFrame:
     """``(pos, theoretical, ordered)`` against the standard normal, using
     Filliben's order-statistic medians (the probability-plot convention)."""
@@ -456,7 +443,7 @@ def qq_points(df: DataFrame, value: str) -> DataFrame:
     i = F.col("pos") + 1
     last = F.pow(F.lit(0.5), F.lit(1.0 / total)) if total else F.lit(0.5)
     m = F.when(i == total, last).when(i == 1, 1 - last).otherwise((i - 0.3175) / (F.lit(total) + 0.365))
-    return pos.select("pos", _normal_ppf()(m).alias("theoretical"), F.col("v").alias("ordered"))
+    return pos.withColumn("_m", m).select("pos", F.expr(normal_quantile_sql("_m")).alias("theoretical"), F.col("v").alias("ordered"))
 
 
 def qq_fit(points: DataFrame) -> DataFrame:

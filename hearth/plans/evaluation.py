@@ -32,12 +32,12 @@ _BASE_SQL = """
 s AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ln(1 + l_extendedprice) AS y,
              CAST(CAST(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 8)) AS BIGINT) % 5 AS INTEGER) AS fold
       FROM lineitem),
-gf AS (SELECT l_partkey, fold, sum(y) AS sgf, count(*) AS ngf FROM s GROUP BY 1, 2),
+gf AS (SELECT l_partkey, fold, sum(CAST(round(y * 1e10) AS HUGEINT)) AS sgf, count(*) AS ngf FROM s GROUP BY 1, 2),
 g AS (SELECT l_partkey, sum(sgf) AS sg, sum(ngf) AS ng FROM gf GROUP BY 1),
-f AS (SELECT fold, sum(y) AS sf, count(*) AS nf FROM s GROUP BY 1),
+f AS (SELECT fold, sum(CAST(round(y * 1e10) AS HUGEINT)) AS sf, count(*) AS nf FROM s GROUP BY 1),
 t AS (SELECT sum(sf) AS st, sum(nf) AS nt FROM f),
-p AS (SELECT s.*, CASE WHEN g.ng - gf.ngf > 0 THEN (g.sg - gf.sgf) / (g.ng - gf.ngf)
-                       ELSE (t.st - f.sf) / (t.nt - f.nf) END AS pred_log
+p AS (SELECT s.*, CASE WHEN g.ng - gf.ngf > 0 THEN CAST(g.sg - gf.sgf AS DOUBLE) / 1e10 / (g.ng - gf.ngf)
+                       ELSE CAST(t.st - f.sf AS DOUBLE) / 1e10 / (t.nt - f.nf) END AS pred_log
       FROM s JOIN gf ON s.l_partkey = gf.l_partkey AND s.fold = gf.fold JOIN g ON s.l_partkey = g.l_partkey
              JOIN f ON s.fold = f.fold CROSS JOIN t),
 r AS (SELECT *, exp(y) - 1 AS actual, greatest(exp(pred_log) - 1, 0) AS predicted FROM p),

@@ -1,5 +1,5 @@
 """Linkage-area queries: exact null-safe linkage with twin pairing, wildcard
-linkage of blanked cells, and split validation (J7-J10, V5, U4)."""
+nearest linkage of blanked cells, and split validation (J7-J10, V5, U4)."""
 
 from __future__ import annotations
 
@@ -37,14 +37,12 @@ b AS (SELECT o_orderkey AS b_id, o_custkey,
              CASE WHEN o_totalprice > {BLANK_STATUS_ABOVE} THEN NULL ELSE o_orderstatus END AS o_orderstatus,
              CASE WHEN o_totalprice < {BLANK_PRIORITY_BELOW} THEN NULL ELSE o_orderpriority END AS o_orderpriority,
              o_orderdate, CAST(round(o_totalprice * 100) AS BIGINT) AS price_cents FROM orders),
-ar AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus, o_orderpriority, o_orderdate
-              ORDER BY CAST(('0x' || substr(md5(CAST(price_cents AS VARCHAR)), 1, 4)) AS BIGINT) % 64, price_cents, a_id) AS rk FROM a),
-br AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus, o_orderpriority, o_orderdate
-              ORDER BY CAST(('0x' || substr(md5(CAST(price_cents AS VARCHAR)), 1, 4)) AS BIGINT) % 64, price_cents, b_id) AS rk FROM b),
+ar AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus, o_orderpriority, o_orderdate, price_cents ORDER BY a_id) AS rk FROM a),
+br AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus, o_orderpriority, o_orderdate, price_cents ORDER BY b_id) AS rk FROM b),
 ex AS (SELECT br.b_id, ar.a_id FROM br JOIN ar
          ON br.o_custkey IS NOT DISTINCT FROM ar.o_custkey AND br.o_orderstatus IS NOT DISTINCT FROM ar.o_orderstatus
         AND br.o_orderpriority IS NOT DISTINCT FROM ar.o_orderpriority AND br.o_orderdate IS NOT DISTINCT FROM ar.o_orderdate
-        AND br.rk = ar.rk)
+        AND br.price_cents IS NOT DISTINCT FROM ar.price_cents AND br.rk = ar.rk)
 """
 
 _EXACT_SQL = f"WITH {_SIDES_SQL} SELECT b_id, a_id FROM ex"
@@ -59,12 +57,13 @@ def null_safe_link(spark, sf):
 _WILD_SQL = f"""WITH {_SIDES_SQL},
 brest AS (SELECT * FROM b WHERE b_id NOT IN (SELECT b_id FROM ex)),
 arest AS (SELECT * FROM a WHERE a_id NOT IN (SELECT a_id FROM ex)),
-cand AS (SELECT brest.b_id, arest.a_id FROM brest JOIN arest
+cand AS (SELECT brest.b_id, arest.a_id, abs(arest.price_cents - brest.price_cents) AS far FROM brest JOIN arest
            ON brest.o_custkey = arest.o_custkey AND brest.o_orderdate = arest.o_orderdate
           AND (brest.o_orderstatus IS NULL OR brest.o_orderstatus = arest.o_orderstatus)
           AND (brest.o_orderpriority IS NULL OR brest.o_orderpriority = arest.o_orderpriority)),
-c AS (SELECT b_id, count(*) AS n, min(a_id) AS a_id FROM cand GROUP BY b_id)
-SELECT b_id, a_id FROM c WHERE n = 1"""
+near AS (SELECT b_id, a_id FROM cand QUALIFY far = min(far) OVER (PARTITION BY b_id)),
+one AS (SELECT b_id, min(a_id) AS a_id FROM near GROUP BY b_id HAVING count(*) = 1)
+SELECT min(b_id) AS b_id, a_id FROM one GROUP BY a_id HAVING count(*) = 1"""
 
 
 @register("wildcard_link", _WILD_SQL)

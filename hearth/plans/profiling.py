@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hearth import constants as K
-from hearth.functions.exprs import right_closed_bucket, round_sig
+from hearth.functions.exprs import normal_quantile_sql, right_closed_bucket, round_sig
 from hearth.operators import profile as P
 from hearth.operators.enrich import dom_score
 from hearth.operators.quantiles import exact_median
@@ -395,10 +395,20 @@ def box_stats(spark, sf):
                     "n_fliers", "n")
 
 
-@register("qq_points")
+_QQ_SQL = f"""
+WITH o AS (SELECT row_number() OVER (ORDER BY o_totalprice) AS i, count(*) OVER () AS n, CAST(o_totalprice AS DOUBLE) AS ordered
+           FROM orders WHERE o_totalprice IS NOT NULL),
+m AS (SELECT *, CASE WHEN i = n THEN pow(0.5, 1.0 / n) WHEN i = 1 THEN 1 - pow(0.5, 1.0 / n)
+                     ELSE (i - 0.3175) / (n + 0.365) END AS m FROM o),
+t AS (SELECT *, {normal_quantile_sql("CAST(m AS DOUBLE)")} AS z FROM m)
+SELECT i - 1 AS pos, {sql_sig("z")} AS theoretical, ordered FROM t
+"""
+
+
+@register("qq_points", _QQ_SQL)
 def qq_points(spark, sf):
-    """A33 (rows-only: needs the inverse normal CDF, which SQL lacks)."""
-    return P.qq_points(table(spark, sf, "orders"), "o_totalprice")
+    """A33."""
+    return P.qq_points(table(spark, sf, "orders"), "o_totalprice").withColumn("theoretical", round_sig("theoretical"))
 
 
 _VC_SQL = "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1"

@@ -34,4 +34,5 @@ def load_all() -> None:
         importlib.import_module(f"hearth.plans.{mod}")
 
 
-PLAN_MODULES = ["cleaning", "profiling", "features_q", "evaluation", "linkage_q", "monitoring", "modeling"]
+PLAN_MODULES = ["cleaning", "profiling", "features_q", "evaluation", "linkage_q", "monitoring", "modeling",
+                "sources_q"]

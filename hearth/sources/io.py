@@ -13,7 +13,7 @@ import json
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,55 +22,78 @@ from hearth.functions.exprs import null_tokens_to_null
 from hearth.functions.names import normalize_columns
 
 
-def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Every column as text (Spark's CSV reader has one ``nullValue`` and keeps
-    the literal ``None``): tokens are normalised afterwards."""
-    reader = spark.read.option("header", True).option("mode", "FAILFAST")
-    if columns is not None:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    return reader.csv(path)
+def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+    """Every column as text, named by the file's own header (Spark's CSV reader
+    has one ``nullValue`` and keeps the literal ``None``: tokens are normalised
+    afterwards).  Only the header line is read to learn the names."""
+    return spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+
+
+def _token_free(name: str, tokens: Sequence[str]) -> Column:
+    return null_tokens_to_null(F.col(f"`{name}`").cast("string"), tokens)
 
 
 def apply_schema(df: DataFrame, schema: T.StructType, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
-    """``""``/``NA``/``None`` -> NULL, then ``try_cast`` to the declared types
-    (a malformed number becomes NULL rather than failing the job)."""
+    """The schema's columns that ``df`` has, in the schema's order:
+    ``""``/``NA``/``None`` -> NULL, then ``try_cast`` to the declared types (a
+    malformed cell becomes NULL; ``rejected_cells`` lists those)."""
     out = []
     for f in schema.fields:
-        if f.name not in df.columns:
-            continue
-        v = null_tokens_to_null(F.col(f.name).cast("string"), tokens)
-        out.append((v if isinstance(f.dataType, T.StringType) else v.try_cast(f.dataType)).alias(f.name))
+        if f.name in df.columns:
+            v = _token_free(f.name, tokens)
+            out.append((v if isinstance(f.dataType, T.StringType) else v.try_cast(f.dataType)).alias(f.name))
     return df.select(*out)
 
 
-def read_house_csv(spark: SparkSession, path: str, schema: T.StructType, normalise: bool = False) -> DataFrame:
-    """Read with the declared schema, normalise null tokens, optionally
-    snake-case the names."""
-    df = apply_schema(read_csv_text(spark, path, [f.name for f in schema.fields]), schema)
+def rejected_cells(text: DataFrame, schema: T.StructType, key: str, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
+    """The reject table of a text frame: ``(key, column, value)`` of cells that
+    hold something but not a value of their declared type."""
+    cells = [
+        F.struct(F.lit(f.name).alias("column"), _token_free(f.name, tokens).alias("value"),
+                 _token_free(f.name, tokens).try_cast(f.dataType).isNull().alias("bad"))
+        for f in schema.fields if f.name in text.columns and not isinstance(f.dataType, T.StringType)
+    ]
+    if not cells:
+        return text.select(F.col(f"`{key}`").alias("key"), F.lit("").alias("column"), F.lit("").alias("value")).limit(0)
+    long = text.select(F.col(f"`{key}`").alias("key"), F.explode(F.array(*cells)).alias("c"))
+    return long.where("c.bad and c.value is not null").select("key", "c.column", "c.value")
+
+
+def read_house_csv(spark: SparkSession, path: str, schema: T.StructType, normalise: bool = False,
+                   optional: Sequence[str] = ()) -> DataFrame:
+    """Columns found by header name, typed by the schema, null tokens
+    normalised, names optionally in snake case.  A column of the schema that
+    the file lacks is an error unless it is ``optional``; columns beyond the
+    schema are left out."""
+    text = read_csv_text(spark, path)
+    missing = [f.name for f in schema.fields if f.name not in text.columns and f.name not in optional]
+    if missing:
+        raise ValueError(f"{path} lacks columns {missing}")
+    df = apply_schema(text, schema)
     return normalize_columns(df) if normalise else df
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path names a file or folder, in any file system Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def load_train_test(spark: SparkSession, raw_dir: str, schema: T.StructType, train_file: str | None = None,
-                    test_file: str | None = None) -> tuple[DataFrame, DataFrame, dict[str, str]]:
-    """Prefer ``*_v2.csv`` over the plain files unless paths are given;
-    a missing input raises.  Returns the lineage (which files were read)."""
-    from pyspark.errors import AnalysisException
+                    test_file: str | None = None, target: str = "SalePrice") -> tuple[DataFrame, DataFrame, dict[str, str]]:
+    """Prefer ``*_v2.csv`` over the plain files unless paths are given; a
+    missing input raises.  The test file may or may not carry the target.
+    Returns the lineage (which files were read)."""
 
     def pick(explicit: str | None, stem: str) -> str:
-        if explicit:
-            return explicit
-        for name in (f"{stem}_v2.csv", f"{stem}.csv"):
-            p = f"{raw_dir.rstrip('/')}/{name}"
-            try:
-                spark.read.text(p).limit(1).collect()
+        names = [explicit] if explicit else [f"{raw_dir.rstrip('/')}/{stem}{suffix}.csv" for suffix in ("_v2", "")]
+        for p in names:
+            if _exists(spark, p):
                 return p
-            except AnalysisException:
-                continue
-        raise FileNotFoundError(f"no {stem}_v2.csv or {stem}.csv under {raw_dir}")
+        raise FileNotFoundError(" or ".join(names))
 
     tr, te = pick(train_file, "train"), pick(test_file, "test")
-    test_schema = T.StructType([f for f in schema.fields if f.name != "SalePrice"])
-    return read_house_csv(spark, tr, schema), read_house_csv(spark, te, test_schema), {"train": tr, "test": te}
+    return read_house_csv(spark, tr, schema), read_house_csv(spark, te, schema, optional=[target]), {"train": tr, "test": te}
 
 
 def read_weekly_rates(spark: SparkSession, path: str, week_col: str = "Week", rate_col: str = "U.S. 30 yr FRM") -> DataFrame:
@@ -146,24 +169,15 @@ def load_training_data(spark: SparkSession, path: str | None, schema: T.StructTy
     deny-list applied, F2); context columns it lacks are attached by key (J3);
     the target must be present (V1).  An explicit path that does not exist
     raises instead of silently falling through."""
-    from pyspark.errors import AnalysisException
-
     from hearth.operators.validate import attach_context, check_training_frame, drop_ids
 
-    df = None
-    if path:
-        try:
-            spark.read.text(path).limit(1).collect()
-            df = read_house_csv(spark, path, schema)
-        except AnalysisException as e:
-            if fallback_path is None:
-                raise FileNotFoundError(path) from e
-    if df is None:
-        if fallback_path is None:
-            raise FileNotFoundError("no training data path given")
-        df = read_house_csv(spark, fallback_path, schema)
-        if deny_ids is not None:
-            df = drop_ids(df, key, deny_ids)
+    source = path or fallback_path
+    if source is None or not _exists(spark, source):
+        raise FileNotFoundError(source or "no training data path given")
+    added = [c for c in context.columns if c != key] if context is not None else []
+    df = read_house_csv(spark, source, schema, optional=added)
+    if path is None and deny_ids is not None:
+        df = drop_ids(df, key, deny_ids)
     if context is not None:
         df = attach_context(df, context, key)
     check_training_frame(df, target, key)

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearth.operators.validate import apply_date_context, attach_context, drop_ids, split_valid_requests
-from hearth.sources.io import (feature_list_frame, load_train_test, load_training_data, report_to_long,
-                               write_json_report)
+from hearth.sources.io import (feature_list_frame, load_train_test, load_training_data, read_csv_text, read_house_csv,
+                               rejected_cells, report_to_long, write_json_report)
 
 SCHEMA = T.StructType([T.StructField("Id", T.IntegerType()), T.StructField("Alley", T.StringType()),
                        T.StructField("LotFrontage", T.DoubleType()), T.StructField("SalePrice", T.DoubleType())])
@@ -88,3 +88,24 @@ def test_manifest_and_submission_with_ids(spark):
     assert rows[7] == pytest.approx(150000.0) and rows[8] == 0.0
     with pytest.raises(ValueError):
         submission(df.drop("Id"), "p", id_col=None)
+
+
+def test_columns_are_found_by_name_and_labelled_test_is_read(spark):
+    d = tempfile.mkdtemp(prefix="hearth-csv-")
+    _csv(d, "train.csv", "SalePrice,Extra,Id,LotFrontage,Alley\n7,q,100,65,a\n")
+    _csv(d, "test_v2.csv", "Alley,Id,SalePrice,LotFrontage\nb,5,8,c.70\n")
+    tr, te, files = load_train_test(spark, d, SCHEMA)
+    assert [tuple(r) for r in tr.collect()] == [(100, "a", 65.0, 7.0)]
+    assert [tuple(r) for r in te.collect()] == [(5, "b", None, 8.0)] and files["test"].endswith("test_v2.csv")
+    bad = rejected_cells(read_csv_text(spark, files["test"]), SCHEMA, "Id").collect()
+    assert [tuple(r) for r in bad] == [("5", "LotFrontage", "c.70")]
+    short = _csv(d, "short.csv", "Id,Alley\n1,a\n")
+    with pytest.raises(ValueError):
+        read_house_csv(spark, short, SCHEMA)
+
+
+def test_explicit_missing_path_raises_even_with_a_fallback(spark):
+    d = tempfile.mkdtemp(prefix="hearth-csv-")
+    raw = _csv(d, "raw.csv", "Id,Alley,LotFrontage,SalePrice\n1,a,1,10\n")
+    with pytest.raises(FileNotFoundError):
+        load_training_data(spark, os.path.join(d, "missing.csv"), SCHEMA, fallback_path=raw)

@@ -1,4 +1,4 @@
-from hearth.operators.linkage import link_records, split_checks
+from hearth.operators.linkage import exact_link, link_records, split_checks, wildcard_link
 
 
 def test_exact_twins_and_wildcard(spark):
@@ -22,3 +22,31 @@ def test_split_checks(spark):
     whole = spark.range(10).withColumnRenamed("id", "k")
     r = split_checks(whole, whole.where("k < 7"), whole.where("k >= 6"), "k").collect()[0]
     assert (r["n_a"], r["n_b"], r["n_overlap"], r["n_missing"], r["n_extra"]) == (7, 4, 1, 0, 1)
+
+
+def test_twins_with_missing_partners_link_by_price(spark):
+    """Four twins told apart by price; whichever right records exist, each goes
+    to its own price, and a price without partner to none by the exact step."""
+    left = spark.createDataFrame([(i, "A", "x", 10 * i) for i in (1, 2, 3, 4)], "a_id long, c string, s string, price long")
+    for present in ([1], [4], [2, 4], [3, 1], [1, 2, 3, 4]):
+        right = spark.createDataFrame([(100 + i, "A", "x", 10 * i) for i in present], "b_id long, c string, s string, price long")
+        got = {(r.b_id, r.a_id) for r in exact_link(left, right, "a_id", "b_id", ["c", "s"], ["price"]).collect()}
+        assert got == {(100 + i, i) for i in present}
+
+
+def test_equal_twins_pair_in_id_order_for_any_slices(spark, monkeypatch):
+    from hearth.operators import linkage
+
+    left = spark.createDataFrame([(i, "A", 5) for i in (9, 2, 70, 4)], "a_id long, c string, price long")
+    right = spark.createDataFrame([(i, "A", 5) for i in (300, 100, 200)], "b_id long, c string, price long")
+    for slices in (1, 3, 64):
+        monkeypatch.setattr(linkage, "SLICES", slices)
+        got = {(r.b_id, r.a_id) for r in exact_link(left, right, "a_id", "b_id", ["c"], ["price"]).collect()}
+        assert got == {(100, 2), (200, 4), (300, 9)}
+
+
+def test_blank_cells_link_to_the_unique_nearest(spark):
+    left = spark.createDataFrame([(1, "A", "x", 10), (2, "A", "y", 50), (3, "A", "z", 30)], "a_id long, c string, s string, price long")
+    right = spark.createDataFrame([(11, "A", None, 48), (12, "A", None, 20), (13, "A", "q", 10)], "b_id long, c string, s string, price long")
+    got = {(r.b_id, r.a_id) for r in wildcard_link(left, right, "a_id", "b_id", ["c"], ["s"], ["price"]).collect()}
+    assert got == {(11, 2)}  # 20 lies between 10 and 30: no unique nearest

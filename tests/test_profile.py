@@ -102,3 +102,13 @@ def test_average_ranks_and_spearman_match_pandas(spark):
     assert [got[i] for i in range(len(vals))] == list(want)
     rho = P.spearman(df, "v", "o", key="k").collect()[0]["spearman_rho"]
     assert rho == pytest.approx(pd.Series(vals).rank().corr(pd.Series(other).rank()), abs=1e-12)
+
+
+def test_normal_quantile_arithmetic(spark):
+    from statistics import NormalDist
+
+    from hearth.functions.exprs import normal_quantile_sql
+
+    ps = [1e-300, 1e-12, 1e-5, 0.01, 0.0749, 0.075, 0.3, 0.5, 0.7, 0.925, 0.99, 1 - 1e-9]
+    got = spark.createDataFrame([(p,) for p in ps], "p double").selectExpr("p", normal_quantile_sql("p") + " AS z").collect()
+    assert all(abs(r.z - NormalDist().inv_cdf(r.p)) <= 1e-9 * max(1, abs(r.z)) for r in got)
