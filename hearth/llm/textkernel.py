@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 SHINGLE = 5
 
 _rng = np.random.default_rng(20240229)
