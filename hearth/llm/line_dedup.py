@@ -5,9 +5,9 @@ similarity of their token sets is at least 0.8.  A line goes if any line before
 it matches, before meaning by (document id, row address, line number).  Lines
 without words are neither matched nor removed.
 
-The join (``setjoin``) works on distinct sets.  Each connected group of matches
-then proposes its earliest member against its others, which settles nearly all
-lines; only sets that still have no earlier match are compared further.
+The join (``setjoin``) works on distinct sets.  The earliest match of each set
+is then proposed to its other matches, which settles nearly all lines; only
+sets that still have no earlier match are compared further.
 
 Null and empty texts have no lines to remove; a null id comes after all others;
 rows that repeat id and text are one document, and both keep or lose the same
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearth.llm.setjoin import ADDRESS, SetJoin, _ordered, addressed
-from hearth.llm.tables import bit_of, bitmap, components, maybe_in, quoted, saved
+from hearth.llm.tables import bit_of, bitmap, maybe_in, quoted, saved
 
 _LAST = (1 << 63) - 1
 
@@ -37,11 +37,11 @@ def matched_lines(docs: DataFrame, key: str = "doc_id", text_col: str = "text")
     lines = join.sets.select(ADDRESS, "unit", "set", _place().alias("at"))
     first = saved(lines.groupBy("set").agg(F.min("at").alias("first")), "first")
 
-    tried = join.proposals()
+    tried = saved(join.proposals(), "tried")
     found = join.verified(tried)
-    group = components(found).withColumnRenamed("id", "set").join(first, "set")
-    early = group.groupBy("comp").agg(F.min(F.struct("first", "set")).alias("e"))
-    star = _ordered(group.join(early, "comp").select(F.col("e.set").alias("a"), F.col("set").alias("b")))
+    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    known = both.join(first.withColumnRenamed("set", "b"), "b").groupBy("a").agg(F.min(F.struct("first", F.col("b").alias("set"))).alias("e"))
+    star = saved(_ordered(both.join(known, "a").select(F.col("e.set").alias("a"), "b")), "star")
     more = join.verified(star.join(tried, ["a", "b"], "left_anti"))
     found = found.unionByName(more)
 

@@ -25,14 +25,14 @@ FURTHER_ORDERS = 2
 def links(join: SetJoin) -> DataFrame:
     """Links between different sets, enough for every component: a bucket's
     members that are already connected are not compared again, all others are."""
-    first = join.verified(join.proposals(), FURTHER_ORDERS)
+    tried = saved(join.proposals(), "tried")
+    first = join.verified(tried, FURTHER_ORDERS)
     comp = components(first).withColumnRenamed("id", "set")
     marked = join.live.select("k", "set", "np").join(comp, "set", "left").select("k", "set", "np", F.coalesce("comp", "set").alias("comp"))
     marked = saved(marked, "marked")
     mixed = marked.groupBy("k").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("k")
-    open_rows = saved(marked.join(mixed, "k", "left_semi"), "open")
+    open_rows = marked.join(mixed, "k", "left_semi")
     pairs = join.rest(open_rows, (F.col("x.set") < F.col("y.set")) & (F.col("x.comp") != F.col("y.comp")))
-    tried = join.proposals()
     more = join.verified(pairs.join(tried, ["a", "b"], "left_anti"), FURTHER_ORDERS)
     return first.unionByName(more)
 

@@ -8,11 +8,11 @@ of their prefixes.  The join never lists the pairs of a bucket:
 
 1. each bucket (token) proposes its members against its smallest member;
    very frequent tokens are salted, and their salts meet in a second level;
-2. proposals are verified on the whole sets, which are read again from the
-   texts for members that share a token with another (a bitmap of fixed size
-   selects them);
+2. proposals that pass the length, positional and bit-mark filters are
+   verified on the whole sets, which are read again from the texts for the members of such
+   pairs only (a bitmap of fixed size selects them);
 3. the caller narrows what is left, and ``rest`` lists the remaining pairs of
-   a bucket by length and positional filter.
+   a bucket that pass the same filters.
 
 Members' sets, not documents, meet in pairs, and only hashes are shuffled.
 """
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ from hearth.llm.tables import BITMAP_BITS, bitmap, count_table, saved
 #: A token in more than this many sets, and than four times the mean cell, is salted.
 HOT_TOKEN = 4096
 ADDRESS = "__key"
+_SPREAD = 2654435761
 
 
 def addressed(docs: DataFrame, key: str, text_col: str) -> DataFrame:
@@ -41,17 +43,24 @@ def addressed(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     return docs.withColumn(ADDRESS, F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text_col}`")))
 
 
+def unit_starts(data: np.ndarray, offs: np.ndarray, by_line: bool) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes of the units of a piece of texts, and their texts."""
+    starts, row = offs[:-1], np.arange(len(offs) - 1)
+    if by_line:
+        cut = np.flatnonzero(data == 10)
+        of = np.searchsorted(offs, cut, side="right") - 1
+        starts, row = np.concatenate([starts, cut + 1]), np.concatenate([row, of])
+        order = np.lexsort((starts, row))
+        starts, row = starts[order], row[order]
+    return starts, row
+
+
 def unit_chunks(texts: pa.Array, by_line: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(row, unit number in its row, word bounds, word hashes) of the units of
     a text column, in pieces of bounded size."""
-    for lo, hi, data, offs in tk.pieces(texts):
-        starts, row = offs[:-1], np.arange(lo, hi)
-        if by_line:
-            cut = np.flatnonzero(data == 10)
-            of = np.searchsorted(offs, cut, side="right") - 1
-            starts, row = np.concatenate([starts, cut + 1]), np.concatenate([row, of + lo])
-            order = np.lexsort((starts, row))
-            starts, row = starts[order], row[order]
+    for lo, _, data, offs in tk.pieces(texts):
+        starts, row = unit_starts(data, offs, by_line)
+        row = row + lo
         number = np.arange(len(row)) - np.searchsorted(row, row, side="left")
         at, _, hashes = tk.words(data, offs[1:-1])
         woff = np.concatenate([np.searchsorted(at, starts, side="left"), [len(at)]])
@@ -60,6 +69,31 @@ def unit_chunks(texts: pa.Array, by_line: bool) -> Iterator[tuple[np.ndarray, np
             yield row[u:v], number[u:v], woff[u : v + 1] - woff[u], hashes[woff[u] : woff[v]]
 
 
+def bit_marks(tokens: np.ndarray, unit: np.ndarray, n_units: int, width: int) -> np.ndarray:
+    """Per unit ``width`` 64-bit words with a bit for each token.  A bit that x
+    has and y has not stands for at least one token of x that y lacks."""
+    bit = (tk.mix(tokens, 13) >> np.uint64(20)) % np.uint64(64 * width)
+    cell = np.unique(unit.astype(np.int64) * (64 * width) + bit.astype(np.int64))
+    out = np.zeros(n_units * width, np.uint64)
+    np.add.at(out, cell >> 6, np.uint64(1) << (cell & 63).astype(np.uint64))  # distinct bits, so adding sets them
+    return out.view(np.int64).reshape(n_units, width)
+
+
+def named_units(texts: pa.Array, address: np.ndarray, bits: np.ndarray, by_line: bool) -> Iterator[pa.Array]:
+    """The texts of the units whose (address, number) bit is set."""
+    hit = lambda row, number: ((lambda at: (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1)(
+        (address[row] ^ (number * _SPREAD)) & (BITMAP_BITS - 1))).astype(bool)
+    if not by_line:
+        yield texts.filter(pa.array(hit(np.arange(len(texts)), 0)))
+        return
+    for lo, hi, data, offs in tk.pieces(texts):
+        starts, row = unit_starts(data, offs, True)
+        number = np.arange(len(row)) - np.searchsorted(row, row, side="left")
+        ends = np.r_[starts[1:], len(data)]
+        raw = data.tobytes()
+        yield pa.array([raw[starts[i] : ends[i]] for i in np.flatnonzero(hit(row + lo, number)).tolist()], pa.binary())
+
+
 def prefix_size(n: np.ndarray) -> np.ndarray:
     """Tokens of which two sets with Jaccard >= 4/5 share at least one."""
     return np.where(n > 0, n - (4 * n + 4) // 5 + 1, 0)
@@ -78,24 +112,27 @@ class SetJoin:
     by_line: bool
 
     def __post_init__(self):
+        self.width = 2 if self.by_line else 8  # 64-bit words of a set's bit marks
+        self.marks = [f"w{i}" for i in range(self.width)]
         self.text = self.docs.select(F.col(f"`{self.text_col}`").alias("t"))
         self.sets = self._sets()
         self.live = self._live()
-        self.members = self._members()
+        fresh = self.sets.where(F.size("light") + F.size("hot") > 0)
+        self.bits = fresh.groupBy("set").agg(F.max("n").alias("n"), *[F.max(m).alias(m) for m in self.marks])  # equal in all rows
 
     def _sets(self) -> DataFrame:
         """One row per unit (lines without words are left out): row address,
-        id, unit number, set size and id, prefix tokens as ``light`` (token,
-        size and position) and ``hot`` (the same with a salt).  A task lists
-        the prefix of each distinct set once."""
+        id, unit number, set size and id, the prefix's ``light`` tokens, in
+        order, and its ``hot`` ones (token and salt), which come after them as
+        they are frequent.  A task lists the prefix of each distinct set once."""
         by_line = self.by_line
         counts = count_table(self.text, lambda b: _shingle_arrays(b, by_line))
         limit = max(HOT_TOKEN, int(4 * counts.mean()))
         shared = self.docs.sparkSession.sparkContext.broadcast(counts)
         rows = self.docs.select(F.col(f"`{self.key}`").cast("long").alias("id"), ADDRESS, F.col(f"`{self.text_col}`").alias("t"))
-        light = pa.list_(pa.struct([("k", pa.int64()), ("np", pa.int64())]))
-        hot = pa.list_(pa.struct([("k", pa.int64()), ("np", pa.int64()), ("s", pa.int32())]))
-        names = ["id", ADDRESS, "unit", "n", "set", "light", "hot"]
+        hot = pa.struct([("k", pa.int64()), ("s", pa.int32())])
+        width = self.width
+        names = ["id", ADDRESS, "unit", "n", "set", *self.marks, "light", "hot"]
 
         def run(batches):
             cell_counts, seen = shared.value, set()
@@ -115,96 +152,100 @@ class SetJoin:
                             fresh[i] = False
                         else:
                             seen.add(s)
+                    marks = bit_marks(t, u, len(row), width)
                     take = (pos < prefix_size(n)[u]) & fresh[u]
                     pick, pos, owner = order[take], pos[take], u[take]
                     is_hot = cell[pick] > limit
-                    packed = (n[owner] << 32) | pos
-                    lists = []
-                    for kind, part in ((light, ~is_hot), (hot, is_hot)):
-                        count = np.bincount(owner[part], minlength=len(row))
-                        fields = [pa.array(t[pick[part]].view(np.int64)), pa.array(packed[part])]
-                        if kind is hot:
-                            fields.append(pa.array((ids[owner[part]].view(np.uint64) % (cell[pick[part]] // limit + 1).astype(np.uint64)).astype(np.int32)))
-                        offsets = pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32))
-                        lists.append(pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(fields, fields=list(kind.value_type))))
+                    token, lists = pa.array(t[pick].view(np.int64)), []
+                    salt = (ids[owner].view(np.uint64) % (cell[pick] // limit + 1).astype(np.uint64)).astype(np.int32)
+                    pairs = pa.StructArray.from_arrays([token, pa.array(salt)], fields=list(hot))
+                    for values, part in ((token, ~is_hot), (pairs, is_hot)):
+                        ends = np.cumsum(np.bincount(owner[part], minlength=len(row)))
+                        lists.append(pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), values.filter(pa.array(part))))
                     where = pa.array(row)
                     out = pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(where), batch.column(1).take(where), pa.array(number), pa.array(n), pa.array(ids), *lists], names=names
+                        [batch.column(0).take(where), batch.column(1).take(where), pa.array(number), pa.array(n), pa.array(ids), *map(pa.array, marks.T.copy()), *lists], names=names
                     )
                     yield out.filter(pa.array(n > 0)) if by_line else out
 
-        schema = f"id long, {ADDRESS} long, unit long, n long, set long, light array<struct<k:long,np:long>>, hot array<struct<k:long,np:long,s:int>>"
+        marked = "".join(f"{m} long, " for m in self.marks)
+        schema = f"id long, {ADDRESS} long, unit long, n long, set long, {marked}light array<long>, hot array<struct<k:long,s:int>>"
         return saved(rows.mapInArrow(run, schema), "sets")
 
     def _live(self) -> DataFrame:
-        """Postings (bucket k, set, np, rep) of buckets with several sets."""
-        light = self.sets.where(F.size("light") > 0).select("set", F.explode("light").alias("p")).select("p.k", "set", "p.np")
+        """Postings (bucket k, set, np, rep, rep_np) of buckets with several
+        sets; ``np`` packs the set's size and the token's position."""
+        packed = lambda pos: F.shiftleft(F.col("n"), 32).bitwiseOR(F.col("pos").cast("long") + pos).alias("np")
+        light = self.sets.where(F.size("light") > 0).select("set", "n", F.posexplode("light").alias("pos", "k")).select("k", "set", packed(F.lit(0)))
         w = Window.partitionBy("k").orderBy("set")
+        so_far = w.rowsBetween(Window.unboundedPreceding, 0)
         light = light.select(
-            "k", "set", "np", F.first("set").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("rep"),
+            "k", "set", "np", F.first("set").over(so_far).alias("rep"), F.first("np").over(so_far).alias("rep_np"),
             F.lag("set").over(w).alias("before"),
             F.last("set").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("end"),
         ).where("rep != end")
         # of copies that several tasks list, one stays
-        light = light.where(F.col("before").isNull() | (F.col("before") != F.col("set"))).select("k", "set", "np", "rep")
-        hot = self.sets.where(F.size("hot") > 0).select("set", F.explode("hot").alias("p")).select("p.k", "set", "p.np", "p.s")
-        salted = hot.groupBy("k", "s").agg(F.min("set").alias("rep"))
-        top = salted.groupBy("k").agg(F.min("rep").alias("top"))
-        self.hot_reps = salted.join(top, "k").where("rep != top").select(F.col("top").alias("a"), F.col("rep").alias("b"))
-        hot = hot.join(salted, ["k", "s"]).select("k", "set", "np", "rep")
+        light = light.where(F.col("before").isNull() | (F.col("before") != F.col("set"))).select("k", "set", "np", "rep", "rep_np")
+        hot = self.sets.where(F.size("hot") > 0).select("set", "n", F.size("light").alias("after"), F.posexplode("hot").alias("pos", "p"))
+        hot = hot.select("p.k", "set", packed(F.col("after")), "p.s")
+        salted = hot.groupBy("k", "s").agg(F.min(F.struct("set", "np")).alias("r")).select("k", "s", F.col("r.set").alias("rep"), F.col("r.np").alias("rep_np"))
+        salted = saved(salted, "salted")
+        top = salted.groupBy("k").agg(F.min(F.struct("rep", "rep_np")).alias("t"))
+        self.hot_reps = salted.join(top, "k").select("k", F.col("rep").alias("set"), F.col("rep_np").alias("np"), F.col("t.rep").alias("rep"), F.col("t.rep_np").alias("rep_np"))
+        hot = hot.join(salted, ["k", "s"]).select("k", "set", "np", "rep", "rep_np")
         return saved(light.unionByName(hot), "live")
 
-    def _members(self) -> DataFrame:
-        """The whole sets, as packed sorted tokens, of all live set ids: the
-        texts are read again and a bitmap of the ids picks the sets (a few
-        others slip through and meet no pair)."""
-        cells = np.frombuffer(bitmap(self.live, F.pmod(F.col("set"), F.lit(BITMAP_BITS))), np.uint8)
+    def _sets_of(self, pairs: DataFrame) -> DataFrame:
+        """The whole sets, as packed sorted tokens, of the members of pairs.
+        One unit that has each set is named by a bitmap, and the texts are read
+        again (a few other units slip through and meet no pair)."""
+        ids = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
+        unit = F.struct(F.col(ADDRESS), "unit")
+        named = self.sets.join(ids, "set", "left_semi").groupBy("set").agg(F.min(unit).alias("u"))
+        bit = F.pmod(F.col(f"u.{ADDRESS}").bitwiseXOR(F.col("u.unit") * _SPREAD), F.lit(BITMAP_BITS))
+        cells = np.frombuffer(bitmap(named, bit), np.uint8)
         shared = self.docs.sparkSession.sparkContext.broadcast(cells)
         by_line = self.by_line
 
         def run(batches):
-            bits, seen = shared.value, set()
+            bits = shared.value
             for batch in batches:
-                for _, _, woff, hashes in unit_chunks(batch.column(0), by_line):
-                    tokens, unit, _ = tk.shingles(hashes, woff)
-                    t, _, off = tk.distinct_sets(tokens, unit, len(woff) - 1)
-                    ids = tk.fingerprint(t, off)
-                    at = ids & (BITMAP_BITS - 1)
-                    keep = []
-                    for i in np.flatnonzero(((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool) & (np.diff(off) > 0)).tolist():
-                        s = int(ids[i])
-                        if s not in seen:
-                            seen.add(s)
-                            keep.append(i)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[keep]), pa.array([np.sort(t[off[i] : off[i + 1]]).tobytes() for i in keep], pa.binary())], names=["set", "tokens"]
-                    )
+                address = batch.column(0).to_numpy(zero_copy_only=False)
+                for picked in named_units(batch.column(1), address, bits, by_line):
+                    for _, _, woff, hashes in unit_chunks(picked, False):
+                        tokens, unit, _ = tk.shingles(hashes, woff)
+                        t, _, off = tk.distinct_sets(tokens, unit, len(woff) - 1)
+                        packed = [np.sort(t[a:b]).tobytes() for a, b in zip(off[:-1], off[1:], strict=True)]
+                        yield pa.RecordBatch.from_arrays([pa.array(tk.fingerprint(t, off)), pa.array(packed, pa.binary())], names=["set", "tokens"])
 
-        return saved(self.text.mapInArrow(run, "set long, tokens binary").dropDuplicates(["set"]), "members")
+        rows = self.docs.select(ADDRESS, F.col(f"`{self.text_col}`").alias("t"))
+        return saved(rows.mapInArrow(run, "set long, tokens binary"), "members")
 
     def proposals(self) -> DataFrame:
-        """Star pairs (a, b) of all buckets."""
-        stars = self.live.where("set != rep").select(F.col("rep").alias("a"), F.col("set").alias("b"))
-        return _ordered(stars.unionByName(self.hot_reps))
+        """Star pairs (a, b) of all buckets that pass the filters."""
+        stars = self.live.select("set", "np", "rep", "rep_np").unionByName(self.hot_reps.select("set", "np", "rep", "rep_np"))
+        pairs = _ordered(stars.where(passes("np", "rep_np")).select(F.col("rep").alias("a"), F.col("set").alias("b")))
+        side = lambda key, to: self.bits.select(F.col("set").alias(key), *[F.col(c).alias(f"{to}_{c}") for c in ("n", *self.marks)])
+        both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+        names = lambda to: [F.col(f"{to}_{m}") for m in self.marks]
+        return both.where(may_agree(F.col("x_n"), F.col("y_n"), names("x"), names("y"))).select("a", "b")
 
     def rest(self, marked: DataFrame, condition: Column) -> DataFrame:
         """Remaining pairs: ``marked`` is ``live`` with the caller's columns;
-        ``condition`` on the aliases x and y says which pairs are open."""
+        ``condition`` on the aliases x and y says which pairs are open.  All
+        filters are part of the join, so only pairs that pass come out of it."""
+        marked = saved(marked.join(self.bits.drop("n"), "set"), "open")
+        names = lambda to: [F.col(f"{to}.{m}") for m in self.marks]
         size = lambda c: F.shiftright(F.col(c), 32)
-        place = lambda c: F.col(c).bitwiseAND(F.lit((1 << 32) - 1))
-        nx, ny = size("x.np"), size("y.np")
-        length = (5 * F.least(nx, ny)) >= (4 * F.greatest(nx, ny))
-        left = F.least(nx - place("x.np"), ny - place("y.np"))
-        position = 9 * left >= 4 * (nx + ny)
-        return _ordered(
-            marked.alias("x").join(marked.alias("y"), (F.col("x.k") == F.col("y.k")) & condition & length & position)
-            .select(F.col("x.set").alias("a"), F.col("y.set").alias("b"))
-        )
+        close = may_agree(size("x.np"), size("y.np"), names("x"), names("y"))
+        both = marked.alias("x").join(marked.alias("y"), (F.col("x.k") == F.col("y.k")) & condition & passes("x.np", "y.np") & close)
+        return _ordered(both.select(F.col("x.set").alias("a"), F.col("y.set").alias("b")))
 
     def verified(self, pairs: DataFrame, orders: int = 0) -> DataFrame:
         """The pairs with Jaccard >= 4/5, on whole sets.  With ``orders``, a
         pair must first share prefix tokens under that many further orders."""
-        m = self.members
+        pairs = saved(pairs, "pairs")
+        m = self._sets_of(pairs)
         both = (
             pairs.join(m.select(F.col("set").alias("b"), F.col("tokens").alias("tb")), "b")
             .join(m.select(F.col("set").alias("a"), F.col("tokens").alias("ta")), "a").select("a", "b", "ta", "tb")
@@ -221,7 +262,24 @@ class SetJoin:
                     good.append(similar(hub[1], np.frombuffer(y.as_buffer(), np.uint64), hub[2]))
                 yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-        return saved(both.mapInArrow(run, "a long, b long"), "links")
+        return saved(both.mapInArrow(run, "a long, b long").distinct(), "links")
+
+
+def may_agree(nx: Column, ny: Column, x: list[Column], y: list[Column]) -> Column:
+    """Bit-mark filter: what one set surely lacks of the other bounds the
+    overlap, which must reach 4/9 of both sizes."""
+    lacks = lambda a, b: reduce(lambda s, t: s + t, [F.bit_count(p.bitwiseAND(F.bitwise_not(q))) for p, q in zip(a, b, strict=True)])
+    return (9 * F.least(nx - lacks(x, y), ny - lacks(y, x))) >= (4 * (nx + ny))
+
+
+def passes(x: str, y: str) -> Column:
+    """Length and positional filter on two packed (size, position) columns of a
+    shared token: sizes within 4/5, and if it is the first shared token of a
+    pair, enough tokens left for 4/9 of both sizes."""
+    size = lambda c: F.shiftright(F.col(c), 32)
+    left = lambda c: size(c) - F.col(c).bitwiseAND(F.lit((1 << 32) - 1))
+    nx, ny = size(x), size(y)
+    return ((5 * F.least(nx, ny)) >= (4 * F.greatest(nx, ny))) & (9 * F.least(left(x), left(y)) >= 4 * (nx + ny))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:

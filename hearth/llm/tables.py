@@ -29,12 +29,21 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends there,
-    and a lost executor costs no recomputation."""
-    path = shared_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    and a lost executor costs no recomputation.  The frame is run only here, so
+    its shuffle files go as soon as it is written."""
+    spark = df.sparkSession
+    path, before = shared_path(spark, name), spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def bit_of(col: str) -> Column:
