@@ -14,19 +14,19 @@ from __future__ import annotations
 import json
 import random
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearth import constants as K
 from hearth.operators.quantiles import exact_quantiles, mode_of
@@ -98,38 +98,6 @@ def feature_names(assembled: DataFrame, col: str = "features") -> list[str]:
 
 # ---- Gram statistics -----------------------------------------------------------
 
-def gram_by_fold(assembled: DataFrame, label: str, fold: str, features: str = "features") -> tuple[dict, int]:
-    """``{fold: Z'Z}`` with ``Z = [1, x, y]`` summed over each fold's rows."""
-    first = assembled.select(F.size(vector_to_array(F.col(features))).alias("p")).head(1)
-    if not first:
-        return {}, 0
-    p = int(first[0]["p"])
-    d = p + 2
-
-    def partial(batches):
-        acc: dict[int, np.ndarray] = {}
-        for b in batches:
-            x = np.vstack(b["x"].to_numpy()) if len(b) else np.zeros((0, p))
-            z = np.column_stack([np.ones(len(b)), x, b["y"].to_numpy(dtype=float)])
-            for f_val in np.unique(b["f"].to_numpy()):
-                m = b["f"].to_numpy() == f_val
-                zz = z[m].T @ z[m]
-                acc[int(f_val)] = acc.get(int(f_val), 0) + zz
-        for f_val, zz in acc.items():
-            iu = np.triu_indices(d)
-            yield pd.DataFrame({"f": f_val, "i": iu[0].astype("int32"), "j": iu[1].astype("int32"), "v": zz[iu]})
-
-    rows = assembled.select(F.col(fold).cast("int").alias("f"), vector_to_array(F.col(features)).alias("x"),
-                            F.col(label).cast("double").alias("y")) \
-        .mapInPandas(partial, "f int, i int, j int, v double") \
-        .groupBy("f", "i", "j").agg(F.sum("v").alias("v")).collect()  # k * (p+2)^2 / 2 numbers
-    out: dict[int, np.ndarray] = {}
-    for r in rows:
-        m = out.setdefault(r["f"], np.zeros((d, d)))
-        m[r["i"], r["j"]] = m[r["j"], r["i"]] = r["v"]
-    return out, p
-
-
 @dataclass
 class LinearFit:
     """Coefficients on the ORIGINAL (unscaled) feature slots."""
@@ -143,51 +111,74 @@ class LinearFit:
         return [float(self.intercept), *map(float, self.coef)]
 
 
-def _standardised(zz: np.ndarray, scale: bool):
+def _slots(scaled: int | bool, p: int) -> int:
+    """How many leading slots are standardised: all, none, or the number given
+    (the numeric block; one-hot slots after it keep their scale)."""
+    return (p if scaled else 0) if isinstance(scaled, bool) else min(scaled, p)
+
+
+def _standardised(zz: np.ndarray, scaled: int | bool):
+    """n, means, mean of y, centred X'X and X'y on the fitted scale, the scale
+    of each slot and centred y'y."""
     n = zz[0, 0]
-    sx = zz[0, 1:-1]
-    mu = sx / n
-    xtx = zz[1:-1, 1:-1]
-    xty = zz[1:-1, -1]
-    my = zz[0, -1] / n
-    cxx = xtx - n * np.outer(mu, mu)
-    cxy = xty - n * mu * my
-    var = np.clip(np.diag(cxx) / n, 0, None)
-    sd = np.sqrt(var) if scale else np.ones_like(var)
-    sd_safe = np.where(sd > 0, sd, 1.0)
-    return n, mu, my, cxx / np.outer(sd_safe, sd_safe), cxy / sd_safe, sd_safe, zz[-1, -1] - n * my * my
-
-
-def _lasso_cd(a: np.ndarray, b: np.ndarray, n: float, alpha: float, iters: int = 2000, tol: float = 1e-10) -> np.ndarray:
-    """Coordinate descent on centred Gram statistics for
-    ``(1/2n)||y - Xw||^2 + alpha ||w||_1``."""
+    mu, my = zz[0, 1:-1] / n, zz[0, -1] / n
+    cxx = zz[1:-1, 1:-1] - n * np.outer(mu, mu)
+    cxy = zz[1:-1, -1] - n * mu * my
+    sd = np.ones(len(mu))
+    k = _slots(scaled, len(mu))
+    sd[:k] = np.sqrt(np.clip(np.diag(cxx)[:k] / n, 0, None))
+    sd[sd <= 0] = 1.0
+    return n, mu, my, cxx / np.outer(sd, sd), cxy / sd, sd, zz[-1, -1] - n * my * my
+
+
+#: Sweeps after which a lasso that has not converged is an error.
+LASSO_SWEEPS = 20_000
+
+
+def lasso_descent(a: np.ndarray, b: np.ndarray, yy: float, n: float, alpha: float, start: np.ndarray | None = None,
+                  tolerance: float = 1e-6) -> np.ndarray:
+    """``(1/2n)||y - Xw||^2 + alpha ||w||_1`` by coordinate descent on centred
+    Gram statistics, from ``start``, until the duality gap is below
+    ``tolerance`` y'y.  Raises when it stays above 1e-4 y'y."""
     p = len(b)
-    w = np.zeros(p)
+    w = np.zeros(p) if start is None else start.copy()
+    grad = b - a @ w
     diag = np.diag(a)
-    for _ in range(iters):
-        w_old = w.copy()
-        for j in range(p):
-            if diag[j] <= 0:
-                w[j] = 0.0
-                continue
-            rho = b[j] - a[j] @ w + diag[j] * w[j]
+    usable = np.flatnonzero(diag > 1e-12 * max(1.0, float(diag.max(initial=0.0))))
+    w[np.setdiff1d(np.arange(p), usable)] = 0.0
+    grad = b - a @ w
+    gap = np.inf
+    for sweep in range(LASSO_SWEEPS):
+        for j in usable if sweep % 10 == 0 else np.flatnonzero(w):  # mostly over what is not zero
+            old = w[j]
+            rho = grad[j] + diag[j] * old
             w[j] = np.sign(rho) * max(abs(rho) - n * alpha, 0.0) / diag[j]
-        if np.max(np.abs(w - w_old)) < tol:
-            break
+            if w[j] != old:
+                grad -= a[:, j] * (w[j] - old)
+        if sweep % 5 == 0:
+            rr, ry = yy - b @ w - grad @ w, yy - b @ w
+            shrink = min(1.0, n * alpha / max(np.abs(grad[usable]).max(initial=0.0), 1e-300))
+            gap = 0.5 * rr * (1 + shrink * shrink) + n * alpha * np.abs(w).sum() - shrink * ry
+            if gap <= tolerance * max(yy, 1e-300):
+                return w
+    if gap > 1e-4 * yy:
+        raise RuntimeError(f"lasso with alpha {alpha} has not converged after {LASSO_SWEEPS} sweeps")
     return w
 
 
-def solve_linear(zz: np.ndarray, kind: str, alpha: float, scale: bool = True) -> LinearFit:
-    """OLS (minimum-norm, via pseudo-inverse), ridge
-    ``||y-Xw||^2 + alpha||w||^2`` or lasso on standardised features with an
-    unpenalised intercept, mapped back to the original feature scale."""
-    n, mu, my, a, b, sd, _ = _standardised(zz, scale)
-    if kind == "linear":
-        w = np.linalg.pinv(a) @ b
+def solve_linear(zz: np.ndarray, kind: str, alpha: float, scale: int | bool = True, start: np.ndarray | None = None,
+                 tolerance: float = 1e-6) -> LinearFit:
+    """OLS (minimum-norm, via pseudo-inverse), ridge ``||y-Xw||^2 + alpha||w||^2``
+    or lasso with an unpenalised intercept, mapped back to the original
+    features.  ``scale``: the slots that are standardised first (see
+    ``_slots``); the penalty acts on that scale."""
+    n, mu, my, a, b, sd, yy = _standardised(zz, scale)
+    if kind == "linear" or (kind == "ridge" and alpha <= 0):
+        w = np.linalg.pinv(a, hermitian=True) @ b
     elif kind == "ridge":
-        w = np.linalg.solve(a + alpha * np.eye(len(b)), b) if alpha > 0 else np.linalg.pinv(a) @ b
+        w = np.linalg.solve(a + alpha * np.eye(len(b)), b)
     elif kind == "lasso":
-        w = _lasso_cd(a, b, n, alpha)
+        w = lasso_descent(a, b, yy, n, alpha, start, tolerance)
     else:
         raise ValueError(kind)
     coef = w / sd
@@ -196,40 +187,23 @@ def solve_linear(zz: np.ndarray, kind: str, alpha: float, scale: bool = True) ->
 
 def _sse(zz: np.ndarray, fit: LinearFit) -> float:
     w = np.concatenate([[fit.intercept], fit.coef])
-    xtx = zz[:-1, :-1]
-    xty = zz[:-1, -1]
-    return float(zz[-1, -1] - 2 * w @ xty + w @ xtx @ w)
+    return float(zz[-1, -1] - 2 * w @ zz[:-1, -1] + w @ zz[:-1, :-1] @ w)
 
 
-def select_alpha(grams: dict, kind: str, alphas: Sequence[float], scale: bool = True) -> tuple[float, dict]:
-    """k-fold CV over the alpha grid entirely from the per-fold Gram matrices."""
+def select_alpha(grams: dict, kind: str, alphas: Sequence[float], scale: int | bool = True) -> tuple[float, dict]:
+    """k-fold CV over the alpha grid from the folds' Gram matrices; each fold
+    walks the grid from its largest alpha, starting from the fit before."""
     total = sum(grams.values())
-    scores = {}
-    for a in alphas:
-        sse, n = 0.0, 0.0
-        for f, zz in grams.items():
-            fit = solve_linear(total - zz, kind, a, scale)
-            sse += _sse(zz, fit)
-            n += zz[0, 0]
-        scores[a] = sse / n
-    best = min(alphas, key=lambda a: (scores[a], a))
-    return best, scores
-
-
-def linear_predict(df: DataFrame, fit_by_fold: dict, fold: str | None, features: str = "features",
-                   name: str = "prediction") -> DataFrame:
-    """Dot product with per-fold weights (a k-row broadcast table) or one fit."""
-    x = vector_to_array(F.col(features))
-    if fold is None:
-        w = F.array(*[F.lit(v) for v in fit_by_fold[None].weights()])
-        dot = F.aggregate(F.zip_with(x, F.slice(w, 2, F.size(w) - 1), lambda a, b: a * b), w[0], lambda acc, v: acc + v)
-        return df.withColumn(name, dot)
-    spark = df.sparkSession
-    wt = spark.createDataFrame([(int(f), fit.weights()) for f, fit in fit_by_fold.items()], "_f int, _w array<double>")
-    j = df.join(F.broadcast(wt), F.col(fold) == F.col("_f"))  # k rows: bounded
-    w = F.col("_w")
-    dot = F.aggregate(F.zip_with(x, F.slice(w, 2, F.size(w) - 1), lambda a, b: a * b), w[0], lambda acc, v: acc + v)
-    return j.withColumn(name, dot).drop("_f", "_w")
+    sse = dict.fromkeys(alphas, 0.0)
+    for zz in grams.values():
+        rest, start = total - zz, None
+        sd = _standardised(rest, scale)[5]
+        for alpha in sorted(alphas, reverse=True):
+            fit = solve_linear(rest, kind, alpha, scale, start, tolerance=1e-4)
+            start = fit.coef * sd
+            sse[alpha] += _sse(zz, fit)
+    scores = {a: v / total[0, 0] for a, v in sse.items()}
+    return min(alphas, key=lambda a: (scores[a], a)), scores
 
 
 # ---- model specs ----------------------------------------------------------------
@@ -267,40 +241,6 @@ def tree_estimator(spec: ModelSpec, label: str = "label", features: str = "featu
     raise ValueError(spec.kind)
 
 
-def oof_predictions(assembled: DataFrame, spec: ModelSpec, label: str = "label", fold: str = "fold",
-                    features: str = "features") -> tuple[DataFrame, dict]:
-    """Out-of-fold predictions (each fold predicted by a model fitted on the
-    others) + info (chosen alpha, per-fold fits)."""
-    if spec.kind in ("linear", "ridge", "lasso"):
-        grams, _ = gram_by_fold(assembled, label, fold, features)
-        alpha = 0.0
-        if spec.alphas:
-            alpha, _ = select_alpha(grams, spec.kind, spec.alphas, spec.scale_numeric)
-        total = sum(grams.values())
-        fits = {f: solve_linear(total - zz, spec.kind, alpha, spec.scale_numeric) for f, zz in grams.items()}
-        return linear_predict(assembled, fits, fold, features), {"alpha": alpha, "fits": fits}
-    folds = [r[0] for r in assembled.select(fold).distinct().collect()]  # k values
-    parts = []
-    for f in sorted(folds):
-        model = tree_estimator(spec, label, features).fit(assembled.where(F.col(fold) != f))
-        parts.append(model.transform(assembled.where(F.col(fold) == f)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out, {}
-
-
-def fit_full(assembled: DataFrame, spec: ModelSpec, label: str = "label", fold: str = "fold",
-             features: str = "features", alpha: float | None = None):
-    """Final refit on every row (linear: one more use of the same Gram pass)."""
-    if spec.kind in ("linear", "ridge", "lasso"):
-        grams, _ = gram_by_fold(assembled, label, fold, features)
-        if alpha is None:
-            alpha = select_alpha(grams, spec.kind, spec.alphas, spec.scale_numeric)[0] if spec.alphas else 0.0
-        return solve_linear(sum(grams.values()), spec.kind, alpha, spec.scale_numeric)
-    return tree_estimator(spec, label, features).fit(assembled)
-
-
 def importance_table(model, names: Sequence[str]) -> pd.DataFrame:
     """``(feature, importance, raw_value, importance_type)``; names fall
     back to ``feature_i`` when they do not line up."""
@@ -361,14 +301,6 @@ def tune_trees(assembled: DataFrame, spec: ModelSpec, grid: dict, n_iter: int =
 
 # ---- scoring ----------------------------------------------------------------------
 
-def align_batch(batch: DataFrame, columns: Sequence[str], defaults: dict) -> tuple[DataFrame, list[str]]:
-    """Training columns in training order; absent ones filled with the
-    stored default (the filled list is known at plan time)."""
-    filled = [c for c in columns if c not in batch.columns]
-    cols = [F.col(c) if c in batch.columns else F.lit(defaults.get(c, K.ABSENT)).alias(c) for c in columns]
-    return batch.select(*cols), filled
-
-
 def to_price(pred_log: str = "prediction", name: str = "predicted_price"):
     """``expm1`` back to price, floored at 0."""
     return F.greatest(F.expm1(F.col(pred_log)), F.lit(0.0)).alias(name)
@@ -431,8 +363,7 @@ class ScoringBundle:
         if self.design is not None and isinstance(self.model, LinearFit):
             x = aligned.withColumn("prediction", linear_expression(self.design, self.model))
         else:
-            x = self.prep.transform(aligned)
-            x = linear_predict(x, {None: self.model}, None) if isinstance(self.model, LinearFit) else self.model.transform(x)
+            x = self.model.transform(self.prep.transform(aligned))
         return x.select(*keep, to_price(), F.lit(self.version).alias("model_version"))
 
 
@@ -460,16 +391,26 @@ def confidence_range(oof: DataFrame, scores: DataFrame, edges: Sequence[float],
 class LinearDesign:
     """Numeric columns (NULL -> fitted fill) and one-hot text columns (every
     seen level kept, unseen -> all zeros), described by plain columns so both
-    the Gram pass and predictions avoid assembling ML vectors."""
+    the Gram pass and predictions avoid assembling ML vectors.
+
+    The Gram pass runs on a wider form in which a missing value is a slot of
+    its own; ``collapse`` then applies any fills, so one pass serves training
+    sets with different fills (``fills_without[f]``: learned without fold f)."""
 
     numeric: list
     text: list
     fills: dict
     levels: dict
+    missing: list = field(default_factory=list)  # columns that have NULLs
+    fills_without: dict = field(default_factory=dict)
 
     def names(self) -> list[str]:
         return list(self.numeric) + [f"{t}_{lv}" for t in self.text for lv in self.levels[t]]
 
+    def without(self, fold) -> "LinearDesign":
+        """The design with the fills learned without a fold."""
+        return replace(self, fills={**self.fills, **self.fills_without.get(fold, {})})
+
     def numeric_values(self) -> list:
         return [F.coalesce(F.col(c).cast("double"), F.lit(float(self.fills.get(c) or 0.0))) for c in self.numeric]
 
@@ -477,8 +418,65 @@ class LinearDesign:
         return F.coalesce(F.col(t).cast("string"), F.lit(self.fills.get(t) or K.ABSENT))
 
     def level_index(self, t: str):
-        m = F.create_map(*[x for i, lv in enumerate(self.levels[t]) for x in (F.lit(lv), F.lit(i))])
-        return F.coalesce(F.element_at(m, self.text_value(t)), F.lit(-1))
+        """Slot of a value's level; -1 if unseen, -2 if missing."""
+        m = F.create_map(*[x for i, lv in enumerate(self.levels[t]) for x in (F.lit(lv), F.lit(i))]) if self.levels[t] else None
+        known = F.coalesce(F.element_at(m, F.col(t).cast("string")), F.lit(-1)) if m is not None else F.lit(-1)
+        return F.when(F.col(t).isNull(), F.lit(-2)).otherwise(known)
+
+    def wide_slots(self) -> list[tuple[str, str, str | None]]:
+        """(kind, column, level) of the wide form's slots between 1 and y."""
+        return (
+            [("number", c, None) for c in self.numeric] + [("missing", c, None) for c in self.numeric if c in self.missing]
+            + [("level", t, lv) for t in self.text for lv in self.levels[t]] + [("missing", t, None) for t in self.text if t in self.missing]
+        )
+
+    def wide_columns(self) -> list:
+        """Columns that ``wide_matrix`` turns into the wide form's slots."""
+        zero = [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in self.numeric]
+        return [(F.array(*zero) if zero else F.array().cast("array<double>")).alias("_xn"),
+                *[self.level_index(t).alias(f"_i{j}") for j, t in enumerate(self.text)]]
+
+    def wide_matrix(self, b: pd.DataFrame) -> np.ndarray:
+        n = len(b)
+        x = np.vstack(b["_xn"].to_numpy()).astype(float) if self.numeric else np.zeros((n, 0))
+        hole = np.isnan(x)
+        blocks = [np.where(hole, 0.0, x), hole[:, [j for j, c in enumerate(self.numeric) if c in self.missing]].astype(float)]
+        lost = []
+        for j, t in enumerate(self.text):
+            idx = b[f"_i{j}"].to_numpy()
+            one = np.zeros((n, len(self.levels[t])))
+            ok = idx >= 0
+            one[np.nonzero(ok)[0], idx[ok]] = 1.0
+            blocks.append(one)
+            if t in self.missing:
+                lost.append((idx == -2).astype(float)[:, None])
+        return np.hstack([*blocks, *lost])
+
+    def fill_matrix(self) -> np.ndarray:
+        """Maps the wide slots to the filled ones (names())."""
+        slots = self.wide_slots()
+        at = {s: i for i, s in enumerate(slots)}
+        out = np.zeros((len(slots), len(self.numeric) + sum(len(self.levels[t]) for t in self.text)))
+        k = 0
+        for c in self.numeric:
+            out[at["number", c, None], k] = 1.0
+            if c in self.missing:
+                out[at["missing", c, None], k] = float(self.fills.get(c) or 0.0)
+            k += 1
+        for t in self.text:
+            for lv in self.levels[t]:
+                out[at["level", t, lv], k] = 1.0
+                if t in self.missing and lv == (self.fills.get(t) or K.ABSENT):
+                    out[at["missing", t, None], k] = 1.0
+                k += 1
+        return out
+
+    def collapse(self, wide: np.ndarray) -> np.ndarray:
+        m = self.fill_matrix()
+        full = np.zeros((m.shape[0] + 2, m.shape[1] + 2))
+        full[0, 0] = full[-1, -1] = 1.0
+        full[1:-1, 1:-1] = m
+        return full.T @ wide @ full
 
     def to_json(self) -> str:
         return json.dumps({"numeric": self.numeric, "text": self.text, "fills": self.fills, "levels": self.levels})
@@ -489,7 +487,10 @@ class LinearDesign:
         return LinearDesign(d["numeric"], d["text"], d["fills"], d["levels"])
 
 
-def fit_linear_design(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> LinearDesign:
+def fit_linear_design(df: DataFrame, numeric: Sequence[str], text: Sequence[str], fold: str | None = None) -> LinearDesign:
+    """Fills and levels over all rows; with ``fold``, also the fills of columns
+    that have NULLs as learned without each fold.  (Levels need no such care: a
+    level that a training set lacks has a zero column there and weight 0.)"""
     fills = fit_fill_values(df, numeric, text)
     levels: dict = {t: [] for t in text}
     if text:
@@ -499,51 +500,89 @@ def fit_linear_design(df: DataFrame, numeric: Sequence[str], text: Sequence[str]
         for r in pairs:
             levels[r["c"]].append(r["v"])
         levels = {t: sorted(v) for t, v in levels.items()}
-    return LinearDesign(list(numeric), list(text), fills, levels)
+    both = [*numeric, *text]
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(both)]).first() if both else ()
+    missing = [c for c, n in zip(both, nulls, strict=True) if n]
+    design = LinearDesign(list(numeric), list(text), fills, levels, missing)
+    if fold and missing:
+        for f in sorted(r[0] for r in df.select(fold).distinct().collect()):  # k values
+            rest = df.where(F.col(fold) != f)
+            design.fills_without[f] = fit_fill_values(rest, [c for c in numeric if c in missing], [c for c in text if c in missing])
+    return design
+
+
+def _summed(df: DataFrame) -> dict[int, np.ndarray]:
+    """Sum of equally sized arrays per ``f``, from rows (f, part, v) with one
+    row a task and f: at most 64 arrays meet in a group, over three levels."""
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(v) for v in rows["v"]], axis=0)
+        return pd.DataFrame({"f": rows["f"].iloc[:1], "part": rows["part"].iloc[:1], "v": [total.tobytes()]})
+
+    schema = "f int, part long, v binary"
+    for _ in range(2):
+        df = df.withColumn("part", F.floor(F.col("part") / 64)).groupBy("f", "part").applyInPandas(add, schema)
+    return {r["f"]: np.frombuffer(r["v"]) for r in df.groupBy("f").applyInPandas(add, schema).collect()}
 
 
 def design_gram_by_fold(df: DataFrame, design: LinearDesign, label: str, fold: str | None) -> dict:
-    """``{fold: Z'Z}`` with ``Z = [1, numeric, one-hot, y]`` from ONE pass."""
-    pn = len(design.numeric)
-    widths = [len(design.levels[t]) for t in design.text]
-    d = 1 + pn + sum(widths) + 1
-    cols = [F.col(fold).cast("int").alias("f") if fold else F.lit(0).alias("f"),
-            F.array(*design.numeric_values()).alias("xn") if pn else F.array().cast("array<double>").alias("xn"),
-            *[design.level_index(t).alias(f"i{j}") for j, t in enumerate(design.text)],
-            F.col(label).cast("double").alias("y")]
+    """``{fold: Z'Z}`` with ``Z = [1, wide slots, y]`` from ONE pass."""
+    d = len(design.wide_slots()) + 2
+    cols = [F.col(fold).cast("int").alias("f") if fold else F.lit(0).alias("f"), *design.wide_columns(), F.col(label).cast("double").alias("y")]
 
     def partial(batches):
+        from pyspark import TaskContext
+
         acc: dict[int, np.ndarray] = {}
         for b in batches:
-            n = len(b)
-            if n == 0:
+            if len(b):
+                z = np.hstack([np.ones((len(b), 1)), design.wide_matrix(b), b["y"].to_numpy(dtype=float)[:, None]])
+                fv = b["f"].to_numpy()
+                for f_val in np.unique(fv):
+                    m = fv == f_val
+                    acc[int(f_val)] = acc.get(int(f_val), 0) + z[m].T @ z[m]
+        part = TaskContext.get().partitionId()
+        if acc:
+            yield pd.DataFrame({"f": list(acc), "part": part, "v": [zz.tobytes() for zz in acc.values()]})
+
+    sums = _summed(df.select(*cols).mapInPandas(partial, "f int, part long, v binary"))
+    return {f: v.reshape(d, d) for f, v in sums.items()}
+
+
+def leave_one_out_alphas(df: DataFrame, problems: dict, alphas: Sequence[float], scale: int | bool, label: str, fold: str) -> dict:
+    """The ridge alpha with the least leave-one-out error for each training set,
+    all from one pass.  ``problems``: {fold left out (or None): (design with its
+    fills, Gram matrix)}.  A row's error without itself is its residual over one
+    minus its leverage; both come from the eigenvectors of the Gram matrix."""
+    keys = list(problems)
+    first = problems[keys[0]][0]
+    ready = []
+    for key in keys:
+        design, zz = problems[key]
+        n, mu, my, a, b, sd, _ = _standardised(zz, scale)
+        value, vector = np.linalg.eigh(a)
+        shrink = 1.0 / (np.clip(value, 0, None)[:, None] + np.asarray(alphas, float)[None, :])
+        ready.append((key, design.fill_matrix(), n, mu, my, sd, vector, shrink, (vector.T @ b)[:, None] * shrink))
+    cols = [F.col(fold).cast("int").alias("f"), *first.wide_columns(), F.col(label).cast("double").alias("y")]
+
+    def partial(batches):
+        from pyspark import TaskContext
+
+        sse = np.zeros((len(ready), len(alphas)))
+        for b in batches:
+            if not len(b):
                 continue
-            blocks = [np.ones((n, 1))]
-            if pn:
-                blocks.append(np.vstack(b["xn"].to_numpy()).astype(float))
-            for j, w in enumerate(widths):
-                oh = np.zeros((n, w))
-                idx = b[f"i{j}"].to_numpy()
-                ok = idx >= 0
-                oh[np.nonzero(ok)[0], idx[ok]] = 1.0
-                blocks.append(oh)
-            blocks.append(b["y"].to_numpy(dtype=float)[:, None])
-            z = np.hstack(blocks)
-            fv = b["f"].to_numpy()
-            for f_val in np.unique(fv):
-                m = fv == f_val
-                acc[int(f_val)] = acc.get(int(f_val), 0) + z[m].T @ z[m]
-        iu = np.triu_indices(d)
-        for f_val, zz in acc.items():
-            yield pd.DataFrame({"f": f_val, "i": iu[0].astype("int32"), "j": iu[1].astype("int32"), "v": zz[iu]})
-
-    rows = df.select(*cols).mapInPandas(partial, "f int, i int, j int, v double") \
-        .groupBy("f", "i", "j").agg(F.sum("v").alias("v")).collect()  # k * d^2 / 2 numbers
-    out: dict[int, np.ndarray] = {}
-    for r in rows:
-        m = out.setdefault(r["f"], np.zeros((d, d)))
-        m[r["i"], r["j"]] = m[r["j"], r["i"]] = r["v"]
-    return out
+            wide, y, fv = first.wide_matrix(b), b["y"].to_numpy(dtype=float)[:, None], b["f"].to_numpy()
+            for i, (key, fills, n, mu, my, sd, vector, shrink, weight) in enumerate(ready):
+                m = np.ones(len(b), bool) if key is None else fv != key
+                u = ((wide[m] @ fills - mu) / sd) @ vector
+                error = (y[m] - my - u @ weight) / np.clip(1.0 - 1.0 / n - (u * u) @ shrink, 1e-12, None)
+                sse[i] += (error * error).sum(axis=0)
+        yield pd.DataFrame({"f": [0], "part": [TaskContext.get().partitionId()], "v": [sse.tobytes()]})
+
+    total = _summed(df.select(*cols).mapInPandas(partial, "f int, part long, v binary"))
+    sse = total[0].reshape(len(ready), len(alphas)) if total else np.zeros((len(ready), len(alphas)))
+    return {key: float(alphas[int(np.argmin(sse[i]))]) for i, key in enumerate(keys)}
 
 
 def linear_expression(design: LinearDesign, fit: LinearFit):
@@ -564,21 +603,72 @@ def linear_expression(design: LinearDesign, fit: LinearFit):
     return expr
 
 
+def linear_fits(df: DataFrame, design: LinearDesign, spec: ModelSpec, label: str = "label", fold: str = "fold",
+                grams: dict | None = None) -> dict:
+    """{fold: (design, fit)} of models fitted without that fold, and {None: ...}
+    fitted on all rows.  Fills and alpha come from the training rows alone:
+    ridge by leave-one-out, lasso by CV over the training folds."""
+    grams = grams or design_gram_by_fold(df, design, label, fold)
+    scale = len(design.numeric) if spec.scale_numeric else False
+    parts, total = {}, {}
+    for key in [*sorted(grams), None]:
+        d = design.without(key)
+        parts[key] = {f: d.collapse(zz) for f, zz in grams.items() if f != key}
+        if parts[key]:
+            total[key] = (d, sum(parts[key].values()))
+    alphas = dict.fromkeys(total, 0.0)
+    if spec.alphas and spec.kind == "ridge":
+        alphas = leave_one_out_alphas(df, total, spec.alphas, scale, label, fold)
+    elif spec.alphas:
+        alphas = {k: select_alpha(parts[k], spec.kind, spec.alphas, scale)[0] if len(parts[k]) > 1 else min(spec.alphas) for k in total}
+    return {k: (d, solve_linear(zz, spec.kind, alphas[k], scale)) for k, (d, zz) in total.items()}
+
+
+def predicted(df: DataFrame, design: LinearDesign, models: dict[str, dict], fold: str, keep: Sequence[str]) -> DataFrame:
+    """The ``keep`` columns and a prediction column per entry of ``models``
+    ({fold of a row: (design, fit)}; a row whose fold is missing gets NULL), all
+    from one matrix product per Arrow batch.  The models' designs are
+    ``design`` or restrictions of it, with any fills."""
+    at = {s: i for i, s in enumerate(design.wide_slots())}
+    folds = sorted({f for by in models.values() for f in by if f is not None})
+    weights = {f: np.full((len(at) + 1, len(models)), np.nan) for f in folds}
+    for j, by in enumerate(models.values()):
+        for f in folds:
+            if f in by:
+                d, fit = by[f]
+                weights[f][:, j] = 0.0
+                weights[f][0, j] = fit.intercept
+                weights[f][[1 + at[s] for s in d.wide_slots()], j] = d.fill_matrix() @ np.asarray(fit.coef, float)
+    names = list(models)
+    schema = T.StructType([df.schema[c] for c in keep if c not in names] + [T.StructField(n, T.DoubleType()) for n in names])
+    kept = [c for c in keep if c not in names]
+
+    def run(batches):
+        for b in batches:
+            out = np.full((len(b), len(names)), np.nan)
+            if len(b):
+                x, fv = np.hstack([np.ones((len(b), 1)), design.wide_matrix(b)]), b["_f"].to_numpy()
+                for f in np.unique(fv[~pd.isna(fv)]):
+                    if f in weights:
+                        m = fv == f
+                        out[m] = x[m] @ weights[f]
+            done = b[kept].copy()
+            for j, n in enumerate(names):
+                done[n] = pd.Series(out[:, j], index=b.index, dtype=object).where(~np.isnan(out[:, j]), None)
+            yield done
+
+    return df.select(*kept, F.col(fold).cast("int").alias("_f"), *design.wide_columns()).mapInPandas(run, schema)
+
+
 def linear_oof(df: DataFrame, design: LinearDesign, spec: ModelSpec, label: str = "label", fold: str = "fold",
-               name: str = "prediction", grams: dict | None = None) -> tuple[DataFrame, dict]:
-    """Out-of-fold predictions for OLS/ridge/lasso: one Gram pass (or the
-    caller's per-fold Gram matrices for the same design), alpha and per-fold
-    fits solved on the driver, predictions as a per-fold CASE."""
-    if grams is None:
-        grams = design_gram_by_fold(df, design, label, fold)
-    alpha = select_alpha(grams, spec.kind, spec.alphas, spec.scale_numeric)[0] if spec.alphas else 0.0
-    total = sum(grams.values())
-    fits = {f: solve_linear(total - zz, spec.kind, alpha, spec.scale_numeric) for f, zz in grams.items()}
-    pred = None
-    for f, fit in fits.items():
-        e = linear_expression(design, fit)
-        pred = F.when(F.col(fold) == f, e) if pred is None else pred.when(F.col(fold) == f, e)
-    return df.withColumn(name, pred), {"alpha": alpha, "fits": fits, "grams": grams}
+               name: str = "prediction", grams: dict | None = None, keep: Sequence[str] | None = None) -> tuple[DataFrame, dict]:
+    """Out-of-fold predictions for OLS/ridge/lasso: each row by the model fitted
+    without its fold.  ``info`` has the fits and the alpha of the refit on all
+    rows."""
+    grams = grams or design_gram_by_fold(df, design, label, fold)
+    fits = linear_fits(df, design, spec, label, fold, grams)
+    out = predicted(df, design, {name: fits}, fold, df.columns if keep is None else keep)
+    return out, {"alpha": fits[None][1].alpha if None in fits else 0.0, "fits": fits, "grams": grams}
 
 
 def gram_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
@@ -593,16 +683,11 @@ def sub_design(design: LinearDesign, grams: dict, columns: Sequence[str]) -> tup
     columns (a feature-group ablation): the sub-problem's ``Z'Z`` is a block
     of the full one, so no data pass is needed."""
     keep = set(columns)
-    numeric = [c for c in design.numeric if c in keep]
-    text = [t for t in design.text if t in keep]
-    idx = [0] + [1 + i for i, c in enumerate(design.numeric) if c in keep]
-    off = 1 + len(design.numeric)
-    for t in design.text:
-        w = len(design.levels[t])
-        if t in keep:
-            idx += list(range(off, off + w))
-        off += w
-    idx.append(off)  # y
-    sub = LinearDesign(numeric, text, {c: design.fills.get(c) for c in numeric + text},
-                       {t: design.levels[t] for t in text})
+    idx = [0, *[1 + i for i, (_, c, _) in enumerate(design.wide_slots()) if c in keep], len(design.wide_slots()) + 1]
+    sub = LinearDesign(
+        [c for c in design.numeric if c in keep], [t for t in design.text if t in keep],
+        {c: v for c, v in design.fills.items() if c in keep}, {t: v for t, v in design.levels.items() if t in keep},
+        [c for c in design.missing if c in keep],
+        {f: {c: v for c, v in fills.items() if c in keep} for f, fills in design.fills_without.items()},
+    )
     return sub, {f: zz[np.ix_(idx, idx)] for f, zz in grams.items()}

@@ -1,8 +1,7 @@
 """Variance inflation factors.
 
-The data pass is ONE aggregation of pairwise population covariances (stable
-online algorithm, partial aggregation) over at most ``max_features`` columns;
-only the resulting p x p matrix (p <= 80) reaches the driver, where the small
+The data pass is one Gram pass over columns shifted by their minima, over at
+most ``max_features`` columns (those beyond are named in the report); only the resulting p x p matrix (p <= 80) reaches the driver, where the small
 linear algebra runs.  Rows are never collected.
 """
 
@@ -26,7 +25,9 @@ def covariance_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
     expected to be filled beforehand."""
     from hearth.operators.ml import gram_matrix
 
-    zz = gram_matrix(df, cols)
+    low = df.agg(*[F.min(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    shifted = df.select(*[(F.col(f"`{c}`").cast("double") - F.lit(low[i] or 0.0)).alias(c) for i, c in enumerate(cols)])
+    zz = gram_matrix(shifted, cols)  # from the minima on, so years and large areas keep their digits
     n = zz[0, 0]
     if n == 0:
         return np.zeros((len(cols), len(cols)))

@@ -127,31 +127,43 @@ def retrain_triggers(spark, sf):
     return M.retrain_triggers(perf, psi)
 
 
-@register("stream_actual_pairs")
-def stream_actual_pairs(spark, sf):
-    """T1/T5 as Structured Streaming (rows-only check): the events table read
-    as a stream, predictions joined to later actuals with watermarks on both
-    sides, run to completion with ``availableNow`` into a parquet table in the
-    shared checkpoint folder, then read back as a batch DataFrame."""
+# requests before the last event by more than this are out of state when the run
+# ends: the delay of the watermark, the horizon, and one day of slack
+CLOSED_DAYS = 3
+
+_STREAM_SQL = f"""
+WITH {_MATCH_SQL}, last AS (SELECT max(ts) AS t FROM events)
+SELECT mt.request_id, mt.actual_id, mt.actual
+FROM mt, last WHERE mt.ts < last.t - INTERVAL {CLOSED_DAYS} DAY
+"""
+
+
+@register("stream_actual_pairs", _STREAM_SQL)
+def stream_first_actuals(spark, sf):
+    """T1/T5 as Structured Streaming: the events table read as a stream, each
+    prediction joined to its first later actual with watermarks on both sides,
+    run to completion with ``availableNow`` into a parquet table in the shared
+    checkpoint folder, then read back; one row per closed request."""
     import uuid
 
     from hearth.session import ensure_checkpoint_dir
 
-    schema = table(spark, sf, "events").schema
+    batch = table(spark, sf, "events")
     path = f"{sf.rstrip('/')}/events.parque[t]"  # a glob: the file source needs a pattern or a folder
-    ev = spark.readStream.schema(schema).parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
+    ev = spark.readStream.schema(batch.schema).parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
     preds = M.dedupe_requests(
         ev.where(F.col("event_type") == "view").select(F.col("event_id").alias("request_id"), "user_id", "ts",
                                                        F.col("value").alias("predicted")),
         "request_id", "ts", "1 day")
     acts = ev.where(F.col("event_type") == "purchase").select(F.col("event_id").alias("actual_id"), "user_id", "ts",
                                                               F.col("value").alias("actual"))
-    pairs = M.stream_actual_pairs(preds, acts, "user_id", "ts", preds_have_watermark=True).select(
-        F.col("p.request_id").alias("request_id"), F.col("p.user_id").alias("user_id"),
-        F.col("p.predicted").alias("predicted"), F.col("a.actual_id").alias("actual_id"), F.col("a.actual").alias("actual"))
+    first = M.stream_first_actuals(preds, acts, "user_id", "ts", "request_id", "actual_id", "actual", preds_have_watermark=True)
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/hearth-stream-{uuid.uuid4().hex}"
-    M.stream_to_table(pairs, f"{base}/out", f"{base}/state")
-    return spark.read.parquet(f"{base}/out")
+    M.stream_to_table(first, f"{base}/out", f"{base}/state")
+    last = batch.agg(F.max("ts").alias("t"))
+    done = spark.read.schema(first.schema).parquet(f"{base}/out")
+    closed = done.join(F.broadcast(last), F.col("ts").cast("timestamp_ntz") < F.col("t") - F.expr(f"INTERVAL {CLOSED_DAYS} DAYS"))
+    return closed.select("request_id", "actual_id", "actual")
 
 
 # fixed values: predicted-value slices for the windowed error table

@@ -4,55 +4,120 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from hearth.operators.ml import (ModelSpec, ScoringBundle, fit_fill_values, gram_by_fold, linear_predict,
-                                 oof_predictions, preprocessing_pipeline, sample_param_maps, select_alpha, solve_linear)
+from hearth.operators.ml import (LinearFit, ModelSpec, ScoringBundle, design_gram_by_fold, fit_fill_values,
+                                 fit_linear_design, leave_one_out_alphas, linear_expression, linear_fits, linear_oof,
+                                 preprocessing_pipeline, sample_param_maps, select_alpha, solve_linear)
 
 
-def _data(spark, n=300, seed=1):
+def _data(spark, n=300, seed=1, collinear=True):
+    """x0..x2 (x2 twice x0 if collinear) and a text column with three levels."""
     rnd = np.random.default_rng(seed)
-    x = rnd.normal(size=(n, 3))
-    x[:, 2] = x[:, 0] * 2.0  # exact collinearity
-    y = 1.5 + x @ np.array([1.0, -2.0, 0.5]) + rnd.normal(scale=0.1, size=n)
-    rows = [(int(i % 5), Vectors.dense(x[i].tolist()), float(y[i])) for i in range(n)]
-    return spark.createDataFrame(rows, ["fold", "features", "label"]), x, y
-
-
-def test_ridge_matches_closed_form(spark):
-    df, x, y = _data(spark)
-    grams, p = gram_by_fold(df, "label", "fold")
-    assert p == 3
-    fit = solve_linear(sum(grams.values()), "ridge", 2.0, scale=True)
-    mu, sd = x.mean(0), x.std(0)
-    z = (x - mu) / sd
-    yc = y - y.mean()
-    w = np.linalg.solve(z.T @ z + 2.0 * np.eye(3), z.T @ yc)
-    assert np.allclose(fit.coef, w / sd, atol=1e-8)
-    assert fit.intercept == pytest.approx(y.mean() - mu @ (w / sd), abs=1e-8)
-
-
-def test_ols_min_norm_predictions_and_cv(spark):
-    df, x, y = _data(spark)
-    grams, _ = gram_by_fold(df, "label", "fold")
-    fit = solve_linear(sum(grams.values()), "linear", 0.0)
-    pred = linear_predict(df, {None: fit}, None).select("label", "prediction").toPandas()
-    ref = np.linalg.lstsq(np.column_stack([np.ones(len(y)), x]), y, rcond=None)[0]
-    assert np.allclose(pred["prediction"], np.column_stack([np.ones(len(y)), x]) @ ref, atol=1e-6)
-    best, scores = select_alpha(grams, "ridge", [0.001, 1.0, 1000.0])
-    assert best in scores and scores[1000.0] > scores[0.001]
-    oof, info = oof_predictions(df, ModelSpec("r", "ridge", scale_numeric=True, alphas=(0.01, 1.0)))
-    assert oof.count() == 300 and info["alpha"] in (0.01, 1.0)
-
-
-def test_lasso_matches_spark_on_standardised_features(spark):
-    df, x, y = _data(spark, n=400, seed=3)
-    x = x[:, :2]
-    mu, sd = x.mean(0), x.std(0)
-    z = (x - mu) / sd
-    sdf = spark.createDataFrame([(0, Vectors.dense(z[i].tolist()), float(y[i])) for i in range(len(y))], ["fold", "features", "label"])
-    grams, _ = gram_by_fold(sdf, "label", "fold")
-    ours = solve_linear(sum(grams.values()), "lasso", 0.05, scale=False)
-    theirs = LinearRegression(elasticNetParam=1.0, regParam=0.05, standardization=False, tol=1e-12, maxIter=1000).fit(sdf)
-    assert np.allclose(ours.coef, theirs.coefficients.toArray(), atol=1e-4)
+    x = rnd.normal(size=(n, 3)) * np.array([1.0, 30.0, 0.2])
+    if collinear:
+        x[:, 2] = x[:, 0] * 2.0
+    t = rnd.integers(0, 3, n)
+    y = 1.5 + x @ np.array([1.0, -0.05, 0.5]) + np.array([0.0, 0.7, -0.4])[t] + rnd.normal(scale=0.1, size=n)
+    rows = [(i, int(i % 5), *map(float, x[i]), "abc"[t[i]], float(y[i])) for i in range(n)]
+    return spark.createDataFrame(rows, "id int, fold int, x0 double, x1 double, x2 double, t string, label double"), x, t, y
+
+
+def _one_hot(x, t, scaled=True):
+    """Numeric block standardised, one-hot block as it is; both centred."""
+    z = (x - x.mean(0)) / (x.std(0) if scaled else 1.0)
+    d = np.eye(3)[t]
+    return np.column_stack([z, d - d.mean(0)])
+
+
+def test_ridge_scales_the_numeric_block_only(spark):
+    df, x, t, y = _data(spark, collinear=False)
+    design = fit_linear_design(df, ["x0", "x1", "x2"], ["t"])
+    gram = design.collapse(sum(design_gram_by_fold(df, design, "label", "fold").values()))
+    fit = solve_linear(gram, "ridge", 50.0, len(design.numeric))
+    z = _one_hot(x, t)
+    w = np.linalg.solve(z.T @ z + 50.0 * np.eye(6), z.T @ (y - y.mean()))
+    w[:3] /= x.std(0)
+    assert np.allclose(fit.coef, w, atol=1e-8)
+    assert fit.intercept == pytest.approx(y.mean() - x.mean(0) @ w[:3] - np.eye(3)[t].mean(0) @ w[3:], abs=1e-8)
+
+
+def test_lasso_with_one_hot_matches_spark(spark):
+    df, x, t, y = _data(spark, n=400, seed=3, collinear=False)
+    design = fit_linear_design(df, ["x0", "x1", "x2"], ["t"])
+    gram = design.collapse(sum(design_gram_by_fold(df, design, "label", "fold").values()))
+    z = _one_hot(x, t)
+    sdf = spark.createDataFrame([(Vectors.dense(z[i].tolist()), float(y[i])) for i in range(len(y))], ["features", "label"])
+    for alpha in (0.01, 0.05, 0.3):
+        fit = solve_linear(gram, "lasso", alpha, len(design.numeric))
+        ref = LinearRegression(elasticNetParam=1.0, regParam=alpha, standardization=False, tol=1e-13, maxIter=5000).fit(sdf)
+        w = ref.coefficients.toArray()
+        objective = lambda v: ((y - y.mean() - z @ v) ** 2).sum() / (2 * len(y)) + alpha * np.abs(v).sum()
+        ours = np.concatenate([fit.coef[:3] * x.std(0), fit.coef[3:]])
+        assert objective(ours) <= objective(w) + 1e-6
+
+
+def test_ols_min_norm_predictions(spark):
+    df, x, t, y = _data(spark)
+    design = fit_linear_design(df, ["x0", "x1", "x2"], ["t"])
+    fit = linear_fits(df, design, ModelSpec("l", "linear", scale_numeric=True))[None][1]
+    pred = [r[0] for r in df.select(linear_expression(design, fit).alias("p"), "id").orderBy("id").collect()]
+    full = np.column_stack([np.ones(len(y)), x, np.eye(3)[t]])
+    assert np.allclose(pred, full @ np.linalg.lstsq(full, y, rcond=None)[0], atol=1e-6)
+
+
+def test_leave_one_out_alpha_equals_refitting(spark):
+    df, x, t, y = _data(spark, n=60, seed=4, collinear=False)
+    alphas = (0.01, 0.3, 3.0, 30.0, 300.0)
+    design = fit_linear_design(df, ["x0", "x1", "x2"], ["t"], "fold")
+    grams = design_gram_by_fold(df, design, "label", "fold")
+    problems = {k: (design, design.collapse(sum(g for f, g in grams.items() if f != k))) for k in (None, 0, 3)}
+    got = leave_one_out_alphas(df, problems, alphas, 3, "label", "fold")
+    fold = np.arange(60) % 5
+    for key in problems:
+        keep = np.flatnonzero(fold != key) if key is not None else np.arange(60)
+        z, yy = _one_hot(x[keep], t[keep]), y[keep]
+        errors = []
+        for a in alphas:  # centring and scaling stay those of the training set, the intercept is refitted
+            sse = 0.0
+            for i in range(len(keep)):
+                m = np.arange(len(keep)) != i
+                zi = z[m] - z[m].mean(0)
+                w = np.linalg.solve(zi.T @ zi + a * np.eye(6), zi.T @ (yy[m] - yy[m].mean()))
+                sse += (yy[i] - yy[m].mean() - (z[i] - z[m].mean(0)) @ w) ** 2
+            errors.append(sse)
+        assert got[key] == alphas[int(np.argmin(errors))]
+
+
+def test_fills_and_alpha_come_from_the_training_rows(spark):
+    """A fold with wild values and many NULLs does not touch the model that
+    predicts it."""
+    rows, rnd = [], np.random.default_rng(6)
+    for i in range(200):
+        f = i % 5
+        x = None if i % 7 == 0 else float(rnd.normal()) + (1000.0 if f == 0 else 0.0)
+        t = None if i % 9 == 0 else ("z" if f == 0 else "ab"[i % 2])
+        rows.append((i, f, x, t, 2.0 + 0.5 * (x or 0.0) / 1000 + float(rnd.normal(scale=0.1))))
+    schema = "id int, fold int, x double, t string, label double"
+    df = spark.createDataFrame(rows, schema)
+    spec = ModelSpec("r", "ridge", scale_numeric=True, alphas=(0.1, 1.0, 10.0))
+    design = fit_linear_design(df, ["x"], ["t"], "fold")
+    d0, fit0 = linear_fits(df, design, spec)[0]
+    rest = df.where("fold != 0")
+    alone = fit_linear_design(rest, ["x"], ["t"])
+    assert d0.fills["x"] == alone.fills["x"] and d0.fills["t"] == alone.fills["t"]
+    fit = linear_fits(rest, alone, spec)[None][1]
+    assert fit0.alpha == fit.alpha
+    a = [r[0] for r in df.select(linear_expression(d0, fit0)).collect()]
+    b = [r[0] for r in df.select(linear_expression(alone, fit)).collect()]
+    assert np.allclose(a, b, atol=1e-8)
+
+
+def test_lasso_alpha_path_and_convergence(spark):
+    df, x, t, y = _data(spark)
+    design = fit_linear_design(df, ["x0", "x1", "x2"], ["t"])
+    grams = {f: design.collapse(g) for f, g in design_gram_by_fold(df, design, "label", "fold").items()}
+    best, scores = select_alpha(grams, "lasso", [0.001, 0.01, 10.0], 3)
+    assert best in (0.001, 0.01) and scores[10.0] > scores[best]
+    assert np.allclose(solve_linear(sum(grams.values()), "lasso", 10.0, 3).coef, 0.0)
 
 
 def test_preprocessing_unseen_level_is_all_zero_and_bundle_roundtrip(spark, tmp_path):
@@ -64,17 +129,16 @@ def test_preprocessing_unseen_level_is_all_zero_and_bundle_roundtrip(spark, tmp_
     batch = spark.createDataFrame([(2.0, "zzz")], "x double, t string")
     v = prep.transform(batch).first()["features"].toArray()
     assert list(v) == [2.0, 0.0, 0.0]  # numeric, then one slot per seen level, unseen -> zeros
-    assembled = prep.transform(train)
-    grams, _ = gram_by_fold(assembled, "label", "fold")
-    fit = solve_linear(sum(grams.values()), "ridge", 0.1)
-    bundle = ScoringBundle(prep, fit, ["x", "t"], fills, "v-test")
+    design = fit_linear_design(train, ["x"], ["t"])
+    fit = linear_fits(train, design, ModelSpec("r", "ridge"))[None][1]
+    assert isinstance(fit, LinearFit)
+    bundle = ScoringBundle(None, fit, ["x", "t"], design.fills, "v-test", design=design)
     path = str(tmp_path / "bundle")
     bundle.save(path)
-    loaded = ScoringBundle.load(spark, path)
     a = bundle.score(batch).first()
-    b = loaded.score(batch.drop("x")).first()  # x absent -> default (median) filled
+    b = ScoringBundle.load(spark, path).score(batch.drop("x")).first()  # x absent -> default (median) filled
     assert a["model_version"] == b["model_version"] == "v-test"
-    assert b["predicted_price"] >= 0
+    assert a["predicted_price"] >= 0 and b["predicted_price"] >= 0
 
 
 def test_param_sampling_is_seeded_and_distinct():
@@ -84,42 +148,19 @@ def test_param_sampling_is_seeded_and_distinct():
     assert len(sample_param_maps(grid, 50)) == 6
 
 
-def test_column_design_matches_vector_pipeline(spark):
-    from hearth.operators.ml import fit_linear_design, linear_oof
-
-    rnd = np.random.default_rng(5)
-    rows = []
-    for i in range(400):
-        t = ["a", "b", "c", None][i % 4]
-        x1 = None if i % 17 == 0 else float(rnd.normal())
-        y = 2.0 + (x1 or 0.0) * 1.5 + {"a": 0.5, "b": -0.5, "c": 0.0, None: 0.2}[t] + float(rnd.normal(scale=0.1))
-        rows.append((i, i % 5, x1, float(rnd.normal()), t, y))
-    df = spark.createDataFrame(rows, "id int, fold int, x1 double, x2 double, t string, label double")
-    spec = ModelSpec("r", "ridge", scale_numeric=True, alphas=(0.1, 1.0, 10.0))
-    design = fit_linear_design(df, ["x1", "x2"], ["t"])
-    a, ia = linear_oof(df, design, spec)
-    fills = fit_fill_values(df, ["x1", "x2"], ["t"])
-    assembled = preprocessing_pipeline(["x1", "x2"], ["t"], fills).fit(df).transform(df)
-    b, ib = oof_predictions(assembled, spec)
-    pa = {r["id"]: r["prediction"] for r in a.select("id", "prediction").collect()}
-    pb = {r["id"]: r["prediction"] for r in b.select("id", "prediction").collect()}
-    assert ia["alpha"] == ib["alpha"]
-    assert all(abs(pa[k] - pb[k]) < 1e-9 for k in pa)
-
-
 def test_random_search_tuning_small(spark):
     from hearth.operators.ml import tune_trees
 
-    df, _, _ = _data(spark, n=200, seed=7)
-    df = df.withColumn("id", F.monotonically_increasing_id())
+    df, _, _, _ = _data(spark, n=200, seed=7)
+    data = preprocessing_pipeline(["x0", "x1", "x2"], [], {}).fit(df).transform(df)
     spec = ModelSpec("rf", "forest", params={"numTrees": 3, "maxDepth": 2})
-    model, best, score = tune_trees(df, spec, {"numTrees": [3, 5], "maxDepth": [2, 3]}, n_iter=2, folds=2,
+    model, best, score = tune_trees(data, spec, {"numTrees": [3, 5], "maxDepth": [2, 3]}, n_iter=2, folds=2,
                                     key=("id",), parallelism=2)
     assert set(best) == {"numTrees", "maxDepth"} and score > 0
 
 
 def test_sub_design_equals_direct_fit(spark):
-    from hearth.operators.ml import design_gram_by_fold, fit_linear_design, linear_oof, sub_design
+    from hearth.operators.ml import sub_design
 
     rnd = np.random.default_rng(9)
     rows = [(i, i % 5, float(rnd.normal()), float(rnd.normal()), ["a", "b", None][i % 3], float(rnd.normal()))
