@@ -189,17 +189,28 @@ def dedupe_requests(stream: DataFrame, key: str, ts: str, delay: str = "1 hour")
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
-def stream_actual_pairs(preds: DataFrame, actuals: DataFrame, subject: str, ts: str, delay: str = "1 day",
-                        preds_have_watermark: bool = False) -> DataFrame:
-    """T5 streaming: left-outer interval join (actual within one day after the
-    prediction); watermarks on both sides bound the join state.  Pass
-    ``preds_have_watermark`` when the prediction stream already declares one
-    (e.g. after ``dedupe_requests``)."""
+def stream_first_actuals(preds: DataFrame, actuals: DataFrame, subject: str, ts: str, pid: str, aid: str, value: str,
+                         delay: str = "1 day", preds_have_watermark: bool = False) -> DataFrame:
+    """T5 streaming: one row per request - (pid, ts, actual_id, actual,
+    actual_ts) of the first actual of its subject after it, within a day, NULLs
+    when there is none; ties on time go to the smaller actual id.
+
+    A left-outer interval join gives every actual of a request; an aggregation
+    by request and event time keeps the first.  Both are closed by watermarks,
+    so a request comes out once, when no earlier actual can still arrive, and
+    requests of the last day or so stay in state until the stream moves on.
+    Pass ``preds_have_watermark`` when the prediction stream already declares
+    one (e.g. after ``dedupe_requests``)."""
     p = (preds if preds_have_watermark else preds.withWatermark(ts, delay)).alias("p")
     a = actuals.withWatermark(ts, delay).alias("a")
     cond = (F.col(f"p.{subject}") == F.col(f"a.{subject}")) & (F.col(f"a.{ts}") > F.col(f"p.{ts}")) & \
         (F.col(f"a.{ts}") <= F.col(f"p.{ts}") + F.expr("INTERVAL 1 DAY"))
-    return p.join(a, cond, "leftOuter")
+    joined = p.join(a, cond, "leftOuter").select(
+        F.col(f"p.{pid}").alias(pid), F.col(f"p.{ts}").alias(ts), F.col(f"a.{aid}").alias("_id"),
+        F.col(f"a.{value}").alias("_v"), F.col(f"a.{ts}").alias("_t"))
+    first = F.min(F.when(F.col("_id").isNotNull(), F.struct(F.col("_t").cast("timestamp_ntz").alias("t"), F.col("_id").alias("id"), F.col("_v").alias("v"))))
+    return joined.groupBy(pid, ts).agg(first.alias("_f")).select(
+        pid, ts, F.col("_f.id").alias("actual_id"), F.col("_f.v").alias("actual"), F.col("_f.t").alias("actual_ts"))
 
 
 def stream_rolling_metrics(matched: DataFrame, ts: str, length: str = "7 days", slide: str = "1 day",

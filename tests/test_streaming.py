@@ -23,23 +23,23 @@ def _event_stream(spark):
         .withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def test_interval_join_stream_equals_batch(spark):
+def test_first_actuals_stream_equals_batch_on_closed_windows(spark):
+    """One row per request, unmatched ones included, as the batch form has it."""
     ev = _event_stream(spark)
     preds = ev.where("event_type = 'view'").select(F.col("event_id").alias("request_id"), "user_id", "ts",
                                                     F.col("value").alias("predicted"))
     acts = ev.where("event_type = 'purchase'").select(F.col("event_id").alias("actual_id"), "user_id", "ts",
                                                        F.col("value").alias("actual"))
-    pairs = M.stream_actual_pairs(preds, acts, "user_id", "ts").select("p.request_id", "a.actual_id")
-    _run(pairs, "pairs_out")
-    got = {(r[0], r[1]) for r in spark.sql("SELECT * FROM pairs_out").collect() if r[1] is not None}
-
-    b = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
-    p = b.where("event_type = 'view'").alias("p")
-    a = b.where("event_type = 'purchase'").alias("a")
-    want = {(r[0], r[1]) for r in p.join(a, (F.col("p.user_id") == F.col("a.user_id")) & (F.col("a.ts") > F.col("p.ts"))
-                                         & (F.col("a.ts") <= F.col("p.ts") + F.expr("INTERVAL 1 DAY")))
-            .select("p.event_id", "a.event_id").collect()}
-    assert got == want and len(want) > 0
+    _run(M.stream_first_actuals(preds, acts, "user_id", "ts", "request_id", "actual_id", "actual"), "first_out")
+    b = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    close = b.agg((F.max("ts") - F.expr("INTERVAL 3 DAYS")).alias("t")).first()["t"]
+    rows = spark.sql("SELECT request_id, CAST(ts AS timestamp_ntz) AS ts, actual_id, actual FROM first_out").where(F.col("ts") < F.lit(close)).collect()
+    p = b.where("event_type = 'view'").select(F.col("event_id").alias("request_id"), "user_id", "ts", F.col("value").alias("predicted"))
+    a = b.where("event_type = 'purchase'").select(F.col("event_id").alias("actual_id"), "user_id", "ts", "value")
+    want = M.attach_actuals(p, a, "user_id", "ts", "request_id", "actual_id", "value").where(F.col("ts") < F.lit(close)).collect()
+    assert len(rows) == len({r["request_id"] for r in rows})
+    assert {(r["request_id"], r["actual_id"], r["actual"]) for r in rows} == {(r["request_id"], r["actual_id"], r["actual"]) for r in want}
+    assert any(r["actual_id"] is None for r in rows) and any(r["actual_id"] is not None for r in rows)
 
 
 def test_rolling_metrics_stream_equals_batch_for_closed_windows(spark):
