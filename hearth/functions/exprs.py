@@ -201,11 +201,3 @@ def normal_quantile_sql(p: str) -> str:
         f"ELSE sign{q} * CASE WHEN {tail} <= 5e0 THEN {ratio('near', f'({tail} - 1.6e0)')} "
         f"ELSE {ratio('far', f'({tail} - 5e0)')} END END"
     )
-
-
-def broadcast_if_small(df, max_rows: int = 100_000):
-    """Broadcast hint only behind a row-count check (``limit`` stops early);
-    larger tables are left to a shuffle join, where AQE splits skew."""
-    from pyspark.sql import functions as _F
-
-    return _F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

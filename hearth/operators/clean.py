@@ -20,12 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from hearth import constants as K
-from hearth.functions.exprs import any_null, blank_to_null, broadcast_if_small, merge_single_rows
+from hearth.functions.exprs import any_null, blank_to_null, merge_single_rows
 from hearth.operators.dedup import duplicate_summary, keep_first
 from hearth.operators.quantiles import exact_median, mode_of
-
-
-REPORT_ID_LIMIT = 10_000  # ids listed inline in the JSON report at most
+from hearth.session import ensure_checkpoint_dir
 
 # ---- building blocks ------------------------------------------------------
 
@@ -39,10 +37,9 @@ def tidy_text(df: DataFrame, tokens: Sequence[str] = ("",)) -> DataFrame:
 
 
 def fit_group_median(source: DataFrame, value: str, by: Sequence[str]) -> tuple[DataFrame, float | None]:
-    """Per-group exact medians (a small persisted DataFrame, one row per group)
-    and the global median, from ONE quantile computation: every row is listed
-    once under its group and once under the global level."""
-    from pyspark import StorageLevel
+    """Per-group exact medians (a checkpointed DataFrame, one row per group) and
+    the global median, from ONE quantile computation: every row is listed once
+    under its group and once under the global level."""
 
     lvl = F.explode(F.array(
         F.struct(F.lit(0).alias("_lvl"), *[F.col(k).alias(k) for k in by]),
@@ -50,7 +47,9 @@ def fit_group_median(source: DataFrame, value: str, by: Sequence[str]) -> tuple[
     )).alias("_t")
     tagged = source.where(~any_null(by)).select(F.col(value).alias("_x"), lvl).select("_x", "_t.*") \
         if by else source.select(F.col(value).alias("_x"), F.lit(1).alias("_lvl"))
-    both = exact_median(tagged, "_x", by=["_lvl", *by], name=f"_{value}_group_median").persist(StorageLevel.MEMORY_AND_DISK)
+    both = exact_median(tagged, "_x", by=["_lvl", *by], name=f"_{value}_group_median")
+    ensure_checkpoint_dir(source.sparkSession)
+    both = both.checkpoint()  # read for the global median and again for the fill
     glob = both.where(F.col("_lvl") == 1).collect()  # one row
     medians = both.where(F.col("_lvl") == 0).drop("_lvl")
     return medians, (glob[0][f"_{value}_group_median"] if glob else None)
@@ -64,7 +63,7 @@ def apply_group_median(df: DataFrame, value: str, by: Sequence[str], medians: Da
     small at run time and shuffles otherwise.
     """
     gm = f"_{value}_group_median"
-    joined = df.join(broadcast_if_small(medians), list(by), "left")
+    joined = df.join(medians, list(by), "left")
     filled = F.coalesce(F.col(value), F.col(gm), F.lit(global_median))
     if global_median is not None:
         filled = filled.cast(df.schema[value].dataType)
@@ -286,7 +285,7 @@ def transform_cleaning(model: CleaningModel, df: DataFrame, is_test: bool = Fals
         if "MortgageRate" not in out.columns:
             out = out.withColumn("MortgageRate", F.lit(None).cast("double"))
         cols = out.columns
-        out = out.join(F.broadcast(model.month_rates), ["YrSold", "MoSold"], "left").select(  # <= 12 rows per year
+        out = out.join(model.month_rates, ["YrSold", "MoSold"], "left").select(
             *[F.coalesce(F.col("MortgageRate"), F.col("_month_rate"), F.lit(model.global_rate)).alias(c)
               if c == "MortgageRate" else F.col(c) for c in cols]
         )
@@ -325,8 +324,6 @@ def clean(train_raw: DataFrame, test_raw: DataFrame, key: str = "Id", target: st
     tr = keep_first(tr, [key], order or [key])
     te = keep_first(te, [key], order or [key])
     if checkpoint:
-        from hearth.session import ensure_checkpoint_dir
-
         ensure_checkpoint_dir(tr.sparkSession)
         tr, te = tr.checkpoint(), te.checkpoint()
     model = fit_cleaning(tr, te, target=target, key=key)
@@ -356,11 +353,6 @@ def cleaning_report(raw_train: DataFrame, raw_test: DataFrame, result: CleaningR
         return int(duplicate_summary(d, [key]).collect()[0]["n_duplicates"] or 0)
 
     n_removed = result.removed.count()
-    # the ids go into the document only while they are report-sized; the full
-    # list always stays available as the ``removed`` table of the result
-    ids: list | str = (sorted(int(r[key]) for r in result.removed.select(key).collect())
-                       if key in result.removed.columns and n_removed <= REPORT_ID_LIMIT
-                       else f"{n_removed} ids: see the removed-rows table")
     checks_tr = enrichment_checks(result.train).collect()
     checks_te = enrichment_checks(result.test).collect()
     return {
@@ -381,7 +373,7 @@ def cleaning_report(raw_train: DataFrame, raw_test: DataFrame, result: CleaningR
         "removed_training_outliers": {
             "rule": K.LEVERAGE_RULE_TEXT,
             "count": n_removed,
-            "ids": ids,
+            "ids": "the removed-rows table",
         },
         "imputations": {**result.model.mode_fills, **result.model.numeric_fills},
     }

@@ -21,13 +21,10 @@ def monthly_series(df: DataFrame, date_col: str, value_col: str, name: str = "ra
 
 
 def attach_monthly(df: DataFrame, series: DataFrame, year: str, month: str, name: str = "rate") -> DataFrame:
-    """Left join of a monthly series on (year, month); no match -> NULL.
-
-    The series has at most 12 rows per calendar year it spans, independent of
-    the fact table's size, so it is broadcast.
-    """
+    """Left join of a monthly series on (year, month); no match -> NULL.  The
+    series is small; AQE sees its size at run time and picks the join."""
     s = series.select(F.col("year").alias(year), F.col("month").alias(month), F.col(name))
-    return df.join(F.broadcast(s), [year, month], "left")
+    return df.join(s, [year, month], "left")
 
 
 def fill_from_month_median(df: DataFrame, source: DataFrame, value: str, year: str, month: str,
@@ -38,7 +35,7 @@ def fill_from_month_median(df: DataFrame, source: DataFrame, value: str, year: s
     glob = exact_median(src, value, name="m").collect()  # one number
     g = glob[0]["m"] if glob else None
     cols = df.columns
-    out = df.join(F.broadcast(per_month), [year, month], "left")  # <= 12 rows per year spanned
+    out = df.join(per_month, [year, month], "left")
     filled = F.coalesce(F.col(value), F.col("_month_median"), F.lit(g))
     sel = [filled.alias(value) if c == value else F.col(c) for c in cols]
     if flag:

@@ -91,7 +91,7 @@ def summarize_errors(residuals: DataFrame, key: str, levels: Sequence[str] | Non
     spark = residuals.sparkSession
     # the level list is a fixed, caller-supplied dimension: bounded by construction
     dim = spark.createDataFrame([(lv, i) for i, lv in enumerate(levels)], f"{key} string, _order int")
-    return F.broadcast(dim).join(agg, key, "left").select(
+    return dim.join(agg, key, "left").select(
         key, F.coalesce("n", F.lit(0).cast("long")).alias("n"),
         *[c for c in ["actual_mean", "predicted_mean", "residual_mean", "mae", "mape", "within_10_pct", "within_20_pct"]],
     )

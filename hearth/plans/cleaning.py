@@ -74,7 +74,7 @@ def sales_slice_summary(spark, sf):
     )
     # the bucket list is a fixed six-row dimension
     dim = spark.createDataFrame([(b,) for b in V.SALE_PRICE_LABELS], "price_bucket string")
-    return F.broadcast(dim).join(agg, "price_bucket", "left").select(
+    return dim.join(agg, "price_bucket", "left").select(
         "price_bucket",
         F.coalesce("n", F.lit(0)).cast("long").alias("n"),
         F.round("price_mean", 4).alias("price_mean"),
@@ -354,19 +354,12 @@ def _house_split(spark, sf):
     return h.where(f != 0), h.where(f == 0).drop("SalePrice")
 
 
-_CLEANED: dict = {}
-
-
 def _cleaned(spark, sf):
-    """One cleaning job per application and folder, shared by the two queries
-    below (its inputs are checkpointed inside ``clean``)."""
+    """The cleaning job and its inputs (checkpointed inside ``clean``)."""
     from hearth.operators.clean import clean
 
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _CLEANED:
-        train, test = _house_split(spark, sf)
-        _CLEANED[key] = (train, test, clean(train, test, key="Id"))
-    return _CLEANED[key]
+    train, test = _house_split(spark, sf)
+    return train, test, clean(train, test, key="Id")
 
 
 @register("clean_house")

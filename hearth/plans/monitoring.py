@@ -160,10 +160,9 @@ def stream_first_actuals(spark, sf):
     first = M.stream_first_actuals(preds, acts, "user_id", "ts", "request_id", "actual_id", "actual", preds_have_watermark=True)
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/hearth-stream-{uuid.uuid4().hex}"
     M.stream_to_table(first, f"{base}/out", f"{base}/state")
-    last = batch.agg(F.max("ts").alias("t"))
+    close = batch.agg((F.max("ts") - F.expr(f"INTERVAL {CLOSED_DAYS} DAYS")).alias("t")).first()["t"]  # one value
     done = spark.read.schema(first.schema).parquet(f"{base}/out")
-    closed = done.join(F.broadcast(last), F.col("ts").cast("timestamp_ntz") < F.col("t") - F.expr(f"INTERVAL {CLOSED_DAYS} DAYS"))
-    return closed.select("request_id", "actual_id", "actual")
+    return done.where(F.col("ts").cast("timestamp_ntz") < F.lit(close)).select("request_id", "actual_id", "actual")
 
 
 # fixed values: predicted-value slices for the windowed error table

@@ -77,7 +77,7 @@ def test_enrichment_checks_and_report(spark):
     res = clean(tr, te)
     rep = cleaning_report(tr, te, res)
     assert rep["duplicate_ids_before"]["train"] == 1
-    assert rep["removed_training_outliers"]["ids"] == [4]
+    assert rep["removed_training_outliers"]["count"] == 1 and [r["Id"] for r in res.removed.collect()] == [4]
     assert rep["missing_after"]["test"] == {}
 
 
