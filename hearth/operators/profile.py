@@ -49,11 +49,8 @@ def to_long(df: DataFrame, columns: Sequence[str], name: str = "column", value:
 
 def quantiles_by_column(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                         names: Sequence[str]) -> DataFrame:
-    """Exact quantiles of every column in one job over the long view; the
-    source row count bounds each column's distinct values, which lets small
-    tables skip the distinct-count routing pass."""
-    n = df.count()
-    return exact_quantiles(to_long(df, columns), "value", probs, by=["column"], names=names, rows_hint=n)
+    """Exact quantiles of every column in one job over the long view."""
+    return exact_quantiles(to_long(df, columns), "value", probs, by=["column"], names=names)
 
 
 def _one_row_to_long(row_df: DataFrame, items: Sequence[tuple[Sequence[str], str]],

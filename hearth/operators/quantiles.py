@@ -1,21 +1,18 @@
-"""Exact order statistics and modes that never buffer a whole group in one task.
+"""Exact order statistics and modes, one way for every size.
 
 Spark's ``percentile`` is exact but its final merge keeps every distinct value
-of a group in a single task's memory; a group holding a third of the table
-would sink that task.  ``exact_quantiles`` gets the same numbers in three
-partial-aggregatable steps:
-
-1. a mergeable sketch (``percentile_approx``) per group gives, for each
-   requested probability ``p``, a bracket ``[v(p - d), v(p + d)]`` that is
-   guaranteed to contain the exact order statistics needed for ``p``;
-2. one scan counts, per group and probability, the rows below the bracket and
-   the distinct values inside it (``groupBy(g, i, v).count()``: map-side
-   combined, and a hot group is spread over many reducers by value);
-3. a running count over the small in-bracket table picks the exact values,
-   interpolated the way ``percentile``/``quantile_cont`` interpolate.
-
-If a sketch bracket ever misses (it should not: the sketch bounds its rank
-error), that group alone falls back to Spark's ``percentile``.
+of a group in a single task's memory.  ``exact_quantiles`` ranks instead:
+
+1. ``groupBy(group, value).count()``, combined map-side; a hot value is one row
+   a task;
+2. the counts are range-partitioned by (group, value), so a group with a third
+   of the rows is spread over many partitions, and each (group, partition) gets
+   a running count of its own;
+3. a small table of counts per (group, partition) gives each partition its
+   offset, and the values at the wanted ranks are picked and interpolated the
+   way ``percentile``/``quantile_cont`` interpolate.
+
+No task holds more than one range partition, and nothing is approximate.
 """
 
 from __future__ import annotations
@@ -26,12 +23,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-_ACCURACY = 10000
-BROADCAST_GROUPS = 100_000  # per-group rows broadcast at most
-MAX_DISTINCT = 1_000_000  # distinct values a group may have to be solved from its count table
-_MARGIN = 3.0  # bracket half-width in units of the sketch's rank error
-
-
 def _prob_name(p: float) -> str:
     return f"q{p:g}".replace(".", "_")
 
@@ -42,25 +33,13 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
-    accuracy: int = _ACCURACY,
-    max_distinct: int = MAX_DISTINCT,
-    rows_hint: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Per group of ``by``: exact linear-interpolated quantiles of ``value``.
 
     Returns one row per group with a non-null value; columns ``by + names``.
-    NULL values are ignored (like ``percentile``).
-
-    Routing: one HyperLogLog pass estimates each group's distinct count.  A
-    group with at most ``max_distinct`` distinct values is solved exactly from
-    ``groupBy(g, v).count()`` (map-side combined, spread by value) by a running
-    sum over its distinct values, so a task never holds more than that many
-    rows.  Only groups with more distinct values take the sketch-bracket path
-    over their rows.  Nothing is persisted.
-
-    ``rows_hint``: an upper bound on any group's row count known to the
-    caller (e.g. the source table's size for per-column statistics); when it
-    is within ``max_distinct`` the routing pass is skipped.
+    NULL values are ignored (like ``percentile``).  ``partitions``: range
+    partitions of the ranking, by default the session's shuffle partitions.
     """
     probs = [float(p) for p in probs]
     if not probs or any(p < 0 or p > 1 for p in probs):
@@ -69,115 +48,30 @@ def exact_quantiles(
     keys = list(by)
     vcol = F.col(value) if isinstance(value, str) else value
     base = df.select(*keys, vcol.cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    if rows_hint is not None and rows_hint <= max_distinct:
-        return _count_quantiles(base, keys, probs, names)  # no group can exceed the bound
-    if not keys:
-        # one group: a single HLL number decides the path (never both)
-        d = base.agg(F.approx_count_distinct("_v", 0.05).alias("_d")).collect()[0]["_d"]
-        if d <= max_distinct:
-            return _count_quantiles(base, keys, probs, names)
-        return _sketch_quantiles(base, keys, probs, names, accuracy)
-    # route groups by (approximate) distinct count: one cheap HLL pass
-    card = base.groupBy(*keys).agg(F.approx_count_distinct("_v", 0.05).alias("_d"))
-    big = card.where(F.col("_d") > max_distinct).select(*keys)
-    if big.limit(1).count() == 0:
-        return _count_quantiles(base, keys, probs, names)
-    small = card.where(F.col("_d") <= max_distinct).select(*keys)
-    return _count_quantiles(_semi(base, small, keys), keys, probs, names).unionByName(
-        _sketch_quantiles(_semi(base, big, keys), keys, probs, names, accuracy))
-
-
-def _semi(rows: DataFrame, groups: DataFrame, keys: list) -> DataFrame:
-    return _join_null_safe(rows, groups, keys, "left_semi")
-
-
-def _count_quantiles(base: DataFrame, keys: list, probs: list, names: list) -> DataFrame:
-    """Exact quantiles from the ``(group, value) -> count`` table: a running
-    sum over each group's distinct values (bounded by the routing above)."""
     counted = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    w_all = Window.partitionBy(*keys)
-    w = w_all.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = counted.withColumn("_n", F.sum("_c").over(w_all)).withColumn("_cum", F.sum("_c").over(w))
+    # a fixed number of partitions: both branches below read one exchange
+    spread = counted.repartitionByRange(n, *keys, "_v").withColumn("_p", F.spark_partition_id())
+    sizes = spread.groupBy(*keys, "_p").agg(F.sum("_c").alias("_s"))
+    before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_off", F.coalesce(F.sum("_s").over(before), F.lit(0))).withColumn(
+        "_n", F.sum("_s").over(Window.partitionBy(*keys))).drop("_s")
+    running = Window.partitionBy(*keys, "_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = _join_null_safe(spread.withColumn("_run", F.sum("_c").over(running)), sizes, [*keys, "_p"])
+    ranked = ranked.withColumn("_cum", F.col("_off") + F.col("_run"))
     aggs = []
     for i, p in enumerate(probs):
         pos = F.lit(p) * (F.col("_n") - 1)
         aggs += [F.min(F.when(F.col("_cum") > F.floor(pos), F.col("_v"))).alias(f"_lo{i}"),
-                 F.min(F.when(F.col("_cum") > F.ceil(pos), F.col("_v"))).alias(f"_hi{i}"),
-                 F.first(pos - F.floor(pos)).alias(f"_fr{i}")]
-    picked = cum.groupBy(*keys).agg(*aggs)
+                 F.min(F.when(F.col("_cum") > F.ceil(pos), F.col("_v"))).alias(f"_hi{i}")]
+    picked = ranked.groupBy(*keys).agg(F.max("_n").alias("_n"), *aggs)
+    if not keys:
+        picked = picked.where(F.col("_n").isNotNull())
+    part = lambda p: F.lit(p) * (F.col("_n") - 1) - F.floor(F.lit(p) * (F.col("_n") - 1))
     return picked.select(*keys, *[
-        (F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(n)
-        for i, n in enumerate(names)])
-
-
-def _sketch_quantiles(base: DataFrame, keys: list, probs: list, names: list, accuracy: int) -> DataFrame:
-    """Sketch-bracket path for high-cardinality groups (``base`` = keys + ``_v``)."""
-    d = _MARGIN / accuracy
-    k = len(probs)
-    lo_p = [max(0.0, p - d) for p in probs]
-    hi_p = [min(1.0, p + d) for p in probs]
-
-    # step 1: group size + sketch brackets (one partial aggregation, one row per group)
-    sketch = base.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", lo_p + hi_p, accuracy).alias("_br"),
-    )
-    if keys:
-        joined = _join_null_safe(base, sketch, keys)  # AQE: broadcast when small, skew-split otherwise
-    else:
-        one = sketch.collect()  # the global sketch is one row: n and 2k bracket values, as literals
-        if not one:
-            return base.sparkSession.createDataFrame([], ", ".join(f"{n} double" for n in names))
-        joined = base.select("_v", F.lit(one[0]["_n"]).alias("_n"),
-                            F.array(*[F.lit(float(x)) for x in one[0]["_br"]]).alias("_br"))
-
-    # step 2: per probability, mark the row as below the bracket (v -> NULL) or
-    # inside it (v kept); rows above every bracket are dropped.
-    marks = F.array(*[
-        F.struct(
-            F.lit(i).alias("i"),
-            F.when(F.col("_v") < F.col("_br")[i], F.lit(None).cast("double")).otherwise(F.col("_v")).alias("v"),
-            (F.col("_v") <= F.col("_br")[k + i]).alias("keep"),
-        )
-        for i in range(k)
-    ])
-    # plain explode + where (a lambda ``filter`` would leave whole-stage codegen)
-    exploded = joined.select(*keys, "_n", F.explode(marks).alias("_m")).where(F.col("_m.keep")).select(
-        *keys, "_n", F.col("_m.i").alias("_i"), F.col("_m.v").alias("_v"))
-    counted = exploded.groupBy(*keys, "_n", "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
-
-    # step 3: running count over the (small) bracket table
-    w = Window.partitionBy(*keys, "_i").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    p_arr = F.array(*[F.lit(p) for p in probs])
-    pos = F.element_at(p_arr, F.col("_i") + 1) * (F.col("_n") - 1)
-    ranked = counted.withColumn("_cum", F.sum("_c").over(w)).withColumn("_pos", pos)
-    r_lo = F.floor(F.col("_pos"))
-    r_hi = F.ceil(F.col("_pos"))
-    picked = ranked.groupBy(*keys, "_i", "_pos").agg(
-        F.min(F.when(F.col("_v").isNotNull() & (F.col("_cum") > r_lo), F.col("_v"))).alias("_lo"),
-        F.min(F.when(F.col("_v").isNotNull() & (F.col("_cum") > r_hi), F.col("_v"))).alias("_hi"),
-        F.coalesce(F.max(F.when(F.col("_v").isNull(), F.col("_cum"))), F.lit(0)).alias("_below"),
-        F.max("_cum").alias("_reach"),
-    )
-    ok = (F.col("_below") <= F.floor(F.col("_pos"))) & (F.col("_reach") > F.ceil(F.col("_pos")))
-    picked = picked.withColumn("_ok", ok)
-    frac = F.col("_pos") - F.floor(F.col("_pos"))
-    long = picked.where("_ok").select(*keys, "_i", (F.col("_lo") + frac * (F.col("_hi") - F.col("_lo"))).alias("_q"))
-
-    # groups whose bracket missed (never expected: the sketch bounds its rank
-    # error) fall back to Spark's percentile; an empty branch in practice
-    missed = picked.where(~F.col("_ok")).select(*keys).distinct()
-    if keys:
-        fb_rows = _join_null_safe(base, missed, keys, "left_semi")
-    else:  # one group: the check is on a k-row table
-        fb_rows = base if picked.where(~F.col("_ok")).limit(1).count() else base.limit(0)
-    fallback = fb_rows.groupBy(*keys).agg(
-        F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("_qs")
-    ).select(*keys, F.posexplode("_qs").alias("_i", "_q"))
-    long = long.unionByName(fallback)
-    return long.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
+        (F.col(f"_lo{i}") + part(p) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(nm)
+        for i, (p, nm) in enumerate(zip(probs, names, strict=True))])
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

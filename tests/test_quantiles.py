@@ -10,15 +10,15 @@ def _frame(spark, rows):
     return spark.createDataFrame(rows, "g string, v double")
 
 
-@pytest.mark.parametrize("max_distinct", [1_000_000, 10])
-def test_exact_quantiles_match_percentile_on_skewed_groups(spark, max_distinct):
+@pytest.mark.parametrize("partitions", [None, 1, 50])
+def test_exact_quantiles_match_percentile_on_skewed_groups(spark, partitions):
     rnd = random.Random(7)
     rows = [("hot", float(rnd.randint(0, 500))) for _ in range(6000)]
     rows += [("cold", float(rnd.random())) for _ in range(37)]
     rows += [("one", 4.0), ("pair", 1.0), ("pair", 2.0), ("nulls", None), ("nulls", 3.0), (None, 5.0), (None, 8.0)]
     df = _frame(spark, rows)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = {r["g"]: r for r in exact_quantiles(df, "v", probs, by=["g"], accuracy=100, max_distinct=max_distinct).collect()}
+    got = {r["g"]: r for r in exact_quantiles(df, "v", probs, by=["g"], partitions=partitions).collect()}
     want = {
         r["g"]: r["qs"]
         for r in df.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("qs")).collect()
@@ -38,13 +38,13 @@ def test_global_median_and_mode(spark):
     assert got == {"x": ("a", 2)}
 
 
-@pytest.mark.parametrize("max_distinct", [1_000_000, 10])
-def test_global_quantiles_one_row_and_no_cross_join(spark, max_distinct):
+@pytest.mark.parametrize("partitions", [None, 30])
+def test_global_quantiles_one_row_and_no_cross_join(spark, partitions):
     import contextlib
     import io
 
     df = spark.range(1000).selectExpr("cast(id as double) as v")
-    q = exact_quantiles(df, "v", [0.5, 0.9], max_distinct=max_distinct, accuracy=100)
+    q = exact_quantiles(df, "v", [0.5, 0.9], partitions=partitions)
     rows = q.collect()
     assert len(rows) == 1
     assert rows[0]["q0_5"] == pytest.approx(499.5) and rows[0]["q0_9"] == pytest.approx(899.1)
@@ -52,3 +52,6 @@ def test_global_quantiles_one_row_and_no_cross_join(spark, max_distinct):
     with contextlib.redirect_stdout(buf):
         q.explain()
     assert "NestedLoopJoin" not in buf.getvalue() and "CartesianProduct" not in buf.getvalue()
+    # partition sizes and ranks must come from one range exchange
+    assert "ReusedExchange" in buf.getvalue()
+    assert exact_quantiles(df.limit(0), "v", [0.5]).count() == 0
