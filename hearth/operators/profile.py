@@ -301,6 +301,23 @@ def target_correlation(df: DataFrame, target: str, features: Sequence[str], name
     return out.orderBy(F.abs(F.col(name)).desc_nulls_last(), "feature")
 
 
+def supplementary_correlations(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
+    """``(feature, corr, corr_log)`` with the target and with log(1 + it),
+    from one aggregate; constant columns give NULL."""
+    log = F.log1p(F.col(target).cast("double"))
+    pair = lambda c, t: pair_corr(F.col(c).cast("double"), t)
+    row = df.agg(*[e for i, c in enumerate(features) for e in (
+        pair(c, F.col(target).cast("double")).alias(f"r{i}"), pair(c, log).alias(f"l{i}"))])
+    cells = [F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("corr"), F.col(f"l{i}").alias("corr_log")) for i, c in enumerate(features)]
+    return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+
+
+def first_value(df: DataFrame, value: str, by: Sequence[str], order: Sequence[str], name: str = "first") -> DataFrame:
+    """Per group the value that is not NULL and comes first by ``order``."""
+    known = df.where(F.col(value).isNotNull())
+    return known.groupBy(*by).agg(F.min_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias(name))
+
+
 def correlation_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """All i<j Pearson correlations ``(feature_1, feature_2, corr)`` from one scan."""
     r = pairwise_correlation(df, features)

@@ -111,6 +111,28 @@ def input_drift(spark, sf):
     return _psi(spark, sf).select("day", round_sig("psi").alias("psi"))
 
 
+# twelve areas of users stand for neighbourhoods; after training they shift by three
+_LEVEL_SQL = f"""
+WITH ev AS (SELECT strftime(ts, '%Y-%m-%d') AS day, ts, 'area ' || CAST((user_id + CASE WHEN ts >= TIMESTAMP '{TRAIN_END}' THEN 3 ELSE 0 END) % 12 AS VARCHAR) AS level FROM events),
+t AS (SELECT level, count(*) AS c FROM ev WHERE ts < TIMESTAMP '{TRAIN_END}' GROUP BY 1),
+q AS (SELECT level, greatest(c / (SELECT sum(c) FROM t), {_EPS}) AS q FROM t),
+d AS (SELECT day, level, count(*) AS n FROM ev GROUP BY 1, 2), s AS (SELECT day, sum(n) AS d FROM d GROUP BY 1),
+lv AS (SELECT level FROM q UNION SELECT level FROM d), x AS (SELECT s.day, s.d, lv.level FROM s CROSS JOIN lv),
+y AS (SELECT x.day, greatest(coalesce(d.n, 0) / x.d, {_EPS}) AS p, coalesce(q.q, {_EPS}) AS q
+      FROM x LEFT JOIN d ON x.day = d.day AND x.level = d.level LEFT JOIN q ON x.level = q.level)
+SELECT day, round(sum((p - q) * ln(p / q)), 8) AS psi FROM y GROUP BY 1
+"""
+
+
+@register("level_drift", _LEVEL_SQL)
+def level_drift(spark, sf):
+    """T2 on a text column."""
+    end = F.lit(TRAIN_END).cast("timestamp_ntz")
+    user = F.col("user_id") + F.when(F.col("ts") >= end, 3).otherwise(0)
+    ev = table(spark, sf, "events").select("ts", F.concat(F.lit("area "), (user % 12).cast("string")).alias("level"))
+    return M.level_drift(ev, ev.where(F.col("ts") < end), "ts", "level", _EPS).select("day", F.round("psi", 8).alias("psi"))
+
+
 _TRIGGER_SQL = f"""
 WITH {_MATCH_SQL}, {_PERF_SQL}, {_psi_sql()}
 SELECT window_start, 'mape' AS trigger, mape AS value, {M.MAPE_LIMIT} AS threshold, mape > {M.MAPE_LIMIT} AS fired FROM perf

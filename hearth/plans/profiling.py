@@ -418,3 +418,33 @@ _VC_SQL = "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1"
 def value_counts(spark, sf):
     """A15."""
     return table(spark, sf, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+
+
+_FIRST_SQL = """
+WITH o AS (SELECT *, CASE WHEN o_orderkey % 4 <> 0 THEN o_totalprice END AS rate FROM orders),
+r AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, rate,
+             row_number() OVER (PARTITION BY year(o_orderdate), month(o_orderdate) ORDER BY o_orderkey) AS i
+      FROM o WHERE rate IS NOT NULL)
+SELECT year, month, rate AS first_rate FROM r WHERE i = 1
+"""
+
+
+@register("first_monthly_rate", _FIRST_SQL)
+def first_monthly_rate(spark, sf):
+    """A26."""
+    o = table(spark, sf, "orders").select(
+        F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), "o_orderkey",
+        F.when(F.col("o_orderkey") % 4 != 0, F.col("o_totalprice")).alias("rate"))
+    return P.first_value(o, "rate", ["year", "month"], ["o_orderkey"], "first_rate")
+
+
+_SUPPLEMENTARY = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
+@register("supplementary_correlations", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(corr({c}, l_extendedprice), 9) AS corr, round(corr({c}, ln(1 + l_extendedprice)), 9) AS corr_log FROM lineitem"
+    for c in _SUPPLEMENTARY))
+def supplementary_correlations(spark, sf):
+    """A30."""
+    r = P.supplementary_correlations(table(spark, sf, "lineitem"), "l_extendedprice", _SUPPLEMENTARY)
+    return r.select("feature", F.round("corr", 9).alias("corr"), F.round("corr_log", 9).alias("corr_log"))

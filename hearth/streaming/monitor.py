@@ -168,6 +168,29 @@ def input_drift(log: DataFrame, train: DataFrame, ts: str, value: str, eps: floa
     return agg.select("day", psi_expression("_c", "_nd", shares, eps).alias("psi"))
 
 
+def level_drift(log: DataFrame, train: DataFrame, ts: str, column: str, eps: float = 1e-4) -> DataFrame:
+    """T2 for a text column: Population Stability Index per day over its levels.
+
+    A level that a day or the training data lacks counts as share ``eps``.  Days
+    and levels are not crossed: every day starts from the sum of the terms that
+    all training levels would have if absent, and its present levels replace
+    theirs.  An empty training table gives no rows."""
+    seen = train.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_q"))
+    total = seen.agg(F.sum("_q").alias("t")).first()["t"]  # one number
+    term = lambda p, q: (p - q) * F.log(p / q)
+    seen = seen.withColumn("_q", F.greatest(F.col("_q") / F.lit(total or 1), F.lit(eps)))
+    absent = seen.agg(F.sum(term(F.lit(eps), F.col("_q"))).alias("a")).first()["a"]  # one number
+    days = log.where(F.col(column).isNotNull()).groupBy(F.date_format(F.col(ts), "yyyy-MM-dd").alias("day"), column).agg(
+        F.count(F.lit(1)).alias("_n"))
+    if absent is None:
+        return days.select("day", F.lit(0.0).alias("psi")).limit(0)
+    sizes = days.groupBy("day").agg(F.sum("_n").alias("_d"))
+    both = days.join(sizes, "day").join(seen, column, "left")
+    p, q = F.greatest(F.col("_n") / F.col("_d"), F.lit(eps)), F.coalesce("_q", F.lit(eps))
+    change = term(p, q) - F.when(F.col("_q").isNotNull(), term(F.lit(eps), q)).otherwise(0.0)
+    return both.groupBy("day").agg((F.lit(absent) + F.sum(change)).alias("psi"))
+
+
 def retrain_triggers(perf: DataFrame, drift: DataFrame) -> DataFrame:
     """``(window_start, trigger, value, threshold, fired)`` rows from the
     rolling metrics and the daily input drift."""
