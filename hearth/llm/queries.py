@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, decontam, line_dedup, ngram_join, pii, quality, substring_dedup, toxicity, url_filter, warc
+from hearth.llm import bpe, decontam, line_dedup, ngram_join, pii, quality, sqltext, substring_dedup, toxicity, url_filter, warc
 from hearth.llm.tables import saved
 from hearth.sources.tables import table
 
@@ -117,3 +117,7 @@ j AS (
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
        CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM j
 """
+ORACLE["op2_decontamination"] = sqltext.DECONTAMINATION
+ORACLE["op3_line_dedup"] = sqltext.LINE_DEDUP
+ORACLE["op5_warc"] = sqltext.WARC
+ORACLE["op6_ngram_join"] = sqltext.NGRAM_JOIN

@@ -3,7 +3,7 @@
 The channel: letters may be written as look-alike digits and signs, be spaced
 out, be repeated, or be interrupted by signs.  A suspicious token becomes a
 lattice of readings, and Viterbi decoding under a character trigram model of
-the whole corpus picks the likeliest one.  The score is that of the text plus
+the whole corpus picks the likeliest ones.  The score is that of the text plus
 its restored tokens.
 
 The classifier sums log-odds of words and word beginnings that occur more often
@@ -32,12 +32,16 @@ from hearth.llm.pii import _FOLD, _INVISIBLE
 
 #: Labelled rows to learn from, the bound of the training sample.
 TRAIN_ROWS = 40_000
-#: Features kept in the model, and the toxic documents each must occur in.
+#: Features kept in the model, and the toxic documents each must occur in: a
+#: number and a share, so that chance finds in few documents stay out.
 MAX_FEATURES = 20_000
-MIN_TOXIC = 3
+MIN_TOXIC = 5
+MIN_TOXIC_SHARE = 0.01
 MIN_WEIGHT = 2.0
 BEGINNINGS = (4, 5, 6)
 MAX_TOKEN = 40
+#: Likeliest readings of a token that are scored.
+READINGS_KEPT = 3
 
 # What a sign may stand for.
 READINGS = {
@@ -95,22 +99,23 @@ class CharModel:
         back = (pairs + 0.5) / (pairs + 0.5).sum(axis=1, keepdims=True)
         self.logp = np.log((n + 5 * back[None]) / (n + 5 * back[None]).sum(axis=2, keepdims=True))
 
-    def decode(self, lattice: list[list[tuple[str, float]]]) -> str:
-        """The likeliest path; a column lists (reading, cost) pairs."""
-        best = {(26, 26): (0.0, "")}
+    def decode(self, lattice: list[list[tuple[str, float]]], best: int = READINGS_KEPT) -> list[str]:
+        """The likeliest paths, Viterbi with ``best`` survivors a state; a
+        column lists (reading, cost) pairs."""
+        state = {(26, 26): [(0.0, "")]}
         for column in [*lattice, [(" ", 0.0)]]:
-            step: dict[tuple[int, int], tuple[float, str]] = {}
-            for (p, q), (score, text) in best.items():
+            step: dict[tuple[int, int], list[tuple[float, str]]] = {}
+            for (p, q), paths in state.items():
                 for reading, cost in column:
-                    a, b, s = p, q, score - cost
+                    a, b, s = p, q, -cost
                     for c in reading:
                         k = _class(c)
                         s += self.logp[a, b, k]
                         a, b = b, k
-                    if (a, b) not in step or s > step[a, b][0]:
-                        step[a, b] = (s, text + reading)
-            best = step
-        return max(best.values())[1].strip()
+                    step.setdefault((a, b), []).extend((score + s, text + reading) for score, text in paths)
+            state = {k: sorted(set(v), reverse=True)[:best] for k, v in step.items()}
+        last = sorted((x for v in state.values() for x in v), reverse=True)
+        return list(dict.fromkeys(text.strip() for _, text in last))[:best]
 
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
@@ -164,7 +169,7 @@ def suspicious(text: str) -> list[str]:
     return list(dict.fromkeys(found + changed))
 
 
-_SEEN: dict[str, str] = {}
+_SEEN: dict[str, list[str]] = {}
 
 
 def restored(text: str, model: CharModel) -> list[str]:
@@ -175,7 +180,7 @@ def restored(text: str, model: CharModel) -> list[str]:
     for token in suspicious(text):
         if token not in _SEEN:
             _SEEN[token] = model.decode(lattice(token))
-        out.append(_SEEN[token])
+        out += _SEEN[token]
     return out
 
 
@@ -223,7 +228,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text_col: str
     counts = known.mapInArrow(count, "f long, toxic long, clean long").groupBy("f").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     weight = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
     top = (
-        counts.where(F.col("toxic") >= MIN_TOXIC).withColumn("w", weight).where(F.col("w") >= MIN_WEIGHT)
+        counts.where(F.col("toxic") >= max(MIN_TOXIC, MIN_TOXIC_SHARE * n_toxic)).withColumn("w", weight).where(F.col("w") >= MIN_WEIGHT)
         .orderBy(F.desc(F.col("w") * F.col("toxic")), "f").limit(MAX_FEATURES).collect()
     )
     ids = np.array([r.f for r in top], np.int64).view(np.uint64)

@@ -11,7 +11,7 @@ from hearth.llm import bpe
 from hearth.llm.queries import RANKS
 
 import brute
-from conftest import SF, make_docs
+from llm_data import SF, make_docs
 from test_filters import brute_contamination
 
 

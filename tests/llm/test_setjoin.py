@@ -8,7 +8,7 @@ from hearth.llm import line_dedup, ngram_join, setjoin, textkernel
 from hearth.llm.queries import QUERIES
 
 import brute
-from conftest import SF, make_docs
+from llm_data import SF, docs_rows, make_docs  # noqa: F401
 
 WORDS = [f"w{i}" for i in range(400)]
 

@@ -5,7 +5,7 @@ import random
 from hearth.llm import warc
 from hearth.llm.queries import QUERIES
 
-from conftest import SF
+from llm_data import SF
 
 SCHEMA = "page_id long, url string, html string"
 
