@@ -26,8 +26,13 @@ from hearth.llm.tables import bit_of, bitmap, maybe_in, quoted, saved
 _LAST = (1 << 63) - 1
 
 
-def _place(id_col: str = "id"):
-    return F.struct(F.coalesce(F.col(id_col), F.lit(_LAST)).alias("d"), F.col(ADDRESS).alias("r"), F.col("unit").alias("l"))
+def _place():
+    """Place of a line in the corpus as one number that sorts by id (null
+    last), then by row, then by line."""
+    whole = "decimal(38,0)"
+    id_part = F.coalesce(F.col("id"), F.lit(_LAST)).cast("decimal(20,0)") * F.lit(10**18).cast("decimal(19,0)")
+    row_part = F.pmod(F.col(ADDRESS), F.lit(10**8)) * F.lit(10**10) + F.col("unit")
+    return (id_part.cast(whole) + row_part.cast(whole)).cast(whole)
 
 
 def matched_lines(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -35,7 +40,8 @@ def matched_lines(docs: DataFrame, key: str = "doc_id", text_col: str = "text")
     matches, for documents that have such lines."""
     join = SetJoin(docs, key, text_col, by_line=True)
     lines = join.sets.select(ADDRESS, "unit", "set", _place().alias("at"))
-    first = saved(lines.groupBy("set").agg(F.min("at").alias("first")), "first")
+    every = saved(lines.groupBy("set").agg(F.min("at").alias("first"), F.count("*").alias("lines")), "first")
+    first = saved(every.join(join.known.select("set"), "set", "left_semi").drop("lines"), "live_first")
 
     tried = saved(join.proposals(), "tried")
     found = join.verified(tried)
@@ -59,9 +65,13 @@ def matched_lines(docs: DataFrame, key: str = "doc_id", text_col: str = "text")
     last = join.verified(pairs.join(tried.unionByName(star), ["a", "b"], "left_anti"))
     found = found.unionByName(last)
 
-    settled = first.join(best(found), "set", "left").select("set", F.least("first", F.coalesce("best", "first")).alias("first"))
+    earlier = best(found).join(first, "set").where("best < first").select("set", "best")
+    repeated = every.where("lines > 1").select("set", F.col("first").alias("best"))
+    cut = saved(earlier.unionByName(repeated).groupBy("set").agg(F.min("best").alias("best")), "cut")
+    # only lines of these sets are shuffled; a set with neither copies nor an earlier match is in no row of it
+    maybe, _ = maybe_in(lines, bitmap(cut, bit_of("set")), "set")
     return (
-        lines.join(settled, "set").where(F.col("first") < F.col("at")).select(ADDRESS, "unit").distinct()
+        maybe.join(cut, "set").where(F.col("best") < F.col("at")).select(ADDRESS, "unit").distinct()
         .groupBy(ADDRESS).agg(F.array_sort(F.collect_list("unit")).alias("lines"))
     )
 

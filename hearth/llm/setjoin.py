@@ -6,7 +6,8 @@ Tokens are ordered rare first, by a count table of fixed size that covers all
 rows and by hash among equals; two sets that meet the threshold share a token
 of their prefixes.  The join never lists the pairs of a bucket:
 
-1. each bucket (token) proposes its members against its smallest member;
+1. each bucket (token) proposes its members against one of them: that with
+   the fewest rarer tokens, the likeliest to be what the others are copies of;
    very frequent tokens are salted, and their salts meet in a second level;
 2. proposals that pass the length, positional and bit-mark filters are
    verified on the whole sets, which are read again from the texts for the members of such
@@ -69,13 +70,19 @@ def unit_chunks(texts: pa.Array, by_line: bool) -> Iterator[tuple[np.ndarray, np
             yield row[u:v], number[u:v], woff[u : v + 1] - woff[u], hashes[woff[u] : woff[v]]
 
 
-def bit_marks(tokens: np.ndarray, unit: np.ndarray, n_units: int, width: int) -> np.ndarray:
-    """Per unit ``width`` 64-bit words with a bit for each token.  A bit that x
-    has and y has not stands for at least one token of x that y lacks."""
-    bit = (tk.mix(tokens, 13) >> np.uint64(20)) % np.uint64(64 * width)
-    cell = np.unique(unit.astype(np.int64) * (64 * width) + bit.astype(np.int64))
+def bit_marks(tokens: np.ndarray, off: np.ndarray, width: int) -> np.ndarray:
+    """Per unit ``width`` 64-bit words with a bit for each token, named by the
+    token's first bits.  A bit that x has and y has not stands for at least one
+    token of x that y lacks.  Tokens are sorted in each unit, so are the bits."""
+    n_units, bits = len(off) - 1, 6 + width.bit_length() - 1
+    unit = np.repeat(np.arange(n_units), np.diff(off))
+    cell = (unit << bits) | (tokens >> np.uint64(64 - bits)).astype(np.int64)
+    cell = cell[np.r_[True, cell[1:] != cell[:-1]]] if len(cell) else cell
     out = np.zeros(n_units * width, np.uint64)
-    np.add.at(out, cell >> 6, np.uint64(1) << (cell & 63).astype(np.uint64))  # distinct bits, so adding sets them
+    word = cell >> 6
+    first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else word
+    if len(first):
+        out[word[first]] = np.bitwise_or.reduceat(np.uint64(1) << (cell & 63).astype(np.uint64), first)
     return out.view(np.int64).reshape(n_units, width)
 
 
@@ -112,13 +119,12 @@ class SetJoin:
     by_line: bool
 
     def __post_init__(self):
-        self.width = 2 if self.by_line else 8  # 64-bit words of a set's bit marks
+        self.width = 4 if self.by_line else 8  # 64-bit words of a set's bit marks; a power of two
         self.marks = [f"w{i}" for i in range(self.width)]
         self.text = self.docs.select(F.col(f"`{self.text_col}`").alias("t"))
         self.sets = self._sets()
         self.live = self._live()
-        fresh = self.sets.where(F.size("light") + F.size("hot") > 0)
-        self.bits = fresh.groupBy("set").agg(F.max("n").alias("n"), *[F.max(m).alias(m) for m in self.marks])  # equal in all rows
+        self.known = self._known()
 
     def _sets(self) -> DataFrame:
         """One row per unit (lines without words are left out): row address,
@@ -152,7 +158,7 @@ class SetJoin:
                             fresh[i] = False
                         else:
                             seen.add(s)
-                    marks = bit_marks(t, u, len(row), width)
+                    marks = bit_marks(t, off, width).T.copy()
                     take = (pos < prefix_size(n)[u]) & fresh[u]
                     pick, pos, owner = order[take], pos[take], u[take]
                     is_hot = cell[pick] > limit
@@ -164,7 +170,7 @@ class SetJoin:
                         lists.append(pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), values.filter(pa.array(part))))
                     where = pa.array(row)
                     out = pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(where), batch.column(1).take(where), pa.array(number), pa.array(n), pa.array(ids), *map(pa.array, marks.T.copy()), *lists], names=names
+                        [batch.column(0).take(where), batch.column(1).take(where), pa.array(number), pa.array(n), pa.array(ids), *map(pa.array, marks), *lists], names=names
                     )
                     yield out.filter(pa.array(n > 0)) if by_line else out
 
@@ -177,7 +183,8 @@ class SetJoin:
         sets; ``np`` packs the set's size and the token's position."""
         packed = lambda pos: F.shiftleft(F.col("n"), 32).bitwiseOR(F.col("pos").cast("long") + pos).alias("np")
         light = self.sets.where(F.size("light") > 0).select("set", "n", F.posexplode("light").alias("pos", "k")).select("k", "set", packed(F.lit(0)))
-        w = Window.partitionBy("k").orderBy("set")
+        place = F.col("np").bitwiseAND(F.lit((1 << 32) - 1))
+        w = Window.partitionBy("k").orderBy(place, "set")
         so_far = w.rowsBetween(Window.unboundedPreceding, 0)
         light = light.select(
             "k", "set", "np", F.first("set").over(so_far).alias("rep"), F.first("np").over(so_far).alias("rep_np"),
@@ -188,20 +195,37 @@ class SetJoin:
         light = light.where(F.col("before").isNull() | (F.col("before") != F.col("set"))).select("k", "set", "np", "rep", "rep_np")
         hot = self.sets.where(F.size("hot") > 0).select("set", "n", F.size("light").alias("after"), F.posexplode("hot").alias("pos", "p"))
         hot = hot.select("p.k", "set", packed(F.col("after")), "p.s")
-        salted = hot.groupBy("k", "s").agg(F.min(F.struct("set", "np")).alias("r")).select("k", "s", F.col("r.set").alias("rep"), F.col("r.np").alias("rep_np"))
-        salted = saved(salted, "salted")
-        top = salted.groupBy("k").agg(F.min(F.struct("rep", "rep_np")).alias("t"))
-        self.hot_reps = salted.join(top, "k").select("k", F.col("rep").alias("set"), F.col("rep_np").alias("np"), F.col("t.rep").alias("rep"), F.col("t.rep_np").alias("rep_np"))
+        least = F.min(F.struct(place.alias("place"), "set", "np"))
+        salted = saved(hot.groupBy("k", "s").agg(least.alias("r")).select("k", "s", "r"), "salted")
+        top = salted.groupBy("k").agg(F.min("r").alias("t"))
+        self.hot_reps = salted.join(top, "k").select("k", F.col("r.set").alias("set"), F.col("r.np").alias("np"), F.col("t.set").alias("rep"), F.col("t.np").alias("rep_np"))
+        salted = salted.select("k", "s", F.col("r.set").alias("rep"), F.col("r.np").alias("rep_np"))
         hot = hot.join(salted, ["k", "s"]).select("k", "set", "np", "rep", "rep_np")
         return saved(light.unionByName(hot), "live")
 
-    def _sets_of(self, pairs: DataFrame) -> DataFrame:
-        """The whole sets, as packed sorted tokens, of the members of pairs.
-        One unit that has each set is named by a bitmap, and the texts are read
-        again (a few other units slip through and meet no pair)."""
-        ids = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-        unit = F.struct(F.col(ADDRESS), "unit")
-        named = self.sets.join(ids, "set", "left_semi").groupBy("set").agg(F.min(unit).alias("u"))
+    def _known(self) -> DataFrame:
+        """One row per live set: its size, bit marks, and a unit that has it.
+        A bitmap picks its candidates among all units, so only these are
+        grouped."""
+        cells = np.frombuffer(bitmap(self.live, F.pmod(F.col("set"), F.lit(BITMAP_BITS))), np.uint8)
+        shared = self.docs.sparkSession.sparkContext.broadcast(cells)
+
+        def pick(batches):
+            bits = shared.value
+            for b in batches:
+                at = b.column(0).to_numpy(zero_copy_only=False) & (BITMAP_BITS - 1)
+                yield b.filter(pa.array(((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)))
+
+        fresh = self.sets.where(F.size("light") + F.size("hot") > 0).select("set", "n", *self.marks, ADDRESS, "unit")
+        rows = fresh.mapInArrow(pick, fresh.schema)
+        one = [F.max(c).alias(c) for c in ("n", *self.marks)]  # equal in all rows of a set
+        return saved(rows.groupBy("set").agg(*one, F.min(F.struct(ADDRESS, "unit")).alias("u")), "known")
+
+    def _sets_of(self, ids: DataFrame) -> DataFrame:
+        """The whole sets, as packed sorted tokens, of set ids.  One unit that
+        has each set is named by a bitmap, and the texts are read again (a few
+        other units slip through and meet no pair)."""
+        named = self.known.join(ids, "set", "left_semi")
         bit = F.pmod(F.col(f"u.{ADDRESS}").bitwiseXOR(F.col("u.unit") * _SPREAD), F.lit(BITMAP_BITS))
         cells = np.frombuffer(bitmap(named, bit), np.uint8)
         shared = self.docs.sparkSession.sparkContext.broadcast(cells)
@@ -225,7 +249,7 @@ class SetJoin:
         """Star pairs (a, b) of all buckets that pass the filters."""
         stars = self.live.select("set", "np", "rep", "rep_np").unionByName(self.hot_reps.select("set", "np", "rep", "rep_np"))
         pairs = _ordered(stars.where(passes("np", "rep_np")).select(F.col("rep").alias("a"), F.col("set").alias("b")))
-        side = lambda key, to: self.bits.select(F.col("set").alias(key), *[F.col(c).alias(f"{to}_{c}") for c in ("n", *self.marks)])
+        side = lambda key, to: self.known.select(F.col("set").alias(key), *[F.col(c).alias(f"{to}_{c}") for c in ("n", *self.marks)])
         both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
         names = lambda to: [F.col(f"{to}_{m}") for m in self.marks]
         return both.where(may_agree(F.col("x_n"), F.col("y_n"), names("x"), names("y"))).select("a", "b")
@@ -234,7 +258,7 @@ class SetJoin:
         """Remaining pairs: ``marked`` is ``live`` with the caller's columns;
         ``condition`` on the aliases x and y says which pairs are open.  All
         filters are part of the join, so only pairs that pass come out of it."""
-        marked = saved(marked.join(self.bits.drop("n"), "set"), "open")
+        marked = saved(marked.join(self.known.select("set", *self.marks), "set"), "open")
         names = lambda to: [F.col(f"{to}.{m}") for m in self.marks]
         size = lambda c: F.shiftright(F.col(c), 32)
         close = may_agree(size("x.np"), size("y.np"), names("x"), names("y"))
@@ -245,7 +269,7 @@ class SetJoin:
         """The pairs with Jaccard >= 4/5, on whole sets.  With ``orders``, a
         pair must first share prefix tokens under that many further orders."""
         pairs = saved(pairs, "pairs")
-        m = self._sets_of(pairs)
+        m = self._sets_of(pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct())
         both = (
             pairs.join(m.select(F.col("set").alias("b"), F.col("tokens").alias("tb")), "b")
             .join(m.select(F.col("set").alias("a"), F.col("tokens").alias("ta")), "a").select("a", "b", "ta", "tb")
