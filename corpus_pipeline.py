@@ -14,7 +14,7 @@ from hearth.sources.tables import table
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
-    return quality.keep_good(docs, save=saved)
+    return quality.keep_good(docs)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

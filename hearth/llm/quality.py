@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hearth.llm.tables import saved
+
 #: word separators: \x20 and \x09-\x0D
 _WS = "[\\x20\\x09-\\x0D]+"
 REPEAT_WINDOW = 8
@@ -182,35 +184,26 @@ def fit(table: DataFrame, names: list[str], rounds: int = 100, tolerance: float
     return model
 
 
-def judge(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, save=None) -> DataFrame:
+def judge(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, save=saved) -> DataFrame:
     """``measures`` plus the votes, ``p_good``, ``base_failed`` and ``kept``
     (p_good >= 0.5 and not base_failed).  The model is fitted on all rows of
-    ``df``; ``save`` may write the measured rows once and return them, so that
-    the texts are not measured a second time."""
+    ``df``.  ``save`` writes the measured rows once and returns them: a filter
+    pushed below the measures would repeat their expressions."""
     rules = votes()
     m = measures(df, text_col, keep)
-    m = m.select("*", *[v.alias(f"vote_{k}") for k, v in rules.items()])
-    m = save(m) if save else m
+    m = save(m.select("*", *[v.alias(f"vote_{k}") for k, v in rules.items()]))
     names = [f"vote_{k}" for k in rules]
-    table = m.groupBy(*names).agg(F.count("*").alias("n"))
-    model = fit(save(table) if save else table, names)
+    model = fit(save(m.groupBy(*names).agg(F.count("*").alias("n"))), names)
     return m.withColumn("p_good", model.posterior()).withColumn("base_failed", base_failed()).withColumn(
         "kept", (F.col("p_good") >= 0.5) & ~F.col("base_failed")
     )
 
 
-def keep_good(docs: DataFrame, text_col: str = "text", save=None) -> DataFrame:
+def keep_good(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that ``judge`` rejects, same columns.
-
-    Rows are measured once for the model, on the measures alone, and filtered
-    in a second pass by the same expressions, so texts are neither stored nor
-    shuffled."""
-    rules = votes()
-    names = [f"vote_{k}" for k in rules]
-    seen = measures(docs, text_col, []).select(*[v.alias(f"vote_{k}") for k, v in rules.items()])
-    table = seen.groupBy(*names).agg(F.count("*").alias("n"))
-    model = fit(save(table) if save else table, names)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    whole = docs.select(F.struct(*columns).alias("__row"), F.col(f"`{text_col}`").alias("__text"))
-    judged = measures(whole, "__text", ["__row"]).select("*", *[v.alias(f"vote_{k}") for k, v in rules.items()])
-    return judged.where((model.posterior() >= 0.5) & ~base_failed()).select("__row.*")
+    Rows are named by a hash of id and text; the rejected ones, which are few,
+    are anti-joined."""
+    rows = docs.withColumn("__row", F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text_col}`")))
+    slim = rows.select("__row", F.col(f"`{text_col}`").alias("__text"))
+    bad = saved(judge(slim, "__text", ["__row"]).where("not kept").select("__row").distinct())
+    return rows.join(bad, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.llm import bpe, decontam, line_dedup, ngram_join, pii, quality, sqltext, substring_dedup, toxicity, url_filter, warc
-from hearth.llm.tables import saved
 from hearth.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,7 +85,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(table(spark, sf_dir, "documents"), keep=["doc_id"], save=saved)
+    judged = quality.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good"
     )
