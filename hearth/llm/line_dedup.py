@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearth.llm.setjoin import ADDRESS, SetJoin, _ordered, addressed
-from hearth.llm.tables import bit_of, bitmap, maybe_in, quoted, saved
+from hearth.llm.tables import bit_of, bitmap, maybe_in, quoted, saved, scratch
 
 _LAST = (1 << 63) - 1
 
@@ -80,7 +80,8 @@ def mark_lines(docs: DataFrame, key: str = "doc_id", text_col: str = "text") ->
     """``docs`` with ``__lines``, the numbers of the removed lines (null if
     none).  Only documents that lose lines are shuffled."""
     docs = addressed(docs, key, text_col)
-    gone = saved(matched_lines(docs.select(*dict.fromkeys([key, text_col, ADDRESS])), key, text_col), "gone")
+    with scratch(docs.sparkSession):
+        gone = saved(matched_lines(docs.select(*dict.fromkeys([key, text_col, ADDRESS])), key, text_col), "gone", keep=True)
     maybe, never = maybe_in(docs, bitmap(gone, bit_of(ADDRESS)), ADDRESS)
     hit = maybe.join(gone.withColumnRenamed("lines", "__lines"), ADDRESS, "left")
     return hit.unionByName(never.withColumn("__lines", F.lit(None).cast("array<bigint>"))).drop(ADDRESS)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.llm.setjoin import ADDRESS, SetJoin, addressed
-from hearth.llm.tables import bit_of, bitmap, components, maybe_in, quoted, saved
+from hearth.llm.tables import bit_of, bitmap, components, maybe_in, quoted, saved, scratch
 
 #: Global orders besides the rare-first one.
 FURTHER_ORDERS = 2
@@ -39,6 +39,11 @@ def links(join: SetJoin) -> DataFrame:
 
 def linked(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: key, its address, n_shingles and component_id."""
+    with scratch(docs.sparkSession):
+        return saved(_linked(docs, key, text_col), "linked", keep=True)
+
+
+def _linked(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     join = SetJoin(addressed(docs.select(*dict.fromkeys([key, text_col])), key, text_col), key, text_col, by_line=False)
     comp = components(links(join)).withColumnRenamed("id", "set")
     rows = join.sets.select("id", ADDRESS, F.col("n").alias("n_shingles"), "set")
@@ -55,7 +60,7 @@ def linked(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> Data
 def keep_one_of_group(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents whose group has one with a smaller id
     (of equal ids: a smaller address); same columns."""
-    rows = saved(linked(docs, key, text_col), "linked").where("n_shingles > 0")
+    rows = linked(docs, key, text_col).where("n_shingles > 0")
     best = rows.where("id <=> component_id").groupBy("component_id").agg(F.min(ADDRESS).alias("best"))
     gone = rows.join(best, rows["component_id"].eqNullSafe(best["component_id"]))
     gone = saved(gone.where(F.col(ADDRESS) != F.col("best")).select(ADDRESS).distinct(), "gone")
