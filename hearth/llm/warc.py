@@ -95,7 +95,7 @@ _PIECE = "file string, block long, idx long, at long, piece_end long, next long,
 
 def parse_head(piece: bytes) -> tuple[dict[str, bytes], int] | None:
     """Fields and header length of the text after a version line, or None."""
-    end = piece.find(END.encode(), 0, 1 << 16)
+    end = piece.find(END.encode())  # no bound: a header is as long as its URL
     if end < 0:
         return None
     fields = {k.decode().lower(): v for k, v in _FIELD.findall(piece[:end])}

@@ -60,6 +60,13 @@ def test_minimum_size_ties_and_nulls(spark):
     assert got(warc.round_trip(spark.createDataFrame(rows, SCHEMA), min_bytes=3)) == expected(rows, 3)
 
 
+def test_long_urls_at_the_start_and_in_the_middle_of_a_file(spark):
+    long = "data:text/html," + "x" * 100_000
+    for places in ({0}, {4}, {0, 1, 4, 7}):
+        rows = [(i, long if i in places else f"http://x/{i}", f"<p>{i}</p>") for i in range(8)]
+        assert got(warc.round_trip(spark.createDataFrame(rows, SCHEMA).coalesce(1))) == expected(rows)
+
+
 def test_empty_table(spark):
     assert warc.round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
 
