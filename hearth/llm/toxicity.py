@@ -32,11 +32,12 @@ from hearth.llm.pii import _FOLD, _INVISIBLE
 
 #: Labelled rows to learn from, the bound of the training sample.
 TRAIN_ROWS = 40_000
-#: Features kept in the model, and the toxic documents each must occur in: a
-#: number and a share, so that chance finds in few documents stay out.
+#: Features kept in the model, the toxic documents each must occur in, and the
+#: log-likelihood ratio of its counts, so that chance finds stay out whatever
+#: the number of labels (20 has a chance of 8 in a million).
 MAX_FEATURES = 20_000
-MIN_TOXIC = 5
-MIN_TOXIC_SHARE = 0.01
+MIN_TOXIC = 3
+MIN_RATIO = 20.0
 MIN_WEIGHT = 2.0
 BEGINNINGS = (4, 5, 6)
 MAX_TOKEN = 40
@@ -227,8 +228,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text_col: str
     n_toxic, n_clean = total[0] or 0, total[1] or 0
     counts = known.mapInArrow(count, "f long, toxic long, clean long").groupBy("f").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     weight = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
+    share = n_toxic / max(1, n_toxic + n_clean)
+    t, c, n = F.col("toxic"), F.col("clean"), F.col("toxic") + F.col("clean")
+    ratio = 2 * (t * F.log(t / (n * F.lit(share))) + F.when(c > 0, c * F.log(c / (n * F.lit(1 - share)))).otherwise(0.0))
     top = (
-        counts.where(F.col("toxic") >= max(MIN_TOXIC, MIN_TOXIC_SHARE * n_toxic)).withColumn("w", weight).where(F.col("w") >= MIN_WEIGHT)
+        counts.where((t >= MIN_TOXIC) & (ratio >= MIN_RATIO)).withColumn("w", weight).where(F.col("w") >= MIN_WEIGHT)
         .orderBy(F.desc(F.col("w") * F.col("toxic")), "f").limit(MAX_FEATURES).collect()
     )
     ids = np.array([r.f for r in top], np.int64).view(np.uint64)

@@ -249,6 +249,16 @@ def test_disguised_words_score_like_plain_ones(spark):
     assert toxicity.score(docs.limit(0), lab).count() == 0
 
 
+def test_toxic_words_in_under_a_hundredth_of_toxic_documents(spark):
+    rnd, plain = random.Random(3), [f"plain{chr(97 + i)}" for i in range(20)]
+    bad = ["".join(rnd.choice("bcdfgjkz") + rnd.choice("aeiou") for _ in range(4)) for _ in range(150)]
+    rows = [(i, " ".join(rnd.choices(plain, k=20) + ([bad[i // 10 % 150]] if i % 10 == 0 else []))) for i in range(12_000)]
+    docs = make_docs(spark, rows)
+    lab = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    kept = [r.predicted for r in toxicity.score(docs, lab).where("held_out").collect() if r.doc_id % 10 == 0]
+    assert sum(kept) >= 0.7 * len(kept)  # about 0.15 have a word with under 5 training rows
+
+
 # --- quality rules
 
 
