@@ -40,7 +40,9 @@ MIN_TOXIC = 3
 MIN_RATIO = 20.0
 MIN_WEIGHT = 2.0
 BEGINNINGS = (4, 5, 6)
-MAX_TOKEN = 40
+#: Columns of a lattice that are decoded at once; longer ones in pieces that
+#: overlap by half.
+PIECE = 96
 #: Likeliest readings of a token that are scored.
 READINGS_KEPT = 3
 
@@ -53,8 +55,7 @@ _DROPPED = "*._-'~^`\"/\\,:;="
 _SIGNS = re.escape("".join(READINGS) + _DROPPED)
 _LETTER = r"[^\W\d_]"
 #: a sign before a letter; runs of one letter; letters spaced out one by one
-_MIXED = re.compile(rf"[{_SIGNS}](?={_LETTER})")
-_RUN = re.compile(rf"({_LETTER})\1\1")
+_ODD = re.compile(rf"[{_SIGNS}](?={_LETTER})|({_LETTER})\1\1")
 _SPACED = re.compile(rf"(?<!\w){_LETTER}(?:[ .*_\-]{{1,2}}{_LETTER}){{2,}}(?!\w)")
 _TRIM = "".join(c for c in _DROPPED if c not in READINGS) + "!?()[]{}<>"
 
@@ -128,10 +129,10 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
         while j < len(token) and token[j] == c:
             j += 1
         if c in READINGS:
-            for _ in range(j - i):
-                out.append([(r, 0.5) for r in READINGS[c]] + [(c, 6.0), ("", 14.0)])
-        elif c in _DROPPED or c.isspace():
-            out.append([("", 0.0)])
+            one = [(r, 0.5) for r in READINGS[c]] + [(c, 6.0), ("", 14.0)]
+            out += [[*one, *((r + r, 1.0) for r in READINGS[c])]] if j - i >= 3 else [one] * (j - i)
+        elif c in _DROPPED or c.isspace():  # a word may end there, the likelier the wider the gap
+            out.append([("", 0.0), (" ", 1.0)] if j - i == 1 else [("", 1.0), (" ", 0.0)])
         elif j - i >= 3:
             out.append([(c, 0.0), (c + c, 0.5)])
         else:
@@ -148,28 +149,41 @@ def suspicious(text: str) -> list[str]:
         for c in _INVISIBLE:
             if c in low:
                 low = low.replace(c, "")
-    found, done = [], -1
-    for pattern in (_MIXED, _RUN):
-        done = -1
-        for m in pattern.finditer(low):
-            if m.start() < done:
-                continue
-            a, b = m.start(), m.end()
-            while a > 0 and not low[a - 1].isspace() and m.start() - a <= MAX_TOKEN:
-                a -= 1
-            while b < len(low) and not low[b].isspace() and b - m.end() <= MAX_TOKEN:
-                b += 1
-            done = b
-            token = low[a:b].strip(_TRIM)
-            if 3 <= len(token) <= MAX_TOKEN:
-                found.append(token)
-    for m in _SPACED.finditer(low):
-        if m.end() - m.start() <= 3 * MAX_TOKEN:
-            found.append(m[0])
-    changed = [w for w in low.split() if len(w) <= MAX_TOKEN] if low != text.lower() else []
+    found = [t for w in dict.fromkeys(low.split()) if (t := _token(w))]
+    found += [m[0] for m in _SPACED.finditer(low)]
+    changed = low.split() if low != text.lower() else []
     return list(dict.fromkeys(found + changed))
 
 
+_TOKENS: dict[str, str] = {}
+
+
+def _token(word: str) -> str:
+    """The word without punctuation around it if it may hide another, or ""."""
+    if word not in _TOKENS:
+        if len(_TOKENS) > 200_000:
+            _TOKENS.clear()
+        token = word.strip(_TRIM)
+        _TOKENS[word] = token if len(token) >= 3 and _ODD.search(token) else ""
+    return _TOKENS[word]
+
+
+def readings(token: str, model: CharModel) -> list[str]:
+    """The likeliest readings of a token, those of its pieces if it is long.
+    Words that a piece's bound cuts are whole in the piece before or after."""
+    columns = lattice(token)
+    if len(columns) <= PIECE:
+        return model.decode(columns)
+    out = []
+    for at in range(0, len(columns) - PIECE // 2, PIECE // 2):
+        for reading in model.decode(columns[at : at + PIECE]):
+            words = reading.split()
+            if len(words) >= 3:
+                words = words[at > 0 : len(words) - (at + PIECE < len(columns))]
+            out.append(" ".join(words))
+    return list(dict.fromkeys(out))
+
+
 _SEEN: dict[str, list[str]] = {}
 
 
@@ -180,7 +194,7 @@ def restored(text: str, model: CharModel) -> list[str]:
     out = []
     for token in suspicious(text):
         if token not in _SEEN:
-            _SEEN[token] = model.decode(lattice(token))
+            _SEEN[token] = readings(token, model)
         out += _SEEN[token]
     return out
 

@@ -259,6 +259,28 @@ def test_toxic_words_in_under_a_hundredth_of_toxic_documents(spark):
     assert sum(kept) >= 0.7 * len(kept)  # about 0.15 have a word with under 5 training rows
 
 
+def toxic_model():
+    text = "you are a stupid idiot and the quick brown fox jumps over lazy dogs while nice people read books and papers " * 50
+    c = toxicity._CLASS[np.frombuffer(text.encode(), np.uint8)]
+    return toxicity.CharModel(np.bincount(c[:-2] * 784 + c[1:-1] * 28 + c[2:], minlength=28**3))
+
+
+def read_words(text, model):
+    return {w for x in toxicity.restored(text, model) for w in x.split()}
+
+
+def test_words_in_spaced_out_runs_and_long_tokens_are_found():
+    toxicity._SEEN.clear()
+    model = toxic_model()
+    for text in ("y o u s t u p i d", "a s t u p i d", "y o u  s t u p i d"):
+        assert "stupid" in read_words(text, model)
+    sentence = "the quick brown fox jumps over lazy dogs while nice people read books you stupid idiot and the quick brown fox jumps over lazy dogs"
+    for gap in (" ", "  "):
+        assert {"stupid", "idiot"} <= read_words(gap.join(" ".join(w) for w in sentence.split()), model)
+    assert "stupid" in read_words("st" + "u" * 60 + "pid", model)
+    assert "stupid" in read_words("-".join(sentence.split()), model)
+
+
 # --- quality rules
 
 
