@@ -54,10 +54,15 @@ READINGS = {
 _DROPPED = "*._-'~^`\"/\\,:;="
 _SIGNS = re.escape("".join(READINGS) + _DROPPED)
 _LETTER = r"[^\W\d_]"
-#: a sign before a letter; runs of one letter; letters spaced out one by one
-_ODD = re.compile(rf"[{_SIGNS}](?={_LETTER})|({_LETTER})\1\1")
-_SPACED = re.compile(rf"(?<!\w){_LETTER}(?:[ .*_\-]{{1,2}}{_LETTER}){{2,}}(?!\w)")
-_TRIM = "".join(c for c in _DROPPED if c not in READINGS) + "!?()[]{}<>"
+#: a sign before a letter, or a look-alike beside letters anywhere; runs of one
+#: letter; letters and look-alikes, maybe repeated, spaced out one by one
+_LIKE = re.escape("".join(READINGS))
+_ODD = re.compile(rf"[{_SIGNS}](?={_LETTER})|{_LETTER}.*[{_LIKE}]|({_LETTER})\1\1")
+_UNIT = rf"(?:{_LETTER}|[{_LIKE}])"
+_SPACED = re.compile(rf"(?<!\w)({_UNIT})\1*(?:[ .*_\-]{{1,2}}({_UNIT})\2*){{2,}}(?!\w)")
+_ANY_LETTER = re.compile(_LETTER)
+_TRIM = _DROPPED + "!?()[]{}<>"
+_TRIM_LEFT = "".join(c for c in _TRIM if c not in READINGS)  # "!" and "(" may stand for a first letter
 
 # character classes of the trigram model: a-z, word bound, others
 _CLASSES = 28
@@ -150,7 +155,7 @@ def suspicious(text: str) -> list[str]:
             if c in low:
                 low = low.replace(c, "")
     found = [t for w in dict.fromkeys(low.split()) if (t := _token(w))]
-    found += [m[0] for m in _SPACED.finditer(low)]
+    found += [m[0] for m in _SPACED.finditer(low) if _ANY_LETTER.search(m[0])]
     changed = low.split() if low != text.lower() else []
     return list(dict.fromkeys(found + changed))
 
@@ -163,7 +168,7 @@ def _token(word: str) -> str:
     if word not in _TOKENS:
         if len(_TOKENS) > 200_000:
             _TOKENS.clear()
-        token = word.strip(_TRIM)
+        token = word.rstrip(_TRIM).lstrip(_TRIM_LEFT)
         _TOKENS[word] = token if len(token) >= 3 and _ODD.search(token) else ""
     return _TOKENS[word]
 

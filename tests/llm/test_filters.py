@@ -281,6 +281,16 @@ def test_words_in_spaced_out_runs_and_long_tokens_are_found():
     assert "stupid" in read_words("-".join(sentence.split()), model)
 
 
+def test_look_alikes_at_the_end_and_between_spaces_are_read():
+    toxicity._SEEN.clear()
+    model = toxic_model()
+    for text, word in (("stupi6", None), ("idi07", "idiot"), ("boo|<$", None), ("book$", "books"), ("!diot", "idiot"), ("s 7 u p 1 d", "stupid"), ("i d 1 0 t", "idiot"), ("sss 7 uuu p 1 d", "stupid")):
+        assert toxicity.suspicious(text)
+        if word:
+            assert word in read_words(text, model)
+    assert toxicity.suspicious("nice people! (read) books, 1 2 3 4") in ([], ["(read"])
+
+
 # --- quality rules
 
 
