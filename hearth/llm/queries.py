@@ -9,13 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, decontam, line_dedup, ngram_join, pii, quality, sqltext, substring_dedup, toxicity, url_filter, warc
+from hearth.llm import (
+    bpe, decontam, line_dedup, ngram_join, pii, quality, sqltext, substring_dedup, token_count, toxicity, url_filter, warc,
+)
 from hearth.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+COUNTS = "byte_bpe_50k.json"
+TOKEN_LIMIT = 1024
 URL_RULES = [
     url_filter.Rule("net", "/", "block"),
     url_filter.Rule("example.net", "/en/", "allow"),
@@ -99,6 +103,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "start", "end", F.col("other").alias("other_doc_id"))
 
 
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_count.with_token_counts(docs, public_tokenizers.path(COUNTS), public_tokenizers.PATTERN)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 ORACLE["op4_url_filter"] = r"""
 WITH parts AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^([^/?#]*)([^?#]*)', 1) ELSE '' END AS h,
