@@ -3,14 +3,16 @@ its whole table, and ``pipeline``."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.llm import (
-    bpe, decontam, line_dedup, ngram_join, pii, quality, sqltext, substring_dedup, token_count, toxicity, url_filter, warc,
+    bpe, decontam, line_dedup, ngram_join, periodic_runs, pii, quality, sqltext, substring_dedup, token_count, toxicity, url_filter, warc,
 )
 from hearth.sources.tables import table
 
@@ -103,6 +105,37 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "start", "end", F.col("other").alias("other_doc_id"))
 
 
+def planted_repeats(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The order in which a document's words are read: a tenth of the documents
+    repeat some of their words from a place on, both set by the id's crc32.  A
+    document without id is read as it is."""
+    if doc_id is None:
+        return None
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    order = np.arange(n)
+    order[a:] = a + (order[a:] - a) % p
+    return order
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.with_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), rewrite=planted_repeats)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "collapsed", best.alias("best"), F.array_join(lines, "").alias("lines")
+    ).select(
+        "doc_id", "n_runs", (-F.col("best.col2")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.col3")).alias("period"),
+        F.expr("1000 * best.length div -best.col3").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
