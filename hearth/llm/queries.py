@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.llm import (
-    bpe, decontam, line_dedup, ngram_join, periodic_runs, pii, quality, sqltext, substring_dedup, token_count, toxicity, url_filter, warc,
+    bpe, collocations, decontam, line_dedup, ngram_join, periodic_runs, pii, quality, sqltext, substring_dedup, token_count, toxicity, url_filter, warc,
 )
 from hearth.sources.tables import table
 
@@ -143,6 +143,11 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op4_url_filter"] = r"""
 WITH parts AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^([^/?#]*)([^?#]*)', 1) ELSE '' END AS h,
@@ -164,3 +169,4 @@ ORACLE["op2_decontamination"] = sqltext.DECONTAMINATION
 ORACLE["op3_line_dedup"] = sqltext.LINE_DEDUP
 ORACLE["op5_warc"] = sqltext.WARC
 ORACLE["op6_ngram_join"] = sqltext.NGRAM_JOIN
+ORACLE["op13_collocations"] = sqltext.COLLOCATIONS

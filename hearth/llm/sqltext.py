@@ -77,3 +77,20 @@ comp AS (SELECT reach.c, min(o.first) AS component_id FROM reach JOIN c o ON o.c
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(comp.component_id, s.doc_id) AS component_id
 FROM s LEFT JOIN c ON s.s = c.s LEFT JOIN comp ON comp.c = c.c
 """
+
+COLLOCATIONS = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+g AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) t(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, w[i:i + k - 1] AS p, count(*) AS f FROM g GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1),
+cand AS (SELECT lang, k, p, f AS a FROM f WHERE k >= 2 AND f >= 10),
+cut AS (SELECT c.*, x.k AS cut, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+        FROM cand c JOIN f x ON x.lang = c.lang AND x.k < c.k AND x.p = c.p[1:x.k] JOIN f y ON y.lang = c.lang AND y.k = c.k - x.k AND y.p = c.p[x.k + 1:]),
+low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+over AS (SELECT lang, p, max(a) AS m FROM (SELECT lang, p[1:2] AS p, a FROM cand WHERE k = 3 UNION ALL SELECT lang, p[2:3], a FROM cand WHERE k = 3) GROUP BY 1, 2),
+kept AS (SELECT low.*, array_to_string(low.p, ' ') AS phrase FROM low LEFT JOIN over ON low.lang = over.lang AND low.p = over.p
+         WHERE low.k = 3 OR m IS NULL OR 100 * m < 50 * a),
+top AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM top JOIN total USING (lang) WHERE rank <= 2000
+"""
