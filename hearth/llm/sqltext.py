@@ -80,17 +80,26 @@ FROM s LEFT JOIN c ON s.s = c.s LEFT JOIN comp ON comp.c = c.c
 
 COLLOCATIONS = rf"""
 WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
-w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
-g AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) t(k) WHERE len(w) >= k),
-f AS (SELECT lang, k, w[i:i + k - 1] AS p, count(*) AS f FROM g GROUP BY ALL),
-total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1),
-cand AS (SELECT lang, k, p, f AS a FROM f WHERE k >= 2 AND f >= 10),
-cut AS (SELECT c.*, x.k AS cut, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
-        FROM cand c JOIN f x ON x.lang = c.lang AND x.k < c.k AND x.p = c.p[1:x.k] JOIN f y ON y.lang = c.lang AND y.k = c.k - x.k AND y.p = c.p[x.k + 1:]),
-low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
-over AS (SELECT lang, p, max(a) AS m FROM (SELECT lang, p[1:2] AS p, a FROM cand WHERE k = 3 UNION ALL SELECT lang, p[2:3], a FROM cand WHERE k = 3) GROUP BY 1, 2),
-kept AS (SELECT low.*, array_to_string(low.p, ' ') AS phrase FROM low LEFT JOIN over ON low.lang = over.lang AND low.p = over.p
-         WHERE low.k = 3 OR m IS NULL OR 100 * m < 50 * a),
-top AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+w AS (SELECT row_number() OVER () AS r, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+x AS (SELECT r, lang, unnest(w) AS x, unnest(range(0, len(w))) AS i FROM w),
+s AS (SELECT lang, x, lead(x) OVER p AS y, lead(x, 2) OVER p AS z FROM x WINDOW p AS (PARTITION BY r ORDER BY i)),
+f1 AS (SELECT lang, x, count(*) AS f FROM s GROUP BY ALL),
+f2 AS (SELECT lang, x, y, count(*) AS f FROM s WHERE y IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, x, y, z, count(*) AS f FROM s WHERE z IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY 1),
+cut AS (
+  SELECT f2.lang, f2.x || ' ' || f2.y AS phrase, f2.f AS a, a.f AS l, b.f AS r, 1 AS k
+  FROM f2 JOIN f1 a ON a.lang = f2.lang AND a.x = f2.x JOIN f1 b ON b.lang = f2.lang AND b.x = f2.y
+  WHERE NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND f3.x = f2.x AND f3.y = f2.y AND 100 * f3.f >= 50 * f2.f)
+    AND NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND f3.y = f2.x AND f3.z = f2.y AND 100 * f3.f >= 50 * f2.f)
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, f3.f, a.f, b.f, 1
+  FROM f3 JOIN f1 a ON a.lang = f3.lang AND a.x = f3.x JOIN f2 b ON b.lang = f3.lang AND b.x = f3.y AND b.y = f3.z
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, f3.f, a.f, b.f, 2
+  FROM f3 JOIN f2 a ON a.lang = f3.lang AND a.x = f3.x AND a.y = f3.y JOIN f1 b ON b.lang = f3.lang AND b.x = f3.z),
+scored AS (SELECT *, (1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS score FROM cut),
+low AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+top AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM low)
 SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM top JOIN total USING (lang) WHERE rank <= 2000
 """
