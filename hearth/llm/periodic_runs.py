@@ -43,8 +43,10 @@ from hearth.llm.tables import bit_of, bitmap, maybe_in, quoted, saved
 #: Words of a piece that is solved in one go; longer documents are dealt out.
 PIECE_WORDS = 1 << 16
 #: Words of small documents that are compared together, and cells at a time.
-BATCH_WORDS = 1 << 20
-CELLS = 1 << 21
+BATCH_WORDS = 1 << 18
+CELLS = 1 << 19
+#: Rows whose results are held at a time.
+SLICE_ROWS = 512
 #: Words to the right of a boundary compared before a tile is solved.
 FIRST_WORDS = 8
 EXPONENT = 4
@@ -53,6 +55,7 @@ EXPONENT = 4
 Rewrite = Callable[[object, int], "np.ndarray | None"]
 
 _FOUND = "__key binary, part int, period long, lo long, hi long, first long, core_lo long, core_hi long, n long, octave int, octaves int, ids binary"
+_ARROW_RUNS = pa.list_(pa.struct([(c, pa.int64()) for c in ("start", "period", "length")]))
 RUNS = T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("start", "period", "length")]))
 
 
@@ -182,7 +185,7 @@ def _scan(piece: int, min_length: int, rewrite: Rewrite | None):
     one piece, and the pieces of longer ones (``part`` above 0, with ids)."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _sliced(batches):
             keys, texts, names = batch.column(0), batch.column(1), batch.column(2)
             group, size, out = [], 0, []
 
@@ -289,28 +292,38 @@ def find_runs(
     return runs.join(keys, "__key").select(F.col(f"`{key}`"), "start", "length", "period")
 
 
-def _collapse(rewrite: Rewrite | None, names: list[str]):
-    """The text without the words that a run repeats."""
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(lo, SLICE_ROWS)
+
+
+def _collapse(rewrite: Rewrite | None, key: str, text_col: str, names: list[str], listed, past=None):
+    """The text without the words that a run repeats.  With ``past``, a bitmap,
+    only rows that surely have no run."""
 
     def run(batches):
-        for batch in batches:
-            keys, texts, runs = (batch.column(c) for c in ("__k", "__text", "runs"))
+        for batch in _sliced(batches):
+            if past is not None:
+                p = batch.column("__bit").to_numpy(zero_copy_only=False)
+                batch = batch.filter(pa.array(((past.value[p >> 3] >> (p & 7).astype(np.uint8)) & 1) == 0))
+            found = batch.column("runs").to_pylist() if listed else [None] * batch.num_rows
             out, sizes = [], []
-            for key, text, found in zip(keys, texts, runs, strict=True):
-                words = words_of(text.as_py())
+            for k, text, runs in zip(batch.column(key), batch.column(text_col), found, strict=True):
+                words = words_of((text.as_py() or "").encode())
                 sizes.append(len(words))
-                order = rewrite(key.as_py(), len(words)) if rewrite and words else None
+                order = rewrite(k.as_py(), len(words)) if rewrite and words else None
                 if order is not None:
                     words = [words[i] for i in order.tolist()]
-                edge = np.zeros(len(words) + 1, np.int64)
-                for r in found.as_py() or []:
-                    edge[r["start"] + r["period"]] += 1
-                    edge[r["start"] + r["length"]] -= 1
-                if edge.any():
+                if runs:
+                    edge = np.zeros(len(words) + 1, np.int64)
+                    for r in runs:
+                        edge[r["start"] + r["period"]] += 1
+                        edge[r["start"] + r["length"]] -= 1
                     words = [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0).tolist()]
                 out.append(b" ".join(words).decode())
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in names], batch.column("runs"), pa.array(sizes, pa.int64()), pa.array(out, pa.string())],
+                [*[batch.column(c) for c in names], pa.array([r or [] for r in found], _ARROW_RUNS), pa.array(sizes, pa.int64()), pa.array(out, pa.string())],
                 names=[*names, "runs", "n_run_words", "collapsed"],
             )
 
@@ -329,12 +342,12 @@ def with_runs(
     runs = saved(_runs(df, key, text_col, min_length, rewrite, piece), "runs")
     listed = runs.groupBy("__key").agg(F.sort_array(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))
     names = [c for c in df.columns if c not in ("runs", "n_run_words", "collapsed")]
-    marked = df.select(
-        *quoted(names), F.col(f"`{key}`").alias("__k"), F.col(f"`{text_col}`").cast("binary").alias("__text"),
-        _row_key(key, text_col).alias("__key"),
-    )
-    some, none = maybe_in(marked, bitmap(listed, bit_of("__key")), "__key")
-    both = some.join(listed, "__key", "left").unionByName(none.withColumn("runs", F.lit(None).cast(RUNS)))
     added = [T.StructField("runs", RUNS), T.StructField("n_run_words", T.LongType()), T.StructField("collapsed", T.StringType())]
-    out = both.drop("__key").mapInArrow(_collapse(rewrite, names), T.StructType([*[df.schema[c] for c in names], *added]))
-    return out.withColumn("runs", F.coalesce("runs", F.array().cast(RUNS)))
+    schema = T.StructType([*[df.schema[c] for c in names], *added])
+    marked = df.select(*quoted(names), _row_key(key, text_col).alias("__key"))
+    bits = bitmap(listed, bit_of("__key"))
+    past = df.sparkSession.sparkContext.broadcast(np.frombuffer(bits, np.uint8))
+    some, _ = maybe_in(marked, bits, "__key")
+    some = some.join(listed, "__key", "left").mapInArrow(_collapse(rewrite, key, text_col, names, True), schema)
+    none = marked.withColumn("__bit", bit_of("__key")).mapInArrow(_collapse(rewrite, key, text_col, names, False, past), schema)
+    return some.unionByName(none)
