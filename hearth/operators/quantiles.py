@@ -5,9 +5,9 @@ of a group in a single task's memory.  ``exact_quantiles`` ranks instead:
 
 1. ``groupBy(group, value).count()``, combined map-side; a hot value is one row
    a task;
-2. the counts are range-partitioned by (group, value), so a group with a third
-   of the rows is spread over many partitions, and each (group, partition) gets
-   a running count of its own;
+2. the counts are range-partitioned by (group, value) and checkpointed with
+   their partition numbers, so a group with a third of the rows is spread over
+   many partitions, and each (group, partition) gets a running count of its own;
 3. a small table of counts per (group, partition) gives each partition its
    offset, and the values at the wanted ranks are picked and interpolated the
    way ``percentile``/``quantile_cont`` interpolate.
@@ -22,11 +22,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hearth.session import ensure_checkpoint_dir
+
 
 def _prob_name(p: float) -> str:
     return f"q{p:g}".replace(".", "_")
 
 
+def ranked_counts(df: DataFrame, value: str | Column, by: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+    """One row per group of ``by`` and distinct non-null value: ``_v``, its count
+    ``_c``, the count of values up to it ``_cum`` and of all values ``_n``."""
+    keys = list(by)
+    vcol = F.col(value) if isinstance(value, str) else value
+    base = df.select(*keys, vcol.cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # partition numbers are written down once: a second exchange would draw other range bounds
+    ensure_checkpoint_dir(df.sparkSession)
+    spread = counted.repartitionByRange(n, *keys, "_v").withColumn("_p", F.spark_partition_id()).checkpoint()
+    sizes = spread.groupBy(*keys, "_p").agg(F.sum("_c").alias("_s"))
+    before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_off", F.coalesce(F.sum("_s").over(before), F.lit(0))).withColumn(
+        "_n", F.sum("_s").over(Window.partitionBy(*keys))).drop("_s")
+    running = Window.partitionBy(*keys, "_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = _join_null_safe(spread.withColumn("_run", F.sum("_c").over(running)), sizes, [*keys, "_p"])
+    return ranked.withColumn("_cum", F.col("_off") + F.col("_run")).drop("_p", "_off", "_run")
+
+
+def bin_edges(df: DataFrame, value: str, by: Sequence[str], bins: int) -> DataFrame:
+    """Per group: the largest value of each of ``bins`` bins with equal counts
+    (a value lies in one bin; fewer bins where values repeat): ``bin``, ``edge``."""
+    ranked = ranked_counts(df, value, by)
+    cell = F.floor((F.col("_cum") - 1) * bins / F.col("_n")).cast("int")
+    return ranked.groupBy(*by, cell.alias("bin")).agg(F.max("_v").alias("edge"))
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str | Column,
@@ -46,20 +76,7 @@ def exact_quantiles(
         raise ValueError("probabilities must lie in [0, 1]")
     names = list(names) if names is not None else [_prob_name(p) for p in probs]
     keys = list(by)
-    vcol = F.col(value) if isinstance(value, str) else value
-    base = df.select(*keys, vcol.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    counted = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    # a fixed number of partitions: both branches below read one exchange
-    spread = counted.repartitionByRange(n, *keys, "_v").withColumn("_p", F.spark_partition_id())
-    sizes = spread.groupBy(*keys, "_p").agg(F.sum("_c").alias("_s"))
-    before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_off", F.coalesce(F.sum("_s").over(before), F.lit(0))).withColumn(
-        "_n", F.sum("_s").over(Window.partitionBy(*keys))).drop("_s")
-    running = Window.partitionBy(*keys, "_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = _join_null_safe(spread.withColumn("_run", F.sum("_c").over(running)), sizes, [*keys, "_p"])
-    ranked = ranked.withColumn("_cum", F.col("_off") + F.col("_run"))
+    ranked = ranked_counts(df, value, keys, partitions)
     aggs = []
     for i, p in enumerate(probs):
         pos = F.lit(p) * (F.col("_n") - 1)
