@@ -128,3 +128,31 @@ DOM_AREA_SCALE = 500.0
 DOM_AREA_WEIGHT = 10.0
 DOM_AREA_CAP = 3000.0
 DISTANCE_FLOOR = 0.1
+
+# ---- fixed values: what shows that a house lacks a feature, and what that decides --
+# (test, columns it reads, text columns that become "NoFeature", numbers that become 0)
+FEATURE_ABSENCE = [
+    ("MasVnrArea = 0", ["MasVnrArea"], ["MasVnrType"], []),
+    ("MasVnrType = 'NoFeature' AND MasVnrArea IS NULL", ["MasVnrType", "MasVnrArea"], [], ["MasVnrArea"]),
+    ("Fireplaces = 0", ["Fireplaces"], ["FireplaceQu"], []),
+    ("PoolArea = 0", ["PoolArea"], ["PoolQC"], []),
+    ("coalesce(GarageType, 'NoFeature') = 'NoFeature'", ["GarageType"],
+     ["GarageFinish", "GarageQual", "GarageCond"], ["GarageYrBlt", "GarageCars", "GarageArea"]),
+    ("coalesce(BsmtFinSF1, 0) + coalesce(BsmtFinSF2, 0) + coalesce(BsmtUnfSF, 0) + coalesce(TotalBsmtSF, 0) = 0",
+     ["BsmtFinSF1", "BsmtFinSF2", "BsmtUnfSF", "TotalBsmtSF"],
+     ["BsmtQual", "BsmtCond", "BsmtExposure", "BsmtFinType1", "BsmtFinType2"], []),
+]
+# (test, columns it reads, column it corrects, value)
+CORRECTIONS = [
+    ("GarageYrBlt > YrSold", ["GarageYrBlt", "YrSold", "YearBuilt"], "GarageYrBlt", "YearBuilt"),
+]
+TEXT_CODES = ["MSSubClass"]
+# (report key, columns it reads, rows it counts)
+ENRICHMENT_COUNTS = [
+    ("AgeAtSaleMismatch", ["AgeAtSale", "YrSold", "YearBuilt"], "NOT (AgeAtSale <=> YrSold - YearBuilt)"),
+    ("NegativeAgeAtSale", ["AgeAtSale", "YrSold", "YearBuilt"], "AgeAtSale < 0"),
+    ("YearsSinceRemodelMismatch", ["YearsSinceRemodel", "YrSold", "YearRemodAdd"], "NOT (YearsSinceRemodel <=> YrSold - YearRemodAdd)"),
+    ("NegativeYearsSinceRemodel", ["YearsSinceRemodel", "YrSold", "YearRemodAdd"], "YearsSinceRemodel < 0"),
+]
+# (report key, month columns, the value of which a month may have only one)
+ENRICHMENT_MONTHS = ("MortgageRateMonthPairsWithMultipleRates", ["YrSold", "MoSold"], "MortgageRate")

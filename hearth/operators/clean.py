@@ -96,50 +96,26 @@ def absence_fill(df: DataFrame, text_cols: Sequence[str], numeric_cols: Sequence
 
 
 def domain_rules(df: DataFrame) -> DataFrame:
-    """Cross-column consistency rules, in order (raw CamelCase names).
-
-    * masonry: type absent -> NULL area becomes 0; area 0 -> type absent
-    * fireplace / pool: count or area 0 -> quality absent
-    * garage: type absent -> finish/quality/condition absent, year/cars/area 0
-      (skipped when the GarageType column does not exist at all)
-    * basement: four areas summing to 0 (NULLs skipped) -> five text columns absent
-    * garage year after sale year -> year built
-    * MSSubClass -> text
-    """
-    cols = set(df.columns)
-    A = F.lit(K.ABSENT)
-    out = df
-    if {"MasVnrType", "MasVnrArea"} <= cols:
-        area = F.when(F.col("MasVnrType") == A, F.coalesce(F.col("MasVnrArea"), F.lit(0)).cast(df.schema["MasVnrArea"].dataType)).otherwise(F.col("MasVnrArea"))
-        out = out.withColumn("MasVnrArea", area)
-        out = out.withColumn("MasVnrType", F.when(F.col("MasVnrArea") == 0, A).otherwise(F.col("MasVnrType")))
-    if {"Fireplaces", "FireplaceQu"} <= cols:
-        out = out.withColumn("FireplaceQu", F.when(F.col("Fireplaces") == 0, A).otherwise(F.col("FireplaceQu")))
-    if {"PoolArea", "PoolQC"} <= cols:
-        out = out.withColumn("PoolQC", F.when(F.col("PoolArea") == 0, A).otherwise(F.col("PoolQC")))
-    if "GarageType" in cols:
-        absent = F.coalesce(F.col("GarageType"), A) == A
-        for c in ["GarageFinish", "GarageQual", "GarageCond"]:
-            if c in cols:
-                out = out.withColumn(c, F.when(absent, A).otherwise(F.col(c)))
-        for c in ["GarageYrBlt", "GarageCars", "GarageArea"]:
-            if c in cols:
-                out = out.withColumn(c, F.when(absent, F.lit(0).cast(df.schema[c].dataType)).otherwise(F.col(c)))
-    bsmt_areas = ["BsmtFinSF1", "BsmtFinSF2", "BsmtUnfSF", "TotalBsmtSF"]
-    if set(bsmt_areas) <= cols:
-        total = sum((F.coalesce(F.col(c), F.lit(0)) for c in bsmt_areas[1:]), F.coalesce(F.col(bsmt_areas[0]), F.lit(0)))
-        for c in ["BsmtQual", "BsmtCond", "BsmtExposure", "BsmtFinType1", "BsmtFinType2"]:
-            if c in cols:
-                out = out.withColumn(c, F.when(total == 0, A).otherwise(F.col(c)))
-    if {"GarageYrBlt", "YearBuilt", "YrSold"} <= cols:
-        out = out.withColumn(
-            "GarageYrBlt",
-            F.when(F.col("GarageYrBlt") > F.col("YrSold"), F.col("YearBuilt").cast(df.schema["GarageYrBlt"].dataType))
-            .otherwise(F.col("GarageYrBlt")),
-        )
-    if "MSSubClass" in cols:
-        out = out.withColumn("MSSubClass", F.col("MSSubClass").cast("string"))
-    return out
+    """Cross-column consistency (raw CamelCase names) as one projection: every
+    column that a rule of ``FEATURE_ABSENCE`` or ``CORRECTIONS`` decides becomes
+    the first of its rules' values whose test holds on the input row.  A rule
+    whose columns are not all there is left out."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    absent, zero = f"'{K.ABSENT}'", "0"
+    decided = [(test, reads, c, v) for test, reads, text, numbers in K.FEATURE_ABSENCE for cols, v in ((text, absent), (numbers, zero)) for c in cols]
+    branches: dict[str, list[str]] = {}
+    for test, reads, target, value in [*decided, *K.CORRECTIONS]:
+        if {*reads, target} <= types.keys():
+            branches.setdefault(target, []).append(f"WHEN {test} THEN {value}")
+
+    def ruled(name: str) -> Column:
+        if name in branches:
+            kind = types[name].simpleString()
+            cases = " ".join(b.rsplit(" THEN ", 1)[0] + f" THEN CAST({b.rsplit(' THEN ', 1)[1]} AS {kind})" for b in branches[name])
+            return F.expr(f"CASE {cases} ELSE `{name}` END").alias(name)
+        return F.col(f"`{name}`").cast("string").alias(name) if name in K.TEXT_CODES else F.col(f"`{name}`")
+
+    return df.select(*[ruled(c) for c in df.columns])
 
 
 def augmented_columns(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -156,29 +132,22 @@ def augmented_columns(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 
 
 def enrichment_checks(df: DataFrame) -> DataFrame:
-    """V3 as one aggregation: one row of counters (null-safe mismatch counting,
-    pandas ``!=`` counts NULL as a mismatch)."""
-    cols = set(df.columns)
-    aggs: list[Column] = []
-    if {"AgeAtSale", "YrSold", "YearBuilt"} <= cols:
-        aggs += [
-            F.count_if(~(F.col("AgeAtSale").eqNullSafe(F.col("YrSold") - F.col("YearBuilt")))).cast("long").alias("AgeAtSaleMismatch"),
-            F.count_if(F.col("AgeAtSale") < 0).cast("long").alias("NegativeAgeAtSale"),
-        ]
-    if {"YearsSinceRemodel", "YrSold", "YearRemodAdd"} <= cols:
-        aggs += [
-            F.count_if(~(F.col("YearsSinceRemodel").eqNullSafe(F.col("YrSold") - F.col("YearRemodAdd")))).cast("long").alias("YearsSinceRemodelMismatch"),
-            F.count_if(F.col("YearsSinceRemodel") < 0).cast("long").alias("NegativeYearsSinceRemodel"),
-        ]
-    base = df.agg(*aggs) if aggs else df.sparkSession.range(1).select()
-    if {"MortgageRate", "YrSold", "MoSold"} <= cols:
-        multi = (
-            df.where(F.col("MortgageRate").isNotNull()).select("YrSold", "MoSold", "MortgageRate").distinct()
-            .groupBy("YrSold", "MoSold").count().where(F.col("count") > 1)
-            .agg(F.count(F.lit(1)).cast("long").alias("MortgageRateMonthPairsWithMultipleRates"))
-        )
-        base = merge_single_rows([base, multi]) if aggs else multi  # both are single-row aggregates
-    return base
+    """V3: one row of counters.  Rows are counted per month first, where a month
+    with several rates shows as different extremes, and the months are added up:
+    one pass, no table of distinct rates."""
+    have = set(df.columns)
+    counts = [(key, test) for key, reads, test in K.ENRICHMENT_COUNTS if have.issuperset(reads)]
+    several, month, value = K.ENRICHMENT_MONTHS
+    with_months = have.issuperset([*month, value])
+    keys = [k for k, _ in counts] + ([several] if with_months else [])
+    if not keys:
+        return df.sparkSession.range(1).select()
+    per = [F.count_if(F.expr(test)).alias(key) for key, test in counts]
+    if with_months:
+        dated = " AND ".join(f"max({m}) IS NOT NULL" for m in month)
+        per.append(F.expr(f"CAST(min({value}) <> max({value}) AND {dated} AS BIGINT)").alias(several))
+    months = df.groupBy(*(month if with_months else [])).agg(*per)
+    return months.agg(*[F.coalesce(F.sum(k), F.lit(0)).cast("long").alias(k) for k in keys])
 
 
 # ---- the fitted cleaner ---------------------------------------------------

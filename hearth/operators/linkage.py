@@ -4,7 +4,7 @@
   rows that are equal on all of them are paired 1:1 in id order;
 * wildcard step: a blank (NULL) cell on the right matches anything; a right row
   is linked to the one left row of its block that matches and is nearest by the
-  tiebreak, and only 1:1;
+  tiebreak, found by a sorted merge per pattern of blanks, and only 1:1;
 * validation: one-sided rows, overlap and cell-by-cell equality as
   semi/anti joins and ``exceptAll``.
 """
@@ -60,27 +60,81 @@ def exact_link(left: DataFrame, right: DataFrame, left_id: str, right_id: str, c
     return rr.join(lr, reduce(lambda a, b: a & b, [_same(rr[c], lr[f"_l_{c}"]) for c in [*match, "_rank"]])).select(right_id, left_id)
 
 
+def _nearest(left: DataFrame, right: DataFrame, on: Sequence[str], v: str) -> DataFrame:
+    """``right`` (one row per ``_p``) with ``_n`` and ``_id``: how many left rows
+    of the same ``on`` are nearest in ``v``, and the smallest id.  ``left`` has
+    one row per ``on`` and ``v`` with its count ``_n`` and smallest id ``_id``.
+
+    A sorted merge: along the values of a group, every right row takes the last
+    left value up to it and the first one from it on.  A group is cut into slices
+    of the value range; what lies beyond a slice comes from the slices' own
+    extremes, so a group with a third of the rows is spread over the slices.  A
+    left row without value is nearest only where no other is there."""
+    bounds = left.agg(F.min(v).cast("double").alias("lo"), F.max(v).cast("double").alias("hi")).first()
+    lo, width = bounds["lo"] or 0.0, max((bounds["hi"] or 0.0) - (bounds["lo"] or 0.0), 1e-300) / SLICES
+    cut = F.least(F.greatest(F.floor((F.col(v).cast("double") - lo) / width), F.lit(-1)), F.lit(SLICES)).cast("int")
+    cell = F.struct(F.col(v).alias("v"), F.col("_n").alias("n"), F.col("_id").alias("id"))
+    kind = left.select(cell.alias("c")).schema["c"].dataType
+    known = left.where(F.col(v).isNotNull()).select(*on, v, cut.alias("_s"), cell.alias("_l"), F.lit(None).cast("string").alias("_p"))
+    asked = right.where(F.col(v).isNotNull()).select(*on, v, cut.alias("_s"), F.lit(None).cast(kind).alias("_l"), "_p")
+    both = known.unionByName(asked)
+    group = [*on, "_s"]
+    up = Window.partitionBy(*group).orderBy(F.col(v), F.col("_p").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy(*group).orderBy(F.col(v).desc(), F.col("_p").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = both.withColumn("_a", F.last("_l", ignorenulls=True).over(up)).withColumn("_b", F.last("_l", ignorenulls=True).over(down))
+    at = F.when(F.col("_l").isNotNull(), F.col(v))
+    ends = both.groupBy(*group).agg(F.max_by("_l", at).alias("_top"), F.min_by("_l", at).alias("_low"))
+    line = Window.partitionBy(*on).orderBy("_s")  # at most SLICES + 2 rows
+    ends = ends.select(*group, F.last("_top", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+                       F.first("_low", ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
+    lost = left.where(F.col(v).isNull()).groupBy(*on).agg(F.sum("_n").alias("_n0"), F.min("_id").alias("_id0"))
+    found = near.where(F.col("_p").isNotNull()).join(ends, group).join(lost, list(on), "left")
+    a, b = F.coalesce("_a", "_before"), F.coalesce("_b", "_after")
+    found = found.select("_p", v, a.alias("_a"), b.alias("_b"), "_n0", "_id0")
+    da, db = F.col(v) - F.col("_a.v"), F.col("_b.v") - F.col(v)
+    pick = F.when(F.col("_a").isNull() & F.col("_b").isNull(), F.struct(F.col("_n0").alias("n"), F.col("_id0").alias("id"))) \
+        .when(F.col("_b").isNull() | (da < db) | (F.col("_a.v") == F.col("_b.v")), F.struct(F.col("_a.n").alias("n"), F.col("_a.id").alias("id"))) \
+        .when(F.col("_a").isNull() | (db < da), F.struct(F.col("_b.n").alias("n"), F.col("_b.id").alias("id"))) \
+        .otherwise(F.struct((F.col("_a.n") + F.col("_b.n")).alias("n"), F.col("_a.id").alias("id")))
+    dated = found.select("_p", pick.alias("_x")).select("_p", F.col("_x.n").alias("_n"), F.col("_x.id").alias("_id"))
+    # a right row without value is as far from all left rows of its group
+    whole = left.groupBy(*on).agg(F.sum("_n").alias("_n"), F.min("_id").alias("_id"))
+    undated = right.where(F.col(v).isNull()).select(*on, "_p").join(whole, list(on)).select("_p", "_n", "_id")
+    return dated.unionByName(undated)
+
+
 def wildcard_link(left: DataFrame, right: DataFrame, left_id: str, right_id: str, block: Sequence[str],
                   wild: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
     """Step 2: right rows whose non-blank cells match a left row, and only one
     nearest to them by the tiebreak (or only one, without tiebreak).
 
     ``block`` columns are never blank; ``wild`` columns may be blank on the
-    right.  Distinct profiles, not rows, of both sides meet in their block,
-    and each right one keeps partial aggregates: how many rows match, the nearest
-    ones' distance and the smallest id at that distance."""
+    right; ``tiebreak`` is at most one number.  For each pattern of blanks that
+    occurs, left rows are counted per non-blank cells and value, and distinct
+    right profiles are merged with them in the order of the value: no profile
+    is listed with the others of its block."""
+    if len(tiebreak) > 1:
+        raise ValueError("one tiebreak column at most")
+    ensure_checkpoint_dir(left.sparkSession)
     keys = [*block, *wild, *tiebreak]
-    profiles = right.select(*[F.col(c).alias(f"_r_{c}") for c in keys]).distinct()
-    cond = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_r_{c}") for c in block]
-                  + [F.col(f"_r_{c}").isNull() | (F.col(c) == F.col(f"_r_{c}")) for c in wild])
-    far = reduce(lambda a, b: a + b, [F.coalesce(F.abs(F.col(c) - F.col(f"_r_{c}")).cast("double"), F.lit(float("inf"))) for c in tiebreak], F.lit(0.0))
-    equal = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(left_id).alias("_id"))
-    pairs = profiles.join(equal, cond).withColumn("_far", far)
-    rp = [f"_r_{c}" for c in keys]
-    per = pairs.groupBy(*rp, "_far").agg(F.sum("_n").alias("_n"), F.min("_id").alias("_id"))
-    best = per.groupBy(*rp).agg(F.min(F.struct("_far", "_n", "_id")).alias("_b")).where("_b._n = 1")
-    on = reduce(lambda a, b: a & b, [_same(right[c], best[f"_r_{c}"]) for c in keys])
-    return right.join(best, on).select(right_id, F.col("_b._id").alias(left_id))
+    text = F.concat_ws("|", *[F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")) for c in keys])
+    blanks = reduce(lambda x, y: x + y, [F.when(F.col(c).isNull(), 2**i).otherwise(0) for i, c in enumerate(keys)], F.lit(0))
+    profiles = right.select(*keys).distinct().where(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in block], F.lit(True)))
+    profiles = profiles.withColumn("_p", F.concat(blanks.cast("string"), F.lit("|"), text)).withColumn(
+        "_blank", reduce(lambda x, y: x + y, [F.when(F.col(c).isNull(), 2**i).otherwise(0) for i, c in enumerate(wild)], F.lit(0))).checkpoint()
+    equal = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(left_id).alias("_id")).checkpoint()
+    found = []
+    for pattern in sorted(r[0] for r in profiles.select("_blank").distinct().collect()):  # at most 2 ** len(wild)
+        on = [*block, *[c for i, c in enumerate(wild) if not pattern >> i & 1]]
+        l = equal.where(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in on], F.lit(True)))
+        l = l.groupBy(*on, *tiebreak).agg(F.sum("_n").alias("_n"), F.min("_id").alias("_id"))
+        r = profiles.where(F.col("_blank") == pattern).select(*on, *tiebreak, "_p")
+        found.append(_nearest(l, r, on, tiebreak[0]) if tiebreak else r.join(l, on).select("_p", "_n", "_id"))
+    if not found:
+        return right.select(right_id, F.lit(None).cast(left.schema[left_id].dataType).alias(left_id)).limit(0)
+    best = reduce(DataFrame.unionByName, found).where("_n = 1").join(profiles, "_p")
+    best = best.select(F.col("_id").alias(left_id), *[F.col(c).alias(f"_r_{c}") for c in keys])
+    return right.join(best, reduce(lambda x, y: x & y, [_same(right[c], best[f"_r_{c}"]) for c in keys])).select(right_id, left_id)
 
 
 def link_records(left: DataFrame, right: DataFrame, left_id: str, right_id: str, columns: Sequence[str],

@@ -1,8 +1,11 @@
 """Variance inflation factors.
 
-The data pass is one Gram pass over columns shifted by their minima, over at
-most ``max_features`` columns (those beyond are named in the report); only the resulting p x p matrix (p <= 80) reaches the driver, where the small
-linear algebra runs.  Rows are never collected.
+The data pass is a tall-skinny QR: each task reduces its Arrow batches to one
+triangular factor R of ``[1 X]``, factors are stacked and reduced again in groups
+of at most 64, and one (p+1) x (p+1) factor reaches the driver, over at most
+``max_features`` columns in the report (those beyond are left out by name).  No
+product X'X is formed, so a column that its neighbours explain to a part in
+10**10 is told from an exact copy.  Rows are never collected.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -19,20 +23,58 @@ VIF_COLUMNS = ["feature", "vif", "r_squared", "n_features_used", "note"]
 SCHEMA = "feature string, vif double, r_squared double, n_features_used int, note string"
 
 
-def covariance_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
-    """Population covariance from one Gram pass (numpy per Arrow batch inside
-    the tasks, Spark sums the (p+1)^2 partial matrices).  Rows with a NULL are
-    expected to be filled beforehand."""
-    from hearth.operators.ml import gram_matrix
+def triangular_factor(df: DataFrame, cols: Sequence[str]) -> tuple[int, np.ndarray]:
+    """Number of rows and the factor R (p x p) of the centred columns: X'X = R'R.
+    Rows with a NULL are expected to be filled beforehand."""
+    p = len(cols)
+
+    def reduced(x: np.ndarray) -> np.ndarray:
+        r = np.linalg.qr(x, mode="r")
+        return np.vstack([r, np.zeros((p + 1 - len(r), p + 1))]) if len(r) < p + 1 else r
+
+    def partial(batches):
+        from pyspark import TaskContext
+
+        n, r = 0, np.zeros((0, p + 1))
+        for b in batches:
+            if len(b):
+                n += len(b)
+                r = reduced(np.vstack([r, np.column_stack([np.ones(len(b)), b.to_numpy(dtype=float)])]))
+        if n:
+            yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "n": [n], "r": [r.tobytes()]})
+
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        r = reduced(np.vstack([np.frombuffer(x).reshape(p + 1, p + 1) for x in rows.sort_values("r")["r"]]))
+        return pd.DataFrame({"part": rows["part"].iloc[:1], "n": [int(rows["n"].sum())], "r": [r.tobytes()]})
+
+    schema = "part long, n long, r binary"
+    parts = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).mapInPandas(partial, schema)
+    for _ in range(2):
+        parts = parts.withColumn("part", F.floor(F.col("part") / 64)).groupBy("part").applyInPandas(merge, schema)
+    got = parts.withColumn("part", F.lit(0).cast("long")).groupBy("part").applyInPandas(merge, schema).collect()  # one row
+    if not got:
+        return 0, np.zeros((p, p))
+    return got[0]["n"], np.frombuffer(got[0]["r"]).reshape(p + 1, p + 1)[1:, 1:]
 
-    low = df.agg(*[F.min(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    shifted = df.select(*[(F.col(f"`{c}`").cast("double") - F.lit(low[i] or 0.0)).alias(c) for i, c in enumerate(cols)])
-    zz = gram_matrix(shifted, cols)  # from the minima on, so years and large areas keep their digits
-    n = zz[0, 0]
-    if n == 0:
-        return np.zeros((len(cols), len(cols)))
-    mu = zz[0, 1:] / n
-    return zz[1:, 1:] / n - np.outer(mu, mu)
+
+def covariance_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
+    """Population covariance, from the factor."""
+    n, r = triangular_factor(df, cols)
+    return r.T @ r / n if n else np.zeros((len(cols), len(cols)))
+
+
+def r_squared_from_factor(r: np.ndarray) -> np.ndarray:
+    """R^2 of each column on all the others: its part outside their span, from
+    an orthogonal basis of the others' factor."""
+    size = np.linalg.norm(r, axis=0)
+    unit = r / np.where(size > 0, size, 1.0)
+    out = np.zeros(r.shape[1])
+    for j in range(r.shape[1]):
+        u, s, _ = np.linalg.svd(np.delete(unit, j, axis=1), full_matrices=False)
+        basis = u[:, s > 1e-12 * s.max(initial=0.0)]
+        left = unit[:, j] - basis @ (basis.T @ unit[:, j])
+        out[j] = float(np.clip(1.0 - left @ left, 0.0, 1.0))
+    return out
 
 
 def correlation_from_cov(cov: np.ndarray) -> np.ndarray:
@@ -44,24 +86,11 @@ def correlation_from_cov(cov: np.ndarray) -> np.ndarray:
     return r
 
 
-def _r_squared_each(r: np.ndarray) -> np.ndarray:
-    """R^2 of each standardised column on all the others (pseudo-inverse:
-    the least-squares fit, defined even when the matrix is singular)."""
-    p = r.shape[0]
-    out = np.zeros(p)
-    for j in range(p):
-        others = [k for k in range(p) if k != j]
-        b = r[others, j]
-        out[j] = float(np.clip(b @ (np.linalg.pinv(r[np.ix_(others, others)]) @ b), 0.0, 1.0))
-    return out
-
-
 def vif_inverse_corr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """VIF = diag(R^-1) of the correlation matrix, computed as
     1 / (1 - R^2_j) so exactly collinear columns come out +inf (NULL) instead
     of failing the inversion."""
-    r = correlation_from_cov(covariance_matrix(df, cols))
-    r2 = _r_squared_each(r)
+    r2 = r_squared_from_factor(triangular_factor(df, cols)[1])
     rows = [(c, None if x >= 0.999999 else float(1.0 / (1.0 - x))) for c, x in zip(cols, r2)]
     return df.sparkSession.createDataFrame(rows, "feature string, vif double")
 
@@ -75,9 +104,9 @@ def vif_report(df: DataFrame, max_features: int = 80, exclude: Sequence[str] = (
 
     numeric columns -> +-inf to NULL -> drop all-NULL -> exact-median fill ->
     drop constants -> keep the ``max_features`` with the largest max |r| to any
-    other column -> R^2 of each column on the others (least squares via the
-    pseudo-inverse of the standardised Gram matrix) -> VIF (inf when
-    R^2 >= 0.999999).
+    other column -> R^2 of each column on the others -> VIF (inf when
+    R^2 >= 0.999999).  Two passes: extremes and counts of all columns (medians
+    only of those that have NULLs), then the factor.
     """
     spark = df.sparkSession
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
@@ -85,33 +114,27 @@ def vif_report(df: DataFrame, max_features: int = 80, exclude: Sequence[str] = (
         return spark.createDataFrame([], SCHEMA)
     clean = df.select(*[F.when(F.abs(F.col(c).cast("double")) == float("inf"), F.lit(None))
                         .otherwise(F.col(c).cast("double")).alias(c) for c in num])
-    from hearth.operators.profile import quantiles_by_column
-
-    meds = {r["column"]: r["m"] for r in quantiles_by_column(clean, num, [0.5], ["m"]).collect()}  # one per column
-    keep = [c for c in num if meds.get(c) is not None]
-    filled = clean.select(*[F.coalesce(F.col(c), F.lit(meds[c])).alias(c) for c in keep])
-    ext = filled.agg(*[F.min(c).alias(f"mn{i}") for i, c in enumerate(keep)],
-                     *[F.max(c).alias(f"mx{i}") for i, c in enumerate(keep)]).collect()[0]
-    varying = [c for i, c in enumerate(keep) if ext[f"mn{i}"] != ext[f"mx{i}"]]
+    ext = clean.agg(F.count(F.lit(1)).alias("n"), *[
+        e for i, c in enumerate(num) for e in (F.count(c).alias(f"c{i}"), F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}"))
+    ]).first()  # one row
+    varying = [c for i, c in enumerate(num) if ext[f"c{i}"] and ext[f"mn{i}"] != ext[f"mx{i}"]]
+    holes = [c for i, c in enumerate(num) if c in varying and ext[f"c{i}"] < ext["n"]]
+    meds: dict = {}
+    if holes:
+        from hearth.operators.profile import quantiles_by_column
+
+        meds = {r["column"]: r["m"] for r in quantiles_by_column(clean, holes, [0.5], ["m"]).collect()}  # one per column
+    filled = clean.select(*[F.coalesce(F.col(c), F.lit(meds[c])).alias(c) if c in meds else F.col(c) for c in varying])
     if len(varying) < 2:
         return spark.createDataFrame([], SCHEMA)
-    cov = covariance_matrix(filled, varying)
-    r = correlation_from_cov(cov)
-    off = np.abs(r.copy())
+    n, factor = triangular_factor(filled, varying)
+    off = np.abs(correlation_from_cov(factor.T @ factor / n))
     np.fill_diagonal(off, np.nan)
     priority = np.nanmax(off, axis=0)
     order = sorted(range(len(varying)), key=lambda i: (-priority[i], i))[:max_features]
-    sel = [varying[i] for i in order]
-    rs = r[np.ix_(order, order)]
-    p = len(sel)
     rows = []
-    for j in range(p):
-        others = [k for k in range(p) if k != j]
-        a = rs[np.ix_(others, others)]
-        b = rs[others, j]
-        beta = np.linalg.pinv(a) @ b
-        r2 = float(np.clip(b @ beta, 0.0, 1.0))
-        vif = float("inf") if r2 >= 0.999999 else 1.0 / max(1.0 - r2, 1e-12)
-        rows.append((sel[j], vif, r2, p, _note(vif)))
+    for i, r2 in zip(order, r_squared_from_factor(factor[:, order]), strict=True):
+        vif = float("inf") if r2 >= 0.999999 else float(1.0 / max(1.0 - r2, 1e-12))
+        rows.append((varying[i], vif, float(r2), len(order), _note(vif)))
     out = spark.createDataFrame(rows, SCHEMA)
     return out.orderBy(F.desc("vif"), "feature")

@@ -50,3 +50,34 @@ def test_blank_cells_link_to_the_unique_nearest(spark):
     right = spark.createDataFrame([(11, "A", None, 48), (12, "A", None, 20), (13, "A", "q", 10)], "b_id long, c string, s string, price long")
     got = {(r.b_id, r.a_id) for r in wildcard_link(left, right, "a_id", "b_id", ["c"], ["s"], ["price"]).collect()}
     assert got == {(11, 2)}  # 20 lies between 10 and 30: no unique nearest
+
+
+def _nearest_by_definition(left, right):
+    """{b_id: a_id} of right rows with one matching left row at the least distance."""
+    out = {}
+    for b, c, s, t, price in right:
+        if c is None:
+            continue
+        cand = [(abs(p - price) if None not in (p, price) else float("inf"), a) for a, lc, ls, lt, p in left
+                if lc == c and (s is None or ls == s) and (t is None or lt == t)]
+        near = [a for d, a in cand if d == min(cand)[0]]
+        if len(near) == 1:
+            out[b] = near[0]
+    return out
+
+
+def test_wildcard_link_equals_the_definition(spark, monkeypatch):
+    import random
+
+    from hearth.operators import linkage
+
+    for seed, slices in ((1, 1), (2, 5), (3, 64)):
+        monkeypatch.setattr(linkage, "SLICES", slices)
+        rnd = random.Random(seed)
+        pick = lambda x, p: None if rnd.random() < p else rnd.choice(x)
+        left = [(i, pick("AAAB", 0.05), pick("xyz", 0.1), pick("uv", 0.1), pick(range(0, 60), 0.1)) for i in range(70)]
+        right = [(1000 + i, pick("AAABC", 0.05), pick("xyz", 0.4), pick("uv", 0.4), pick(range(0, 60), 0.1)) for i in range(150)]
+        l = spark.createDataFrame(left, "a_id long, c string, s string, t string, price long")
+        r = spark.createDataFrame(right, "b_id long, c string, s string, t string, price long")
+        got = {x.b_id: x.a_id for x in wildcard_link(l, r, "a_id", "b_id", ["c"], ["s", "t"], ["price"]).collect()}
+        assert got == _nearest_by_definition(left, right)

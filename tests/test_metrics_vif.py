@@ -42,3 +42,26 @@ def test_vif_constant_dropped_and_copy_is_infinite(spark):
     assert rep["b"]["n_features_used"] == 4
     inv = {r["feature"]: r["vif"] for r in vif_inverse_corr(df.drop("a_copy", "const"), ["a", "b", "mix"]).collect()}
     assert all(v > 1 for v in inv.values())
+
+
+def test_factor_equals_brute_force_on_nearly_collinear_columns(spark):
+    """R^2 against a long-precision projection; the Gram matrix would lose these digits."""
+    from hearth.operators.vif import r_squared_from_factor, triangular_factor
+
+    rnd = np.random.default_rng(2)
+    x = rnd.normal(size=(500, 3)) * [1, 50, 1e4] + [0, 2000, 1e6]
+    near = x[:, 0] + 1e-5 * rnd.normal(size=500)
+    all_x = np.column_stack([x, near, 2 * x[:, 1] - x[:, 0]])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in all_x], "a double, b double, c double, d double, e double")
+    for parts in (1, 7, 70):
+        n, r = triangular_factor(df.repartition(parts), list("abcde"))
+        centred = all_x - all_x.mean(0)
+        assert n == 500 and np.allclose(r.T @ r, centred.T @ centred, rtol=1e-9, atol=1e-6)
+        got = r_squared_from_factor(r)
+        for j in range(5):
+            others = np.delete(centred, j, axis=1) / np.linalg.norm(np.delete(centred, j, axis=1), axis=0)
+            fit = others @ np.linalg.lstsq(others, centred[:, j], rcond=None)[0]
+            left = ((centred[:, j] - fit) ** 2).sum() / (centred[:, j] ** 2).sum()
+            assert 1 - got[j] == pytest.approx(left, rel=1e-3, abs=1e-13)
+        assert 1e-11 < 1 - got[3] < 1e-9  # told from an exact copy
+    assert triangular_factor(df.limit(0), ["a", "b"])[0] == 0
