@@ -41,13 +41,18 @@ def late_actual_join(spark, sf):
 
 _PERF_COLS = ["rmse", "mae", "mape", "within_10_pct", "residual_mean", "residual_median"]
 
+def _avg(x: str) -> str:
+    """The mean from sums in whole numbers of 1e-8, in any order the same."""
+    return f"(CAST(sum(CAST(round({x} * 1e8) AS DECIMAL(38,0))) AS DOUBLE) / 1e8 / count(*))"
+
+
 _PERF_SQL = f"""
 e AS (SELECT *, actual - predicted AS residual, abs(actual - predicted) AS abs_error,
              abs(actual - predicted) / greatest(actual, 1) AS ape FROM mt WHERE actual IS NOT NULL),
 w AS (SELECT e.*, strftime(CAST(ts AS DATE) - CAST(k AS INTEGER), '%Y-%m-%d') AS window_start FROM e CROSS JOIN range(0, 7) AS t(k)),
-perf AS (SELECT window_start, count(*) AS n, {sql_sig('sqrt(avg(residual * residual))')} AS rmse, {sql_sig('avg(abs_error)')} AS mae,
-  {sql_sig('avg(ape)')} AS mape, {sql_sig('avg(CASE WHEN ape <= 0.10 THEN 1.0 ELSE 0.0 END)')} AS within_10_pct,
-  {sql_sig('avg(residual)')} AS residual_mean, {sql_sig('median(residual)')} AS residual_median
+perf AS (SELECT window_start, count(*) AS n, {sql_sig('sqrt(' + _avg('residual * residual') + ')')} AS rmse, {sql_sig(_avg('abs_error'))} AS mae,
+  {sql_sig(_avg('ape'))} AS mape, {sql_sig('avg(CASE WHEN ape <= 0.10 THEN 1.0 ELSE 0.0 END)')} AS within_10_pct,
+  {sql_sig(_avg('residual'))} AS residual_mean, {sql_sig('median(residual)')} AS residual_median
   FROM w GROUP BY window_start)
 """
 
@@ -203,8 +208,8 @@ e AS (SELECT *, actual - predicted AS residual, abs(actual - predicted) AS abs_e
              {bucket_case('predicted', PRED_EDGES, PRED_LABELS, include_lowest=True)} AS pred_slice
       FROM mt WHERE actual IS NOT NULL),
 w AS (SELECT e.*, strftime(CAST(ts AS DATE) - CAST(k AS INTEGER), '%Y-%m-%d') AS window_start FROM e CROSS JOIN range(0, 7) AS t(k))
-SELECT window_start, pred_slice, count(*) AS n, {sql_sig('avg(actual)')} AS actual_mean, {sql_sig('avg(predicted)')} AS predicted_mean,
-  {sql_sig('avg(residual)')} AS residual_mean, {sql_sig('avg(abs_error)')} AS mae, {sql_sig('avg(ape)')} AS mape,
+SELECT window_start, pred_slice, count(*) AS n, {sql_sig(_avg('actual'))} AS actual_mean, {sql_sig(_avg('predicted'))} AS predicted_mean,
+  {sql_sig(_avg('residual'))} AS residual_mean, {sql_sig(_avg('abs_error'))} AS mae, {sql_sig(_avg('ape'))} AS mape,
   {sql_sig('avg(CASE WHEN ape <= 0.10 THEN 1.0 ELSE 0.0 END)')} AS within_10_pct,
   {sql_sig('avg(CASE WHEN ape <= 0.20 THEN 1.0 ELSE 0.0 END)')} AS within_20_pct
 FROM w GROUP BY 1, 2"""
@@ -219,3 +224,72 @@ def windowed_error_slices(spark, sf):
         "pred_slice", right_closed_bucket("predicted", PRED_EDGES, PRED_LABELS, include_lowest=True))
     out = M.windowed_error_slices(m, "ts", "pred_slice", 7, 1)
     return out.select("window_start", "pred_slice", "n", *[round_sig(c).alias(c) for c in _SLICE_COLS])
+
+
+_BY_KEYS = ["pred_slice", "area", "quality"]
+
+
+def _t6_by_sql() -> str:
+    one = _t6_sql()
+    head, tail = one.split("SELECT window_start, pred_slice, count(*) AS n,")
+    head = head.replace("w AS (SELECT e.*", "k AS (SELECT *, CAST(user_id % 12 AS VARCHAR) AS area, CAST(user_id % 5 + 1 AS VARCHAR) AS quality FROM e),\nw AS (SELECT k.*") \
+        .replace("FROM e CROSS JOIN range(0, 7)", "FROM k CROSS JOIN range(0, 7)").replace("AS t(k))", "AS t(j))").replace("CAST(k AS INTEGER)", "CAST(j AS INTEGER)")
+    parts = [f"SELECT window_start, '{k}' AS slice_key, {k} AS level, count(*) AS n," + tail.replace("GROUP BY 1, 2", "GROUP BY 1, 2, 3") for k in _BY_KEYS]
+    return head + " UNION ALL ".join(parts)
+
+
+@register("windowed_error_slices_by", _t6_by_sql())
+def windowed_error_slices_by(spark, sf):
+    """Error slices per 7-day window by predicted value, area and quality,
+    from one aggregate."""
+    from hearth.functions.exprs import right_closed_bucket
+
+    m = _matched(spark, sf).select(
+        "*", right_closed_bucket("predicted", PRED_EDGES, PRED_LABELS, include_lowest=True).alias("pred_slice"),
+        (F.col("user_id") % 12).cast("string").alias("area"), (F.col("user_id") % 5 + 1).cast("string").alias("quality"))
+    out = M.windowed_error_slices_by(m, "ts", _BY_KEYS, 7, 1)
+    return out.select("window_start", "slice_key", "level", "n", *[round_sig(c).alias(c) for c in _SLICE_COLS])
+
+
+# the eleven monitored columns: seven numbers and four texts of a scored request
+_SHIFT = f"CASE WHEN ts >= TIMESTAMP_NTZ '{TRAIN_END}' THEN 3 ELSE 0 END"
+_DRIFT_NUMBERS = {
+    "value": "value", "user": "CAST(user_id AS DOUBLE)", "id_tail": "CAST(event_id % 1000 AS DOUBLE)", "hour": "CAST(hour(ts) AS DOUBLE)",
+    "minute": "CAST(minute(ts) AS DOUBLE)", "per_user": "value / (1 + user_id % 7)", "shifted": f"value + {_SHIFT}",
+}
+_DRIFT_TEXTS = {
+    "event_type": "event_type", "area": f"CONCAT('area ', CAST((user_id + {_SHIFT}) % 12 AS STRING))",
+    "quality": "CAST(user_id % 5 + 1 AS STRING)", "month": "CAST(month(ts) AS STRING)",
+}
+
+
+def _drift_all_sql() -> str:
+    duck = lambda x: x.replace("TIMESTAMP_NTZ", "TIMESTAMP").replace("AS STRING", "AS VARCHAR")
+    ev = ", ".join(f"{duck(x)} AS c_{n}" for n, x in (_DRIFT_NUMBERS | _DRIFT_TEXTS).items())
+    ed = ", ".join(f"quantile_cont(c_{n}, [{', '.join(f'{i / 10}' for i in range(1, 10))}]) AS e_{n}" for n in _DRIFT_NUMBERS)
+    cells = [f"SELECT day, ts, '{n}' AS col, CAST(len([x for x in e_{n} if c_{n} > x]) AS VARCHAR) AS bin FROM ev, ed WHERE c_{n} IS NOT NULL" for n in _DRIFT_NUMBERS]
+    cells += [f"SELECT day, ts, '{n}' AS col, c_{n} AS bin FROM ev WHERE c_{n} IS NOT NULL" for n in _DRIFT_TEXTS]
+    nums = ", ".join(f"('{n}')" for n in _DRIFT_NUMBERS)
+    return f"""
+WITH ev AS (SELECT strftime(ts, '%Y-%m-%d') AS day, ts, {ev} FROM events),
+ed AS (SELECT {ed} FROM ev WHERE ts < TIMESTAMP '{TRAIN_END}'),
+b AS ({' UNION ALL '.join(cells)}),
+t AS (SELECT col, bin, count(*) AS c FROM b WHERE ts < TIMESTAMP '{TRAIN_END}' GROUP BY 1, 2),
+q AS (SELECT col, bin, greatest(c / sum(c) OVER (PARTITION BY col), {_EPS}) AS q FROM t),
+d AS (SELECT day, col, bin, count(*) AS n FROM b GROUP BY 1, 2, 3),
+s AS (SELECT day, col, sum(n) AS d FROM d GROUP BY 1, 2),
+lv AS (SELECT col, bin FROM q UNION SELECT col, bin FROM d UNION SELECT col, CAST(i AS VARCHAR) FROM (VALUES {nums}) v(col), range(0, 10) r(i)),
+x AS (SELECT s.day, s.col, s.d, lv.bin FROM s JOIN lv ON s.col = lv.col),
+y AS (SELECT x.day, x.col, greatest(coalesce(d.n, 0) / x.d, {_EPS}) AS p, coalesce(q.q, {_EPS}) AS q
+      FROM x LEFT JOIN d ON x.day = d.day AND x.col = d.col AND x.bin = d.bin LEFT JOIN q ON x.col = q.col AND x.bin = q.bin)
+SELECT day, col AS "column", round(sum((p - q) * ln(p / q)), 8) AS psi FROM y GROUP BY 1, 2"""
+
+
+@register("drift_all_columns", _drift_all_sql())
+def drift_all_columns(spark, sf):
+    """T2 over eleven columns in one pass of the log."""
+    ev = table(spark, sf, "events")
+    log = ev.select("ts", *[F.expr(x).alias(f"c_{n}") for n, x in (_DRIFT_NUMBERS | _DRIFT_TEXTS).items()])
+    train = log.where(F.col("ts") < F.lit(TRAIN_END).cast("timestamp_ntz"))
+    out = M.drift_all(log, train, "ts", [f"c_{n}" for n in _DRIFT_NUMBERS], [f"c_{n}" for n in _DRIFT_TEXTS], _EPS)
+    return out.select("day", F.substring("column", 3, 99).alias("column"), F.round("psi", 8).alias("psi"))

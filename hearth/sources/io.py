@@ -25,8 +25,10 @@ from hearth.functions.names import normalize_columns
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """Every column as text, named by the file's own header (Spark's CSV reader
     has one ``nullValue`` and keeps the literal ``None``: tokens are normalised
-    afterwards).  Only the header line is read to learn the names."""
-    return spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    afterwards).  Only the header line is read to learn the names.  In a folder
+    every file must have the first one's header: a file with other names or
+    another order is an error when its rows are read, not a swap of columns."""
+    return spark.read.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
 
 
 def _token_free(name: str, tokens: Sequence[str]) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.operators.quantiles import exact_median, exact_quantiles
+from hearth.operators.quantiles import exact_quantiles
 
 # fixed values: retraining thresholds from the monitoring contract (MAPE band
 # upper end, within-10% floor) plus our drift and volume choices
@@ -99,27 +99,107 @@ def error_columns(df: DataFrame, actual: str = "actual", predicted: str = "predi
         "ape", F.abs(a - p) / F.greatest(a, F.lit(1.0)))
 
 
-def sliding_windows(df: DataFrame, ts: str, length_days: int, slide_days: int) -> DataFrame:
-    """Rows replicated into every sliding window that contains them (``window_start``)."""
-    w = F.window(F.col(ts).cast("timestamp"), f"{length_days} days", f"{slide_days} days")
-    return df.withColumn("_w", w).withColumn("window_start", F.date_format("_w.start", "yyyy-MM-dd")).drop("_w")
+#: Sums are kept in whole numbers of 1 / _UNIT, so they do not depend on the order of addition.
+_UNIT = 1e8
+#: Cells of the value range in which the rows of a window's median are looked for.
+_CELLS = 1024
+
+
+def _units(c: Column) -> Column:
+    return F.sum(F.round(c * _UNIT).cast("decimal(28,0)"))
+
+
+def _mean(total: str, n: str = "n") -> Column:
+    return F.col(total).cast("double") / _UNIT / F.col(n)
+
+
+#: What a day keeps of its errors: name -> value that is added up.
+_PARTIALS = {
+    "s_actual": lambda: F.col("actual").cast("double"),
+    "s_predicted": lambda: F.col("predicted").cast("double"),
+    "s_residual": lambda: F.col("residual"),
+    "s_abs": lambda: F.col("abs_error"),
+    "s_ape": lambda: F.col("ape"),
+    "s_square": lambda: F.col("residual") * F.col("residual"),
+}
+
+
+def day_partials(matched: DataFrame, ts: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Error sums per day, or per day and each slice key in turn (one aggregate
+    over ``GROUPING SETS``): ``day``, ``slice_key``, ``level``, n, the sums and
+    the rows within 10 and 20 percent.  A row with a NULL level is left out of
+    that key's slices."""
+    m = error_columns(matched.where(F.col("actual").isNotNull())).withColumn("day", F.to_date(ts))
+    aggs = [F.count(F.lit(1)).alias("n"), *[_units(v()).alias(k) for k, v in _PARTIALS.items()],
+            F.count_if(F.col("ape") <= 0.10).alias("n10"), F.count_if(F.col("ape") <= 0.20).alias("n20")]
+    if not keys:
+        return m.groupBy("day").agg(*aggs).select("day", F.lit(None).cast("string").alias("slice_key"), F.lit(None).cast("string").alias("level"), "*")
+    named = m.select("*", *[F.col(k).cast("string").alias(f"_k{i}") for i, k in enumerate(keys)])
+    levels = [f"_k{i}" for i in range(len(keys))]
+    sets = named.groupingSets([["day", c] for c in levels], "day", *levels).agg(F.grouping_id().alias("_g"), *aggs)
+    which, level = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for i, k in enumerate(keys):
+        mine = F.col("_g").bitwiseAND(1 << (len(keys) - 1 - i)) == 0
+        which, level = F.when(mine, F.lit(k)).otherwise(which), F.when(mine, F.col(levels[i])).otherwise(level)
+    return sets.select("day", which.alias("slice_key"), level.alias("level"), *[c for c in sets.columns if c not in ("day", "_g", *levels)]).where("level IS NOT NULL")
+
+
+def in_windows(days: DataFrame, length_days: int, slide_days: int) -> DataFrame:
+    """Rows of a small per-day table, once per sliding window that has the day;
+    window starts are whole multiples of ``slide_days`` from 1970-01-01 on."""
+    d = F.unix_date("day")
+    last = d - F.pmod(d, F.lit(slide_days))
+    first = last - slide_days * F.floor((F.lit(length_days - 1) - F.pmod(d, F.lit(slide_days))) / slide_days).cast("int")
+    start = F.explode(F.sequence(first, last, F.lit(slide_days)))
+    rows = days.where(F.lit(length_days - 1) >= F.pmod(d, F.lit(slide_days))).withColumn("_start", start)
+    return rows.withColumn("window_start", F.date_format(F.date_from_unix_date("_start"), "yyyy-MM-dd")).drop("_start")
+
+
+def window_sums(partials: DataFrame, length_days: int, slide_days: int) -> DataFrame:
+    """Day partials added up per window and slice."""
+    sums = [*_PARTIALS, "n", "n10", "n20"]
+    rows = in_windows(partials, length_days, slide_days)
+    return rows.groupBy("window_start", "slice_key", "level").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def window_medians(df: DataFrame, ts: str, value: str, length_days: int, slide_days: int, name: str) -> DataFrame:
+    """Exact median of ``value`` per sliding window without copying rows into
+    windows: counts per day and cell of the value range, added up per window,
+    tell in which cells a window's middle ranks lie; only the rows of these are
+    looked at again."""
+    m = df.where(F.col(value).isNotNull()).select(F.to_date(ts).alias("day"), F.col(value).cast("double").alias("_v"))
+    ends = m.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi")).first()  # two numbers
+    lo, width = ends["lo"] or 0.0, max((ends["hi"] or 0.0) - (ends["lo"] or 0.0), 1e-300) / _CELLS
+    m = m.withColumn("_cell", F.least(F.floor((F.col("_v") - lo) / width), F.lit(_CELLS - 1)).cast("int"))
+    cells = in_windows(m.groupBy("day", "_cell").agg(F.count(F.lit(1)).alias("_c")), length_days, slide_days)
+    cells = cells.groupBy("window_start", "_cell").agg(F.sum("_c").alias("_c"))
+    line = Window.partitionBy("window_start")  # at most _CELLS rows
+    cells = cells.withColumn("_n", F.sum("_c").over(line)).withColumn(
+        "_upto", F.sum("_c").over(line.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)  # ranks from 0
+    holds = lambda rank: (rank >= F.col("_upto") - F.col("_c")) & (rank < F.col("_upto"))
+    wanted = cells.where(holds(low) | holds(high)).select(
+        "window_start", "_cell", (F.col("_upto") - F.col("_c")).alias("_before"), low.alias("_low"), high.alias("_high"))
+    start = F.to_date("window_start")
+    days = F.explode(F.sequence(start, F.date_add(start, length_days - 1)))
+    asked = wanted.withColumn("day", days)
+    values = m.join(asked, ["day", "_cell"]).groupBy("window_start", "_cell", "_before", "_low", "_high", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    run = Window.partitionBy("window_start", "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    values = values.withColumn("_upto", F.col("_before") + F.sum("_c").over(run))
+    at = lambda rank: F.max(F.when((F.col(rank) >= F.col("_upto") - F.col("_c")) & (F.col(rank) < F.col("_upto")), F.col("_v")))
+    both = values.groupBy("window_start").agg(at("_low").alias("_a"), at("_high").alias("_b"))
+    return both.select("window_start", (F.col("_a") + (F.col("_b") - F.col("_a")) * 0.5).alias(name))
 
 
 def rolling_performance(matched: DataFrame, ts: str, length_days: int = 7, slide_days: int = 1) -> DataFrame:
     """T4 over predictions that have an actual: n, rmse, mae, mape,
-    within_10_pct, residual_mean and exact residual_median per window."""
+    within_10_pct, residual_mean and exact residual_median per window, from
+    sums per day."""
+    agg = window_sums(day_partials(matched, ts), length_days, slide_days).select(
+        "window_start", "n", F.sqrt(_mean("s_square")).alias("rmse"), _mean("s_abs").alias("mae"), _mean("s_ape").alias("mape"),
+        (F.col("n10") / F.col("n")).alias("within_10_pct"), _mean("s_residual").alias("residual_mean"))
     m = error_columns(matched.where(F.col("actual").isNotNull()))
-    win = sliding_windows(m, ts, length_days, slide_days)
-    agg = win.groupBy("window_start").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sqrt(F.avg(F.col("residual") * F.col("residual"))).alias("rmse"),
-        F.avg("abs_error").alias("mae"),
-        F.avg("ape").alias("mape"),
-        F.avg((F.col("ape") <= 0.10).cast("double")).alias("within_10_pct"),
-        F.avg("residual").alias("residual_mean"),
-    )
-    med = exact_median(win, "residual", by=["window_start"], name="residual_median")
-    return agg.join(med, "window_start", "left")
+    return agg.join(window_medians(m, ts, "residual", length_days, slide_days, "residual_median"), "window_start", "left")
 
 
 def training_profile(df: DataFrame, value: str, probs: Sequence[float] = (0.01, 0.99)) -> dict:
@@ -191,6 +271,45 @@ def level_drift(log: DataFrame, train: DataFrame, ts: str, column: str, eps: flo
     return both.groupBy("day").agg((F.lit(absent) + F.sum(change)).alias("psi"))
 
 
+def drift_all(log: DataFrame, train: DataFrame, ts: str, numbers: Sequence[str], texts: Sequence[str], eps: float = 1e-4) -> DataFrame:
+    """T2 over all monitored columns at once: ``(day, column, psi)``.
+
+    Numbers are read as their training decile, text as its level, so every
+    column is a list of bins; one aggregate counts (column, day, bin) over the
+    log and one over the training rows.  Nothing is crossed: a day starts from
+    what all training bins would add if absent, and its bins replace theirs."""
+    probs = [i / 10 for i in range(1, 10)]
+    edges: dict = {}
+    if numbers:
+        long = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in numbers])).alias("p")).select("p.*")
+        for r in exact_quantiles(long, "v", probs, by=["c"], names=[f"d{i}" for i in range(9)]).collect():  # one row a column
+            edges[r["c"]] = [r[f"d{i}"] for i in range(9)]
+
+    def binned(df: DataFrame, *keep: Column) -> DataFrame:
+        cells = [F.struct(F.lit(c).alias("column"), F.when(F.col(c).isNotNull(), decile_of(F.col(c).cast("double"), edges[c]).cast("string")).alias("bin"))
+                 for c in numbers if c in edges]
+        cells += [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("bin")) for c in texts]
+        rows = df.select(*keep, F.explode(F.array(*cells)).alias("p"))
+        return rows.select(*[c for c in rows.columns if c != "p"], "p.*").where("bin IS NOT NULL")
+
+    term = lambda p, q: (p - q) * F.log(p / q)
+    seen = binned(train).groupBy("column", "bin").agg(F.count(F.lit(1)).alias("_q"))
+    every = Window.partitionBy("column")  # bins of a column
+    seen = seen.withColumn("_q", F.greatest(F.col("_q") / F.sum("_q").over(every), F.lit(eps)))
+    # a decile that ties leave empty has the least share, too
+    if edges:
+        deciles = train.sparkSession.createDataFrame([(c, str(i)) for c in edges for i in range(10)], "column string, bin string")
+        seen = seen.unionByName(deciles.join(seen, ["column", "bin"], "left_anti").withColumn("_q", F.lit(eps)))
+    absent = seen.groupBy("column").agg(F.sum(term(F.lit(eps), F.col("_q"))).alias("_absent"))
+    days = binned(log, F.date_format(F.col(ts), "yyyy-MM-dd").alias("day")).groupBy("day", "column", "bin").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = days.groupBy("day", "column").agg(F.sum("_n").alias("_d"))
+    both = days.join(sizes, ["day", "column"]).join(seen, ["column", "bin"], "left")
+    p, q = F.greatest(F.col("_n") / F.col("_d"), F.lit(eps)), F.coalesce("_q", F.lit(eps))
+    change = term(p, q) - F.when(F.col("_q").isNotNull(), term(F.lit(eps), q)).otherwise(0.0)
+    out = both.groupBy("day", "column").agg(F.sum(change).alias("_c")).join(absent, "column")
+    return out.select("day", "column", (F.col("_absent") + F.col("_c")).alias("psi"))
+
+
 def retrain_triggers(perf: DataFrame, drift: DataFrame) -> DataFrame:
     """``(window_start, trigger, value, threshold, fired)`` rows from the
     rolling metrics and the daily input drift."""
@@ -254,18 +373,18 @@ def stream_rolling_metrics(matched: DataFrame, ts: str, length: str = "7 days",
 
 def windowed_error_slices(matched: DataFrame, ts: str, key: str, length_days: int = 7, slide_days: int = 1) -> DataFrame:
     """Error summary per (window, slice key) - A29 keyed by time window."""
-    m = error_columns(matched.where(F.col("actual").isNotNull()))
-    win = sliding_windows(m, ts, length_days, slide_days)
-    return win.groupBy("window_start", key).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("actual").alias("actual_mean"),
-        F.avg("predicted").alias("predicted_mean"),
-        F.avg("residual").alias("residual_mean"),
-        F.avg("abs_error").alias("mae"),
-        F.avg("ape").alias("mape"),
-        F.avg((F.col("ape") <= 0.10).cast("double")).alias("within_10_pct"),
-        F.avg((F.col("ape") <= 0.20).cast("double")).alias("within_20_pct"),
-    )
+    out = windowed_error_slices_by(matched, ts, [key], length_days, slide_days)
+    return out.drop("slice_key").withColumnRenamed("level", key)
+
+
+def windowed_error_slices_by(matched: DataFrame, ts: str, keys: Sequence[str], length_days: int = 7, slide_days: int = 1) -> DataFrame:
+    """T6 over several slice keys at once: ``window_start``, ``slice_key``,
+    ``level`` and the error summary, from one aggregate per day."""
+    w = window_sums(day_partials(matched, ts, keys), length_days, slide_days)
+    return w.select(
+        "window_start", "slice_key", "level", "n", _mean("s_actual").alias("actual_mean"), _mean("s_predicted").alias("predicted_mean"),
+        _mean("s_residual").alias("residual_mean"), _mean("s_abs").alias("mae"), _mean("s_ape").alias("mape"),
+        (F.col("n10") / F.col("n")).alias("within_10_pct"), (F.col("n20") / F.col("n")).alias("within_20_pct"))
 
 
 def stream_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:

@@ -109,3 +109,19 @@ def test_explicit_missing_path_raises_even_with_a_fallback(spark):
     raw = _csv(d, "raw.csv", "Id,Alley,LotFrontage,SalePrice\n1,a,1,10\n")
     with pytest.raises(FileNotFoundError):
         load_training_data(spark, os.path.join(d, "missing.csv"), SCHEMA, fallback_path=raw)
+
+
+def test_files_of_a_folder_must_share_their_header(spark, tmp_path):
+    from hearth.sources.io import read_csv_text
+
+    folder = tmp_path / "same"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Id,SalePrice\n1,100\n")
+    (folder / "b.csv").write_text("Id,SalePrice\n2,200\n")
+    assert {tuple(r) for r in read_csv_text(spark, str(folder)).collect()} == {("1", "100"), ("2", "200")}
+    other = tmp_path / "other"
+    other.mkdir()
+    (other / "a.csv").write_text("Id,SalePrice\n1,100\n")
+    (other / "b.csv").write_text("SalePrice,Id\n200,2\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv_text(spark, str(other)).collect()

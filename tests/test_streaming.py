@@ -130,3 +130,47 @@ def test_stream_drift_equals_batch_for_closed_windows(spark):
     want2 = {(r["day"], r["event_type"]): r["n"] for r in
              M.prediction_drift(ev, "ts", "value", ["event_type"], prof[0.01], prof[0.99]).collect()}
     assert got2 and all(want2[k] == v for k, v in got2.items())
+
+
+def test_window_medians_and_sums_equal_copied_rows(spark):
+    """Against rows copied into every window, for several lengths and slides."""
+    import random
+    from datetime import datetime, timedelta
+
+    rnd = random.Random(11)
+    rows = [(datetime(2024, 1, 1) + timedelta(hours=rnd.randint(0, 500)), rnd.choice([5.0, rnd.random() * 100]), float(rnd.randint(1, 200)),
+             rnd.choice(["a", "b", None]), rnd.randint(1, 3)) for _ in range(700)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, actual double, predicted double, area string, quality int")
+    for length, slide in ((7, 1), (3, 2), (1, 1)):
+        m = M.error_columns(df)
+        copied = m.withColumn("_w", F.window(F.col("ts").cast("timestamp"), f"{length} days", f"{slide} days")).withColumn(
+            "window_start", F.date_format("_w.start", "yyyy-MM-dd"))
+        want = {r.window_start: r for r in copied.groupBy("window_start").agg(
+            F.count(F.lit(1)).alias("n"), F.avg("ape").alias("mape"), F.percentile("residual", 0.5).alias("med")).collect()}
+        got = {r.window_start: r for r in M.rolling_performance(df, "ts", length, slide).collect()}
+        assert got.keys() == want.keys()
+        for w in want:
+            assert got[w].n == want[w].n
+            assert got[w].mape == pytest.approx(want[w].mape, abs=1e-7) and got[w].residual_median == pytest.approx(want[w].med, abs=1e-12)
+        by = {(r.window_start, r.slice_key, r.level): r.n for r in M.windowed_error_slices_by(df, "ts", ["area", "quality"], length, slide).collect()}
+        for key in ("area", "quality"):
+            for r in copied.where(F.col(key).isNotNull()).groupBy("window_start", F.col(key).cast("string").alias("k")).count().collect():
+                assert by.pop((r.window_start, key, r.k)) == r["count"]
+        assert not by
+
+
+def test_drift_of_many_columns_equals_one_at_a_time(spark):
+    import random
+    from datetime import datetime, timedelta
+
+    rnd = random.Random(12)
+    rows = [(datetime(2024, 1, 1 + i % 6), rnd.choice([None, rnd.random()]), float(rnd.randint(0, 3)), rnd.choice(["x", "y", None] + ["z"] * (i % 6))) for i in range(600)]
+    log = spark.createDataFrame(rows, "ts timestamp_ntz, a double, b double, t string")
+    train = log.where("ts < '2024-01-03'")
+    got = {(r.day, r.column): r.psi for r in M.drift_all(log, train, "ts", ["a", "b"], ["t"]).collect()}
+    for c in ("a", "b"):
+        for r in M.input_drift(log, train, "ts", c).collect():
+            assert got.pop((r.day, c)) == pytest.approx(r.psi, abs=1e-12)
+    for r in M.level_drift(log, train, "ts", "t").collect():
+        assert got.pop((r.day, "t")) == pytest.approx(r.psi, abs=1e-12)
+    assert not got
