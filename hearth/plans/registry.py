@@ -35,4 +35,4 @@ def load_all() -> None:
 
 
 PLAN_MODULES = ["cleaning", "profiling", "features_q", "evaluation", "linkage_q", "monitoring", "modeling",
-                "sources_q", "checks_q"]
+                "sources_q", "checks_q", "registry_q"]
