@@ -32,6 +32,8 @@ from pyspark.sql import types as T
 #: memo starts anew.  Longer strings are counted each time.
 MEMO_ENTRIES = 600_000
 MEMO_MAX_CHARS = 64
+#: Bytes up to which a piece's links are kept in lists.
+SHORT_PIECE = 1 << 12
 _POS_BITS = 40
 _POS_MASK = (1 << _POS_BITS) - 1
 
@@ -75,6 +77,10 @@ def read_vocabulary(path: str) -> dict:
     }
 
 
+def _compact(values) -> array:
+    return array("i", values)
+
+
 class TokenCounter:
     """Counts the tokens of texts; see the module's heading."""
 
@@ -96,10 +102,10 @@ class TokenCounter:
         """Symbols that are left of a piece when no pair merges any more."""
         n = len(piece)
         rank, merged = self.rank, self.merged
-        # 12 bytes a symbol; the heap holds one integer per mergeable pair
-        ids = array("i", map(self.byte_ids.__getitem__, piece))
-        nxt = array("i", range(1, n + 1))
-        prv = array("i", range(-1, n - 1))
+        # lists are faster, arrays take 12 bytes a symbol; the heap holds one integer per mergeable pair
+        row = list if n <= SHORT_PIECE else _compact
+        ids = row(map(self.byte_ids.__getitem__, piece))
+        nxt, prv = row(range(1, n + 1)), row(range(-1, n - 1))
         heap = []
         for at in range(n - 1):
             r = rank.get(ids[at] << 32 | ids[at + 1])
@@ -156,22 +162,28 @@ class TokenCounter:
     def _count_plain(self, text: str) -> int:
         chunks = text.split(" ")
         memo = self.parts
-        first = chunks[0]
+        first = chunks.pop(0)
         if first and not self.space(first[-1]):
             try:
-                return sum(map(memo.__getitem__, chunks[1:])) + self._count_part(first)
+                return sum(map(memo.__getitem__, chunks)) + self._count_part(first)
             except KeyError:
-                pass
-        total = 0
-        for i, part in enumerate(self._parts(chunks)):
-            k = memo.get(part) if i else self._count_part(part)
-            if k is None:
-                k = self._count_part(" " + part)
-                if len(part) <= MEMO_MAX_CHARS and not self.space(part[-1]):
-                    if len(memo) >= MEMO_ENTRIES:
-                        memo.clear()
-                    memo[part] = k
-            total += k
+                fresh = set(chunks).difference(memo)
+            if not any(not c or self.space(c[0]) or self.space(c[-1]) for c in fresh):
+                return self._sum_parts(chunks, fresh) + self._count_part(first)
+        parts = self._parts([first, *chunks])
+        first = parts.pop(0)
+        return self._sum_parts(parts, {p for p in parts if p not in memo}) + self._count_part(first)
+
+    def _sum_parts(self, parts: list[str], fresh: set[str]) -> int:
+        """Tokens of parts that each follow a space; ``fresh`` are those that
+        the memo lacks."""
+        memo = self.parts
+        counts = {p: self._count_part(" " + p) for p in fresh}
+        total = sum([counts[p] if p in counts else memo[p] for p in parts])
+        if len(memo) + len(counts) > MEMO_ENTRIES:
+            memo.clear()
+        if len(counts) <= MEMO_ENTRIES:
+            memo.update((p, k) for p, k in counts.items() if len(p) <= MEMO_MAX_CHARS and not self.space(p[-1]))
         return total
 
     def count(self, text: str | None) -> int:

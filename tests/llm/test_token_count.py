@@ -72,7 +72,10 @@ def test_memos_are_bounded_and_change_nothing(counter, library, monkeypatch):
     own = token_count.TokenCounter(token_count.read_vocabulary(PATH), public_tokenizers.PATTERN)
     text = "the cat sat on the mat while an owl, unseen, saw the cat sit on it " * 3
     assert own.count(text) == own.count(text) == library([text])[0]
-    assert len(own.parts) <= 3 and len(own.pieces) <= 3
+    assert len(own.parts) <= 20 and len(own.pieces) <= 3  # a text's new parts, then anew
+    for _ in range(5):
+        assert own.count("a few other words here") == library(["a few other words here"])[0]
+    assert len(own.parts) <= 20
 
 
 def test_empty_table_and_other_vocabularies(spark):
