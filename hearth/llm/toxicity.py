@@ -32,10 +32,9 @@ from hearth.llm.pii import _FOLD, _INVISIBLE
 
 #: Labelled rows to learn from, the bound of the training sample.
 TRAIN_ROWS = 40_000
-#: Features kept in the model, the toxic documents each must occur in, and the
-#: log-likelihood ratio of its counts, so that chance finds stay out whatever
-#: the number of labels (20 has a chance of 8 in a million).
-MAX_FEATURES = 20_000
+#: The toxic documents each feature must occur in, and the log-likelihood ratio
+#: of its counts, so that chance finds stay out whatever the number of labels
+#: (20 has a chance of 8 in a million).
 MIN_TOXIC = 3
 MIN_RATIO = 20.0
 MIN_WEIGHT = 2.0
@@ -251,9 +250,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text_col: str
     t, c, n = F.col("toxic"), F.col("clean"), F.col("toxic") + F.col("clean")
     ratio = 2 * (t * F.log(t / (n * F.lit(share))) + F.when(c > 0, c * F.log(c / (n * F.lit(1 - share)))).otherwise(0.0))
     top = (
-        counts.where((t >= MIN_TOXIC) & (ratio >= MIN_RATIO)).withColumn("w", weight).where(F.col("w") >= MIN_WEIGHT)
-        .orderBy(F.desc(F.col("w") * F.col("toxic")), "f").limit(MAX_FEATURES).collect()
-    )
+        counts.where((t >= MIN_TOXIC) & (ratio >= MIN_RATIO)).withColumn("w", weight).where(F.col("w") >= MIN_WEIGHT).collect()
+    )  # words of the sample's toxic rows, which bounds them
     ids = np.array([r.f for r in top], np.int64).view(np.uint64)
     order = np.argsort(ids)
     ids, weights = ids[order], np.array([r.w for r in top], float)[order]
