@@ -70,7 +70,7 @@ def measures(df: DataFrame, text_col: str = "text", keep: list[str] | None = Non
     """``df`` plus the measures the rules use, over the whole text: n_words,
     word_chars (code points in words), n_symbols (``#*$%&|<>``), n_dup_lines
     (lines with a word that equal an earlier line), n_repeat_words (in repeated
-    8-word windows), and n_lines, n_distinct, n_long, n_upper, n_end for the
+    8-word windows), and n_lines, n_distinct, n_upper, n_marks for the
     votes.  Null and empty texts: all 0.  ``keep``: the columns of ``df`` that
     are passed on (all, if not given); columns of these names are replaced."""
     keep = df.columns if keep is None else keep
