@@ -165,16 +165,9 @@ FROM mt, last WHERE mt.ts < last.t - INTERVAL {CLOSED_DAYS} DAY
 """
 
 
-@register("stream_actual_pairs", _STREAM_SQL)
-def stream_first_actuals(spark, sf):
-    """T1/T5 as Structured Streaming: the events table read as a stream, each
-    prediction joined to its first later actual with watermarks on both sides,
-    run to completion with ``availableNow`` into a parquet table in the shared
-    checkpoint folder, then read back; one row per closed request."""
-    import uuid
-
-    from hearth.session import ensure_checkpoint_dir
-
+def _streamed_actuals(spark, sf):
+    """The events table, and its predictions with their first later actual, both
+    read as streams with watermarks on either side."""
     batch = table(spark, sf, "events")
     path = f"{sf.rstrip('/')}/events.parque[t]"  # a glob: the file source needs a pattern or a folder
     ev = spark.readStream.schema(batch.schema).parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
@@ -184,14 +177,52 @@ def stream_first_actuals(spark, sf):
         "request_id", "ts", "1 day")
     acts = ev.where(F.col("event_type") == "purchase").select(F.col("event_id").alias("actual_id"), "user_id", "ts",
                                                               F.col("value").alias("actual"))
+    return batch, preds, acts
+
+
+def _stream_folder(spark) -> str:
+    import uuid
+
+    from hearth.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/hearth-stream-{uuid.uuid4().hex}"
+
+
+@register("stream_actual_pairs", _STREAM_SQL)
+def stream_first_actuals(spark, sf):
+    """T1/T5 as Structured Streaming: the events table read as a stream, each
+    prediction joined to its first later actual with watermarks on both sides,
+    run to completion with ``availableNow`` into a parquet table in the shared
+    checkpoint folder, then read back; one row per closed request."""
+    batch, preds, acts = _streamed_actuals(spark, sf)
     first = M.stream_first_actuals(preds, acts, "user_id", "ts", "request_id", "actual_id", "actual", preds_have_watermark=True)
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/hearth-stream-{uuid.uuid4().hex}"
+    base = _stream_folder(spark)
     M.stream_to_table(first, f"{base}/out", f"{base}/state")
     close = batch.agg((F.max("ts") - F.expr(f"INTERVAL {CLOSED_DAYS} DAYS")).alias("t")).first()["t"]  # one value
     done = spark.read.schema(first.schema).parquet(f"{base}/out")
     return done.where(F.col("ts").cast("timestamp_ntz") < F.lit(close)).select("request_id", "actual_id", "actual")
 
 
+_STREAM_PERF_SQL = f"""
+WITH {_MATCH_SQL}, {_PERF_SQL}, last AS (SELECT max(ts) AS t FROM events)
+SELECT perf.* FROM perf, last WHERE CAST(window_start AS DATE) + INTERVAL 7 DAY <= last.t - INTERVAL {CLOSED_DAYS} DAY
+"""
+
+
+@register("stream_rolling_performance", _STREAM_PERF_SQL)
+def stream_rolling_performance(spark, sf):
+    """T4 as Structured Streaming over the streamed actuals of T5: day states
+    of distinct residuals, windows with exact medians written as they close."""
+    batch, preds, acts = _streamed_actuals(spark, sf)
+    pairs = M.stream_first_actuals(preds, acts, "user_id", "ts", "request_id", "actual_id", "actual", preds_have_watermark=True,
+                                   carry=["predicted"])
+    base = _stream_folder(spark)
+    M.stream_rolling_performance(pairs, "ts", base, f"{base}/state", 7, 1, delay=None).awaitTermination()
+    close = batch.agg((F.max("ts") - F.expr(f"INTERVAL {CLOSED_DAYS} DAYS")).alias("t")).first()["t"]  # one value
+    done = spark.read.parquet(f"{base}/windows").where((F.to_date("window_start") + F.expr("INTERVAL 7 DAYS")).cast("timestamp_ntz") <= F.lit(close))
+    return done.select("window_start", "n", *[round_sig(c).alias(c) for c in _PERF_COLS])
+
+
 # fixed values: predicted-value slices for the windowed error table
 PRED_EDGES = [0, 50, 100, 200, float("inf")]
 PRED_LABELS = ["<=50", "50-100", "100-200", "200+"]

@@ -10,13 +10,14 @@ same logic with watermarks so state stays bounded.
   no pairs), and the earliest actual of the following day comes from a
   partial aggregation.
 * ``rolling_performance`` (T4): sliding-window error metrics incl. exact
-  median residual; ``prediction_drift`` (T3); ``input_drift`` (T2, PSI over
+  median residual, streamed by ``stream_rolling_performance``; ``prediction_drift`` (T3); ``input_drift`` (T2, PSI over
   training deciles); ``retrain_triggers`` (T7).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,14 +125,18 @@ _PARTIALS = {
 }
 
 
+def _day_sums() -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), *[_units(v()).alias(k) for k, v in _PARTIALS.items()],
+            F.count_if(F.col("ape") <= 0.10).alias("n10"), F.count_if(F.col("ape") <= 0.20).alias("n20")]
+
+
 def day_partials(matched: DataFrame, ts: str, keys: Sequence[str] = ()) -> DataFrame:
     """Error sums per day, or per day and each slice key in turn (one aggregate
     over ``GROUPING SETS``): ``day``, ``slice_key``, ``level``, n, the sums and
     the rows within 10 and 20 percent.  A row with a NULL level is left out of
     that key's slices."""
     m = error_columns(matched.where(F.col("actual").isNotNull())).withColumn("day", F.to_date(ts))
-    aggs = [F.count(F.lit(1)).alias("n"), *[_units(v()).alias(k) for k, v in _PARTIALS.items()],
-            F.count_if(F.col("ape") <= 0.10).alias("n10"), F.count_if(F.col("ape") <= 0.20).alias("n20")]
+    aggs = _day_sums()
     if not keys:
         return m.groupBy("day").agg(*aggs).select("day", F.lit(None).cast("string").alias("slice_key"), F.lit(None).cast("string").alias("level"), "*")
     named = m.select("*", *[F.col(k).cast("string").alias(f"_k{i}") for i, k in enumerate(keys)])
@@ -162,16 +167,17 @@ def window_sums(partials: DataFrame, length_days: int, slide_days: int) -> DataF
     return rows.groupBy("window_start", "slice_key", "level").agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def window_medians(df: DataFrame, ts: str, value: str, length_days: int, slide_days: int, name: str) -> DataFrame:
+def window_medians(df: DataFrame, ts: str, value: str, length_days: int, slide_days: int, name: str, weight: str | None = None) -> DataFrame:
     """Exact median of ``value`` per sliding window without copying rows into
     windows: counts per day and cell of the value range, added up per window,
     tell in which cells a window's middle ranks lie; only the rows of these are
-    looked at again."""
-    m = df.where(F.col(value).isNotNull()).select(F.to_date(ts).alias("day"), F.col(value).cast("double").alias("_v"))
+    looked at again.  A row stands for ``weight`` equal ones."""
+    m = df.where(F.col(value).isNotNull()).select(
+        F.to_date(ts).alias("day"), F.col(value).cast("double").alias("_v"), (F.col(weight) if weight else F.lit(1)).cast("long").alias("_w"))
     ends = m.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi")).first()  # two numbers
     lo, width = ends["lo"] or 0.0, max((ends["hi"] or 0.0) - (ends["lo"] or 0.0), 1e-300) / _CELLS
     m = m.withColumn("_cell", F.least(F.floor((F.col("_v") - lo) / width), F.lit(_CELLS - 1)).cast("int"))
-    cells = in_windows(m.groupBy("day", "_cell").agg(F.count(F.lit(1)).alias("_c")), length_days, slide_days)
+    cells = in_windows(m.groupBy("day", "_cell").agg(F.sum("_w").alias("_c")), length_days, slide_days)
     cells = cells.groupBy("window_start", "_cell").agg(F.sum("_c").alias("_c"))
     line = Window.partitionBy("window_start")  # at most _CELLS rows
     cells = cells.withColumn("_n", F.sum("_c").over(line)).withColumn(
@@ -183,7 +189,7 @@ def window_medians(df: DataFrame, ts: str, value: str, length_days: int, slide_d
     start = F.to_date("window_start")
     days = F.explode(F.sequence(start, F.date_add(start, length_days - 1)))
     asked = wanted.withColumn("day", days)
-    values = m.join(asked, ["day", "_cell"]).groupBy("window_start", "_cell", "_before", "_low", "_high", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    values = m.join(asked, ["day", "_cell"]).groupBy("window_start", "_cell", "_before", "_low", "_high", "_v").agg(F.sum("_w").alias("_c"))
     run = Window.partitionBy("window_start", "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     values = values.withColumn("_upto", F.col("_before") + F.sum("_c").over(run))
     at = lambda rank: F.max(F.when((F.col(rank) >= F.col("_upto") - F.col("_c")) & (F.col(rank) < F.col("_upto")), F.col("_v")))
@@ -191,15 +197,20 @@ def window_medians(df: DataFrame, ts: str, value: str, length_days: int, slide_d
     return both.select("window_start", (F.col("_a") + (F.col("_b") - F.col("_a")) * 0.5).alias(name))
 
 
+def _performance(partials: DataFrame, medians: DataFrame, length_days: int, slide_days: int) -> DataFrame:
+    agg = window_sums(partials, length_days, slide_days).select(
+        "window_start", "n", F.sqrt(_mean("s_square")).alias("rmse"), _mean("s_abs").alias("mae"), _mean("s_ape").alias("mape"),
+        (F.col("n10") / F.col("n")).alias("within_10_pct"), _mean("s_residual").alias("residual_mean"))
+    return agg.join(medians, "window_start", "left")
+
+
 def rolling_performance(matched: DataFrame, ts: str, length_days: int = 7, slide_days: int = 1) -> DataFrame:
     """T4 over predictions that have an actual: n, rmse, mae, mape,
     within_10_pct, residual_mean and exact residual_median per window, from
     sums per day."""
-    agg = window_sums(day_partials(matched, ts), length_days, slide_days).select(
-        "window_start", "n", F.sqrt(_mean("s_square")).alias("rmse"), _mean("s_abs").alias("mae"), _mean("s_ape").alias("mape"),
-        (F.col("n10") / F.col("n")).alias("within_10_pct"), _mean("s_residual").alias("residual_mean"))
     m = error_columns(matched.where(F.col("actual").isNotNull()))
-    return agg.join(window_medians(m, ts, "residual", length_days, slide_days, "residual_median"), "window_start", "left")
+    medians = window_medians(m, ts, "residual", length_days, slide_days, "residual_median")
+    return _performance(day_partials(matched, ts), medians, length_days, slide_days)
 
 
 def training_profile(df: DataFrame, value: str, probs: Sequence[float] = (0.01, 0.99)) -> dict:
@@ -332,7 +343,7 @@ def dedupe_requests(stream: DataFrame, key: str, ts: str, delay: str = "1 hour")
 
 
 def stream_first_actuals(preds: DataFrame, actuals: DataFrame, subject: str, ts: str, pid: str, aid: str, value: str,
-                         delay: str = "1 day", preds_have_watermark: bool = False) -> DataFrame:
+                         delay: str = "1 day", preds_have_watermark: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """T5 streaming: one row per request - (pid, ts, actual_id, actual,
     actual_ts) of the first actual of its subject after it, within a day, NULLs
     when there is none; ties on time go to the smaller actual id.
@@ -342,23 +353,25 @@ def stream_first_actuals(preds: DataFrame, actuals: DataFrame, subject: str, ts:
     so a request comes out once, when no earlier actual can still arrive, and
     requests of the last day or so stay in state until the stream moves on.
     Pass ``preds_have_watermark`` when the prediction stream already declares
-    one (e.g. after ``dedupe_requests``)."""
+    one (e.g. after ``dedupe_requests``); columns of the request named in ``carry``
+    come with it."""
     p = (preds if preds_have_watermark else preds.withWatermark(ts, delay)).alias("p")
     a = actuals.withWatermark(ts, delay).alias("a")
     cond = (F.col(f"p.{subject}") == F.col(f"a.{subject}")) & (F.col(f"a.{ts}") > F.col(f"p.{ts}")) & \
         (F.col(f"a.{ts}") <= F.col(f"p.{ts}") + F.expr("INTERVAL 1 DAY"))
     joined = p.join(a, cond, "leftOuter").select(
-        F.col(f"p.{pid}").alias(pid), F.col(f"p.{ts}").alias(ts), F.col(f"a.{aid}").alias("_id"),
+        F.col(f"p.{pid}").alias(pid), F.col(f"p.{ts}").alias(ts), *[F.col(f"p.{c}").alias(c) for c in carry], F.col(f"a.{aid}").alias("_id"),
         F.col(f"a.{value}").alias("_v"), F.col(f"a.{ts}").alias("_t"))
     first = F.min(F.when(F.col("_id").isNotNull(), F.struct(F.col("_t").cast("timestamp_ntz").alias("t"), F.col("_id").alias("id"), F.col("_v").alias("v"))))
-    return joined.groupBy(pid, ts).agg(first.alias("_f")).select(
-        pid, ts, F.col("_f.id").alias("actual_id"), F.col("_f.v").alias("actual"), F.col("_f.t").alias("actual_ts"))
+    return joined.groupBy(pid, ts, *carry).agg(first.alias("_f")).select(
+        pid, ts, *carry, F.col("_f.id").alias("actual_id"), F.col("_f.v").alias("actual"), F.col("_f.t").alias("actual_ts"))
 
 
 def stream_rolling_metrics(matched: DataFrame, ts: str, length: str = "7 days", slide: str = "1 day",
                            delay: str = "1 day") -> DataFrame:
     """T4 streaming: sliding-window metrics in append mode (median residual via
-    the mergeable ``percentile_approx`` sketch, the exact one is batch-only)."""
+    the mergeable ``percentile_approx`` sketch; ``stream_rolling_performance``
+    has the exact one)."""
     m = error_columns(matched)
     return m.withWatermark(ts, delay).groupBy(F.window(ts, length, slide)).agg(
         F.count(F.lit(1)).alias("n"),
@@ -371,6 +384,56 @@ def stream_rolling_metrics(matched: DataFrame, ts: str, length: str = "7 days",
     )
 
 
+def stream_day_values(matched: DataFrame, ts: str, delay: str | None = "1 day") -> DataFrame:
+    """T4 streaming state: one row per (day, distinct residual) with its error
+    sums, appended once the watermark closes the day and then dropped from
+    state.  A row is in state once, not once per window, and no state row grows
+    with the data.  Without ``delay`` the stream has a watermark on ``ts``
+    already."""
+    m = error_columns(matched.where(F.col("actual").isNotNull()))
+    days = (m.withWatermark(ts, delay) if delay else m).groupBy(F.window(ts, "1 day"), "residual").agg(*_day_sums())
+    return days.select(F.to_date("window.start").alias("day"), *[c for c in days.columns if c != "window"])
+
+
+def closed_windows(days: DataFrame, before: date | None, upto: date, length_days: int, slide_days: int) -> DataFrame:
+    """Rolling performance, exact median included, of the windows whose last
+    day is after ``before`` (None: from the start) and not after ``upto``, from
+    rows of ``stream_day_values``."""
+    if before is not None:
+        days = days.where(F.col("day") > F.lit(before - timedelta(days=length_days - 1)))
+    sums = [*_PARTIALS, "n", "n10", "n20"]
+    none = F.lit(None).cast("string")
+    partials = days.groupBy("day").agg(*[F.sum(c).alias(c) for c in sums]).select("*", none.alias("slice_key"), none.alias("level"))
+    medians = window_medians(days, "day", "residual", length_days, slide_days, "residual_median", weight="n")
+    last = F.date_add(F.to_date("window_start"), length_days - 1)
+    closed = (last <= F.lit(upto)) if before is None else (last <= F.lit(upto)) & (last > F.lit(before))
+    return _performance(partials, medians, length_days, slide_days).where(closed)
+
+
+def stream_rolling_performance(matched: DataFrame, ts: str, path: str, checkpoint: str, length_days: int = 7, slide_days: int = 1,
+                               delay: str | None = "1 day"):
+    """T4 streaming with exact medians: the started query.
+
+    Closed days go to ``path/days``, and the windows that they complete to
+    ``path/windows``, one folder per epoch that a retry overwrites.  Days close
+    in order, so an epoch's windows end after the last day of the epochs before
+    it.  A row later than ``delay`` counts in no window, and a window whose last
+    days are empty comes with the next day that has rows."""
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{path}/days/epoch={epoch}")
+        every = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("epoch", T.LongType())])).parquet(f"{path}/days")
+        every = every.where(F.col("epoch") <= epoch)
+        ends = every.agg(F.max(F.when(F.col("epoch") < epoch, F.col("day"))).alias("before"), F.max("day").alias("upto")).first()
+        if ends["upto"] is not None and ends["upto"] != ends["before"]:
+            rows = closed_windows(every.drop("epoch"), ends["before"], ends["upto"], length_days, slide_days)
+            rows.write.mode("overwrite").parquet(f"{path}/windows/epoch={epoch}")
+
+    return stream_day_values(matched, ts, delay).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint) \
+        .outputMode("append").trigger(availableNow=True).start()
+
+
 def windowed_error_slices(matched: DataFrame, ts: str, key: str, length_days: int = 7, slide_days: int = 1) -> DataFrame:
     """Error summary per (window, slice key) - A29 keyed by time window."""
     out = windowed_error_slices_by(matched, ts, [key], length_days, slide_days)

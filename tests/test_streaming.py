@@ -174,3 +174,33 @@ def test_drift_of_many_columns_equals_one_at_a_time(spark):
     for r in M.level_drift(log, train, "ts", "t").collect():
         assert got.pop((r.day, "t")) == pytest.approx(r.psi, abs=1e-12)
     assert not got
+
+
+@pytest.mark.parametrize("length, slide", [(7, 1), (3, 2)])
+def test_streamed_performance_equals_batch_over_many_epochs(spark, length, slide):
+    """Exact medians included; one file of a few days per epoch, two days empty,
+    one hot residual; a retry of the last epoch writes the same rows."""
+    import random
+    from datetime import date, datetime, timedelta
+
+    rnd = random.Random(5)
+    base, d = datetime(2024, 3, 1), tempfile.mkdtemp(prefix="hearth-epochs-")
+    schema = "ts timestamp, actual double, predicted double"
+    rows = []
+    for part in range(8):
+        some = [(base + timedelta(days=3 * part, minutes=rnd.randrange(3 * 1440)), rnd.choice([100.0, 50 + rnd.random() * 100, None]), float(rnd.randint(90, 110))) for _ in range(60)]
+        some = [r for r in some if r[0].day not in (9, 10)]
+        rows += some
+        spark.createDataFrame(some, schema).coalesce(1).write.mode("append").parquet(f"{d}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/in")
+    M.stream_rolling_performance(stream, "ts", f"{d}/out", f"{d}/state", length, slide, delay="0 seconds").awaitTermination(300)
+    got = spark.read.parquet(f"{d}/out/windows")
+    assert got.select("epoch").distinct().count() > 2
+    seen = {r.window_start: r for r in got.collect()}
+    assert len(seen) == got.count()
+    batch = {r.window_start: r for r in M.rolling_performance(spark.createDataFrame(rows, schema), "ts", length, slide).collect()}
+    closed = spark.read.parquet(f"{d}/out/days").agg(F.max("day")).first()[0]
+    want = {w for w in batch if date.fromisoformat(w) + timedelta(days=length - 1) <= closed}
+    assert set(seen) == want and len(want) > 5
+    for w in want:
+        assert all(seen[w][c] == batch[w][c] for c in batch[w].asDict()), w
