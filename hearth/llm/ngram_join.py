@@ -1,8 +1,9 @@
 """N-gram Jaccard join of documents: 5-word shingle sets, Jaccard >= 0.8.
 
 Candidates come from the prefixes under the rare-first order and must also
-share prefix tokens under two further, independent global orders before the
-whole sets are compared.  See ``setjoin`` for how buckets are kept linear.
+share prefix tokens under two further, independent global orders; the prefixes
+are kept with each set, so the filters are intersected before a whole set is
+read.  See ``setjoin`` for how buckets are kept linear.
 
 Null, empty and word-less texts have no set and link with nothing; a text of
 fewer than five words is one shingle.  Copies share a set.  Rows that repeat id
@@ -26,14 +27,14 @@ def links(join: SetJoin) -> DataFrame:
     """Links between different sets, enough for every component: a bucket's
     members that are already connected are not compared again, all others are."""
     tried = saved(join.proposals(), "tried")
-    first = join.verified(tried, FURTHER_ORDERS)
+    first = join.verified(tried)
     comp = components(first).withColumnRenamed("id", "set")
     marked = join.live.select("k", "set", "np").join(comp, "set", "left").select("k", "set", "np", F.coalesce("comp", "set").alias("comp"))
     marked = saved(marked, "marked")
     mixed = marked.groupBy("k").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("k")
     open_rows = marked.join(mixed, "k", "left_semi")
     pairs = join.rest(open_rows, (F.col("x.set") < F.col("y.set")) & (F.col("x.comp") != F.col("y.comp")))
-    more = join.verified(pairs.join(tried, ["a", "b"], "left_anti"), FURTHER_ORDERS)
+    more = join.verified(pairs.join(tried, ["a", "b"], "left_anti"))
     return first.unionByName(more)
 
 
@@ -44,7 +45,7 @@ def linked(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> Data
 
 
 def _linked(docs: DataFrame, key: str, text_col: str) -> DataFrame:
-    join = SetJoin(addressed(docs.select(*dict.fromkeys([key, text_col])), key, text_col), key, text_col, by_line=False)
+    join = SetJoin(addressed(docs.select(*dict.fromkeys([key, text_col])), key, text_col), key, text_col, by_line=False, orders=FURTHER_ORDERS)
     comp = components(links(join)).withColumnRenamed("id", "set")
     rows = join.sets.select("id", ADDRESS, F.col("n").alias("n_shingles"), "set")
     full = rows.where("n_shingles > 0")

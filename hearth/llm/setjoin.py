@@ -9,9 +9,10 @@ of their prefixes.  The join never lists the pairs of a bucket:
 1. each bucket (token) proposes its members against one of them: that with
    the fewest rarer tokens, the likeliest to be what the others are copies of;
    very frequent tokens are salted, and their salts meet in a second level;
-2. proposals that pass the length, positional and bit-mark filters are
-   verified on the whole sets, which are read again from the texts for the members of such
-   pairs only (a bitmap of fixed size selects them);
+2. proposals that pass the length, positional and bit-mark filters and share
+   prefix tokens under every further global order asked for are verified on the
+   whole sets, which are read again from the texts for the members of such pairs
+   only (a bitmap of fixed size selects them);
 3. the caller narrows what is left, and ``rest`` lists the remaining pairs of
    a bucket that pass the same filters.
 
@@ -117,8 +118,10 @@ class SetJoin:
     key: str
     text_col: str
     by_line: bool
+    orders: int = 0  # further global orders under which a pair must share prefix tokens
 
     def __post_init__(self):
+        self.prefixes = [f"p{i}" for i in range(self.orders)]
         self.width = 4 if self.by_line else 8  # 64-bit words of a set's bit marks; a power of two
         self.marks = [f"w{i}" for i in range(self.width)]
         self.text = self.docs.select(F.col(f"`{self.text_col}`").alias("t"))
@@ -137,8 +140,8 @@ class SetJoin:
         shared = self.docs.sparkSession.sparkContext.broadcast(counts)
         rows = self.docs.select(F.col(f"`{self.key}`").cast("long").alias("id"), ADDRESS, F.col(f"`{self.text_col}`").alias("t"))
         hot = pa.struct([("k", pa.int64()), ("s", pa.int32())])
-        width = self.width
-        names = ["id", ADDRESS, "unit", "n", "set", *self.marks, "light", "hot"]
+        width, orders = self.width, self.orders
+        names = ["id", ADDRESS, "unit", "n", "set", *self.marks, *self.prefixes, "light", "hot"]
 
         def run(batches):
             cell_counts, seen = shared.value, set()
@@ -159,6 +162,7 @@ class SetJoin:
                         else:
                             seen.add(s)
                     marks = bit_marks(t, off, width).T.copy()
+                    further = [pa.array(further_prefixes(t, off, o, fresh), pa.binary()) for o in range(orders)]
                     take = (pos < prefix_size(n)[u]) & fresh[u]
                     pick, pos, owner = order[take], pos[take], u[take]
                     is_hot = cell[pick] > limit
@@ -170,11 +174,11 @@ class SetJoin:
                         lists.append(pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), values.filter(pa.array(part))))
                     where = pa.array(row)
                     out = pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(where), batch.column(1).take(where), pa.array(number), pa.array(n), pa.array(ids), *map(pa.array, marks), *lists], names=names
+                        [batch.column(0).take(where), batch.column(1).take(where), pa.array(number), pa.array(n), pa.array(ids), *map(pa.array, marks), *further, *lists], names=names
                     )
                     yield out.filter(pa.array(n > 0)) if by_line else out
 
-        marked = "".join(f"{m} long, " for m in self.marks)
+        marked = "".join(f"{m} long, " for m in self.marks) + "".join(f"{p} binary, " for p in self.prefixes)
         schema = f"id long, {ADDRESS} long, unit long, n long, set long, {marked}light array<long>, hot array<struct<k:long,s:int>>"
         return saved(rows.mapInArrow(run, schema), "sets")
 
@@ -216,9 +220,9 @@ class SetJoin:
                 at = b.column(0).to_numpy(zero_copy_only=False) & (BITMAP_BITS - 1)
                 yield b.filter(pa.array(((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)))
 
-        fresh = self.sets.where(F.size("light") + F.size("hot") > 0).select("set", "n", *self.marks, ADDRESS, "unit")
+        fresh = self.sets.where(F.size("light") + F.size("hot") > 0).select("set", "n", *self.marks, *self.prefixes, ADDRESS, "unit")
         rows = fresh.mapInArrow(pick, fresh.schema)
-        one = [F.max(c).alias(c) for c in ("n", *self.marks)]  # equal in all rows of a set
+        one = [F.max(c).alias(c) for c in ("n", *self.marks, *self.prefixes)]  # equal in all rows of a set
         return saved(rows.groupBy("set").agg(*one, F.min(F.struct(ADDRESS, "unit")).alias("u")), "known")
 
     def _sets_of(self, ids: DataFrame) -> DataFrame:
@@ -265,10 +269,25 @@ class SetJoin:
         both = marked.alias("x").join(marked.alias("y"), (F.col("x.k") == F.col("y.k")) & condition & passes("x.np", "y.np") & close)
         return _ordered(both.select(F.col("x.set").alias("a"), F.col("y.set").alias("b")))
 
-    def verified(self, pairs: DataFrame, orders: int = 0) -> DataFrame:
-        """The pairs with Jaccard >= 4/5, on whole sets.  With ``orders``, a
-        pair must first share prefix tokens under that many further orders."""
-        pairs = saved(pairs, "pairs")
+    def sharing(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that share a prefix token under every further order, told
+        by the prefixes in ``known``: no whole set is read for the others."""
+        side = lambda key, to: self.known.select(F.col("set").alias(key), *[F.col(p).alias(f"{to}{p}") for p in self.prefixes])
+        both = pairs.join(side("b", "y"), "b").join(side("a", "x"), "a").select("a", "b", *[f"{to}{p}" for to in "xy" for p in self.prefixes])
+        orders = self.orders
+
+        def run(batches):
+            for batch in batches:
+                cols = [[np.frombuffer(v.as_buffer(), np.uint32) for v in batch.column(2 + i)] for i in range(2 * orders)]
+                good = [all(_common(cols[o][i], cols[orders + o][i]) for o in range(orders)) for i in range(batch.num_rows)]
+                yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+        return both.mapInArrow(run, "a long, b long")
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs with Jaccard >= 4/5, on whole sets.  Pairs that share no
+        prefix token under one of the further orders are left out before."""
+        pairs = saved(self.sharing(pairs) if self.orders else pairs, "pairs")
         m = self._sets_of(pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct())
         both = (
             pairs.join(m.select(F.col("set").alias("b"), F.col("tokens").alias("tb")), "b")
@@ -281,9 +300,8 @@ class SetJoin:
                 good = []
                 for a, x, y in zip(batch.column("a").to_pylist(), batch.column("ta"), batch.column("tb"), strict=True):
                     if hub is None or hub[0] != a:
-                        tokens = np.frombuffer(x.as_buffer(), np.uint64)
-                        hub = (a, tokens, [_prefix(tokens, o) for o in range(orders)])
-                    good.append(similar(hub[1], np.frombuffer(y.as_buffer(), np.uint64), hub[2]))
+                        hub = (a, np.frombuffer(x.as_buffer(), np.uint64))
+                    good.append(similar(hub[1], np.frombuffer(y.as_buffer(), np.uint64)))
                 yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
         return saved(both.mapInArrow(run, "a long, b long").distinct(), "links")
@@ -310,11 +328,15 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _prefix(tokens: np.ndarray, order: int) -> np.ndarray:
-    """The prefix under another global order: its smallest hashes, sorted."""
-    p = int(prefix_size(np.array(len(tokens))))
-    h = tk.mix(tokens, 100 + order)
-    return np.sort(np.partition(h, p - 1)[:p]) if p else h
+def further_prefixes(tokens: np.ndarray, off: np.ndarray, order: int, wanted: np.ndarray) -> list[bytes]:
+    """Per unit its prefix under another global order, its smallest hashes,
+    sorted, 32 bits each; empty where not ``wanted``.  Cutting the hashes to 32
+    bits keeps their order, so it loses no shared token."""
+    sizes = prefix_size(np.diff(off))
+    h, out = tk.mix(tokens, 100 + order), []
+    for a, b, p, w in zip(off[:-1].tolist(), off[1:].tolist(), sizes.tolist(), wanted.tolist(), strict=True):
+        out.append(np.unique((np.partition(h[a:b], p - 1)[:p] >> np.uint64(32)).astype(np.uint32)).tobytes() if p and w else b"")
+    return out
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:
@@ -326,13 +348,9 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum()) if len(y) else 0
 
 
-def similar(x: np.ndarray, y: np.ndarray, prefixes: list[np.ndarray] = ()) -> bool:
-    """Jaccard >= 4/5 of two sorted token arrays, after the length filter and,
-    for each further order, a shared prefix token."""
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Jaccard >= 4/5 of two sorted token arrays, after the length filter."""
     if 5 * min(len(x), len(y)) < 4 * max(len(x), len(y)):
         return False
-    for order, px in enumerate(prefixes):
-        if not _common(px, _prefix(y, order)):
-            return False
     both = _common(x, y)
     return 100 * both >= 80 * (len(x) + len(y) - both)

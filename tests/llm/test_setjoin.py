@@ -92,6 +92,40 @@ def test_op6_equals_brute_force(spark, docs_rows):
     assert got == sorted(brute.joined(docs_rows))
 
 
+def test_further_orders_filter_pairs_before_sets_are_read(spark, monkeypatch):
+    """Of all star pairs of the buckets, those without a shared prefix token
+    under a further order go before the sets are read; no link is among them."""
+    rnd = random.Random(8)
+    part = lambda n: [rnd.choice(WORDS) for _ in range(n)]
+    long, short = [part(40) for _ in range(12)], [part(10) for _ in range(30)]  # short parts are the rarer ones
+    rows = [(i, " ".join(sum(rnd.sample(long, 2), []) + short[i // 2])) for i in range(60)]
+    rows += [(60 + i, t + (" more" if i % 2 else "")) for i, (_, t) in enumerate(rows[:20])]
+    docs = make_docs(spark, rows)
+    join = setjoin.SetJoin(setjoin.addressed(docs, "doc_id", "text"), "doc_id", "text", by_line=False, orders=2)
+    stars = setjoin._ordered(join.live.select(join.live.rep.alias("a"), join.live.set.alias("b")))
+    before = {(r.a, r.b) for r in stars.collect()}
+    after = {(r.a, r.b) for r in join.sharing(stars).collect()}
+    read = []
+    whole = setjoin.SetJoin._sets_of
+    monkeypatch.setattr(setjoin.SetJoin, "_sets_of", lambda self, ids: read.append({r.set for r in ids.collect()}) or whole(self, ids))
+    links = {(r.a, r.b) for r in join.verified(stars).collect()}
+    print("pairs", len(before), "with shared prefixes", len(after), "links", len(links))
+    assert links and links <= after < before
+    assert read == [{s for pair in after for s in pair}]
+
+
+def test_prefixes_of_further_orders_share_a_token_at_the_threshold():
+    rnd = np.random.default_rng(3)
+    for n in (1, 4, 5, 9, 10, 46, 200):
+        x = np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64))
+        cut = len(x) // 9  # replace as many as keeps the Jaccard similarity at 0.8 or more
+        y = np.unique(np.r_[x[cut:], rnd.integers(0, 1 << 63, cut, dtype=np.uint64)])
+        for order in range(4):
+            px, py = (np.frombuffer(setjoin.further_prefixes(v, np.array([0, len(v)]), order, np.array([True]))[0], np.uint32) for v in (x, y))
+            assert setjoin.similar(x, y) and setjoin._common(px, py)
+    assert setjoin.further_prefixes(x, np.array([0, 0, len(x)]), 0, np.array([True, False])) == [b"", b""]
+
+
 def test_op3_equals_brute_force(spark, docs_rows):
     expect = {docs_rows[r][0]: x for r, x in brute.removed_lines(docs_rows).items()}
     got = {r.doc_id: [int(x) for x in r.removed_lines.split(",") if x] for r in QUERIES["op3_line_dedup"](spark, SF).collect()}
