@@ -471,34 +471,68 @@ def qq_fit(points: DataFrame) -> DataFrame:
 
 # ---- A34: the EDA digest ----------------------------------------------------------
 
-def eda_digest(df: DataFrame, target: str, absent_columns: Sequence[str], scan_columns: Sequence[str],
-               corr_features: Sequence[str], group: str, leverage: Column, min_flags: int = 3,
-               top_k: int = 5) -> dict:
-    """The summary document of the EDA step, assembled from small aggregates
-    (each entry is bounded by the number of columns or groups, never rows)."""
-    shape = shape_stats(df, [target]).collect()[0]
-    tq = exact_quantiles(df, target, [0.5], names=["median"]).collect()[0]
-    mom = df.agg(F.min(target).alias("mn"), F.max(target).alias("mx"), F.avg(target).alias("mean")).collect()[0]
-    miss = missing_report(df, absent_columns).collect()
+def eda_digest_rows(df: DataFrame, target: str, absent_columns: Sequence[str], scan_columns: Sequence[str],
+                    corr_features: Sequence[str], group: str, leverage: Column, min_flags: int = 3,
+                    top_k: int = 5, threshold: float = 0.70) -> DataFrame:
+    """The summary of the EDA step as ``(section, metric, position, value)``;
+    ``position`` counts from 1 in the sections that are ranked, ties by metric.
+
+    Moments, missing counts and outlier counts of all columns are one aggregate,
+    all correlations one pass; quartiles, the target's median and the medians
+    per group are one quantile job each.  An empty table has null moments and
+    no ranked rows but the counts of 0."""
     bounds = fit_outlier_bounds(df, scan_columns)
-    cands = outlier_candidates(df, scan_columns, leverage, min_flags, bounds=bounds)
-    corr = target_correlation(df, target, corr_features).collect()
-    pairs = collinear_pairs(df, corr_features).collect()
+    x = F.col(target).cast("double")
+    logged = F.when(x > -1, F.log1p(x))
+    share = lambda c: F.bround(F.try_divide(F.count_if(F.col(c).isNull()), F.count(F.lit(1))) * 100, 2)
+    gaps = lambda cols: sum(((F.count_if(F.col(c).isNull()) > 0).cast("int") for c in cols), F.lit(0))
+    flags = sum((iqr_flag(bounds, c) for c in scan_columns), F.lit(0))
+    candidate = F.coalesce(leverage, F.lit(False)) | (flags >= min_flags)
+    none = F.lit(None)
+    cells = [
+        ("target", "min", none, F.min(x)), ("target", "max", none, F.max(x)), ("target", "mean", none, F.avg(x)),
+        ("target", "skew_raw", none, sample_skewness(x)), ("target", "skew_log", none, sample_skewness(logged)),
+        ("target", "kurtosis_raw", none, sample_excess_kurtosis(x)),
+        ("missing", "n_cols_with_missing", none, gaps(df.columns)),
+        ("missing", "n_genuine", none, gaps(c for c in df.columns if c not in set(absent_columns))),
+        ("outliers", "n_candidates", none, F.count_if(candidate)),
+        *[("missing_columns", c, F.count_if(F.col(c).isNull()), share(c)) for c in df.columns],
+        *[("outlier_features", c, F.coalesce(F.sum(iqr_flag(bounds, c)), F.lit(0)), F.coalesce(F.sum(iqr_flag(bounds, c)), F.lit(0))) for c in scan_columns],
+    ]
+    one = df.agg(*[k.cast("double").alias(f"k{i}") for i, (_, _, k, _) in enumerate(cells)], *[v.cast("double").alias(f"v{i}") for i, (*_, v) in enumerate(cells)])
+    named = [F.struct(F.lit(s).alias("section"), F.lit(m).alias("metric"), F.col(f"k{i}").alias("_key"), F.col(f"v{i}").alias("value"))
+             for i, (s, m, _, _) in enumerate(cells)]
+    rows = one.select(F.explode(F.array(*named)).alias("_r")).select("_r.*").where("section <> 'missing_columns' OR _key > 0")
+
+    r = pairwise_correlation(df, [target, *corr_features])
+    small = []
+    for i, a in enumerate(corr_features):
+        c = r[0, i + 1]
+        small.append(("correlation", a, -1.0, None) if np.isnan(c) else ("correlation", a, round(abs(float(c)), 6), round(float(c), 6)))
+        for j in range(i + 1, len(corr_features)):
+            c = abs(float(r[i + 1, j + 1]))
+            if c >= threshold:
+                small.append(("collinear", f"{a}|{corr_features[j]}", round(c, 3), round(c, 3)))
+    rows = rows.unionByName(df.sparkSession.createDataFrame(small, rows.schema))
+
+    middle = exact_quantiles(df, target, [0.5], names=["value"])
+    rows = rows.unionByName(middle.select(F.lit("target").alias("section"), F.lit("median").alias("metric"), none.cast("double").alias("_key"), "value"))
     med = group_medians(df, target, [group], name="median")
-    tb = top_bottom_groups(med, "median", group, top_k).collect()  # 2k rows
-    ext = med.agg(F.max("median").alias("hi"), F.min("median").alias("lo")).collect()[0]
-    ratio = ext["hi"] / ext["lo"] if ext["lo"] else None
-    return {
-        "target": {"min": mom["mn"], "max": mom["mx"], "mean": mom["mean"], "median": tq["median"],
-                   "skew_raw": shape["skew"], "skew_log": shape["skew_log1p"], "kurtosis_raw": shape["kurtosis"]},
-        "missing": {"n_cols_with_missing": len(miss),
-                    "n_genuine": sum(1 for r in miss if r["column"] not in set(absent_columns)),
-                    "top": [r.asDict() for r in miss[:8]]},
-        "outliers": {"n_candidates": cands.count(),
-                     "per_feature": [r.asDict() for r in outlier_summary(df, scan_columns, bounds).collect()]},
-        "top_corr": {r["feature"]: r["corr_with_target"] for r in corr[:15]},
-        "collinear_pairs": [r.asDict() for r in pairs],
-        "groups": {"top": {r[group]: r["median"] for r in tb if r["side"] == "top"},
-                   "bottom": {r[group]: r["median"] for r in tb if r["side"] == "bottom"},
-                   "ratio_max_min": ratio},
-    }
+    ends = top_bottom_groups(med, "median", group, top_k)
+    rows = rows.unionByName(ends.select(
+        F.concat(F.lit("groups_"), "side").alias("section"), F.col(group).cast("string").alias("metric"),
+        F.when(F.col("side") == "top", F.col("median")).otherwise(-F.col("median")).alias("_key"), F.col("median").alias("value")))
+    low = F.min("median")
+    rows = rows.unionByName(med.agg(F.when(low != 0, F.max("median") / low).alias("value")).select(
+        F.lit("groups").alias("section"), F.lit("ratio_max_min").alias("metric"), none.cast("double").alias("_key"), "value"))
+    place = F.row_number().over(Window.partitionBy("section").orderBy(F.desc("_key"), "metric"))  # rows per column or group end
+    return rows.select("section", "metric", F.when(F.col("_key").isNotNull(), place).alias("position"), "value")
+
+
+def eda_digest(df: DataFrame, *args, **kwargs) -> dict:
+    """``eda_digest_rows`` as a document ``{section: {metric: value}}``, ranked
+    sections in their order (bounded by the number of columns, never rows)."""
+    out: dict = {}
+    for r in eda_digest_rows(df, *args, **kwargs).orderBy("section", "position", "metric").collect():
+        out.setdefault(r["section"], {})[r["metric"]] = r["value"]
+    return out

@@ -448,3 +448,54 @@ def supplementary_correlations(spark, sf):
     """A30."""
     r = P.supplementary_correlations(table(spark, sf, "lineitem"), "l_extendedprice", _SUPPLEMENTARY)
     return r.select("feature", F.round("corr", 9).alias("corr"), F.round("corr_log", 9).alias("corr_log"))
+
+
+# ---- A34 the digest ---------------------------------------------------------------
+
+_DIGEST_COLS = ["sale_price", "gr_liv_area", "lot_area", "lot_frontage", "list_price", "distance_proxy", "overall_qual",
+                "garage_area", "garage_type", "l_discount", "l_tax", "neighborhood"]
+_DIGEST_ABSENT = ["garage_area", "garage_type"]
+_DIGEST_CORR = ["gr_liv_area", "lot_area", "lot_frontage", "list_price", "distance_proxy", "overall_qual", "garage_area", "l_discount", "l_tax"]
+
+
+def _digest_sql() -> str:
+    log = "CASE WHEN sale_price > -1 THEN ln(1 + sale_price) END"
+    target = {"min": "min(sale_price)", "max": "max(sale_price)", "mean": "avg(sale_price)", "median": "median(sale_price)",
+              "skew_raw": "skewness(sale_price)", "skew_log": f"skewness({log})", "kurtosis_raw": "kurtosis(sale_price)"}
+    genuine = ", ".join(f"'{c}'" for c in _DIGEST_ABSENT)
+    parts = [f"SELECT 'target' AS section, '{m}' AS metric, CAST(NULL AS DOUBLE) AS key, CAST({x} AS DOUBLE) AS value FROM s" for m, x in target.items()]
+    parts += [
+        "SELECT 'missing', 'n_cols_with_missing', NULL, count(*) FROM m WHERE n > 0",
+        f"SELECT 'missing', 'n_genuine', NULL, count(*) FROM m WHERE n > 0 AND c NOT IN ({genuine})",
+        "SELECT 'missing_columns', c, n, round_even(n * 100.0 / (SELECT count(*) FROM s), 2) FROM m WHERE n > 0",
+        f"SELECT 'outliers', 'n_candidates', NULL, count(*) FROM s WHERE coalesce({_LEV}, false) OR {_FLAG_COUNT_SQL} >= 3",
+        *[f"SELECT 'outlier_features', '{c}', sum({_flag_sql(c)}), sum({_flag_sql(c)}) FROM s" for c in SCAN_COLS],
+        "SELECT 'correlation', c, coalesce(abs(round(r, 6)), -1), round(r, 6) FROM r",
+        "SELECT 'collinear', c, round(abs(r), 3), round(abs(r), 3) FROM p WHERE abs(r) >= 0.70",
+        "(SELECT 'groups_top', neighborhood, v, v FROM g ORDER BY v DESC, neighborhood LIMIT 5)",
+        "(SELECT 'groups_bottom', neighborhood, -v, v FROM g ORDER BY v, neighborhood LIMIT 5)",
+        "SELECT 'groups', 'ratio_max_min', NULL, max(v) / min(v) FROM g",
+    ]
+    pairs = [(a, b) for i, a in enumerate(_DIGEST_CORR) for b in _DIGEST_CORR[i + 1:]]
+    return f"""
+WITH s AS ({V.sales_sql(neighborhood=True, part=True)}),
+b AS ({_bounds_sql()}),
+m AS ({' UNION ALL '.join(f"SELECT '{c}' AS c, count(*) - count({c}) AS n FROM s" for c in _DIGEST_COLS)}),
+r AS ({' UNION ALL '.join(f"SELECT '{c}' AS c, {_corr_sql('sale_price', c)} AS r FROM s" for c in _DIGEST_CORR)}),
+p AS ({' UNION ALL '.join(f"SELECT '{a}|{b}' AS c, {_corr_sql(a, b)} AS r FROM s" for a, b in pairs)}),
+g AS (SELECT neighborhood, median(sale_price) AS v FROM s WHERE neighborhood IS NOT NULL GROUP BY 1),
+u AS ({' UNION ALL '.join(parts)})
+SELECT section, metric, CAST(CASE WHEN key IS NOT NULL THEN row_number() OVER (PARTITION BY section ORDER BY key DESC NULLS LAST, metric) END AS INTEGER) AS position,
+  {sql_sig('value', 6)} AS value FROM u"""
+
+
+@register("eda_digest", _digest_sql())
+def eda_digest(spark, sf):
+    """The whole EDA summary as ranked rows."""
+    from hearth.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    s = _scan_frame(spark, sf).select(*_DIGEST_COLS).checkpoint()  # the passes reread it instead of redoing the joins
+    lev = (F.col("gr_liv_area") > V.LEVERAGE_AREA) & (F.col("sale_price") < V.LEVERAGE_PRICE)
+    d = P.eda_digest_rows(s, "sale_price", _DIGEST_ABSENT, SCAN_COLS, _DIGEST_CORR, "neighborhood", lev)
+    return d.select("section", "metric", "position", round_sig("value", 6).alias("value"))

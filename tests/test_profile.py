@@ -59,6 +59,23 @@ def test_eda_digest_on_driver_tables(spark):
     assert d["target"]["min"] <= d["target"]["median"] <= d["target"]["max"]
 
 
+def test_eda_digest_rows_rank_ties_and_take_empty_tables(spark):
+    rows = [(float(v), v % 3 + 0.5, None if v % 2 else 1.0, 7.0, "g%d" % (v % 2)) for v in range(1, 21)] + [(500.0, 1.5, None, 7.0, None)]
+    df = spark.createDataFrame(rows, "price double, a double, b double, c double, area string")
+    args = ("price", ["b"], ["price", "a"], ["a", "c"], "area", F.col("price") > 400)
+    got = {(r.section, r.metric): (r.position, r.value) for r in P.eda_digest_rows(df, *args).collect()}
+    assert got["target", "median"] == (None, 11.0) and got["target", "max"] == (None, 500.0)
+    assert got["missing", "n_cols_with_missing"] == (None, 2.0) and got["missing", "n_genuine"] == (None, 1.0)
+    assert got["missing_columns", "b"] == (1, round(11 / 21 * 100, 2)) and got["missing_columns", "area"][0] == 2
+    assert got["outliers", "n_candidates"] == (None, 1.0) and got["outlier_features", "price"] == (1, 1.0)
+    assert got["correlation", "c"] == (2, None)  # a constant column comes last
+    assert got["groups_top", "g0"] == (1, 11.0) and got["groups_bottom", "g1"] == (1, 10.0)
+    assert got["groups", "ratio_max_min"] == (None, pytest.approx(1.1))
+    none = {(r.section, r.metric): r.value for r in P.eda_digest_rows(df.limit(0), *args).collect()}
+    assert none["missing", "n_cols_with_missing"] == 0 and none["outliers", "n_candidates"] == 0 and none["target", "mean"] is None
+    assert not any(s.startswith("groups_") for s, _ in none)
+
+
 def test_submission_ids_follow_explicit_order(spark):
     from hearth.sources.io import submission
 
