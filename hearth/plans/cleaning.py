@@ -377,3 +377,12 @@ def cleaning_report_rows(spark, sf):
 
     train, test, res = _cleaned(spark, sf)
     return report_to_long(spark, cleaning_report(train, test, res, key="Id"))
+
+
+@register("post_clean_checks")
+def post_clean_checks_q(spark, sf):
+    """V4: the checklist over the cleaned frames, nothing collected."""
+    from hearth.operators.clean import post_clean_checks
+
+    train, test, res = _cleaned(spark, sf)
+    return post_clean_checks(res.train, res.test, res.removed, test, key="Id")

@@ -60,6 +60,30 @@ def test_full_cleaning(spark):
     assert checks["removed_outliers_absent"] and checks["test_ids_unchanged"]
 
 
+def test_checks_count_what_is_wrong(spark):
+    """Nulls, repeated ids, removed rows that are back, ids that changed."""
+    frame = lambda rows: spark.createDataFrame(rows, "Id int, v string")
+    train, test = frame([(1, "a"), (1, None), (2, "b"), (9, None)]), frame([(5, "a"), (6, "a"), (6, "a"), (8, "a")])
+    rows = post_clean_checks(train, test, frame([(2, "b"), (1, "a")]), frame([(5, "x"), (5, "x"), (6, "x"), (7, "x")])).collect()
+    assert {r["check"]: r["n"] for r in rows} == {
+        "train_has_no_nulls": 2, "test_has_no_nulls": 0, "train_ids_unique": 1, "test_ids_unique": 1,
+        "removed_outliers_absent": 3, "test_ids_unchanged": 3}  # ids 6 twice, 7 gone, 8 new
+    assert all(r["ok"] == (r["n"] == 0) for r in rows)
+    none = frame([])
+    assert all(r["ok"] and r["n"] == 0 for r in post_clean_checks(none, none, none, none).collect())
+
+
+def test_report_equals_counts_taken_one_by_one(spark):
+    tr, te = frames(spark)
+    res = clean(tr, te)
+    rep = cleaning_report(tr, te, res)
+    assert rep["raw_shape"]["train"] == [tr.count(), len(tr.columns)] and rep["clean_shape"]["test"] == [res.test.count(), len(res.test.columns)]
+    want = {c: tr.where(F.col(c).isNull()).count() for c in tr.columns}
+    assert rep["missing_before"]["train"] == {c: n for c, n in want.items() if n}
+    checks = enrichment_checks(res.train).collect()
+    assert rep["augmented_features"]["validation"]["train"] == (checks[0].asDict() if checks else {})
+
+
 def test_modes_break_ties_by_smallest(spark):
     from hearth.operators.quantiles import mode_of
 
