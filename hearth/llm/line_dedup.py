@@ -20,15 +20,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.llm.setjoin import ADDRESS, SetJoin, _ordered, addressed
+from hearth.llm.setjoin import ADDRESS, SetJoin, _ordered, addressed, id_type
 from hearth.llm.tables import bit_of, bitmap, maybe_in, quoted, saved, scratch
 
 _LAST = (1 << 63) - 1
 
 
-def _place():
-    """Place of a line in the corpus as one number that sorts by id (null
-    last), then by row, then by line."""
+def _place(kind: str):
+    """Place of a line in the corpus that sorts by id (null last), then by row,
+    then by line: one number, or a struct if ids are not whole numbers."""
+    if kind != "long":
+        return F.struct(F.col("id").isNull().alias("none"), "id", F.col(ADDRESS).alias("row"), "unit")
     whole = "decimal(38,0)"
     id_part = F.coalesce(F.col("id"), F.lit(_LAST)).cast("decimal(20,0)") * F.lit(10**18).cast("decimal(19,0)")
     row_part = F.pmod(F.col(ADDRESS), F.lit(10**8)) * F.lit(10**10) + F.col("unit")
@@ -39,7 +41,7 @@ def matched_lines(docs: DataFrame, key: str = "doc_id", text_col: str = "text")
     """(address, lines): the numbers, from 0, of the lines that an earlier line
     matches, for documents that have such lines."""
     join = SetJoin(docs, key, text_col, by_line=True)
-    lines = join.sets.select(ADDRESS, "unit", "set", _place().alias("at"))
+    lines = join.sets.select(ADDRESS, "unit", "set", _place(id_type(docs, key)).alias("at"))
     every = saved(lines.groupBy("set").agg(F.min("at").alias("first"), F.count("*").alias("lines")), "first")
     first = saved(every.join(join.known.select("set"), "set", "left_semi").drop("lines"), "live_first")
 

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearth.llm import textkernel as tk
 from hearth.llm.tables import BITMAP_BITS, bitmap, count_table, saved
@@ -45,6 +46,12 @@ def addressed(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     return docs.withColumn(ADDRESS, F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text_col}`")))
 
 
+def id_type(docs: DataFrame, key: str) -> str:
+    """Whole-number ids are carried as long, all others as what they are."""
+    kind = docs.schema[key].dataType
+    return "long" if isinstance(kind, T.IntegralType) else kind.simpleString()
+
+
 def unit_starts(data: np.ndarray, offs: np.ndarray, by_line: bool) -> tuple[np.ndarray, np.ndarray]:
     """First bytes of the units of a piece of texts, and their texts."""
     starts, row = offs[:-1], np.arange(len(offs) - 1)
@@ -138,7 +145,8 @@ class SetJoin:
         counts = count_table(self.text, lambda b: _shingle_arrays(b, by_line))
         limit = max(HOT_TOKEN, int(4 * counts.mean()))
         shared = self.docs.sparkSession.sparkContext.broadcast(counts)
-        rows = self.docs.select(F.col(f"`{self.key}`").cast("long").alias("id"), ADDRESS, F.col(f"`{self.text_col}`").alias("t"))
+        kind = id_type(self.docs, self.key)
+        rows = self.docs.select(F.col(f"`{self.key}`").cast(kind).alias("id"), ADDRESS, F.col(f"`{self.text_col}`").alias("t"))
         hot = pa.struct([("k", pa.int64()), ("s", pa.int32())])
         width, orders = self.width, self.orders
         names = ["id", ADDRESS, "unit", "n", "set", *self.marks, *self.prefixes, "light", "hot"]
@@ -179,7 +187,7 @@ class SetJoin:
                     yield out.filter(pa.array(n > 0)) if by_line else out
 
         marked = "".join(f"{m} long, " for m in self.marks) + "".join(f"{p} binary, " for p in self.prefixes)
-        schema = f"id long, {ADDRESS} long, unit long, n long, set long, {marked}light array<long>, hot array<struct<k:long,s:int>>"
+        schema = f"id {kind}, {ADDRESS} long, unit long, n long, set long, {marked}light array<long>, hot array<struct<k:long,s:int>>"
         return saved(rows.mapInArrow(run, schema), "sets")
 
     def _live(self) -> DataFrame:

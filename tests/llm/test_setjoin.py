@@ -71,6 +71,17 @@ def test_keep_one_of_group(spark):
     assert sorted(r.doc_id for r in out.collect()) == [1, 4, 5, 6]
 
 
+def test_ids_of_other_types(spark):
+    """Text ids give the groups and lines that whole numbers in the same order give."""
+    rows = near_copies(5, 60)
+    named = [(f"d{i:04d}", t) for i, t in rows]
+    docs = make_docs(spark, named, "doc_id string, text string")
+    want = {(f"d{i:04d}", n, f"d{c:04d}") for i, n, c in joined(spark, rows)}
+    assert {(r.id, r.n_shingles, r.component_id) for r in ngram_join.linked(docs).collect()} == want
+    got = {r.doc_id: list(r["__lines"]) for r in line_dedup.mark_lines(docs).collect() if r["__lines"]}
+    assert got == {f"d{i:04d}": x for i, x in dropped(spark, rows).items()}
+
+
 def test_empty_tables(spark):
     none = make_docs(spark, [])
     assert ngram_join.linked(none).count() == 0
