@@ -65,7 +65,7 @@ def test_run_and_registration(spark):
 
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     names = {q.split("_")[0] for q in entry.queries() if q.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)}
+    assert names == {f"op{n}" for n in range(1, 14)}
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
 
