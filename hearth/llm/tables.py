@@ -17,6 +17,8 @@ from hearth.session import ensure_checkpoint_dir
 #: Bits of a membership bitmap (1 MB) and cells of a count table (4 MB).
 BITMAP_BITS = 1 << 23
 COUNT_CELLS = 1 << 20
+#: Bits of the largest bitmap (16 MB).
+MAX_BITMAP_BITS = 1 << 27
 _COUNT_PARTS = 64
 
 
@@ -68,8 +70,14 @@ def saved(df: DataFrame, name: str = "table", keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bit_of(col: str) -> Column:
-    return F.pmod(F.xxhash64(col), F.lit(BITMAP_BITS))
+def bit_of(col: str, bits: int = BITMAP_BITS) -> Column:
+    return F.pmod(F.xxhash64(col), F.lit(bits))
+
+
+def bits_for(keys: int) -> int:
+    """Bits of a bitmap of which ``keys`` keys set one in eight, 16 MB at most;
+    beyond, it lets more rows pass and loses none."""
+    return min(MAX_BITMAP_BITS, max(BITMAP_BITS, 1 << (8 * keys - 1).bit_length()))
 
 
 def bitmap(keys: DataFrame, bit: Column, bits: int = BITMAP_BITS) -> bytes:
@@ -90,9 +98,9 @@ def bitmap(keys: DataFrame, bit: Column, bits: int = BITMAP_BITS) -> bytes:
 
 def maybe_in(df: DataFrame, bits: bytes, col: str) -> tuple[DataFrame, DataFrame]:
     """``df`` split into rows whose key may be in the set of a bitmap made by
-    ``bit_of``, and rows whose key surely is not.  The bitmap is a broadcast of fixed size."""
+    ``bit_of``, and rows whose key surely is not.  The bitmap is a broadcast of bounded size."""
     shared = df.sparkSession.sparkContext.broadcast(np.frombuffer(bits, np.uint8))
-    marked = df.withColumn("__bit", bit_of(col))
+    marked = df.withColumn("__bit", bit_of(col, 8 * len(bits)))
 
     def pick(wanted: bool) -> Callable:
         def run(batches):
