@@ -5,7 +5,9 @@ node holds the leftmost minimum rank of the pairs that start below it.  The
 root names the next merge; a merge changes the pair ranks of two live
 neighbours and clears one position, three point updates of logarithmic cost.
 Pieces of equal size class are merged in lockstep as rows of one numpy array,
-so a task pays array operations, not Python work per byte.  A bounded memo
+so a task pays array operations, not Python work per byte; a few pieces alone,
+such as very long ones, are merged one by one, where an update ends at the first
+node that it leaves as it was.  A bounded memo
 keeps the ids of pieces already merged; it changes cost only.
 
 Nulls and empty texts have no tokens.  Rows are independent, so copies, ties
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +32,8 @@ MEMO_PIECES = 300_000
 MEMO_MAX_CHARS = 64
 #: Cells (rows x width) merged at once.
 LOCKSTEP_CELLS = 1 << 19
+#: Fewer rows than these are merged one by one.
+LOCKSTEP_ROWS = 16
 _NONE = np.int64(1 << 40)
 
 
@@ -55,6 +60,7 @@ class BytePairCodec:
         pairs.sort()
         self.pair_key = np.array([k for k, _ in pairs] + [1 << 62], np.int64)
         self.pair_rank = np.array([r for _, r in pairs] + [0], np.int64)
+        self.rank_of_pair = dict(pairs)
         self.memo: dict[str, bytes] = {"": b""}
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -111,6 +117,48 @@ class BytePairCodec:
             live = live[tree[live, 1] < none]
         return [row[:m][row[:m] >= 0] for row, m in zip(ids, length, strict=True)]
 
+    def _merge_one(self, piece: bytes) -> np.ndarray:
+        """Merge a single piece; the same tree, updated in place."""
+        n, bits = len(piece), max(1, (len(piece) - 1).bit_length())
+        width, none, rank_of = 1 << bits, 1 << 62, self.rank_of_pair.get
+        start = self.byte_id[np.frombuffer(piece, np.uint8)]
+        nodes = np.full(2 * width, none, np.int64)
+        rank = self.rank_of(start[:-1], start[1:])
+        nodes[width : width + n - 1] = np.where(rank == _NONE, none, (rank << bits) + np.arange(n - 1))
+        level = width
+        while level > 1:
+            nodes[level // 2 : level] = np.minimum(nodes[level : 2 * level : 2], nodes[level + 1 : 2 * level : 2])
+            level //= 2
+        tree, ids = array("q", nodes.tobytes()), array("q", start.tobytes())
+        nxt, prv = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+
+        def update(pos: int, rank: int | None) -> None:
+            node = width + pos
+            tree[node] = none if rank is None else (rank << bits) + pos
+            node >>= 1
+            while node:
+                low = min(tree[2 * node], tree[2 * node + 1])
+                if tree[node] == low:
+                    return
+                tree[node] = low
+                node >>= 1
+
+        while tree[1] < none:
+            p, merged = tree[1] & (width - 1), tree[1] >> bits
+            q = nxt[p]
+            after, before = nxt[q], prv[p]
+            ids[p], ids[q], nxt[p] = merged, -1, after
+            update(q, None)
+            if after < n:
+                prv[after] = p
+                update(p, rank_of(merged << 32 | ids[after]))
+            else:
+                update(p, None)
+            if before >= 0:
+                update(before, rank_of(ids[before] << 32 | merged))
+        out = np.frombuffer(ids, np.int64)
+        return out[out >= 0]
+
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each piece, packed as little-endian unsigned 32-bit integers."""
         out: list[bytes] = [b""] * len(pieces)
@@ -125,6 +173,10 @@ class BytePairCodec:
             step = max(1, LOCKSTEP_CELLS // width)
             for lo in range(0, len(members), step):
                 part = members[lo : lo + step]
+                if len(part) < LOCKSTEP_ROWS:
+                    for i in part:
+                        out[i] = self._merge_one(pieces[i]).astype("<u4").tobytes()
+                    continue
                 raw = np.zeros((len(part), width), np.uint8)
                 length = np.array([len(pieces[i]) for i in part])
                 for r, i in enumerate(part):
