@@ -68,7 +68,7 @@ def test_merges_are_leftmost_minimum():
 
 
 def test_pieces_merged_alone_equal_those_merged_in_lockstep(monkeypatch):
-    codec = bpe.BytePairCodec(bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    codec = bpe.BytePairCodec(bpe.read_ranks(PATH), public_tokenizers.PATTERN)
     rnd = random.Random(8)
     pieces = [bytes(rnd.choice(b"aeinorst ") if rnd.random() < 0.9 else rnd.randrange(256) for _ in range(n)) for n in [*range(2, 40), 100, 1000, 5000]]
     pieces += [b"a" * n for n in (2, 3, 4, 5, 8, 9, 4000)]
@@ -78,7 +78,7 @@ def test_pieces_merged_alone_equal_those_merged_in_lockstep(monkeypatch):
 
 
 def test_a_piece_of_a_megabyte():
-    codec = bpe.BytePairCodec(bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    codec = bpe.BytePairCodec(bpe.read_ranks(PATH), public_tokenizers.PATTERN)
     piece = bytes(random.Random(3).choices(b"abcdeinorst", k=1 << 20))
     packed = codec.merge([piece])[0]
     assert codec.decode(packed) == piece
