@@ -25,6 +25,7 @@ from hearth.functions.exprs import any_null, blank_to_null, merge_single_rows
 from hearth.operators.dedup import keep_first
 from hearth.operators.quantiles import exact_median, mode_of
 from hearth.session import ensure_checkpoint_dir
+from hearth.shared import saved
 
 # ---- building blocks ------------------------------------------------------
 
@@ -286,7 +287,7 @@ def clean(train_raw: DataFrame, test_raw: DataFrame, key: str = "Id", target: st
 
     Fitting makes several passes (medians, modes, null flags); with
     ``checkpoint`` the deduplicated frames are written once to the shared
-    checkpoint folder so those passes reread them instead of recomputing the
+    checkpoint folder, as columns, so those passes reread them instead of recomputing the
     upstream joins and the dedup shuffle.
     """
     tr = tidy_text(train_raw)
@@ -294,8 +295,7 @@ def clean(train_raw: DataFrame, test_raw: DataFrame, key: str = "Id", target: st
     tr = keep_first(tr, [key], order or [key])
     te = keep_first(te, [key], order or [key])
     if checkpoint:
-        ensure_checkpoint_dir(tr.sparkSession)
-        tr, te = tr.checkpoint(), te.checkpoint()
+        tr, te = saved(tr, "train"), saved(te, "test")
     model = fit_cleaning(tr, te, target=target, key=key)
     ctr = transform_cleaning(model, tr)
     cte = transform_cleaning(model, te, is_test=True)

@@ -13,6 +13,7 @@ from hearth.operators.quantiles import mode_of
 from hearth.plans import views as V
 from hearth.plans.registry import register
 from hearth.plans.sqltext import bucket_case, values_table
+from hearth.shared import saved
 from hearth.sources.tables import table
 
 # ---------------------------------------------------------------------------
@@ -350,8 +351,9 @@ def _house_split(spark, sf):
 
     h = V.house(spark, sf, place=True).drop("_acctbal")
     h = h.withColumn("Id", F.concat_ws("-", *[F.col(k).cast("string") for k in V.HOUSE_KEYS]))
-    f = fold_of(*V.HOUSE_KEYS)
-    return h.where(f != 0), h.where(f == 0).drop("SalePrice")
+    # both sides, and the report on the raw rows, read the joined table once written
+    h = saved(h.withColumn("_fold", fold_of(*V.HOUSE_KEYS)), "house")
+    return h.where("_fold <> 0").drop("_fold"), h.where("_fold = 0").drop("_fold", "SalePrice")
 
 
 def _cleaned(spark, sf):
