@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from hearth.functions.exprs import any_null, normal_quantile_sql, pair_corr, sample_excess_kurtosis, sample_skewness
-from hearth.operators.quantiles import exact_median, exact_quantiles
+from hearth.operators.quantiles import column_quantiles, exact_median, exact_quantiles
+from hearth.shared import saved, scratch
 
 # fixed values: missing-report labels
 NA_ABSENT_LABEL = "absent (NA = feature does not exist)"
@@ -103,7 +104,9 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quarts = quantiles_by_column(df, columns, [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
+    with scratch(df.sparkSession):  # the quartiles reread these columns
+        found = column_quantiles(saved(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in dict.fromkeys(columns)]), "columns"), columns, [0.25, 0.5, 0.75])
+    quarts = df.sparkSession.createDataFrame([(c, *q) for c, q in found[None].items()], "column string, q25 double, q50 double, q75 double")
     return moments.join(quarts, "column", "left").select(
         "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
     )

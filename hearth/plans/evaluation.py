@@ -182,8 +182,10 @@ def residual_summary(spark, sf):
     """``describe(include='all')`` of the residual frame, one row per column
     (numeric statistics with exact quartiles; unique/top/freq for the bucket)."""
     from hearth.operators.profile import describe, describe_text
+    from hearth.shared import saved
 
     res = residual_frame(_scored(spark, sf), "y", "pred_log", edges=V.SALE_PRICE_EDGES, labels=V.SALE_PRICE_LABELS)
+    res = saved(res.select(*_RES_NUM, "price_bucket"), "residuals")  # moments, quartiles and texts reread columns, not the joins
     num = describe(res, _RES_NUM)
     num = num.select("column", "count", *[round_sig(c).alias(c) for c in ["mean", "std", "min", "q25", "q50", "q75", "max"]],
                      F.lit(None).cast("long").alias("unique"), F.lit(None).cast("string").alias("top"),

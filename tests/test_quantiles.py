@@ -93,3 +93,52 @@ def test_bin_edges(spark):
     rows = [("a", float(i)) for i in range(100)] + [("b", 1.0)] * 90 + [("b", 2.0)] * 10 + [("c", None)]
     got = {(r.g, r.bin): r.edge for r in bin_edges(_frame(spark, rows), "v", ["g"], 4).collect()}
     assert got == {("a", 0): 24.0, ("a", 1): 49.0, ("a", 2): 74.0, ("a", 3): 99.0, ("b", 3): 2.0}
+
+
+def test_column_quantiles_equal_the_ranked_ones_on_odd_columns(spark):
+    import math
+
+    import numpy as np
+
+    from hearth.operators.quantiles import column_quantiles
+
+    rnd = np.random.default_rng(5)
+    n = 4000
+    cols = {
+        "even": rnd.normal(size=n).tolist(), "wide": (10.0 ** rnd.uniform(-300, 300, n) * rnd.choice([-1, 1], n)).tolist(), "few": [float(x) for x in rnd.integers(-3, 3, n)],
+        "close": [1.0 + 2.0**-52 * float(x) for x in rnd.integers(0, 5, n)], "zeros": [(-0.0, 0.0, 1.0)[x] for x in rnd.integers(0, 3, n)],
+        "odd": [(math.nan, math.inf, -math.inf, 5.0, None)[x] for x in rnd.integers(0, 5, n)], "none": [None] * n,
+    }
+    names = list(cols)
+    rows = [(i % 4 if i % 50 else None, *[float(v) if v is not None else None for v in x]) for i, x in enumerate(zip(*cols.values()))]
+    df = spark.createDataFrame(rows, "fold int, " + ", ".join(f"{c} double" for c in names)).repartition(5)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    got = column_quantiles(df, names, probs, "fold", [0, 1, 2, 3], ["even", "few", "none"])
+    assert set(got) == {None, 0, 1, 2, 3} and set(got[None]) == set(names) - {"none"} and all(set(got[f]) == {"even", "few"} for f in range(4))
+
+    def plain(values):
+        v = sorted(values, key=lambda x: (math.isnan(x), x))
+        at = [p * (len(v) - 1) for p in probs]
+        return [v[math.floor(x)] + (x - math.floor(x)) * (v[math.ceil(x)] - v[math.floor(x)]) for x in at]
+
+    for s, by in got.items():
+        for c, q in by.items():
+            mine = [r[1 + names.index(c)] for r in rows if s is None or r[0] not in (s, None)]
+            assert np.array_equal(q, plain([x for x in mine if x is not None]), equal_nan=True), (s, c)
+    assert column_quantiles(df.where("fold = 9"), names, probs) == {None: {}}
+
+
+def test_describe_reads_its_input_twice_at_most(spark):
+    from hearth.operators.profile import describe
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    df = spark.createDataFrame([(float(i), float(i % 7)) for i in range(100)], "a double, b double").repartition(2).mapInPandas(count, "a double, b double")
+    got = {r["column"]: r for r in describe(df, ["a", "b"]).collect()}
+    assert (got["a"]["q25"], got["a"]["q50"], got["b"]["q75"]) == (24.75, 49.5, 5.0)
+    assert seen.value <= 200
