@@ -32,3 +32,29 @@ def test_forest_does_not_checkpoint_its_vectors(spark, monkeypatch):
     e = cross_validate(df, ["x1", "x2"], ["t"], ModelSpec("m", "forest", params={"numTrees": 2, "maxDepth": 2}))
     assert e.oof.count() == 240 and e.oof.columns == ["fold", "label", "prediction"]
     assert not [c for c in written if "features" in c]
+
+
+def test_fills_of_all_training_sets_come_from_a_few_passes(spark):
+    import statistics
+
+    from hearth.operators.ml import fit_linear_design
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    rows = [(i % 5, float(i * 7 % 23) if i % 4 else None, float(i), "abc"[i * i % 3] if i % 6 else None) for i in range(60)]
+    schema = "fold int, x double, z double, t string"
+    df = spark.createDataFrame(rows, schema).repartition(2).mapInPandas(count, schema)
+    d = fit_linear_design(df, ["x", "z"], ["t"], "fold")
+    assert seen.value <= 10 * len(rows)
+    assert (d.missing, d.levels["t"], d.fills["z"]) == (["x", "t"], sorted({r[3] for r in rows if r[3]}), 29.5)
+    for f, fills in [(None, d.fills), *d.fills_without.items()]:
+        rest = [r for r in rows if r[0] != f]
+        texts = [r[3] for r in rest if r[3]]
+        assert fills["x"] == statistics.median(r[1] for r in rest if r[1] is not None)
+        assert fills["t"] == min(set(texts), key=lambda v: (-texts.count(v), v))
+    assert set(d.fills_without) == set(range(5)) and all(set(v) == {"x", "t"} for v in d.fills_without.values())
