@@ -58,3 +58,49 @@ def test_fills_of_all_training_sets_come_from_a_few_passes(spark):
         assert fills["x"] == statistics.median(r[1] for r in rest if r[1] is not None)
         assert fills["t"] == min(set(texts), key=lambda v: (-texts.count(v), v))
     assert set(d.fills_without) == set(range(5)) and all(set(v) == {"x", "t"} for v in d.fills_without.values())
+
+
+def test_vectors_of_a_projection_are_those_of_the_fitted_pipeline(spark):
+    """Fills, levels, order and attributes of the slots; each training set lacks a fold."""
+    from hearth.operators.ml import dense_features, feature_names, fit_fill_values, preprocessing_pipeline, training_sets
+
+    rows = [(i % 3, i * 5 % 7 if i % 4 else None, float(i) if i % 9 else float("nan"), "abc"[i % 3] if i % 5 else None, ["x", None, "\U0001f600", "\uffee"][i % 4], None)
+            for i in range(60)]
+    df = spark.createDataFrame(rows, "fold int, n int, x double, t string, u string, w string").checkpoint()
+    numeric, text = ["n", "x"], ["t", "u", "w"]
+    for f, (fills, levels) in training_sets(df, numeric, text, "fold", [0, 1, 2]).items():
+        rest = df.where(df.fold != f)
+        old = preprocessing_pipeline(numeric, text, fit_fill_values(rest, numeric, text)).fit(rest).transform(df)
+        new = dense_features(df, numeric, text, fills, levels, ["fold"])
+        assert feature_names(new) == feature_names(old)
+        binary = lambda d: {a["idx"] for a in d.schema["features"].metadata["ml_attr"]["attrs"]["binary"]}
+        assert binary(new) == binary(old)
+        got, want = ([r.features.toArray() for r in d.select("features").collect()] for d in (new, old))
+        assert np.array_equal(got, want, equal_nan=True)
+
+
+def test_a_forest_reads_the_rows_a_few_times_beside_its_fits(spark):
+    """Fills and levels of each training set were fitted in passes of their own."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    df = _frame(spark).where("fold IS NOT NULL")
+    counted = df.mapInPandas(count, df.schema)
+    cross_validate(counted, ["x1", "x2"], ["t"], ModelSpec("m", "forest", params={"numTrees": 2, "maxDepth": 2})).oof.count()
+    assert seen.value <= 21 * 240
+
+
+def test_a_table_of_one_file_is_dealt_out_if_it_has_the_rows(spark, tmp_path, monkeypatch):
+    from hearth import shared
+
+    spark.range(1000).selectExpr("id AS k", "id * 2 AS v").coalesce(1).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    assert shared.dealt_out(df, ["k"]).rdd.getNumPartitions() == df.rdd.getNumPartitions()
+    monkeypatch.setattr(shared, "TASK_ROWS", 300)
+    out = shared.dealt_out(df, ["k"])
+    assert out.rdd.getNumPartitions() == min(3, spark.sparkContext.defaultParallelism)
+    assert sorted(out.collect()) == sorted(df.collect())
