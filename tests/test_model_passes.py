@@ -94,6 +94,21 @@ def test_a_forest_reads_the_rows_a_few_times_beside_its_fits(spark):
     assert seen.value <= 21 * 240
 
 
+def test_metrics_of_a_linear_spec_come_without_written_predictions(spark, monkeypatch):
+    import hearth.operators.training as T
+    from hearth.operators.features import FeatureConfig
+
+    df, spec = _frame(spark), ModelSpec("r", "ridge", scale_numeric=True, alphas=(0.01, 1.0, 30.0))
+    e = cross_validate(df, ["x1", "x2"], ["t"], spec)
+    hold, train = T.fold_metrics(e.oof.where("fold = 0"), by=()).first(), T.fold_metrics(e.train, by=()).first()
+    cv = [r.rmse for r in T.fold_metrics(e.oof).collect()]
+    written = []
+    monkeypatch.setattr(T, "saved", lambda d, *a, **k: written.append(d) or d)
+    got = T.evaluate_spec(df, ["x1", "x2"], ["t"], spec, FeatureConfig()).first()
+    assert not written and got.n_valid == hold.n and got.alpha == e.alpha
+    assert np.allclose([got.valid_rmse, got.valid_r2, got.train_rmse, got.cv_rmse_mean, got.cv_rmse_std], [hold.rmse, hold.r2, train.rmse, np.mean(cv), np.std(cv, ddof=1)])
+
+
 def test_a_table_of_one_file_is_dealt_out_if_it_has_the_rows(spark, tmp_path, monkeypatch):
     from hearth import shared
 
